@@ -1,0 +1,28 @@
+"""Joins whose broadcast side is size-checked at runtime.
+
+A side is only broadcast after a bounded probe (``limit(max_rows+1).count()``
+reads at most max_rows+1 rows) proves it small; otherwise the join is left
+to Catalyst/AQE (sort-merge, with AQE's runtime broadcast conversion and
+skew-join splitting when the real shuffle sizes allow).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def checked_join(left: DataFrame, right: DataFrame, on: Column | str | list, how: str = "inner",
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Equi-join with the right side broadcast only when it is proven small."""
+    return left.join(broadcast_if_small(right, max_rows), on, how)
