@@ -71,3 +71,357 @@ def mart_revenue_breakdown(spark, sf):
 @register("mart_zone_performance", Q.zone_performance_sql(Q.fact_sql(Q.union_sql()), ZONES_SQL))
 def mart_zone_performance(spark, sf):
     return marts.zone_performance(M.fact(spark, sf), M.zone_dim(spark, sf))
+
+
+# --- scans, sources, sinks (S1-S12, K1-K7) ----------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tripmart.operators import filters as flt  # noqa: E402
+from tripmart.operators import layout, quality  # noqa: E402
+from tripmart.operators.dedup import dedup_latest, dedup_latest_window  # noqa: E402
+from tripmart.plans import adapters as A  # noqa: E402
+from tripmart.plans import fact as fact_plan  # noqa: E402
+from tripmart.plans.ingest import run_ingest  # noqa: E402
+from tripmart.plans.staging import stage  # noqa: E402
+from tripmart.functions import expressions as X  # noqa: E402
+from tripmart.schemas import SERVICES, TRIP_KEY  # noqa: E402
+from tripmart.session import scratch_dir  # noqa: E402
+from tripmart.sources import load as L  # noqa: E402
+from tripmart.sources import scan, seeds, sinks  # noqa: E402
+
+DECLARED_ORDERS = ("O_ORDERKEY bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+                   "o_totalprice double, o_comment string")
+
+
+@register("scan_declared_schema",
+          "SELECT o_orderkey AS O_ORDERKEY, o_custkey, o_orderdate, o_totalprice, "
+          "CAST(NULL AS VARCHAR) AS o_comment FROM orders")
+def scan_declared_schema(spark, sf):
+    """Declared schema, case-insensitive names, absent column NULL."""
+    return scan.read_trips(spark, f"{sf}/orders.parquet", DECLARED_ORDERS)
+
+
+def _written_yellow(spark, sf, partitioned=True) -> str:
+    """Ingest yellow (whole lineitem) and write it as the job does (K1)."""
+    out = scratch_dir(spark, "yellow")
+    df = M.ingested(spark, sf, "yellow", split=False)
+    if partitioned:
+        sinks.write_partitioned(df, out, "pickup_date")
+    else:
+        sinks.write_table(df.drop("pickup_date"), out)
+    return out
+
+
+_YELLOW_INGEST = Q.ingest_sql("yellow", split=False)
+
+
+@register("scan_partitioned_roundtrip", f"SELECT * FROM {_YELLOW_INGEST}")
+def scan_partitioned_roundtrip(spark, sf):
+    """K1 + S4 + S7: partitioned write, read back with partition discovery."""
+    path = _written_yellow(spark, sf)
+    back = scan.read_partitioned(spark, path)
+    cols = M.ingested(spark, sf, "yellow", split=False).columns
+    return back.select(*cols)
+
+
+@register("load_by_name_cast", f"SELECT * FROM {Q.table_sql('yellow', _YELLOW_INGEST)}")
+def load_by_name_cast(spark, sf):
+    """Q5: S6/S7/S8/P10/K6 load of the written dataset into the typed raw
+    table, with the bad-file probe on."""
+    return L.load_raw(spark, _written_yellow(spark, sf), SERVICES["yellow"], skip_bad_files=True)
+
+
+@register("backfill_date", f"SELECT * FROM {Q.table_sql('yellow', _YELLOW_INGEST)}")
+def backfill_date(spark, sf):
+    """K6: files written without the partition column load with NULL
+    pickup_date, back-filled from the pickup timestamp."""
+    return L.load_raw(spark, _written_yellow(spark, sf, partitioned=False), SERVICES["yellow"])
+
+
+@register("file_health", None)
+def file_health(spark, sf):
+    """S8 probe over a written dataset: one row per file, all 'ok'."""
+    return L.file_health(spark, _written_yellow(spark, sf), SERVICES["yellow"].raw)
+
+
+@register("seed_csv_roundtrip", f"SELECT * FROM {A.ZONES_SQL}")
+def seed_csv_roundtrip(spark, sf):
+    """The zone lookup written as a header CSV seed and read back
+    with the seed's declared types."""
+    path = scratch_dir(spark, "seed")
+    A.zones(spark, sf).write.option("header", True).csv(path)
+    return seeds.read_seed(spark, path, "taxi_zone_lookup")
+
+
+@register("schema_report", None)
+def schema_report(spark, sf):
+    """Columns and types in the written files against the raw-table DDL."""
+    return scan.schema_report(spark, _written_yellow(spark, sf), SERVICES["yellow"].table)
+
+
+@register("preview_rows",
+          f"SELECT * FROM {A.taxi_raw_sql('yellow')} ORDER BY tpep_pickup_datetime, PULocationID, "
+          "DOLocationID, fare_amount LIMIT 5")
+def preview_rows(spark, sf):
+    """L1: first rows in a stated order (a top-n, no full sort)."""
+    return layout.preview(A.taxi_raw(spark, sf, "yellow"), 5,
+                          ["tpep_pickup_datetime", "PULocationID", "DOLocationID", "fare_amount"])
+
+
+@register("partition_skew", None)
+def partition_skew(spark, sf):
+    """L2: rows per partition of the trip scan (skew report)."""
+    return layout.partition_skew(A.taxi_raw(spark, sf, "yellow", None))
+
+
+# --- projections, union, dims (P1-P11, U1, Q6-Q8) ----------------------------------------
+
+@register("stage_rename_tag", f"SELECT * FROM {Q.service_staged_sql('green')}")
+def stage_rename_tag(spark, sf):
+    """Green staging (renames, trip_type tag, trip_type->green_trip_type)."""
+    return M.staged(spark, sf, "green")
+
+
+@register("stage_fhv", f"SELECT * FROM {Q.service_staged_sql('fhv')}")
+def stage_fhv(spark, sf):
+    return M.staged(spark, sf, "fhv")
+
+
+@register("stage_hvfhv", f"SELECT * FROM {Q.service_staged_sql('hvfhv')}")
+def stage_hvfhv(spark, sf):
+    return M.staged(spark, sf, "hvfhv")
+
+
+@register("stage_yellow", f"SELECT * FROM {Q.service_staged_sql('yellow')}")
+def stage_yellow(spark, sf):
+    return M.staged(spark, sf, "yellow")
+
+
+@register("union_padded", f"SELECT * FROM {Q.union_sql()}")
+def union_padded(spark, sf):
+    """Three services aligned to 32 columns, UNION ALL."""
+    return M.unioned(spark, sf)
+
+
+@register("dim_passthrough", f"SELECT * FROM {A.ZONES_SQL}")
+def dim_passthrough(spark, sf):
+    """dimension = SELECT * of its seed."""
+    from tripmart.operators.projections import passthrough
+    return passthrough(A.zones(spark, sf))
+
+
+@register("except_column", f"SELECT * EXCLUDE (row_num) FROM {Q.ranked_sql(Q.union_sql())} WHERE row_num = 1")
+def except_column(spark, sf):
+    """W1/F10/P9 in the literal ROW_NUMBER form: rank, keep 1, drop row_num."""
+    ranked = dedup_latest_window(M.unioned(spark, sf), TRIP_KEY, "ingestion_timestamp",
+                                 fact_plan.TIE_BREAKERS, keep_rank=True)
+    return ranked.drop("row_num")
+
+
+# --- filters (F1-F11) -----------------------------------------------------------------
+
+_T_ALL = A.taxi_raw_sql("yellow")
+
+
+@register("drop_cash_tip",
+          f"SELECT * FROM {_T_ALL} WHERE NOT (payment_type = 2 AND CAST(tip_amount AS DECIMAL(10,0)) > 0)")
+def drop_cash_tip(spark, sf):
+    return flt.drop_cash_tip(A.taxi_raw(spark, sf, "yellow"))
+
+
+@register("month_window",
+          f"SELECT * FROM {_T_ALL} WHERE tpep_pickup_datetime >= TIMESTAMP '1998-03-01' "
+          "AND tpep_pickup_datetime < TIMESTAMP '1998-04-01'")
+def month_window(spark, sf):
+    """F2/F3 for target month 1998-03 as a pushed-down half-open range."""
+    return flt.month_window(A.taxi_raw(spark, sf, "yellow"), "tpep_pickup_datetime", "1998-03")
+
+
+@register("drop_zero_count", f"SELECT * FROM {_T_ALL} WHERE passenger_count <> 0")
+def drop_zero_count(spark, sf):
+    return flt.drop_zero(A.taxi_raw(spark, sf, "yellow"), "passenger_count")
+
+
+@register("positive_fare", f"SELECT *, fare_amount - 1000 AS net_fare FROM {_T_ALL} WHERE fare_amount - 1000 > 0")
+def positive_fare(spark, sf):
+    """F5 on the fare net of a 1000 deduction (so the filter bites)."""
+    raw = A.taxi_raw(spark, sf, "yellow").withColumn("net_fare", F.col("fare_amount") - 1000)
+    return flt.positive(raw, "net_fare")
+
+
+_FHV = A.fhv_raw_sql()
+
+
+@register("drop_both_null", f"SELECT * FROM {_FHV} WHERE NOT (PUlocationID IS NULL AND DOlocationID IS NULL)")
+def drop_both_null(spark, sf):
+    return flt.drop_both_null(A.fhv_raw(spark, sf), "PUlocationID", "DOlocationID")
+
+
+@register("drop_zero_minutes",
+          f"SELECT * FROM {_FHV} WHERE NOT (date_sub('minute', pickup_datetime, dropOff_datetime) = 0)")
+def drop_zero_minutes(spark, sf):
+    return flt.drop_zero_minute_trips(A.fhv_raw(spark, sf), "pickup_datetime", "dropOff_datetime")
+
+
+@register("conditional_equal_time",
+          f"SELECT * FROM {_FHV} WHERE NOT (pickup_datetime = dropOff_datetime) "
+          f"OR NOT EXISTS (SELECT 1 FROM {_FHV} WHERE pickup_datetime >= dropOff_datetime)")
+def conditional_equal_time(spark, sf):
+    """drop pickup == dropoff only if any pickup >= dropoff exists (a
+    scalar EXISTS subquery, evaluated once, not a driver-side branch)."""
+    raw = A.fhv_raw(spark, sf)
+    any_bad = raw.where(F.col("pickup_datetime") >= F.col("dropOff_datetime")).exists()
+    return raw.where(~flt.equal_time_predicate("pickup_datetime", "dropOff_datetime") | ~any_bad)
+
+
+@register("is_null_filter", f"SELECT * FROM {_FHV} WHERE SR_Flag IS NULL")
+def is_null_filter(spark, sf):
+    """F11."""
+    return flt.is_null(A.fhv_raw(spark, sf), "SR_Flag")
+
+
+# --- expressions (X1-X15) ----------------------------------------------------------------
+
+@register("duration_minutes",
+          f"SELECT pickup_datetime, dropOff_datetime, date_sub('minute', pickup_datetime, dropOff_datetime) "
+          f"AS trip_duration_minutes, strftime(pickup_datetime, '%Y-%m') AS pickup_month, "
+          f"CAST(pickup_datetime AS DATE) AS pickup_date FROM {_FHV}")
+def duration_minutes(spark, sf):
+    """X1/X2/X3 on sub-minute trips."""
+    raw = A.fhv_raw(spark, sf)
+    return raw.select("pickup_datetime", "dropOff_datetime",
+                      X.duration_minutes("pickup_datetime", "dropOff_datetime").alias("trip_duration_minutes"),
+                      X.year_month("pickup_datetime").alias("pickup_month"),
+                      X.pickup_date("pickup_datetime").alias("pickup_date"))
+
+
+_M = "date_sub('minute', tpep_pickup_datetime, tpep_dropoff_datetime)"
+
+
+@register("avg_speed",
+          f"SELECT trip_distance, {_M} AS trip_duration_minutes, "
+          f"ROUND(CASE WHEN {_M} = 0 THEN 0 ELSE trip_distance / ({_M} / 60) END, 2) + 0.0 AS avg_speed_mph "
+          f"FROM {_T_ALL}")
+def avg_speed(spark, sf):
+    """X5/X6/X7/X15."""
+    raw = A.taxi_raw(spark, sf, "yellow")
+    m = X.duration_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime")
+    return raw.select("trip_distance", m.alias("trip_duration_minutes"),
+                      X.avg_speed_mph("trip_distance", m).alias("avg_speed_mph"))
+
+
+@register("safe_divide",
+          f"SELECT fare_amount, passenger_count, fare_amount / NULLIF(passenger_count, 0) AS fare_per_passenger "
+          f"FROM {_T_ALL}")
+def safe_divide(spark, sf):
+    """NULL instead of a division-by-zero error."""
+    raw = A.taxi_raw(spark, sf, "yellow")
+    return raw.select("fare_amount", "passenger_count",
+                      X.safe_divide("fare_amount", "passenger_count").alias("fare_per_passenger"))
+
+
+@register("surrogate_key", f"SELECT {Q.key_sql()} AS trip_id, {', '.join(TRIP_KEY)} FROM {Q.union_sql()}")
+def surrogate_key(spark, sf):
+    """X14 over the unified trips."""
+    u = M.unioned(spark, sf)
+    return u.select(X.surrogate_key(*TRIP_KEY).alias("trip_id"), *TRIP_KEY)
+
+
+@register("cast_whole_units",
+          f"SELECT tip_amount, CAST(tip_amount AS DECIMAL(10,0)) AS tip_units FROM {_T_ALL}")
+def cast_whole_units(spark, sf):
+    """cast('decimal') = decimal(10,0), HALF_UP."""
+    raw = A.taxi_raw(spark, sf, "yellow")
+    return raw.select("tip_amount", X.whole_units("tip_amount").alias("tip_units"))
+
+
+# --- dedup, incremental (W1, F9, F10, A5, J2, K5) ---------------------------------------------
+
+_TWO_RUNS = f"(SELECT * FROM {Q.union_sql(A.RUN_1)} UNION ALL SELECT * FROM {Q.union_sql(A.RUN_2)})"
+
+
+@register("dedup_latest", f"SELECT * FROM {Q.dedup_sql(_TWO_RUNS)}")
+def dedup_latest_q(spark, sf):
+    """The same month loaded twice; the later run's copy survives."""
+    u = M.unioned(spark, sf, (A.RUN_1, A.RUN_2))
+    return dedup_latest(u, TRIP_KEY, "ingestion_timestamp", fact_plan.TIE_BREAKERS)
+
+
+@register("fact_two_runs", f"SELECT * FROM {Q.fact_sql(_TWO_RUNS)}")
+def fact_two_runs(spark, sf):
+    return M.fact(spark, sf, (A.RUN_1, A.RUN_2))
+
+
+CUTOFF = "1998-01-01"
+_U1 = Q.union_sql(A.RUN_1)
+_MARK = f"(SELECT MAX(pickup_date) FROM {_U1} WHERE pickup_date < DATE '{CUTOFF}')"
+
+
+@register("incremental_filter", f"SELECT * FROM {Q.union_sql(A.RUN_2)} WHERE pickup_date >= {_MARK}")
+def incremental_filter(spark, sf):
+    """Rows at or after the existing fact's MAX(pickup_date)."""
+    target = M.fact(spark, sf).where(F.col("pickup_date") < F.lit(CUTOFF).cast("date"))
+    return flt.at_or_after(M.unioned(spark, sf, (A.RUN_2,)), "pickup_date",
+                           target.select(F.max("pickup_date")).scalar())
+
+
+@register("incremental_upsert",
+          f"SELECT * FROM {Q.fact_sql(f'(SELECT * FROM {_U1} WHERE pickup_date < {_MARK} UNION ALL SELECT * FROM {Q.union_sql(A.RUN_2)} WHERE pickup_date >= {_MARK})')}")
+def incremental_upsert(spark, sf):
+    """Full refresh of trips before the cutoff, then an
+    incremental run of a later load: rows at the high-water mark are
+    replaced, later ones inserted, earlier ones kept."""
+    path = scratch_dir(spark, "fct_trips")
+    first = M.unioned(spark, sf, (A.RUN_1,)).where(F.col("pickup_date") < F.lit(CUTOFF).cast("date"))
+    fact_plan.refresh_fact(spark, first, path)
+    fact_plan.refresh_fact(spark, M.unioned(spark, sf, (A.RUN_2,)), path)
+    return fact_plan.fact_columns(spark.read.parquet(path))
+
+
+# --- checks and metrics (T1-T7) ------------------------------------------------------------
+
+_FACT = Q.fact_sql(Q.union_sql())
+_FACT_NN = ("trip_id", "pickup_datetime", "dropoff_datetime", "trip_type", "source_file")
+
+
+@register("check_not_null",
+          " UNION ALL ".join(f"SELECT '' AS model, '{c}' AS column_name, 'not_null' AS test, "
+                             f"COUNT_IF({c} IS NULL) AS failures FROM {Q.union_sql()}"
+                             for c in ("pickup_datetime", "vendor_id", "passenger_count", "airport_fee")))
+def check_not_null(spark, sf):
+    """T1 in one pass over the union (vendor, passengers, airport fee have NULLs)."""
+    return quality.check_not_null(M.unioned(spark, sf), "pickup_datetime", "vendor_id",
+                                  "passenger_count", "airport_fee")
+
+
+@register("check_unique",
+          f"SELECT trip_id, COUNT(*) AS n_records FROM (SELECT {Q.key_sql()} AS trip_id FROM {_TWO_RUNS}) "
+          "WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING COUNT(*) > 1")
+def check_unique(spark, sf):
+    """Duplicated keys before dedup (every trip loaded twice)."""
+    u = M.unioned(spark, sf, (A.RUN_1, A.RUN_2)).select(X.surrogate_key(*TRIP_KEY).alias("trip_id"))
+    return quality.unique_violations(u, "trip_id")
+
+
+@register("check_accepted_values",
+          f"SELECT '' AS model, 'vendor_id' AS column_name, 'accepted_values' AS test, "
+          f"COUNT_IF(NOT vendor_id IN (1, 2, 7)) AS failures FROM {Q.union_sql()} UNION ALL "
+          f"SELECT '', 'trip_type', 'accepted_values', COUNT_IF(NOT trip_type IN ('yellow','green','hvfhv')) "
+          f"FROM {Q.union_sql()}")
+def check_accepted_values(spark, sf):
+    """NULL passes; vendor 3 fails the documented set (1, 2, 7)."""
+    u = M.unioned(spark, sf)
+    return quality.check_accepted_values(u, "vendor_id", (1, 2, 7)).unionByName(
+        quality.check_accepted_values(u, "trip_type", ("yellow", "green", "hvfhv")))
+
+
+@register("probe_counts",
+          f"SELECT COUNT(*) AS rows, COUNT_IF(trip_distance < 0) AS negative_distance, "
+          f"COUNT_IF(tpep_pickup_datetime > tpep_dropoff_datetime) AS pickup_after_dropoff FROM {_T_ALL}")
+def probe_counts(spark, sf):
+    """T4/T5 in one aggregate."""
+    raw = A.taxi_raw(spark, sf, "yellow")
+    return quality.probe_counts(raw, {"negative_distance": F.col("trip_distance") < 0,
+                                      "pickup_after_dropoff": F.col("tpep_pickup_datetime")
+                                      > F.col("tpep_dropoff_datetime")})
