@@ -425,3 +425,56 @@ def probe_counts(spark, sf):
     return quality.probe_counts(raw, {"negative_distance": F.col("trip_distance") < 0,
                                       "pickup_after_dropoff": F.col("tpep_pickup_datetime")
                                       > F.col("tpep_dropoff_datetime")})
+
+
+# --- Q13 suite, T6 run metrics ---------------------------------------------------------------
+
+from tripmart.plans import suite as S  # noqa: E402
+from tripmart.schemas import SEEDS  # noqa: E402
+
+
+def _suite_sql() -> str:
+    fact = Q.fact_sql(Q.union_sql())
+    srcs = {f"stg_{s}_trips": Q.service_staged_sql(s) for s in ("yellow", "green", "fhv", "hvfhv")}
+    srcs.update({
+        "int_all_trips_unioned": Q.union_sql(),
+        "dim_taxi_zones": A.ZONES_SQL,
+        "dim_rate_codes": Q.values_sql(seeds.RATE_CODES, SEEDS["rate_codes"]),
+        "dim_vendors": Q.values_sql(seeds.VENDORS, SEEDS["vendors"]),
+        "dim_payment_types": Q.values_sql(seeds.PAYMENT_TYPES, SEEDS["payment_types"]),
+        "dim_hvfhv_bases": Q.values_sql(seeds.HVFHV_BASES, SEEDS["hvfhv_bases"]),
+        "fct_trips": fact,
+        "mart_daily_summary": f"({Q.daily_summary_sql(fact)})",
+        "mart_zone_performance": f"({Q.zone_performance_sql(fact, A.ZONES_SQL)})",
+        "mart_revenue_breakdown": f"({Q.revenue_breakdown_sql(fact)})",
+    })
+    parts = [p for spec in S.SUITE for p in Q.model_tests_sql(spec.model, srcs[spec.model], spec)]
+    return " UNION ALL ".join(parts)
+
+
+@register("test_suite", _suite_sql())
+def test_suite(spark, sf):
+    """Q13: all 48 declared tests (not_null, unique, accepted_values)."""
+    return S.test_suite(spark, sf)
+
+
+_RAW_Y = A.taxi_raw_sql("yellow")
+
+
+@register("run_metrics",
+          f"SELECT 'yellow' AS service, (SELECT COUNT(*) FROM {_RAW_Y}) AS raw, "
+          f"(SELECT COUNT(*) FROM {Q.ingest_sql('yellow', split=False)}) AS validated, "
+          f"(SELECT COUNT(*) FROM {Q.ingest_sql('yellow', split=False)}) AS written, "
+          f"(SELECT COUNT_IF(trip_distance < 0) FROM {Q.ingest_sql('yellow', split=False)}) AS negative_distance, "
+          f"(SELECT COUNT_IF(tpep_pickup_datetime > tpep_dropoff_datetime) "
+          f"FROM {Q.ingest_sql('yellow', split=False)}) AS pickup_after_dropoff")
+def run_metrics(spark, sf):
+    """The yellow job run from a written monthly file: raw / validated /
+    written counts and probe counts gathered by observe during the write."""
+    raw_path = scratch_dir(spark, "landing-yellow")
+    A.taxi_raw(spark, sf, "yellow").write.parquet(raw_path)
+    m = run_ingest(spark, raw_path, scratch_dir(spark, "yellow"), SERVICES["yellow"],
+                   source_file=A.source_file_name("yellow"), ingested_at=A.RUN_1)
+    cols = ["raw", "validated", "written", "negative_distance", "pickup_after_dropoff"]
+    return spark.createDataFrame([("yellow", *[int(m[c]) for c in cols])],
+                                 "service string, " + ", ".join(f"{c} bigint" for c in cols))

@@ -151,3 +151,26 @@ def zone_performance_sql(fact: str, zones: str) -> str:
         {money_avg('fare_amount')} AS avg_fare, {money_avg('trip_distance')} AS avg_distance
         FROM {fact} a JOIN {zones} b ON a.pu_location_id = b.LocationID
         GROUP BY pu_location_id, b.Zone, b.Borough"""
+
+
+def values_sql(rows, schema) -> str:
+    """A small fixed table as a VALUES subquery."""
+    def lit(v):
+        return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f.name for f in schema.fields)
+    return f"(SELECT * FROM (VALUES {body}) AS t({cols}))"
+
+
+def model_tests_sql(model: str, src: str, spec) -> list[str]:
+    out = []
+    for c in spec.not_null:
+        out.append(f"SELECT '{model}' AS model, '{c}' AS column_name, 'not_null' AS test, "
+                   f"COUNT_IF({c} IS NULL) AS failures FROM {src}")
+    for c, vals in spec.accepted_values:
+        lits = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in vals)
+        out.append(f"SELECT '{model}', '{c}', 'accepted_values', COUNT_IF(NOT {c} IN ({lits})) FROM {src}")
+    for c in spec.unique:
+        out.append(f"SELECT '{model}', '{c}', 'unique', COUNT(*) FROM (SELECT {c} FROM {src} "
+                   f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)")
+    return out
