@@ -55,7 +55,9 @@ def file_health(spark: SparkSession, root: str, schema: StructType | None = None
                .when(F.col("read_rows").isNull(), "unreadable")
                .when(F.col("read_rows") < F.col("footer_rows"), "partly unreadable")
                .otherwise("ok"))
-    return out.withColumn("status", status).drop("content_hash")
+    # content_hash stays in the output: were it unused, Catalyst would prune
+    # the hash, read no data columns and report every readable footer as ok.
+    return out.withColumn("status", status)
 
 
 def load_raw(spark: SparkSession, root: str, service: Service, skip_bad_files: bool = False,
