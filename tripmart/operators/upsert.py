@@ -24,6 +24,9 @@ from tripmart.session import scratch_dir
 from tripmart.sources.sinks import write_partitioned
 
 
+MAX_TOUCHED = 20_000  # partition values listed explicitly (about 55 years of days)
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -47,8 +50,15 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id
     if target is None:
         write_partitioned(batch, path, partition_col)
         return
-    touched = batch.select(partition_col).distinct()
-    kept = (target.join(touched, partition_col, "left_semi")
-                  .join(batch.select(key), key, "left_anti"))
+    # The touched partition values are bounded by the calendar (one per day),
+    # not by the data: bring them to the driver (capped) and filter the target
+    # statically, so the read is partition-pruned and the target is never
+    # shuffled by date (a single date may hold a large share of all rows).
+    touched = [r[0] for r in batch.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
+    if len(touched) <= MAX_TOUCHED:
+        scope = target.where(F.col(partition_col).isin(touched)) if touched else target.limit(0)
+    else:  # still bounded by the calendar: a broadcast semi join, no shuffle of the target
+        scope = target.join(F.broadcast(batch.select(partition_col).distinct()), partition_col, "left_semi")
+    kept = scope.join(batch.select(key), key, "left_anti")
     out = kept.select(*batch.columns).unionByName(batch)
     write_partitioned(out, path, partition_col, overwrite_scope="dynamic")

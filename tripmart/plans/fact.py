@@ -46,7 +46,8 @@ def incremental_batch(spark: SparkSession, unioned: DataFrame, target_path: str,
         return None
     if scope == "per_type":
         marks = target.groupBy("trip_type").agg(F.max("pickup_date").alias("_mark"))
-        return (unioned.join(marks, "trip_type", "left")
+        # one row per trip type: a proven-small broadcast side
+        return (unioned.join(F.broadcast(marks), "trip_type", "left")
                        .where(F.col("_mark").isNull() | (F.col("pickup_date") >= F.col("_mark")))
                        .drop("_mark").select(*unioned.columns))
     return unioned.where(F.col("pickup_date") >= high_water_mark(target))

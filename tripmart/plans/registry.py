@@ -75,6 +75,8 @@ def mart_zone_performance(spark, sf):
 
 # --- scans, sources, sinks (S1-S12, K1-K7) ----------------------------------------------
 
+import os  # noqa: E402
+
 from pyspark.sql import functions as F  # noqa: E402
 
 from tripmart.operators import filters as flt  # noqa: E402
@@ -478,3 +480,24 @@ def run_metrics(spark, sf):
     cols = ["raw", "validated", "written", "negative_distance", "pickup_after_dropoff"]
     return spark.createDataFrame([("yellow", *[int(m[c]) for c in cols])],
                                  "service string, " + ", ".join(f"{c} bigint" for c in cols))
+
+
+# --- whole project: lakes -> load -> views -> dims/fact/marts tables ---------------------------
+
+from tripmart.plans import project as P  # noqa: E402
+
+
+@register("warehouse_build", Q.daily_summary_sql(Q.fact_sql(Q.union_sql())))
+def warehouse_build(spark, sf):
+    """Q1-Q12 materialized: each unioned service ingested into its own
+    date-partitioned lake, loaded by name with the bad-file probe, staged,
+    unioned, fact written incrementally, marts written; returns the written
+    daily summary."""
+    root = scratch_dir(spark, "warehouse")
+    lakes = {}
+    for s in ("yellow", "green", "hvfhv"):
+        lakes[s] = os.path.join(root, "lake", SERVICES[s].folder)
+        sinks.write_partitioned(M.ingested(spark, sf, s), lakes[s], "pickup_date")
+    paths = P.run_project(spark, lakes, os.path.join(root, "warehouse"),
+                          seeds={"taxi_zone_lookup": A.zones(spark, sf)})
+    return spark.read.parquet(paths["mart_daily_summary"])

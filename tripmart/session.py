@@ -38,6 +38,10 @@ def build_session(master: str | None = None, app: str = "tripmart",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local runs only: no .crc side files on the local filesystem (each
+        # file create forks a chmod without native Hadoop libraries).
+        conf["spark.hadoop.fs.file.impl"] = "org.apache.hadoop.fs.RawLocalFileSystem"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
