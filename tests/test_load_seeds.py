@@ -100,3 +100,31 @@ def test_schema_report(spark, tmp):
     assert rep["fare_amount"] == "type differs"          # double in files, decimal(10,2) declared
     assert rep["vendorid"] == "ok"
     assert rep["trip_distance"] == "missing in files"
+
+
+def test_half_corrupt_file_is_skipped_whole(spark, tmp):
+    """A file whose second row group is damaged: with ignoreCorruptFiles Spark
+    would keep the first row group; the probe sees fewer rows read than the
+    footer declares and the load skips the whole file."""
+    root = os.path.join(tmp, "half")
+    os.makedirs(root)
+    n = 20000
+    t = pa.table({"VendorID": pa.array([1] * n, pa.int32()),
+                  "tpep_pickup_datetime": pa.array([ts("2026-04-10 10:00:00")] * n, pa.timestamp("us")),
+                  "fare_amount": pa.array([float(i) for i in range(n)], pa.float64())})
+    bad = os.path.join(root, "half.parquet")
+    pq.write_table(t, bad, row_group_size=n // 2, compression="snappy", use_dictionary=False)
+    _yellow_file(os.path.join(root, "good.parquet"))
+    meta = pq.ParquetFile(bad).metadata
+    col = meta.row_group(1).column(2)
+    start = col.data_page_offset
+    with open(bad, "r+b") as f:              # overwrite the middle of row group 2's fare pages
+        f.seek(start + 64)
+        f.write(b"\xff" * 2048)
+    health = {os.path.basename(r.path): (r.status, r.footer_rows, r.read_rows)
+              for r in L.file_health(spark, root, _probe_schema(YELLOW.table)).collect()}
+    assert health["good.parquet"][0] == "ok"
+    assert health["half.parquet"][0] in ("partly unreadable", "unreadable")
+    assert health["half.parquet"][1] == n
+    loaded = L.load_raw(spark, root, YELLOW, skip_bad_files=True)
+    assert loaded.count() == 3

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.operators.quality import ModelTests, run_suite
 from tripmart.plans import marts
 from tripmart.plans import models as M
+from tripmart.session import scratch_dir
 from tripmart.sources.seeds import builtin_seed
+from tripmart.sources.sinks import write_table
 
 _TRIP_NN = ("pickup_datetime", "dropoff_datetime", "pu_location_id", "trip_type")
 _TYPES = ("yellow", "green", "hvfhv")
@@ -37,7 +39,11 @@ SUITE: list[ModelTests] = [
 
 
 def build_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    fact = M.fact(spark, sf_dir)
+    """Staging and union stay views; the fact is a table (written once to the
+    shared checkpoint folder) that the marts and its own tests read."""
+    path = scratch_dir(spark, "fct_trips")
+    write_table(M.fact(spark, sf_dir), path)
+    fact = spark.read.parquet(path)
     zones = M.zone_dim(spark, sf_dir)
     out = {f"stg_{s}_trips": M.staged(spark, sf_dir, s) for s in ("yellow", "green", "fhv", "hvfhv")}
     out.update({

@@ -51,12 +51,14 @@ def file_health(spark: SparkSession, root: str, schema: StructType | None = None
                 .groupBy("path").agg(F.count(F.lit(1)).alias("read_rows"),
                                      F.bit_xor("h").alias("content_hash")))
     out = listing.join(footer, "path", "left").join(read, "path", "left")
-    status = (F.when(F.col("footer_rows").isNull() & F.col("read_rows").isNull(), "no rows")
-               .when(F.col("read_rows").isNull(), "unreadable")
+    # status reads content_hash (NULL exactly when read_rows is NULL): any
+    # consumer of status therefore forces the full-column read. Were the
+    # hash unused, Catalyst would prune it, read no data columns and report
+    # every readable footer as ok.
+    status = (F.when(F.col("footer_rows").isNull() & F.col("content_hash").isNull(), "no rows")
+               .when(F.col("content_hash").isNull(), "unreadable")
                .when(F.col("read_rows") < F.col("footer_rows"), "partly unreadable")
                .otherwise("ok"))
-    # content_hash stays in the output: were it unused, Catalyst would prune
-    # the hash, read no data columns and report every readable footer as ok.
     return out.withColumn("status", status)
 
 
