@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.operators.quality import run_suite
 from tripmart.plans import marts
 from tripmart.plans.fact import fact_columns, refresh_fact
+from tripmart.plans.load import run_load
 from tripmart.plans.staging import stage, union_trips
 from tripmart.plans.suite import SUITE
 from tripmart.schemas import SERVICES, UNIONED
@@ -28,13 +29,17 @@ DIM_SEEDS = {"dim_taxi_zones": "taxi_zone_lookup", "dim_rate_codes": "rate_codes
 
 
 def build_catalog(spark: SparkSession, lakes: dict[str, str], seeds: dict[str, str | DataFrame] | None = None,
-                  skip_bad_files: bool = True) -> Catalog:
-    """Sources: one typed raw table per service lake, seeds by name. Models:
-    staging views, the union view."""
+                  skip_bad_files: bool = True, raw_tables: dict[str, str] | None = None) -> Catalog:
+    """Sources: one typed raw table per service (a written table when
+    ``raw_tables`` names one, else loaded from the lake on the fly), seeds by
+    name. Models: staging views, the union view."""
     cat = Catalog(spark)
     for service, path in lakes.items():
-        cat.add_source(f"raw_{service}", loader=lambda s=service, p=path: load_raw(
-            spark, p, SERVICES[s], skip_bad_files=skip_bad_files))
+        if raw_tables and service in raw_tables:
+            cat.add_source(f"raw_{service}", raw_tables[service])
+        else:
+            cat.add_source(f"raw_{service}", loader=lambda s=service, p=path: load_raw(
+                spark, p, SERVICES[s], skip_bad_files=skip_bad_files))
     for seed in DIM_SEEDS.values():
         given = (seeds or {}).get(seed)
         if isinstance(given, DataFrame):
@@ -52,11 +57,18 @@ def build_catalog(spark: SparkSession, lakes: dict[str, str], seeds: dict[str, s
 
 
 def run_project(spark: SparkSession, lakes: dict[str, str], warehouse: str,
-                seeds: dict[str, str | DataFrame] | None = None, scope: str = "global") -> dict[str, str]:
-    """Materialize dims, the fact and the marts below ``warehouse``; returns
-    model name -> path."""
-    cat = build_catalog(spark, lakes, seeds)
+                seeds: dict[str, str | DataFrame] | None = None, scope: str = "global",
+                materialize_raw: bool = False) -> dict[str, str]:
+    """Materialize dims, the fact and the marts below ``warehouse`` (and, with
+    ``materialize_raw``, the typed raw tables first); returns model name -> path."""
     paths = {}
+    raw_tables = None
+    if materialize_raw:
+        raw_tables = {s: os.path.join(warehouse, f"raw_{s}") for s in lakes}
+        for s, lake in lakes.items():
+            run_load(spark, lake, s, raw_tables[s])
+            paths[f"raw_{s}"] = raw_tables[s]
+    cat = build_catalog(spark, lakes, seeds, raw_tables=raw_tables)
     for name in [f"stg_{s}_trips" for s in lakes] + ["int_all_trips_unioned"]:
         materialize_view(cat.ref(name), name)
     for dim, seed in DIM_SEEDS.items():
@@ -83,4 +95,5 @@ def test_project(spark: SparkSession, lakes: dict[str, str], paths: dict[str, st
     models["fct_trips"] = fact_columns(models["fct_trips"])
     for name in [f"stg_{s}_trips" for s in lakes] + ["int_all_trips_unioned"]:
         models[name] = cat.ref(name)
+    models = {k: v for k, v in models.items() if not k.startswith("raw_")}
     return run_suite(models, [s for s in SUITE if s.model in models])
