@@ -128,3 +128,15 @@ def test_half_corrupt_file_is_skipped_whole(spark, tmp):
     assert health["half.parquet"][1] == n
     loaded = L.load_raw(spark, root, YELLOW, skip_bad_files=True)
     assert loaded.count() == 3
+
+
+def test_cast_overflow_file_is_skipped_and_reported(spark, tmp):
+    root = os.path.join(tmp, "ovf")
+    os.makedirs(root)
+    _yellow_file(os.path.join(root, "ok.parquet"))
+    _yellow_file(os.path.join(root, "huge.parquet"), fare=1e12)      # does not fit decimal(10,2)
+    from tripmart.schemas import lake_schema
+    health = {os.path.basename(r.path): (r.status, r.cast_failures) for r in
+              L.file_health(spark, root, lake_schema(YELLOW), target=YELLOW.table).collect()}
+    assert health == {"ok.parquet": ("ok", 0), "huge.parquet": ("cast overflow", 3)}
+    assert L.load_raw(spark, root, YELLOW, skip_bad_files=True).count() == 3

@@ -204,5 +204,16 @@ HVFHV = Service(
 
 SERVICES = {s.name: s for s in (YELLOW, GREEN, FHV, HVFHV)}
 
+
+def lake_schema(service: Service) -> StructType:
+    """Schema of a service's written (lake) files in file types: the raw
+    columns plus what ingest derives (bigint duration, double speed, lineage
+    columns). ``pickup_date`` comes from the directory names."""
+    extra = [("trip_duration_minutes", LONG)]
+    if service.kind == "taxi":
+        extra.append(("avg_speed_mph", DOUBLE))
+    extra += [("source_file", STR), (service.ts_col, TS)]
+    return struct([(f.name, f.dataType) for f in service.raw.fields] + extra)
+
 # Services in the unified trip table (FHV is staged but not unioned).
 UNIONED = ("yellow", "green", "hvfhv")

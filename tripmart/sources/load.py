@@ -1,7 +1,8 @@
 """Bulk load of written Parquet into a typed raw table, by column name.
 
-* scan in the files' own types (declaring ``decimal`` over a ``double`` file
-  fails), then cast to the table type (S6, P10);
+* scan with the lake's declared file schema (declaring ``decimal`` over a
+  ``double`` file fails, and inferring from one footer could miss columns of
+  other files), then cast to the table type (S6, P10);
 * match names case-insensitively; a column absent from the files is NULL;
 * only ``*.parquet`` files (S7);
 * ``pickup_date`` comes from partition discovery and is back-filled from the
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart.operators.projections import align
-from tripmart.schemas import Service
+from tripmart.schemas import Service, lake_schema
 
 
 def backfill_date(df: DataFrame, ts_col: str, date_col: str = "pickup_date") -> DataFrame:
@@ -32,9 +33,12 @@ def backfill_date(df: DataFrame, ts_col: str, date_col: str = "pickup_date") ->
 
 
 def file_health(spark: SparkSession, root: str, schema: StructType | None = None,
-                glob: str = "*.parquet") -> DataFrame:
-    """S8 probe: one row per listed file with ``footer_rows``, ``read_rows``
-    and ``status`` in {'ok', 'no rows', 'unreadable', 'partly unreadable'}."""
+                glob: str = "*.parquet", target: StructType | None = None) -> DataFrame:
+    """S8 probe: one row per listed file with ``footer_rows``, ``read_rows``,
+    ``cast_failures`` and ``status`` in {'ok', 'no rows', 'unreadable',
+    'partly unreadable', 'cast overflow'}. ``schema`` is the file schema to
+    read with; ``target`` the table schema the load casts to: a non-NULL
+    value that does not fit its target type flags the file."""
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                     .option("recursiveFileLookup", "true").load(root).select("path", "length"))
 
@@ -47,9 +51,16 @@ def file_health(spark: SparkSession, root: str, schema: StructType | None = None
                       .groupBy("path").agg(F.count(F.lit(1)).alias("footer_rows")))
     full = reader()
     row_hash = F.xxhash64(*[F.col(c) for c in full.columns])
-    read = (full.select(F.col("_metadata.file_path").alias("path"), row_hash.alias("h"))
+    types = {f.name.lower(): f.dataType for f in (target.fields if target is not None else [])}
+    misfit = F.lit(False)
+    for c in full.columns:
+        t = types.get(c.lower())
+        if t is not None and t != full.schema[c].dataType:
+            misfit = misfit | (F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
+    read = (full.select(F.col("_metadata.file_path").alias("path"), row_hash.alias("h"), misfit.alias("m"))
                 .groupBy("path").agg(F.count(F.lit(1)).alias("read_rows"),
-                                     F.bit_xor("h").alias("content_hash")))
+                                     F.bit_xor("h").alias("content_hash"),
+                                     F.count_if("m").alias("cast_failures")))
     out = listing.join(footer, "path", "left").join(read, "path", "left")
     # status reads content_hash (NULL exactly when read_rows is NULL): any
     # consumer of status therefore forces the full-column read. Were the
@@ -58,6 +69,7 @@ def file_health(spark: SparkSession, root: str, schema: StructType | None = None
     status = (F.when(F.col("footer_rows").isNull() & F.col("content_hash").isNull(), "no rows")
                .when(F.col("content_hash").isNull(), "unreadable")
                .when(F.col("read_rows") < F.col("footer_rows"), "partly unreadable")
+               .when(F.col("cast_failures") > 0, "cast overflow")
                .otherwise("ok"))
     return out.withColumn("status", status)
 
@@ -65,12 +77,13 @@ def file_health(spark: SparkSession, root: str, schema: StructType | None = None
 def load_raw(spark: SparkSession, root: str, service: Service, skip_bad_files: bool = False,
              glob: str = "*.parquet") -> DataFrame:
     """Q5: the typed raw table of one service from its written dataset."""
-    src = spark.read.option("pathGlobFilter", glob)
+    schema = lake_schema(service)
+    src = spark.read.schema(schema).option("pathGlobFilter", glob)
     if skip_bad_files:
         src = src.option("ignoreCorruptFiles", "true")
     df = src.parquet(root)
     if skip_bad_files:
-        good = (file_health(spark, root, None, glob).where(F.col("status") == "ok")
+        good = (file_health(spark, root, schema, glob, target=service.table).where(F.col("status") == "ok")
                 .select(F.col("path").alias("_good_path")))
         df = (df.withColumn("_path", F.col("_metadata.file_path"))
                 .join(good, F.col("_path") == F.col("_good_path"), "left_semi").drop("_path"))
