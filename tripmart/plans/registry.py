@@ -85,7 +85,6 @@ from tripmart.operators.dedup import dedup_latest, dedup_latest_window  # noqa:
 from tripmart.plans import adapters as A  # noqa: E402
 from tripmart.plans import fact as fact_plan  # noqa: E402
 from tripmart.plans.ingest import run_ingest  # noqa: E402
-from tripmart.plans.staging import stage  # noqa: E402
 from tripmart.functions import expressions as X  # noqa: E402
 from tripmart.schemas import SERVICES, TRIP_KEY  # noqa: E402
 from tripmart.session import scratch_dir  # noqa: E402
@@ -143,8 +142,11 @@ def backfill_date(spark, sf):
 
 @register("file_health", None)
 def file_health(spark, sf):
-    """S8 probe over a written dataset: one row per file, all 'ok'."""
-    return L.file_health(spark, _written_yellow(spark, sf), SERVICES["yellow"].raw)
+    """S8 probe over a written dataset, with the load's file schema and the
+    table types it casts to: one row per file, all 'ok'."""
+    from tripmart.schemas import lake_schema
+    y = SERVICES["yellow"]
+    return L.file_health(spark, _written_yellow(spark, sf), lake_schema(y), target=y.table)
 
 
 @register("seed_csv_roundtrip", f"SELECT * FROM {A.ZONES_SQL}")
