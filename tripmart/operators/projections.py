@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def rename(df: DataFrame, mapping: list[tuple[str, str]]) -> DataFrame:
     """Select ``source AS target`` in the given order. Source names
-    resolve case-insensitively."""
-    return df.select(*[F.col(src).alias(dst) for src, dst in mapping])
+    resolve case-insensitively. (One ``selectExpr``: a single projection
+    built in one call rather than one call per column.)"""
+    return df.selectExpr(*[f"{_q(src)} AS {_q(dst)}" for src, dst in mapping])
 
 
 def tag(df: DataFrame, column: str, value) -> DataFrame:
@@ -22,15 +27,18 @@ def align(df: DataFrame, schema: StructType, renames: dict[str, str] | None = No
     """Project onto ``schema``: take columns present (after optional
     renames), pad absent ones with a typed NULL, cast to the target type."""
     renames = renames or {}
-    present = {c.lower(): c for c in df.columns}
+    present = {c.lower(): (c, t) for c, t in df.dtypes}
     out = []
     for f in schema.fields:
         src = renames.get(f.name, f.name)
+        t = f.dataType.simpleString()
         if src is None or src.lower() not in present:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            out.append(f"CAST(NULL AS {t}) AS {_q(f.name)}")
+        elif present[src.lower()][1] == t:
+            out.append(f"{_q(present[src.lower()][0])} AS {_q(f.name)}")
         else:
-            out.append(F.col(present[src.lower()]).cast(f.dataType).alias(f.name))
-    return df.select(*out)
+            out.append(f"CAST({_q(present[src.lower()][0])} AS {t}) AS {_q(f.name)}")
+    return df.selectExpr(*out)
 
 
 def union_aligned(frames: list[DataFrame]) -> DataFrame:

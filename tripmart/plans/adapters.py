@@ -34,8 +34,16 @@ def source_file_name(service: str) -> str:
     return f"{service}_tripdata.parquet"
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One DataFrame per driver table and session (the tables are read-only):
+    the footer-based schema inference runs once, not once per use."""
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(key[1])
+    return _READS[key]
 
 
 def line_orders(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFrame:
@@ -46,96 +54,102 @@ def line_orders(spark: SparkSession, sf_dir: str, flag: str | None = None) -> Da
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
 
-def _airport_fee():
-    return F.when(F.col("l_linenumber") % 2 == 1, F.lit(1.75))
-
-
-def _total():
-    return (F.col("l_extendedprice") + F.col("l_tax") + F.col("l_discount")
-            + F.col("l_discount") * 10 + F.col("l_tax") + F.lit(1.0))
-
-
-def _taxi_cols() -> dict:
-    return {
-        "VendorID": (F.col("l_linenumber") % 3 + 1).cast("int"),
-        "passenger_count": (F.col("l_linenumber") % 7).cast("bigint"),
-        "trip_distance": F.col("l_quantity"),
-        "RatecodeID": (F.col("o_custkey") % 6 + 1).cast("bigint"),
-        "store_and_fwd_flag": F.col("l_linestatus"),
-        "PULocationID": F.col("l_suppkey").cast("int"),
-        "DOLocationID": F.col("l_partkey").cast("int"),
-        "payment_type": F.substring("o_orderpriority", 1, 1).cast("bigint"),
-        "fare_amount": F.col("l_extendedprice"),
-        "extra": F.col("l_tax"),
-        "mta_tax": F.col("l_discount"),
-        "tip_amount": F.col("l_discount") * 10,
-        "tolls_amount": F.col("l_tax"),
-        "improvement_surcharge": F.lit(1.0),
-        "total_amount": _total(),
-        "congestion_surcharge": F.col("l_tax"),
-        "airport_fee": _airport_fee(),
-        "cbd_congestion_fee": F.col("l_discount"),
-        "ehail_fee": F.lit(None).cast("double"),
-        "trip_type": (F.col("l_linenumber") % 2 + 1).cast("bigint"),
-    }
+# Column expressions of each shaped file, written once in SQL both engines
+# parse (Spark via ``selectExpr``, DuckDB in the oracle): the two sides are
+# the same text, and Spark builds each projection in a single call.
+_AIRPORT = "CASE WHEN l_linenumber % 2 = 1 THEN CAST(1.75 AS DOUBLE) END"
+_TOTAL = "(l_extendedprice + l_tax + l_discount + l_discount * 10 + l_tax + CAST(1.0 AS DOUBLE))"
+
+TAXI_EXPRS = {
+    "VendorID": "CAST(l_linenumber % 3 + 1 AS INTEGER)",
+    "passenger_count": "CAST(l_linenumber % 7 AS BIGINT)",
+    "trip_distance": "l_quantity",
+    "RatecodeID": "CAST(o_custkey % 6 + 1 AS BIGINT)",
+    "store_and_fwd_flag": "l_linestatus",
+    "PULocationID": "CAST(l_suppkey AS INTEGER)",
+    "DOLocationID": "CAST(l_partkey AS INTEGER)",
+    "payment_type": "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
+    "fare_amount": "l_extendedprice",
+    "extra": "l_tax",
+    "mta_tax": "l_discount",
+    "tip_amount": "l_discount * 10",
+    "tolls_amount": "l_tax",
+    "improvement_surcharge": "CAST(1.0 AS DOUBLE)",
+    "total_amount": _TOTAL,
+    "congestion_surcharge": "l_tax",
+    "airport_fee": _AIRPORT,
+    "cbd_congestion_fee": "l_discount",
+    "ehail_fee": "CAST(NULL AS DOUBLE)",
+    "trip_type": "CAST(l_linenumber % 2 + 1 AS BIGINT)",
+}
+
+HVFHV_EXPRS = {
+    "hvfhs_license_num": "'HV000' || CAST(l_suppkey % 4 + 2 AS STRING)",
+    "dispatching_base_num": "'B' || lpad(CAST(l_suppkey AS STRING), 5, '0')",
+    "originating_base_num": "'B' || lpad(CAST(l_suppkey AS STRING), 5, '0')",
+    "request_datetime": "o_orderdate",
+    "on_scene_datetime": "o_orderdate",
+    "pickup_datetime": "o_orderdate",
+    "dropoff_datetime": "l_shipdate",
+    "PULocationID": "CAST(l_suppkey AS INTEGER)",
+    "DOLocationID": "CAST(l_partkey AS INTEGER)",
+    "trip_miles": "l_quantity",
+    "trip_time": "CAST(l_linenumber * 60 AS BIGINT)",
+    "base_passenger_fare": "l_extendedprice",
+    "tolls": "l_tax",
+    "bcf": "l_discount",
+    "sales_tax": "l_tax",
+    "congestion_surcharge": "l_tax",
+    "airport_fee": _AIRPORT,
+    "tips": "l_discount * 10",
+    "driver_pay": "l_extendedprice - l_tax",
+    "shared_request_flag": "CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END",
+    "shared_match_flag": "'N'",
+    "access_a_ride_flag": "'N'",
+    "wav_request_flag": "'N'",
+    "wav_match_flag": "'N'",
+    "cbd_congestion_fee": "l_discount",
+}
+
+_BASE_NUM = "'B' || lpad(CAST(user_id AS STRING), 5, '0')"
+FHV_EXPRS = {
+    "dispatching_base_num": _BASE_NUM,
+    "pickup_datetime": "ts",
+    "dropOff_datetime": None,   # dialect-specific, see below
+    "PUlocationID": "CASE WHEN event_type <> 'error' THEN user_id END",
+    "DOlocationID": "CASE WHEN event_type NOT IN ('error', 'view') THEN user_id + 1000 END",
+    "SR_Flag": "CASE WHEN event_type = 'purchase' THEN CAST(1 AS BIGINT) END",
+    "Affiliated_base_number": _BASE_NUM,
+}
+FHV_DROPOFF_SPARK = "timestampadd(SECOND, floor(value * 10), ts)"
+FHV_DROPOFF_DUCKDB = "ts + to_seconds(CAST(floor(value * 10) AS BIGINT))"
+
+
+def taxi_exprs(service: str) -> tuple[dict, object]:
+    schema, prefix = (YELLOW_RAW, "tpep") if service == "yellow" else (GREEN_RAW, "lpep")
+    cols = dict(TAXI_EXPRS)
+    cols[f"{prefix}_pickup_datetime"] = "o_orderdate"
+    cols[f"{prefix}_dropoff_datetime"] = "l_shipdate"
+    return cols, schema
+
+
+def _shape(df: DataFrame, exprs: dict, schema) -> DataFrame:
+    return df.selectExpr(*[f"CAST({exprs[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
 
 
 def taxi_raw(spark: SparkSession, sf_dir: str, service: str = "yellow", flag: str | None = None) -> DataFrame:
     """Yellow- or green-shaped raw file (``flag=None``: the whole table)."""
-    schema, prefix = (YELLOW_RAW, "tpep") if service == "yellow" else (GREEN_RAW, "lpep")
-    cols = _taxi_cols()
-    cols[f"{prefix}_pickup_datetime"] = F.col("o_orderdate")
-    cols[f"{prefix}_dropoff_datetime"] = F.col("l_shipdate")
-    base = line_orders(spark, sf_dir, flag)
-    return base.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    cols, schema = taxi_exprs(service)
+    return _shape(line_orders(spark, sf_dir, flag), cols, schema)
 
 
 def hvfhv_raw(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFrame:
-    supp = F.col("l_suppkey").cast("string")
-    cols = {
-        "hvfhs_license_num": F.concat(F.lit("HV000"), (F.col("l_suppkey") % 4 + 2).cast("string")),
-        "dispatching_base_num": F.concat(F.lit("B"), F.lpad(supp, 5, "0")),
-        "originating_base_num": F.concat(F.lit("B"), F.lpad(supp, 5, "0")),
-        "request_datetime": F.col("o_orderdate"),
-        "on_scene_datetime": F.col("o_orderdate"),
-        "pickup_datetime": F.col("o_orderdate"),
-        "dropoff_datetime": F.col("l_shipdate"),
-        "PULocationID": F.col("l_suppkey").cast("int"),
-        "DOLocationID": F.col("l_partkey").cast("int"),
-        "trip_miles": F.col("l_quantity"),
-        "trip_time": (F.col("l_linenumber") * 60).cast("bigint"),
-        "base_passenger_fare": F.col("l_extendedprice"),
-        "tolls": F.col("l_tax"),
-        "bcf": F.col("l_discount"),
-        "sales_tax": F.col("l_tax"),
-        "congestion_surcharge": F.col("l_tax"),
-        "airport_fee": _airport_fee(),
-        "tips": F.col("l_discount") * 10,
-        "driver_pay": F.col("l_extendedprice") - F.col("l_tax"),
-        "shared_request_flag": F.when(F.col("l_linestatus") == "O", F.lit("Y")).otherwise(F.lit("N")),
-        "shared_match_flag": F.lit("N"),
-        "access_a_ride_flag": F.lit("N"),
-        "wav_request_flag": F.lit("N"),
-        "wav_match_flag": F.lit("N"),
-        "cbd_congestion_fee": F.col("l_discount"),
-    }
-    base = line_orders(spark, sf_dir, flag)
-    return base.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in HVFHV_RAW.fields])
+    return _shape(line_orders(spark, sf_dir, flag), HVFHV_EXPRS, HVFHV_RAW)
 
 
 def fhv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events")
-    base = F.concat(F.lit("B"), F.lpad(F.col("user_id").cast("string"), 5, "0"))
-    cols = {
-        "dispatching_base_num": base,
-        "pickup_datetime": F.col("ts"),
-        "dropOff_datetime": F.timestamp_add("SECOND", F.floor(F.col("value") * 10), F.col("ts")),
-        "PUlocationID": F.when(F.col("event_type") != "error", F.col("user_id")),
-        "DOlocationID": F.when(~F.col("event_type").isin("error", "view"), F.col("user_id") + 1000),
-        "SR_Flag": F.when(F.col("event_type") == "purchase", F.lit(1)),
-        "Affiliated_base_number": base,
-    }
-    return ev.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in FHV_RAW.fields])
+    return _shape(_read(spark, sf_dir, "events"), dict(FHV_EXPRS, dropOff_datetime=FHV_DROPOFF_SPARK), FHV_RAW)
 
 
 def service_raw(spark: SparkSession, sf_dir: str, service: str, split: bool = True) -> DataFrame:
@@ -168,82 +182,22 @@ def line_orders_sql(flag: str | None = None) -> str:
     return f"(SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey {where})"
 
 
-_AIRPORT_SQL = "CASE WHEN l_linenumber % 2 = 1 THEN 1.75::DOUBLE END"
-_TOTAL_SQL = "(l_extendedprice + l_tax + l_discount + l_discount * 10 + l_tax + 1.0::DOUBLE)"
-
-_TAXI_SQL = {
-    "VendorID": "CAST(l_linenumber % 3 + 1 AS INTEGER)",
-    "passenger_count": "CAST(l_linenumber % 7 AS BIGINT)",
-    "trip_distance": "l_quantity",
-    "RatecodeID": "CAST(o_custkey % 6 + 1 AS BIGINT)",
-    "store_and_fwd_flag": "l_linestatus",
-    "PULocationID": "CAST(l_suppkey AS INTEGER)",
-    "DOLocationID": "CAST(l_partkey AS INTEGER)",
-    "payment_type": "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
-    "fare_amount": "l_extendedprice",
-    "extra": "l_tax",
-    "mta_tax": "l_discount",
-    "tip_amount": "l_discount * 10",
-    "tolls_amount": "l_tax",
-    "improvement_surcharge": "1.0::DOUBLE",
-    "total_amount": _TOTAL_SQL,
-    "congestion_surcharge": "l_tax",
-    "airport_fee": _AIRPORT_SQL,
-    "cbd_congestion_fee": "l_discount",
-    "ehail_fee": "CAST(NULL AS DOUBLE)",
-    "trip_type": "CAST(l_linenumber % 2 + 1 AS BIGINT)",
-}
+def _select_sql(exprs: dict, schema, source: str) -> str:
+    sel = ", ".join(f"{exprs[f.name]} AS {f.name}" for f in schema.fields)
+    return f"(SELECT {sel} FROM {source})"
 
 
 def taxi_raw_sql(service: str = "yellow", flag: str | None = None) -> str:
-    schema, prefix = (YELLOW_RAW, "tpep") if service == "yellow" else (GREEN_RAW, "lpep")
-    cols = dict(_TAXI_SQL)
-    cols[f"{prefix}_pickup_datetime"] = "o_orderdate"
-    cols[f"{prefix}_dropoff_datetime"] = "l_shipdate"
-    sel = ", ".join(f"{cols[f.name]} AS {f.name}" for f in schema.fields)
-    return f"(SELECT {sel} FROM {line_orders_sql(flag)})"
+    cols, schema = taxi_exprs(service)
+    return _select_sql(cols, schema, line_orders_sql(flag))
 
 
 def hvfhv_raw_sql(flag: str | None = None) -> str:
-    cols = {
-        "hvfhs_license_num": "'HV000' || CAST(l_suppkey % 4 + 2 AS VARCHAR)",
-        "dispatching_base_num": "'B' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0')",
-        "originating_base_num": "'B' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0')",
-        "request_datetime": "o_orderdate",
-        "on_scene_datetime": "o_orderdate",
-        "pickup_datetime": "o_orderdate",
-        "dropoff_datetime": "l_shipdate",
-        "PULocationID": "CAST(l_suppkey AS INTEGER)",
-        "DOLocationID": "CAST(l_partkey AS INTEGER)",
-        "trip_miles": "l_quantity",
-        "trip_time": "CAST(l_linenumber * 60 AS BIGINT)",
-        "base_passenger_fare": "l_extendedprice",
-        "tolls": "l_tax",
-        "bcf": "l_discount",
-        "sales_tax": "l_tax",
-        "congestion_surcharge": "l_tax",
-        "airport_fee": _AIRPORT_SQL,
-        "tips": "l_discount * 10",
-        "driver_pay": "l_extendedprice - l_tax",
-        "shared_request_flag": "CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END",
-        "shared_match_flag": "'N'",
-        "access_a_ride_flag": "'N'",
-        "wav_request_flag": "'N'",
-        "wav_match_flag": "'N'",
-        "cbd_congestion_fee": "l_discount",
-    }
-    sel = ", ".join(f"{cols[f.name]} AS {f.name}" for f in HVFHV_RAW.fields)
-    return f"(SELECT {sel} FROM {line_orders_sql(flag)})"
+    return _select_sql(HVFHV_EXPRS, HVFHV_RAW, line_orders_sql(flag))
 
 
 def fhv_raw_sql() -> str:
-    base = "'B' || lpad(CAST(user_id AS VARCHAR), 5, '0')"
-    return f"""(SELECT {base} AS dispatching_base_num, ts AS pickup_datetime,
-        ts + to_seconds(CAST(floor(value * 10) AS BIGINT)) AS dropOff_datetime,
-        CASE WHEN event_type <> 'error' THEN user_id END AS PUlocationID,
-        CASE WHEN event_type NOT IN ('error', 'view') THEN user_id + 1000 END AS DOlocationID,
-        CASE WHEN event_type = 'purchase' THEN CAST(1 AS BIGINT) END AS SR_Flag,
-        {base} AS Affiliated_base_number FROM events)"""
+    return _select_sql(dict(FHV_EXPRS, dropOff_datetime=FHV_DROPOFF_DUCKDB), FHV_RAW, "events")
 
 
 def service_raw_sql(service: str, split: bool = True) -> str:
