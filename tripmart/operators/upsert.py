@@ -43,13 +43,13 @@ def high_water_mark(target: DataFrame, column: str = "pickup_date") -> Column:
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id",
            partition_col: str = "pickup_date") -> None:
     """K5 + J2."""
-    staged = scratch_dir(spark, "upsert-batch")
-    batch.write.mode("overwrite").parquet(staged)
-    batch = spark.read.parquet(staged)
     target = read_if_exists(spark, path)
-    if target is None:
+    if target is None:  # first load: the batch is the table, written in one pass
         write_partitioned(batch, path, partition_col)
         return
+    staged = scratch_dir(spark, "upsert-batch")
+    batch.write.mode("overwrite").parquet(staged)
+    batch = spark.read.parquet(staged)
     # The touched partition values are bounded by the calendar (one per day),
     # not by the data: bring them to the driver (capped) and filter the target
     # statically, so the read is partition-pruned and the target is never

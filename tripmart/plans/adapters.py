@@ -34,15 +34,16 @@ def source_file_name(service: str) -> str:
     return f"{service}_tripdata.parquet"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One DataFrame per driver table and session (the tables are read-only):
-    the footer-based schema inference runs once, not once per use."""
-    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    the footer-based schema inference runs once, not once per use. Keyed by
+    the application id too, so a restarted context never sees a stale plan."""
+    key = (spark.sparkContext.applicationId, id(spark), f"{sf_dir}/{name}.parquet")
     if key not in _READS:
-        _READS[key] = spark.read.parquet(key[1])
+        _READS[key] = spark.read.parquet(key[2])
     return _READS[key]
 
 
