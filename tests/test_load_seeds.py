@@ -140,3 +140,14 @@ def test_cast_overflow_file_is_skipped_and_reported(spark, tmp):
               L.file_health(spark, root, lake_schema(YELLOW), target=YELLOW.table).collect()}
     assert health == {"ok.parquet": ("ok", 0), "huge.parquet": ("cast overflow", 3)}
     assert L.load_raw(spark, root, YELLOW, skip_bad_files=True).count() == 3
+
+
+def test_post_load_check(spark, tmp):
+    root = os.path.join(tmp, "plc")
+    os.makedirs(root)
+    _yellow_file(os.path.join(root, "a.parquet"))
+    _yellow_file(os.path.join(root, "b.parquet"), n=4)
+    r = L.post_load_check(spark, root, YELLOW.table).first()
+    assert r.rows == 7 and r.columns_in_files == 6
+    assert r.columns_type_differs == 2        # fare double vs decimal, duration bigint vs int
+    assert r.columns_missing == len(YELLOW.table.fields) - 6

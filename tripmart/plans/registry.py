@@ -503,3 +503,10 @@ def warehouse_build(spark, sf):
     paths = P.run_project(spark, lakes, os.path.join(root, "warehouse"),
                           seeds={"taxi_zone_lookup": A.zones(spark, sf)})
     return spark.read.parquet(paths["mart_daily_summary"])
+
+
+@register("post_load_check", None)
+def post_load_check(spark, sf):
+    """Row count and column comparison after loading the written yellow
+    dataset (one row; the counts of columns are file metadata)."""
+    return L.post_load_check(spark, _written_yellow(spark, sf), SERVICES["yellow"].table)

@@ -94,3 +94,20 @@ def to_table(df: DataFrame, service: Service) -> DataFrame:
     """By-name, case-insensitive projection onto the typed raw table, then
     the ``pickup_date`` back-fill (S6, P10, K6)."""
     return backfill_date(align(df, service.table), service.pickup)
+
+
+def post_load_check(spark: SparkSession, root: str, declared: StructType) -> DataFrame:
+    """The checks run after a load, as one row: the row count (footer
+    counts, no data columns read) and how the files' columns compare with the
+    declared table (S9 summarized)."""
+    from tripmart.sources.scan import schema_rows
+    rep = schema_rows(spark, root, declared)          # column metadata, not data
+
+    def n(status: str | None = None) -> int:
+        return sum(1 for r in rep if (r[1] is not None if status is None else r[3] == status))
+
+    return spark.read.parquet(root).agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(n()).alias("columns_in_files"),
+        F.lit(n("missing in files")).alias("columns_missing"),
+        F.lit(n("type differs")).alias("columns_type_differs"),
+        F.lit(n("not declared")).alias("columns_not_declared"))

@@ -27,6 +27,14 @@ def schema_report(spark: SparkSession, path: str, declared: StructType | None =
     """(column_name, type) as found in the files, optionally against a
     declared schema: status is 'ok', 'type differs', 'missing in files' or
     'not declared'. Reads only file footers (the schema), no rows."""
+    return spark.createDataFrame(
+        schema_rows(spark, path, declared),
+        "column_name string, type string, declared_type string, status string")
+
+
+def schema_rows(spark: SparkSession, path: str, declared: StructType | None = None) -> list[tuple]:
+    """The schema report as plain rows (column metadata only, bounded by the
+    number of columns)."""
     found = {f.name.lower(): (f.name, f.dataType.simpleString()) for f in spark.read.parquet(path).schema.fields}
     rows = []
     if declared is None:
@@ -43,5 +51,4 @@ def schema_report(spark: SparkSession, path: str, declared: StructType | None =
             else:
                 rows.append((f.name, None, f.dataType.simpleString(), "missing in files"))
         rows += [(n, t, None, "not declared") for k, (n, t) in found.items() if k not in seen]
-    return spark.createDataFrame(
-        rows, "column_name string, type string, declared_type string, status string")
+    return rows
