@@ -105,3 +105,29 @@ def test_month_range_is_pushed_to_scan(spark, tmp, capsys):
     validate(spark.read.schema(YELLOW_RAW).parquet(tmp + "/m"), YELLOW, "2026-04").explain("formatted")
     pushed = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("PushedFilters")][0]
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in pushed and "LessThan(tpep_pickup_datetime" in pushed
+
+
+def test_fhv_run_metrics_follow_the_conditional_rule(spark, tmp):
+    """T6 for FHV: 'validated' drops pickup == dropoff only when some row has
+    pickup >= dropoff; 'written' is after the zero-minute filter."""
+    import os
+    from tripmart.plans.ingest import run_ingest
+
+    def write(rows, name):
+        data = []
+        for label, over in rows:
+            r = dict(BASE_FHV, **over, Affiliated_base_number=label)
+            data.append(tuple(r.get(f.name) for f in FHV_RAW.fields))
+        path = os.path.join(tmp, name)
+        spark.createDataFrame(data, FHV_RAW).write.parquet(path)
+        return path
+
+    with_equal = write([("equal", {"dropOff_datetime": ts("2026-04-10 10:00:00")}),
+                        ("both_null", {"PUlocationID": None, "DOlocationID": None}),
+                        ("ok1", {}), ("ok2", {}), ("short", {"dropOff_datetime": ts("2026-04-10 10:00:30")})], "a")
+    m = run_ingest(spark, with_equal, os.path.join(tmp, "out_a"), FHV, month="2026-04", source_file="f.parquet")
+    assert (m["raw"], m["validated"], m["written"]) == (5, 3, 2)
+
+    no_equal = write([("ok1", {}), ("short", {"dropOff_datetime": ts("2026-04-10 10:00:30")})], "b")
+    m = run_ingest(spark, no_equal, os.path.join(tmp, "out_b"), FHV, month="2026-04", source_file="f.parquet")
+    assert (m["raw"], m["validated"], m["written"]) == (2, 2, 1)
