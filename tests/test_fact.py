@@ -120,3 +120,15 @@ def test_incremental_batch_scopes(spark, tmp):
 def test_build_fact_columns(spark):
     f = build_fact(unified(spark, [trip()]))
     assert f.columns[0] == "trip_id" and f.columns[1:] == [x.name for x in UNIFIED.fields]
+
+
+def test_upsert_keeps_rows_of_a_null_partition(spark, tmp):
+    """A batch touching the NULL date partition rewrites it with the kept rows
+    plus the batch, not with the batch alone."""
+    from tripmart.operators.upsert import upsert
+    path = os.path.join(tmp, "t")
+    schema = "trip_id string, v int, pickup_date date"
+    upsert(spark, path, spark.createDataFrame([("a", 1, None), ("b", 2, None)], schema))
+    upsert(spark, path, spark.createDataFrame([("c", 3, None), ("a", 9, None)], schema))
+    got = sorted((r.trip_id, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 9), ("b", 2), ("c", 3)]

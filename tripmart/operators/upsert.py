@@ -16,6 +16,8 @@ the pickup timestamp, whose date is the partition value).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -27,6 +29,30 @@ from tripmart.sources.sinks import write_partitioned
 MAX_TOUCHED = 20_000  # partition values listed explicitly (about 55 years of days)
 
 
+def _in_list(column: str, values: list) -> Column:
+    """``column IN (values)`` as one SQL expression (one plan call instead of
+    one per literal); falls back to ``isin`` for other value types. A NULL
+    partition value also selects the NULL partition."""
+
+    def lit(v):
+        if isinstance(v, _dt.datetime):
+            return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+        if isinstance(v, _dt.date):
+            return f"DATE '{v.isoformat()}'"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, int):
+            return str(v)
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return None
+    parts = [lit(v) for v in values if v is not None]
+    if any(p is None for p in parts):
+        return F.col(column).isin(values)
+    cond = F.expr(f"`{column}` IN ({', '.join(parts)})") if parts else F.lit(False)
+    return cond | F.col(column).isNull() if any(v is None for v in values) else cond
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -56,7 +82,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id
     # shuffled by date (a single date may hold a large share of all rows).
     touched = [r[0] for r in batch.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
     if len(touched) <= MAX_TOUCHED:
-        scope = target.where(F.col(partition_col).isin(touched)) if touched else target.limit(0)
+        scope = target.where(_in_list(partition_col, touched)) if touched else target.limit(0)
     else:  # still bounded by the calendar: a broadcast semi join, no shuffle of the target
         scope = target.join(F.broadcast(batch.select(partition_col).distinct()), partition_col, "left_semi")
     kept = scope.join(batch.select(key), key, "left_anti")
