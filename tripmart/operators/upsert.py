@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tripmart.operators.joins import broadcast_if_small
 from tripmart.session import scratch_dir
 from tripmart.sources.sinks import write_partitioned
 
@@ -83,8 +84,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id
     touched = [r[0] for r in batch.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
     if len(touched) <= MAX_TOUCHED:
         scope = target.where(_in_list(partition_col, touched)) if touched else target.limit(0)
-    else:  # still bounded by the calendar: a broadcast semi join, no shuffle of the target
-        scope = target.join(F.broadcast(batch.select(partition_col).distinct()), partition_col, "left_semi")
+    else:  # many values: a semi join, broadcast only after a bounded size probe
+        scope = target.join(broadcast_if_small(batch.select(partition_col).distinct()), partition_col,
+                            "left_semi")
     kept = scope.join(batch.select(key), key, "left_anti")
     out = kept.select(*batch.columns).unionByName(batch)
     write_partitioned(out, path, partition_col, overwrite_scope="dynamic")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.expressions import surrogate_key
 from tripmart.operators.dedup import dedup_latest
+from tripmart.operators.joins import broadcast_if_small
 from tripmart.operators.upsert import high_water_mark, read_if_exists, upsert
 from tripmart.schemas import FACT, TRIP_KEY
 
@@ -46,8 +47,8 @@ def incremental_batch(spark: SparkSession, unioned: DataFrame, target_path: str,
         return None
     if scope == "per_type":
         marks = target.groupBy("trip_type").agg(F.max("pickup_date").alias("_mark"))
-        # one row per trip type: a proven-small broadcast side
-        return (unioned.join(F.broadcast(marks), "trip_type", "left")
+        # one row per trip type: broadcast after a bounded size probe
+        return (unioned.join(broadcast_if_small(marks), "trip_type", "left")
                        .where(F.col("_mark").isNull() | (F.col("pickup_date") >= F.col("_mark")))
                        .drop("_mark").select(*unioned.columns))
     return unioned.where(F.col("pickup_date") >= high_water_mark(target))
