@@ -2,7 +2,7 @@
 
 One lazy plan per job: declared-schema scan -> month range (pushed into the
 scan) -> service filters -> derived columns -> partitioned write. Counts come
-from ``observe`` during the write plus a footer-only raw count, so the data
+from ``observe`` in the write stage plus a footer-only raw count, so the data
 is read once.
 """
 
@@ -40,13 +40,13 @@ def validate(raw: DataFrame, service: Service, month: str | None = None,
 
 
 def derive(df: DataFrame, service: Service, source_file: str | None = None,
-           ingested_at: _dt.datetime | str | None = None) -> DataFrame:
+           ingested_at: _dt.datetime | str | None = None, zero_minute_filter: bool = True) -> DataFrame:
     """Duration (and speed for taxis), zero-minute filter
     for FHV services, lineage columns, partition key."""
     df = df.withColumn("trip_duration_minutes", duration_minutes(service.pickup, service.dropoff))
     if service.kind == "taxi":
         df = df.withColumn("avg_speed_mph", avg_speed_mph("trip_distance", "trip_duration_minutes"))
-    else:
+    elif zero_minute_filter:
         df = flt.drop_zero_minutes(df)
     src = F.lit(source_file) if source_file is not None else F.col("_metadata.file_name")
     return df.withColumns({"source_file": src, service.ts_col: ingestion_time(ingested_at),
@@ -75,11 +75,16 @@ def run_ingest(spark: SparkSession, in_path: str | list[str], out_path: str, ser
     paths = [in_path] if isinstance(in_path, str) else list(in_path)
     raw_count = spark.read.parquet(*paths).count()  # no columns read: footer row counts
     raw = read_trips(spark, in_path, service.raw)
-    checked, obs_valid = observed(validate(raw, service, month), f"{service.name}_validated",
-                                  probes(service))
-    out, obs_written = observed(derive(checked, service, source_file, ingested_at),
-                                f"{service.name}_written")
-    write_partitioned(out, out_path, "pickup_date", overwrite_scope=overwrite_scope)
+    # Rebalance first, observe after it: the counts are then gathered in the
+    # write (result) stage, where Spark merges each partition's metrics once
+    # even if an executor loss forces earlier stages to be recomputed. The
+    # observe is also a barrier, so the zero-minute filter stays above it.
+    derived = derive(validate(raw, service, month), service, source_file, ingested_at,
+                     zero_minute_filter=False).hint("rebalance", "pickup_date")
+    checked, obs_valid = observed(derived, f"{service.name}_validated", probes(service))
+    out = flt.drop_zero_minutes(checked) if service.kind != "taxi" else checked
+    out, obs_written = observed(out, f"{service.name}_written")
+    write_partitioned(out, out_path, "pickup_date", overwrite_scope=overwrite_scope, rebalance=False)
     v, w = obs_valid.get, obs_written.get
     metrics = {"service": service.name, "raw": raw_count, "written": w["rows"], **{k: v[k] for k in v}}
     if service.kind == "taxi":

@@ -33,11 +33,12 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "pickup_date",
                       mode: str = "overwrite", overwrite_scope: str = "dynamic",
-                      max_records_per_file: int | None = None) -> None:
+                      max_records_per_file: int | None = None, rebalance: bool = True) -> None:
     """K1: Parquet partitioned by ``partition_col``. ``overwrite_scope`` is
     'dynamic' (replace only the partitions present in ``df``) or 'static'
-    (the reference's behaviour: replace the whole dataset)."""
-    w = (df.hint("rebalance", partition_col).write.mode(mode)
+    (the reference's behaviour: replace the whole dataset). ``rebalance=False``
+    when the caller already rebalanced on ``partition_col``."""
+    w = ((df.hint("rebalance", partition_col) if rebalance else df).write.mode(mode)
            .option("partitionOverwriteMode", overwrite_scope).partitionBy(partition_col))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
