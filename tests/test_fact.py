@@ -132,3 +132,11 @@ def test_upsert_keeps_rows_of_a_null_partition(spark, tmp):
     upsert(spark, path, spark.createDataFrame([("c", 3, None), ("a", 9, None)], schema))
     got = sorted((r.trip_id, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("a", 9), ("b", 2), ("c", 3)]
+
+
+def test_in_list_escapes_string_values(spark):
+    from tripmart.operators.upsert import _in_list
+    vals = ["o'hare", "back\\slash", "plain", None]
+    df = spark.createDataFrame([(v,) for v in vals + ["other"]], "p string")
+    got = sorted(str(r.p) for r in df.where(_in_list("p", vals)).collect())
+    assert got == sorted(str(v) for v in vals)
