@@ -26,3 +26,17 @@ def test_expressions(spark):
 def test_month_bounds_roll_over_the_year():
     assert X.month_bounds("2026-12") == (dt.datetime(2026, 12, 1), dt.datetime(2027, 1, 1))
     assert X.month_bounds("2026-04") == (dt.datetime(2026, 4, 1), dt.datetime(2026, 5, 1))
+
+
+def test_catalog_sources_models_and_views(spark, tmp):
+    """A named source resolves once; a model refs it; models are
+    registered as temp views for SQL users."""
+    import os
+    from tripmart.sources.catalog import Catalog
+    path = os.path.join(tmp, "src")
+    spark.createDataFrame([(1,), (2,), (3,)], "x int").write.parquet(path)
+    cat = (Catalog(spark).add_source("raw_numbers", path)
+           .add_model("big_numbers", lambda c: c.ref("raw_numbers").where("x > 1")))
+    assert cat.ref("big_numbers").count() == 2
+    assert cat.ref("big_numbers") is cat.ref("big_numbers")
+    assert spark.sql("SELECT count(*) AS n FROM big_numbers").first().n == 2
