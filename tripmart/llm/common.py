@@ -163,22 +163,37 @@ def row_windows(counts: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarr
     return row, np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + first[:-1][row]
 
 
-def mapped(df: DataFrame, text: str, schema: str, work: Callable[..., dict[str, pa.Array | np.ndarray | list]],
+def lines(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of every \\n-separated line; a row without text has one empty line."""
+    n = len(at) - 1
+    breaks = np.flatnonzero(data == 10)
+    row = np.concatenate([np.searchsorted(at, breaks, "right") - 1, np.arange(n)])
+    end = np.concatenate([breaks, at[1:]])
+    order = np.lexsort((end, row))
+    row, end = row[order], end[order]
+    start = np.empty_like(end)
+    if len(end):
+        start[0] = at[0]
+        start[1:] = np.where(row[1:] == row[:-1], end[:-1] + 1, at[row[1:]])
+    return row, start, end
+
+
+def mapped(df: DataFrame, text: str, schema, work: Callable[..., dict[str, pa.Array | np.ndarray | list]],
            size: int = CHUNK) -> DataFrame:
-    """``work(rows, data, at)`` on chunks of the column ``text``; it returns the columns of ``schema``."""
+    """``work(rows, data, at)`` on chunks of the column ``text``; it returns the columns of ``schema``,
+    as Arrow arrays of the right type (passed on as they are) or as numpy arrays or lists."""
     out = df.sparkSession.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow = to_arrow_schema(out)
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+    kinds = {f.name: kinds.get(f.dataType.simpleString()) for f in out}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             where = batch.schema.get_field_index(text)
             for row, end, data, at in chunks(batch.column(where), size):
                 got = work(batch.slice(row, end - row), data, at)
-                cols = [got[f.name] if isinstance(got[f.name], pa.Array) else pa.array(got[f.name], f.type)
-                        for f in arrow]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c
-                                                  for c, f in zip(cols, arrow)], schema=arrow)
+                cols = [got[name] if isinstance(got[name], pa.Array) else pa.array(got[name], kind)
+                        for name, kind in kinds.items()]
+                yield pa.RecordBatch.from_arrays(cols, names=list(kinds))
 
     return in_arrow(df, run, out)
 
@@ -197,3 +212,49 @@ def signed(x: np.ndarray) -> np.ndarray:
 def pack(df: DataFrame, *more) -> DataFrame:
     """All columns of ``df`` as the struct ``row_``, beside ``more``: no clash with helper columns."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row_"), *more)
+
+
+def unpack(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` again, from ``row_`` and the column text."""
+    return df.select(*[F.col("text") if c == "text" else F.col("row_").getField(c).alias(c) for c in like.columns])
+
+
+BITS = 25  # a bitmap has 2**25 bits, 4 MB, whatever it is made of
+
+
+def bitmap(df: DataFrame, column: str):
+    """A broadcast bitmap of the low bits of a long column's values. Its size is fixed; a fuller
+    one only lets more through to the exact join that follows."""
+    slot = F.col(column).bitwiseAND((1 << BITS) - 1)
+    words = df.select(F.shiftright(slot, 6).alias("w"), F.expr(f"shiftleft(1L, cast(`{column}` & 63 AS INT))").alias("b")
+                      ).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    bits = np.zeros(1 << (BITS - 6), dtype=np.int64)
+    bits[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return df.sparkSession.sparkContext.broadcast(bits.view(U64))
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slot = values & U64((1 << BITS) - 1)
+    return (bits[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) != 0
+
+
+def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
+    """Least of every w consecutive values, by doubling."""
+    span = 1
+    while 2 * span <= w:
+        x = np.minimum(x[:-span], x[span:])
+        span *= 2
+    return x if span == w else np.minimum(x[:len(x) - (w - span)], x[w - span:])
+
+
+def only(df: DataFrame, column: str, bits) -> DataFrame:
+    """The rows of ``df`` whose long column may be in a bitmap (never too few)."""
+    where = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = pc.is_valid(batch.column(where))
+            values = pc.fill_null(batch.column(where), 0).to_numpy().view(U64)
+            yield batch.filter(pc.and_(known, pa.array(in_bitmap(bits.value, values))))
+
+    return in_arrow(df, run, df.schema)
