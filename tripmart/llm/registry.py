@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import minhash_dedup
+from tripmart.llm import (cotraining, decontaminate, html_text, line_dedup, minhash_dedup, pieces, pii, quality_rules,
+                          token_counts)
 from tripmart.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data by fixed patterns and bootstrapped contexts."""
+    got = pii.personal_data(table(spark, sf_dir, "documents"))
+    names = "element_at(array(" + ", ".join(f"'{k}'" for k in pii.KINDS) + "), x.kind + 1)"
+    joined = f"array_join(transform({{}}, x -> concat_ws(':', {names}, x.start, x.end)), ',')"
+    return got.select("doc_id", *[F.expr(f"cast(size(filter(spans, x -> x.base AND x.kind = {i})) AS BIGINT)").alias(f"n_{k}")
+                                  for i, k in enumerate(pii.KINDS)],
+                      F.sha2(F.expr(joined.format("filter(spans, x -> x.base)")), 256).alias("base_sha256"),
+                      F.expr(joined.format("spans")).alias("spans"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over three-word shingles at a similarity of 0.85."""
     how = minhash_dedup.NearDup(words=3, percent=85, band_rows=4, bands=25)
@@ -19,8 +31,47 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows shared with the benchmark."""
+    got = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality statistics, the base rule, and risk-controlled cutoffs per language."""
+    got = quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without line chunks that occur earlier in the corpus."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document by co-training."""
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and tokens of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_minhash_dedup": op2_minhash_dedup,
+    f.__name__: f for f in (op1_pii, op2_minhash_dedup, op3_decontaminate, op4_quality_rules, op5_sentencepiece, op6_line_dedup,
+                            op7_quality_classifier, op8_token_counts, op10_html_extraction)
 }
 
 ORACLE: dict[str, str] = {}
