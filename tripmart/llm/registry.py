@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (cotraining, decontaminate, html_text, line_dedup, minhash_dedup, pieces, pii, quality_rules,
-                          token_counts)
+                          substring_dedup, token_counts)
 from tripmart.llm.common import table
 
 
@@ -64,6 +64,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 50-byte strings of earlier documents, removed."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -71,7 +76,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_minhash_dedup, op3_decontaminate, op4_quality_rules, op5_sentencepiece, op6_line_dedup,
-                            op7_quality_classifier, op8_token_counts, op10_html_extraction)
+                            op7_quality_classifier, op8_token_counts, op9_suffix_array_dedup, op10_html_extraction)
 }
 
 ORACLE: dict[str, str] = {}
