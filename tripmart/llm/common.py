@@ -50,8 +50,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
-def in_arrow(df: DataFrame, work: Callable, schema) -> DataFrame:
-    """``df.mapInArrow``, after sending this package to the executors, once per application."""
+def ship(df: DataFrame) -> None:
+    """Send this package to the executors, once per application."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
@@ -61,6 +61,11 @@ def in_arrow(df: DataFrame, work: Callable, schema) -> DataFrame:
                 z.write(f, f.relative_to(package.parent))
         context.addPyFile(str(path))
         _SHIPPED.add(context.applicationId)
+
+
+def in_arrow(df: DataFrame, work: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package on the executors."""
+    ship(df)
     return df.mapInArrow(work, schema)
 
 
