@@ -9,9 +9,13 @@ the maximum at the threshold); the rest is confirmed on the full sets of both te
 
 Documents with equal sets form one class and only its least doc_id goes on, so copies cost one row.
 A band value shared by many documents does not emit their pairs: every member is first compared
-with one leader (up to ``STAR_ROUNDS`` times, another leader each time), then members that are still in
-different components are compared with each other. No pair of a shared band value is left out, so
-a link is missed only where no band agrees: (1 - J**4)**25, or 1e-8, at a similarity of 0.85.
+with one leader (``STAR_ROUNDS`` times, another leader each time). Members of a band value that are
+still in different components are then compared with each other, directly where the value has up to
+``SMALL`` documents. In larger groups a pair must also share a shingle among the first few of both
+sets, in an order that puts shingles the leader lacks first: two sets with the wanted overlap always
+do (prefix filtering), and sets that differ from the leader by changes of their own don't, so the
+group's size is not squared. No pair of a shared band value is left out: a link is missed only where
+no band agrees, (1 - J**4)**25 or 1e-8 at a similarity of 0.85.
 
 Defined results: null, empty or blank text has no shingles and is linked with nothing; fewer words
 than a shingle make one shingle; rows with a null doc_id are never linked (component null, kept);
@@ -27,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import (BASE2, NOT_SPACE, U64, Rolling, Words, in_arrow, lists, mapped, mix, row_windows,
-                                 signed, written)
+from tripmart.llm.common import (BASE2, NOT_SPACE, U64, Rolling, Words, bitmap, in_arrow, in_bitmap, mapped, mix, only,
+                                 row_windows, signed, written)
 from tripmart.llm.components import components
 
 BASE_B = 1.02  # base of the exponential scale
 SCALE_A = 20.0  # rate of the exponential minima
 REJECT = 16.0
-STAR_ROUNDS = 3
-FEW_PAIRS = 2_000_000  # so few pairs within shared band values are compared without more star rounds
+STAR_ROUNDS = 2
+SMALL = 64  # documents with one band value whose pairs are all compared
+SIZE_STEP = 1.02  # ratio of the size classes in larger groups
 
 
 @dataclass(frozen=True)
@@ -76,7 +81,7 @@ def register_scale(least: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, how: NearDup) -> DataFrame:
-    """One row a document: doc_id, n (set size), h1/h2 (digest of the set), registers and band keys."""
+    """One row a document: doc_id, n (set size), h1/h2 (digest of the set) and registers."""
     factors = mix(np.arange(1, how.registers + 1, dtype=U64) * U64(0x9FB21C651E98DF25)) | U64(1)
     shift = mix(factors ^ U64(0xC2B2AE3D27D4EB4F))
 
@@ -96,21 +101,39 @@ def sketch(docs: DataFrame, how: NearDup) -> DataFrame:
                 np.multiply(value, factors[i], out=buffer)
                 buffer += shift[i]
                 registers[:, i] = register_scale(np.minimum.reduceat(buffer, starts))
-        bands = registers.reshape(len(full), how.bands, how.band_rows).astype(U64)
-        key = np.repeat(np.arange(1, how.bands + 1, dtype=U64)[None], len(full), 0)
-        for i in range(how.band_rows):
-            key = mix(key * U64(0x9E3779B97F4A7C15) + bands[:, :, i])
         raw = [None] * n
         for i, r in zip(full.tolist(), registers):
             raw[i] = r.tobytes()
-        per = np.zeros(n, dtype=np.int64)
-        per[full] = how.bands
         return {"doc_id": rows.column(0), "n": size.astype(np.int64), "h1": signed(digest[0]),
-                "h2": signed(digest[1]), "registers": pa.array(raw, pa.binary()),
-                "bands": lists(per, pa.array(signed(key.ravel())))}
+                "h2": signed(digest[1]), "registers": pa.array(raw, pa.binary())}
 
-    return mapped(docs.select("doc_id", "text"), "text",
-                  "doc_id long, n long, h1 long, h2 long, registers binary, bands array<long>", work)
+    return mapped(docs.select("doc_id", "text"), "text", "doc_id long, n long, h1 long, h2 long, registers binary", work)
+
+
+def stacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), -1)
+
+
+def band_keys(sketches: DataFrame, how: NearDup, shared=None) -> DataFrame:
+    """(key, id, n) of every band, of those in the bitmap ``shared`` if given."""
+    def run(batches):
+        for x in batches:
+            if not x.num_rows:
+                continue
+            bands = stacked(x.column("registers")).reshape(x.num_rows, how.bands, how.band_rows).astype(U64)
+            key = np.repeat(np.arange(1, how.bands + 1, dtype=U64)[None], x.num_rows, 0)
+            for i in range(how.band_rows):
+                key = mix(key * U64(0x9E3779B97F4A7C15) + bands[:, :, i])
+            key = key.ravel()
+            row = np.repeat(np.arange(x.num_rows), how.bands)
+            if shared is not None:
+                keep = in_bitmap(shared.value, key)
+                key, row = key[keep], row[keep]
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), x.column("doc_id").take(row), x.column("n").take(row)],
+                                             names=["key", "id", "n"])
+
+    return in_arrow(sketches.select("doc_id", "n", "registers"), run, "key long, id long, n long")
 
 
 def log_likelihood(more: np.ndarray, less: np.ndarray, same: np.ndarray, u: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -136,8 +159,7 @@ def likely(pairs: DataFrame, how: NearDup) -> DataFrame:
         for x in batches:
             if not x.num_rows:
                 continue
-            ra, rb = (np.frombuffer(b"".join(x.column(c).to_pylist()), dtype=np.uint16).reshape(
-                x.num_rows, -1) for c in ("ra", "rb"))
+            ra, rb = stacked(x.column("ra")), stacked(x.column("rb"))
             na, nb = (x.column(c).to_numpy() for c in ("na", "nb"))
             more, less = (ra > rb).sum(1), (ra < rb).sum(1)
             same, u = ra.shape[1] - more - less, na / (na + nb)
@@ -181,16 +203,75 @@ def confirm(pairs: DataFrame, how: NearDup) -> DataFrame:
     return in_arrow(pairs.select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
-def links_of(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, how: NearDup) -> DataFrame:
+def prefixes(members: DataFrame, how: NearDup) -> DataFrame:
+    """The first shingles of each member, in its leader's order, of rows (leader, id, component, tm, tl).
+
+    As the smaller set of a pair, a member gives one row per shingle that any partner's overlap
+    must reach, under its size class; as the larger one, a row per shingle and size class of the
+    partners for which the shingle is early enough (``most``: their largest size)."""
+    k, p = how.words, how.percent
+
+    def classes(n: np.ndarray) -> np.ndarray:
+        return np.floor(np.log(np.maximum(n, 1)) / np.log(SIZE_STEP)).astype(np.int64)
+
+    def run(batches):
+        for batch in batches:
+            out: list[tuple] = []
+            for r in range(batch.num_rows):
+                leader, id_, component, tm, tl = (batch.column(c)[r].as_py() for c in ("leader", "id", "component", "tm", "tl"))
+                mine, other = (shingles(np.frombuffer(t.encode(), dtype=np.uint8), np.array([0, len(t.encode())]), k)[1]
+                               for t in (tm, tl))
+                mine = mine[np.lexsort((mine, np.isin(mine, other)))]
+                n = len(mine)
+                need = -(-2 * n * p // (100 + p))  # overlap with a set of equal size
+                first = mine[:n - need + 1]
+                at = np.arange(n)
+                most = np.minimum((n - at) * (100 + p) // p - n, n)
+                least = -(-p * n // 100)
+                at = at[most >= least]
+                low, high = classes(np.array([least]))[0], classes(most[at])
+                size = high - low + 1
+                token = np.concatenate([first, np.repeat(mine[at], size)])
+                out.append((np.full(len(token), leader), signed(token),
+                            np.concatenate([np.full(len(first), classes(np.array([n]))[0]),
+                                            low + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)]),
+                            np.full(len(token), id_), np.full(len(token), component), np.full(len(token), n),
+                            np.concatenate([np.full(len(first), -1), np.repeat(most[at], size)])))
+                if len(out) == 200 or r == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(7)],
+                                                     names=["leader", "token", "class", "id", "component", "n", "most"])
+                    out = []
+
+    return in_arrow(members.select("leader", "id", "component", "tm", "tl"), run,
+                    "leader long, token long, class long, id long, component long, n long, most long")
+
+
+def prefix_pairs(members: DataFrame, texts: DataFrame, how: NearDup) -> DataFrame:
+    """Candidate pairs (a, b) in different components among members (leader, id, component) of a leader."""
+    rows = written(prefixes(
+        members.join(texts.select(F.col("id"), F.col("text").alias("tm")), "id")
+        .join(texts.select(F.col("id").alias("leader"), F.col("text").alias("tl")), "leader"), how), "prefixes")
+    place = ["leader", "token", "class"]
+    # Only where a smaller and a larger set of different components meet.
+    mixed = rows.groupBy(*place).agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                     F.min("most").alias("data"), F.max("most").alias("probe")).where(
+        "low < high AND data < 0 AND probe >= 0").select(*place)
+    rows = written(rows.join(mixed, place), "mixed")
+    x, y = rows.where("most < 0").alias("x"), rows.where("most >= 0").alias("y")
+    return x.join(y, F.expr(" AND ".join(f"x.{c} = y.{c}" for c in place)
+                            + f" AND x.component <> y.component AND x.n <= y.most AND 100 * x.n >= {how.percent} * y.n")
+                  ).select(F.expr("greatest(x.id, y.id)").alias("a"), F.expr("least(x.id, y.id)").alias("b"))
+
+
+def links_of(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, how: NearDup) -> DataFrame:
     """The confirmed links among candidate pairs (a, b)."""
     one = sketches.select("doc_id", "n", "registers")
-    near = likely(pairs.join(one.select(F.col("doc_id").alias("a"), F.col("n").alias("na"),
-                                        F.col("registers").alias("ra")), "a")
-                  .join(one.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"),
-                                   F.col("registers").alias("rb")), "b"), how)
-    near = written(near, "near")
-    return written(confirm(near.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-                           .join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a"), how), "links")
+    near = written(likely(
+        pairs.join(one.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra")), "a")
+        .join(one.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb")), "b"), how), "near")
+    ta = only(texts, "id", bitmap(near, "a")).select(F.col("id").alias("a"), F.col("text").alias("ta"))
+    tb = only(texts, "id", bitmap(near, "b")).select(F.col("id").alias("b"), F.col("text").alias("tb"))
+    return written(confirm(near.join(tb, "b").join(ta, "a"), how), "links")
 
 
 def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
@@ -198,43 +279,49 @@ def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = written(sketch(docs, how), "sketches")
     named = sketches.where("n > 0 AND doc_id IS NOT NULL")
-    classes = written(named.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    # One row a class: its representative's sketch and text.
-    reps = written(named.join(classes.select(F.col("rep").alias("doc_id"), "n", "h1", "h2"), ["doc_id", "n", "h1", "h2"])
-                   .dropDuplicates(["doc_id", "n", "h1", "h2"]), "reps")
-    bands = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), "n")
-    shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    bands = written(bands.join(shared, "key").select("key", "id", "n"), "bands")
+    digest = ["n", "h1", "h2"]
+    classes = written(named.groupBy(*digest).agg(F.min("doc_id").alias("rep")), "classes")
+    # One row a class: its representative. The bitmap only thins what the join has to move.
+    reps = only(named, "doc_id", bitmap(classes, "rep")).join(
+        classes.select(F.col("rep").alias("doc_id"), *digest), ["doc_id", *digest]).select("doc_id", "n", "registers")
+    shared = band_keys(reps, how).groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    bands = written(band_keys(reps, how, bitmap(written(shared, "shared"), "key")), "bands")
+    members = bitmap(bands, "id")
+    reps = written(only(reps, "doc_id", members), "reps")
+    texts = written(only(docs, "doc_id", members).select(F.col("doc_id").alias("id"), "text"), "texts")
 
     links, parts, tested = None, None, None
     for turn in range(STAR_ROUNDS + 1):
+        last = turn == STAR_ROUNDS
         if parts is None:
-            members = bands.withColumn("component", F.col("id"))
+            now = bands.withColumn("component", F.col("id"))
         else:
-            members = bands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        keys = members.groupBy("key").agg(
+            now = bands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        order = F.xxhash64("id", F.lit(turn)) if turn and not last else F.col("id")
+        keys = now.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
-            F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r") if turn else F.col("id").alias("r"),
-                           "id", "component", "n")).alias("leader"))
-        open_ = written(members.join(keys.where("low < high").drop("low", "high"), "key"), "open")
-        # Pairs within the key of each member, over all members: twice the pairs at most.
-        most = open_.agg(F.sum("size")).first()[0]
-        if not most:
+            F.min(F.struct(order.alias("r"), "id", "component", "n")).alias("leader")).where("low < high").drop("low", "high")
+        open_ = written(now.join(keys, "key"), "open")
+        if open_.isEmpty():
             break
         fits = f"100 * least(x.n, y.n) >= {how.percent} * greatest(x.n, y.n)"
-        last = turn == STAR_ROUNDS or (turn > 0 and most <= FEW_PAIRS)
         if not last:
             pairs = open_.where(f"component <> leader.component AND {fits.replace('x.n', 'n').replace('y.n', 'leader.n')}"
                                 ).select(F.greatest("id", "leader.id").alias("a"), F.least("id", "leader.id").alias("b"))
         else:
-            pairs = open_.alias("x").join(open_.alias("y"), F.expr(
+            few = open_.where(f"size <= {SMALL}")
+            pairs = few.alias("x").join(few.alias("y"), F.expr(
                 f"x.key = y.key AND x.id > y.id AND x.component <> y.component AND {fits}")).select(
                 F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+            many = written(open_.where(f"size > {SMALL}").select(F.col("leader.id").alias("leader"), "id", "component")
+                           .distinct(), "many")
+            if not many.isEmpty():
+                pairs = pairs.union(prefix_pairs(many, texts, how))
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        found = links_of(pairs, reps, docs, how)
+        found = links_of(pairs, reps, texts, how)
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             parts = components(links)
@@ -247,8 +334,14 @@ def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
         home = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     else:
         home = classes.withColumn("component", F.lit(None).cast("long"))
-    home = home.select("n", "h1", "h2", F.coalesce("component", "rep").alias("component"))
-    return sketches.join(home, ["n", "h1", "h2"], "left").select(
+    home = home.select(*digest, F.coalesce("component", "rep").alias("component"))
+    return sketches.select("doc_id", *digest).join(home, digest, "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component")))
         .otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_representatives(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
+    """The rows of ``docs`` that are their component's least doc_id, with all their columns."""
+    gone = near_duplicates(docs, how).where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
