@@ -142,6 +142,37 @@ def test_cast_overflow_file_is_skipped_and_reported(spark, tmp):
     assert L.load_raw(spark, root, YELLOW, skip_bad_files=True).count() == 3
 
 
+def test_odd_folder_names_and_nested_files(spark, tmp):
+    """Spaces, percent signs and escaped partition values in paths, and files in sub-folders:
+    every listed file is loaded, and the report says so."""
+    from tripmart.plans.load import run_load
+    root = os.path.join(tmp, "a b", "100% lake")
+    folders = ["", "x y", "50%", "pickup_date=2026-04-11", "2026/04", "pickup_date=__HIVE_DEFAULT_PARTITION__", "p=a%3Ab"]
+    for i, f in enumerate(folders):
+        os.makedirs(os.path.join(root, f), exist_ok=True)
+        _yellow_file(os.path.join(root, f, f"f {i}%.parquet"))
+    _yellow_file(os.path.join(root, "x y", "too big.parquet"), fare=1e12)
+    table = os.path.join(tmp, "table")
+    report = {os.path.basename(r.path): (r.status, r.loaded) for r in run_load(spark, root, "yellow", table).collect()}
+    assert len(report) == len(folders) + 1
+    assert [k for k, v in report.items() if v != ("ok", True)] == ["too%20big.parquet"]
+    assert report["too%20big.parquet"] == ("cast overflow", False)
+    rows = spark.read.parquet(table).collect()
+    assert len(rows) == 3 * len(folders)
+    assert sorted({str(r.pickup_date) for r in rows}) == ["2026-04-10", "2026-04-11"]
+
+
+def test_schema_report_covers_all_files(spark, tmp):
+    root = os.path.join(tmp, "y")
+    os.makedirs(os.path.join(root, "sub"))
+    for i in range(3):
+        _yellow_file(os.path.join(root, f"a{i}.parquet"))
+    pq.write_table(pa.table({"fare_amount": pa.array(["x"]), "surge": pa.array([1.0])}), os.path.join(root, "sub", "z.parquet"))
+    rep = {r.column_name.lower(): (r.type, r.status) for r in schema_report(spark, root, YELLOW.table).collect()}
+    assert rep["fare_amount"] == ("double, string", "type differs") and rep["surge"] == ("double", "not declared")
+    assert rep["vendorid"] == ("int", "ok")
+
+
 def test_post_load_check(spark, tmp):
     root = os.path.join(tmp, "plc")
     os.makedirs(root)

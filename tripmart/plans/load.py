@@ -2,7 +2,8 @@
 
 Create-or-replace semantics: the table is fully reloaded from the lake (a
 static overwrite of the whole table), files that fail to load are skipped
-and reported. Returns the per-file report.
+and reported. Returns the per-file report: the very probe result the load
+left files out by.
 """
 
 from __future__ import annotations
@@ -11,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.schemas import SERVICES
-from tripmart.sources.load import file_health, load_raw
+from tripmart.sources.load import load_raw, probe
 from tripmart.sources.sinks import write_partitioned
 
 
 def run_load(spark: SparkSession, lake: str, service: str, table_path: str,
              skip_bad_files: bool = True) -> DataFrame:
     s = SERVICES[service]
-    table = load_raw(spark, lake, s, skip_bad_files=skip_bad_files)
+    health = probe(spark, lake, s)
+    table = load_raw(spark, lake, s, skip_bad_files=skip_bad_files, health=health)
     write_partitioned(table, table_path, "pickup_date", overwrite_scope="static")
-    report = file_health(spark, lake, None).select("path", "length", "footer_rows", "read_rows", "status")
+    report = health.select("path", "length", "footer_rows", "read_rows", "status")
     return report.withColumn("loaded", F.col("status") == "ok")

@@ -4,15 +4,18 @@
   ``double`` file fails, and inferring from one footer could miss columns of
   other files), then cast to the table type (S6, P10);
 * match names case-insensitively; a column absent from the files is NULL;
-* only ``*.parquet`` files (S7);
-* ``pickup_date`` comes from partition discovery and is back-filled from the
-  pickup timestamp where NULL (K6), so no separate UPDATE pass exists;
+* all ``*.parquet`` files below the root, at any depth (S7);
+* ``pickup_date`` comes from the file's directory (``pickup_date=...``) and is
+  back-filled from the pickup timestamp where NULL (K6), so no separate UPDATE
+  pass exists;
 * optionally skip unreadable files and report them (S8).
 
 The bad-file probe is distributed: two aggregates grouped by
-``_metadata.file_path`` (a footer-only row count, and a full read whose
-count must match), joined to a ``binaryFile`` listing (path and length only;
-file contents are not read).
+``_metadata.file_path`` (a footer-only row count, and one full read whose
+count must match), joined to a ``binaryFile`` listing by the same metadata
+path (path and length only; file contents are not read). Its result is written
+once; the load leaves out the bad files of that table (an anti join, and no
+join at all where every file is good), and the report is the same table.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from tripmart.operators.projections import align
 from tripmart.schemas import Service, lake_schema
+from tripmart.session import scratch_dir
 
 
 def backfill_date(df: DataFrame, ts_col: str, date_col: str = "pickup_date") -> DataFrame:
@@ -40,7 +44,8 @@ def file_health(spark: SparkSession, root: str, schema: StructType | None = None
     read with; ``target`` the table schema the load casts to: a non-NULL
     value that does not fit its target type flags the file."""
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                    .option("recursiveFileLookup", "true").load(root).select("path", "length"))
+                    .option("recursiveFileLookup", "true").load(root)
+                    .select(F.col("_metadata.file_path").alias("path"), "length"))
 
     def reader() -> DataFrame:
         r = (spark.read.option("ignoreCorruptFiles", "true").option("pathGlobFilter", glob)
@@ -74,20 +79,30 @@ def file_health(spark: SparkSession, root: str, schema: StructType | None = None
     return out.withColumn("status", status)
 
 
+def probe(spark: SparkSession, root: str, service: Service, glob: str = "*.parquet") -> DataFrame:
+    """``file_health`` with the service's file schema and table types, written once."""
+    path = scratch_dir(spark, "file-health")
+    file_health(spark, root, lake_schema(service), glob, target=service.table).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def load_raw(spark: SparkSession, root: str, service: Service, skip_bad_files: bool = False,
-             glob: str = "*.parquet") -> DataFrame:
-    """Q5: the typed raw table of one service from its written dataset."""
-    schema = lake_schema(service)
-    src = spark.read.schema(schema).option("pathGlobFilter", glob)
+             glob: str = "*.parquet", health: DataFrame | None = None) -> DataFrame:
+    """Q5: the typed raw table of one service from its written dataset. ``health`` is the result of
+    ``probe`` where the caller has one."""
+    src = (spark.read.schema(lake_schema(service)).option("pathGlobFilter", glob)
+                .option("recursiveFileLookup", "true"))
     if skip_bad_files:
         src = src.option("ignoreCorruptFiles", "true")
-    df = src.parquet(root)
+    file_path = F.col("_metadata.file_path")
+    folder = F.url_decode(F.regexp_extract(file_path, "/pickup_date=([^/]+)/", 1))
+    df = src.parquet(root).withColumns({"_path": file_path, "_folder_date": folder.try_cast("date")})
     if skip_bad_files:
-        good = (file_health(spark, root, schema, glob, target=service.table).where(F.col("status") == "ok")
-                .select(F.col("path").alias("_good_path")))
-        df = (df.withColumn("_path", F.col("_metadata.file_path"))
-                .join(good, F.col("_path") == F.col("_good_path"), "left_semi").drop("_path"))
-    return to_table(df, service)
+        health = probe(spark, root, service, glob) if health is None else health
+        bad = health.where(~F.col("status").isin("ok", "no rows")).select(F.col("path").alias("_bad_path"))
+        if not bad.isEmpty():
+            df = df.join(bad, F.col("_path") == F.col("_bad_path"), "left_anti")
+    return to_table(df.withColumnRenamed("_folder_date", "pickup_date"), service)
 
 
 def to_table(df: DataFrame, service: Service) -> DataFrame:
@@ -106,7 +121,7 @@ def post_load_check(spark: SparkSession, root: str, declared: StructType) -> Dat
     def n(status: str | None = None) -> int:
         return sum(1 for r in rep if (r[1] is not None if status is None else r[3] == status))
 
-    return spark.read.parquet(root).agg(F.count(F.lit(1)).alias("rows")).select(
+    return spark.read.option("recursiveFileLookup", "true").parquet(root).agg(F.count(F.lit(1)).alias("rows")).select(
         "rows", F.lit(n()).alias("columns_in_files"),
         F.lit(n("missing in files")).alias("columns_missing"),
         F.lit(n("type differs")).alias("columns_type_differs"),
