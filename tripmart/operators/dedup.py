@@ -1,15 +1,13 @@
-"""Keep the latest row per key (ROW_NUMBER() ... = 1 semantics).
+"""Keep the latest row per key (W1 + F10: ``ROW_NUMBER() ... = 1``).
 
-``dedup_latest`` is an aggregation, not a window: each key group keeps
-``max(struct(rank..., row))``. The partial (map-side) aggregate collapses
-copies inside every input task before the shuffle, so a key holding a third
-of all rows costs one row per map task downstream instead of one giant
-sorted window partition. The rank struct ends with the whole row, so the
-winner is fully determined even when every rank field ties: a recomputed
-task after an executor loss picks the same row.
+A window with ``row_number() = 1``: Catalyst puts a WindowGroupLimit below the
+shuffle, so each map task sends one row per key it has seen, and a key holding
+a third of all rows costs one row per map task downstream. The order ends with
+all remaining columns, so the winner is determined even when every rank column
+ties: a recomputed task after an executor loss picks the same row.
 
-Order: ``order_col`` DESC with NULLs first (the warehouse's NULL order),
-then each tie-breaker DESC with NULLs last.
+Order: ``order_col`` DESC with NULLs first (the warehouse's NULL order), then
+each tie-breaker DESC with NULLs last, then the other columns likewise.
 """
 
 from __future__ import annotations
@@ -20,24 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order_col: str,
-                 tie_breakers: Sequence[str] = ()) -> DataFrame:
-    cols = df.columns
-    rank = [F.col(order_col).isNull().alias("_null_first"), F.col(order_col).alias("_order")]
-    rank += [F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_breakers)]
-    best = F.max(F.struct(*rank, F.struct(*[F.col(c) for c in cols]).alias("_row")))
-    return (df.groupBy(*[F.col(k) for k in keys])
-              .agg(best.alias("_best"))
-              .select(*[F.col(f"_best._row.{c}").alias(c) for c in cols]))
-
-
-def dedup_latest_window(df: DataFrame, keys: Sequence[str], order_col: str,
-                        tie_breakers: Sequence[str] = (), rank_col: str = "row_num",
-                        keep_rank: bool = False) -> DataFrame:
-    """The literal ROW_NUMBER form (W1 + F10). Same result as ``dedup_latest``
-    whenever the order is total; kept for comparison and for callers that want
-    the rank column. Catalyst plans it with a WindowGroupLimit."""
+def dedup_latest(df: DataFrame, keys: Sequence[str], order_col: str, tie_breakers: Sequence[str] = (),
+                 rank_col: str = "row_num", keep_rank: bool = False) -> DataFrame:
+    """The first row of each key; ``keep_rank`` leaves the rank column in (P9 drops it)."""
+    named = {*keys, order_col, *tie_breakers}
+    rest = [c for c in df.columns if c not in named]
     w = Window.partitionBy(*keys).orderBy(
-        F.col(order_col).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in tie_breakers])
+        F.col(order_col).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in (*tie_breakers, *rest)])
     out = df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1)
     return out if keep_rank else out.drop(rank_col)

@@ -3,57 +3,31 @@
 MERGE semantics on ``key`` (matched -> replaced by the batch row, unmatched
 -> inserted) restricted to the partitions the batch touches:
 
-    kept   = target  ⋉ dates(batch)          (partition-pruned read)
+    kept   = target  ⋉ dates(batch)          (null-safe semi join on the date)
                      ▷ keys(batch)            (left anti join on key)
     output = kept ∪ batch   -> dynamic partition overwrite
 
-Only touched partitions are rewritten; others are not read. The batch is
-first written to the shared checkpoint folder so the three uses below read
-one materialized copy (and an executor loss never recomputes the upstream).
-Requires that a key lives in exactly one partition (the trip key contains
-the pickup timestamp, whose date is the partition value).
+Only touched partitions are rewritten. The batch is first written to the
+shared checkpoint folder so the three uses below read one materialized copy
+(and an executor loss never recomputes the upstream); the copy is removed at
+the end. The distinct dates are a small table that adaptive execution
+broadcasts; the batch's first and last date, as scalar subqueries, prune the
+target's directories before that. There is one path for any number of dates,
+NULL included. Requires that a key lives
+in exactly one partition (the trip key contains the pickup timestamp, whose
+date is the partition value).
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tripmart.operators.joins import broadcast_if_small
-from tripmart.session import scratch_dir
+from tripmart.session import drop_scratch, scratch_dir
 from tripmart.sources.sinks import write_partitioned
 
 
-MAX_TOUCHED = 20_000  # partition values listed explicitly (about 55 years of days)
-
-
-def _in_list(column: str, values: list) -> Column:
-    """``column IN (values)`` as one SQL expression (one plan call instead of
-    one per literal); falls back to ``isin`` for other value types. A NULL
-    partition value also selects the NULL partition."""
-
-    def lit(v):
-        if isinstance(v, _dt.datetime):
-            return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
-        if isinstance(v, _dt.date):
-            return f"DATE '{v.isoformat()}'"
-        if isinstance(v, bool):
-            return "TRUE" if v else "FALSE"
-        if isinstance(v, int):
-            return str(v)
-        if isinstance(v, str):
-            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        return None
-    parts = [lit(v) for v in values if v is not None]
-    if any(p is None for p in parts):
-        return F.col(column).isin(values)
-    cond = F.expr(f"`{column}` IN ({', '.join(parts)})") if parts else F.lit(False)
-    return cond | F.col(column).isNull() if any(v is None for v in values) else cond
-
-
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -77,16 +51,12 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id
     staged = scratch_dir(spark, "upsert-batch")
     batch.write.mode("overwrite").parquet(staged)
     batch = spark.read.parquet(staged)
-    # The touched partition values are bounded by the calendar (one per day),
-    # not by the data: bring them to the driver (capped) and filter the target
-    # statically, so the read is partition-pruned and the target is never
-    # shuffled by date (a single date may hold a large share of all rows).
-    touched = [r[0] for r in batch.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
-    if len(touched) <= MAX_TOUCHED:
-        scope = target.where(_in_list(partition_col, touched)) if touched else target.limit(0)
-    else:  # many values: a semi join, broadcast only after a bounded size probe
-        scope = target.join(broadcast_if_small(batch.select(partition_col).distinct()), partition_col,
-                            "left_semi")
+    p = F.col(partition_col)
+    touched = batch.select(p.alias("_touched")).distinct()
+    low, high = (batch.select(f(p)).scalar() for f in (F.min, F.max))
+    near = target.where(p.between(low, high) | (p.isNull() & batch.where(p.isNull()).exists()))
+    scope = near.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
     kept = scope.join(batch.select(key), key, "left_anti")
     out = kept.select(*batch.columns).unionByName(batch)
     write_partitioned(out, path, partition_col, overwrite_scope="dynamic")
+    drop_scratch(spark, staged)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators.aggregate import count_rows, exact_avg, exact_sum, exact_sum_or_zero
-from tripmart.operators.joins import broadcast_if_small
 
 
 def daily_summary(fact: DataFrame) -> DataFrame:
@@ -36,9 +35,10 @@ def revenue_breakdown(fact: DataFrame) -> DataFrame:
                      exact_sum("total_amount").cast("double").alias("grand_total")))
 
 
-def zone_performance(fact: DataFrame, zones: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Inner join on ``pu_location_id = LocationID``: unmatched and NULL
-    locations drop out."""
+def zone_performance(fact: DataFrame, zones: DataFrame) -> DataFrame:
+    """Inner join on ``pu_location_id = LocationID``: unmatched and NULL
+    locations drop out. Which side is broadcast, if any, is left to the
+    byte-based threshold and adaptive execution."""
     per_loc = (fact.where(F.col("pu_location_id").isNotNull())
                    .groupBy("pu_location_id")
                    .agg(count_rows().alias("n"),
@@ -46,8 +46,7 @@ def zone_performance(fact: DataFrame, zones: DataFrame, max_broadcast_rows: int
                         exact_sum("fare_amount").alias("fare_sum"), F.count("fare_amount").alias("fare_n"),
                         exact_sum("trip_distance").alias("dist_sum"), F.count("trip_distance").alias("dist_n")))
     dim = zones.select(F.col("LocationID"), F.col("Zone").alias("zone"), F.col("Borough").alias("borough"))
-    joined = per_loc.join(broadcast_if_small(dim, max_broadcast_rows),
-                          per_loc.pu_location_id == dim.LocationID, "inner")
+    joined = per_loc.join(dim, per_loc.pu_location_id == dim.LocationID, "inner")
     g = (joined.groupBy("pu_location_id", "zone", "borough")
                .agg(F.sum("n").alias("trip_count"), F.sum("rev").alias("rev"),
                     F.sum("fare_sum").alias("fare_sum"), F.sum("fare_n").alias("fare_n"),

@@ -1,8 +1,7 @@
 """Session construction and the shared scratch location.
 
-On a cluster the scratch location is the shared folder named by
-``spark.checkpoint.dir``; it is only set here when the session has none
-(local runs and tests), never overridden.
+The scratch location is the shared folder named by ``spark.checkpoint.dir``;
+it is only set here when a single-machine session has none, never overridden.
 """
 
 from __future__ import annotations
@@ -20,6 +19,9 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small shuffle partitions are merged only up to this size, so a date-partitioned write
+    # keeps several writers.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -38,10 +40,6 @@ def build_session(master: str | None = None, app: str = "tripmart",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
-        # Local runs only: no .crc side files on the local filesystem (each
-        # file create forks a chmod without native Hadoop libraries).
-        conf["spark.hadoop.fs.file.impl"] = "org.apache.hadoop.fs.RawLocalFileSystem"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -50,28 +48,23 @@ def build_session(master: str | None = None, app: str = "tripmart",
     return spark
 
 
-# Local mode only: list partition directories on the driver. A distributed
-# listing job (one task per directory) pays off against remote object stores
-# on a cluster, but on one machine it costs more than it saves.
-LOCAL_CONF = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"}
-
-
 def configure(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session."""
     for k, v in BASE_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
-    if spark.sparkContext.master.startswith("local"):
-        for k, v in LOCAL_CONF.items():
-            spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when unset."""
+    """The shared checkpoint folder. A session on one machine (``local`` masters) gets a folder of
+    its own where none is set; on a cluster, whose executors couldn't see it, that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share: "
+                               "written intermediate tables go there")
         root = tempfile.mkdtemp(prefix="tripmart-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -83,3 +76,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint root for written tables."""
     root = checkpoint_root(spark)
     return os.path.join(root, "tripmart", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_dir`` gave, once no plan reads it any more."""
+    if "/tripmart/" not in path or not path.startswith(checkpoint_root(spark)):
+        raise ValueError(f"not a scratch folder: {path}")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

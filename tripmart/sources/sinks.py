@@ -3,32 +3,12 @@
 Partitioned writes go through a ``rebalance`` hint on the partition column:
 AQE splits a skewed day (a single date holding a large share of rows) into
 advisory-size pieces written by several tasks instead of one straggler,
-without a sampling pass. Coalescing is switched off for that shuffle: every
-date lives in one shuffle partition, so merging partitions would not lower
-the file count, only the number of concurrent writers.
+without a sampling pass.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-@contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Temporarily override runtime SQL settings for one action."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+from pyspark.sql import DataFrame
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "pickup_date",
@@ -42,8 +22,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "pickup_dat
            .option("partitionOverwriteMode", overwrite_scope).partitionBy(partition_col))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    with session_conf(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        w.parquet(path)
+    w.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
