@@ -1,5 +1,6 @@
 """Marts (Q10-Q12, J1) and data checks (T1-T3) on hand-made rows."""
 
+import pytest
 from conftest import ts
 
 from tripmart.operators import quality
@@ -52,6 +53,21 @@ def test_zone_duplicate_dimension_keys_match_join_then_aggregate(spark):
     assert len(r) == 1 and r[0].trip_count == 4 and r[0].avg_fare == 2.0
 
 
+def test_averages_and_sums_keep_all_decimals(spark):
+    f = fact(spark, [trip(trip_type="hvfhv", trip_distance=1.234, fare_amount=10.005 + i, total_amount=0.001, tip_amount=0.001)
+                     for i in range(3)])
+    d = marts.daily_summary(f).first()
+    assert d.avg_trip_distance == 1.234 and abs(d.avg_fare_amount - 11.005) < 1e-12 and d.total_revenue == 0.003
+    assert marts.revenue_breakdown(f).first().tip_amount_total == 0.003
+    zones = spark.createDataFrame([(1, "Q", "Z", "s")], SEEDS["taxi_zone_lookup"])
+    assert marts.zone_performance(f, zones).first().avg_distance == 1.234
+
+
+def test_suite_names_missing_models(spark):
+    with pytest.raises(ValueError, match="stg_green_trips"):
+        quality.run_suite({"stg_yellow_trips": spark.createDataFrame([], UNIFIED)}, SUITE)
+
+
 def test_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (None, "b"), (None, "zz"), (2, None)], "k int, v string")
     nn = {r.column_name: r.failures for r in quality.check_not_null(df, "k", "v").collect()}

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from conftest import ts
 
 import __spark_entry__ as E
@@ -63,13 +64,17 @@ def test_project_with_raw_tables(spark, tmp):
                              source_file="y.parquet", ingested_at="2026-05-01 00:00:00"), lake)
     zones = spark.createDataFrame([(0, "Q", "Z0", "s"), (1, "Q", "Z1", "s")],
                                   "LocationID int, Borough string, Zone string, service_zone string")
+    with pytest.raises(ValueError, match="green, hvfhv"):
+        run_project(spark, {"yellow": lake}, os.path.join(tmp, "wh"), seeds={"taxi_zone_lookup": zones})
+    with pytest.raises(ValueError, match="taxi_zone_lookup"):
+        run_project(spark, {"yellow": lake}, os.path.join(tmp, "wh"), services=("yellow",))
     paths = run_project(spark, {"yellow": lake}, os.path.join(tmp, "wh"), seeds={"taxi_zone_lookup": zones},
-                        materialize_raw=True)
+                        materialize_raw=True, services=("yellow",))
     assert spark.read.parquet(paths["raw_yellow"]).schema["fare_amount"].dataType.simpleString() == "decimal(10,2)"
     assert spark.read.parquet(paths["mart_daily_summary"]).first().trip_count == 3
     assert spark.read.parquet(paths["mart_zone_performance"]).count() == 2
     failures = {(r.model, r.column_name, r.test): r.failures
-                for r in test_project(spark, {"yellow": lake}, paths).collect()}
+                for r in test_project(spark, {"yellow": lake}, paths, services=("yellow",)).collect()}
     assert failures[("fct_trips", "trip_id", "unique")] == 0
     assert failures[("stg_yellow_trips", "trip_type", "accepted_values")] == 0
     assert len(failures) == 48 - 5 - 4 - 5   # every test of the models built (no green/fhv/hvfhv staging)

@@ -1,9 +1,10 @@
 """Grouped aggregates used by the marts.
 
-Money and distance sums are taken as ``decimal(18,2)``: exact and
-independent of summation order, so results do not change with the number of
-partitions or with a task retry. Averages are that exact sum (as double)
-over the non-NULL count. ``sum`` is NULL when every input is NULL; the
+Money and distance sums are taken as ``decimal(28,9)``: nine decimals keep
+the inputs as they are (no value is rounded to cents before it is summed or
+averaged), and a decimal sum is independent of the summation order, so results
+do not change with the number of partitions or with a task retry. Averages are
+that sum (as double) over the non-NULL count. ``sum`` is NULL when every input is NULL; the
 ``*_or_zero`` form is the ``SUM(COALESCE(x, 0))`` variant.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SUM = "decimal(18,2)"
+MONEY_SUM = "decimal(28,9)"
 
 
 def count_rows() -> Column:
@@ -33,7 +34,3 @@ def exact_sum_or_zero(c: str) -> Column:
 def exact_avg(c: str) -> Column:
     """A2: AVG ignoring NULLs (NULL for an all-NULL group)."""
     return exact_sum(c).cast("double") / F.nullif(F.count(F.col(c)), F.lit(0))
-
-
-def as_double(c: Column) -> Column:
-    return c.cast("double")

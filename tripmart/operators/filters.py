@@ -63,12 +63,6 @@ def equal_time_predicate(pickup: str, dropoff: str) -> Column:
     return F.col(pickup) == F.col(dropoff)
 
 
-def drop_equal_times(df: DataFrame, pickup: str, dropoff: str) -> DataFrame:
-    """F7 (the filter part): drop rows whose pickup equals dropoff (NULL
-    comparison drops the row as well)."""
-    return df.where(~equal_time_predicate(pickup, dropoff))
-
-
 def drop_zero_minutes(df: DataFrame, minutes: str = "trip_duration_minutes") -> DataFrame:
     """F8: drop zero-minute trips; NULL duration drops, negative durations of
     a minute or more stay."""

@@ -14,15 +14,13 @@ def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFram
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def partition_skew(df: DataFrame) -> DataFrame:
-    """L2: rows per input partition (the partition-count probe, reported as a
-    distribution instead of a single number)."""
+def partition_rows(df: DataFrame) -> DataFrame:
+    """L2: rows per input partition."""
     return (df.groupBy(F.spark_partition_id().alias("partition_id"))
               .agg(F.count(F.lit(1)).alias("rows")))
 
 
-def skew_summary(df: DataFrame) -> DataFrame:
+def partition_skew(df: DataFrame) -> DataFrame:
     """L2 summary: number of non-empty partitions, total, max and mean rows."""
-    p = partition_skew(df)
-    return p.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"),
-                 F.max("rows").alias("max_rows"), F.avg("rows").alias("mean_rows"))
+    return partition_rows(df).agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"),
+                                  F.max("rows").alias("max_rows"), F.avg("rows").alias("mean_rows"))

@@ -49,11 +49,6 @@ def union_aligned(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def except_columns(df: DataFrame, *cols: str) -> DataFrame:
-    """``* EXCLUDE (cols)``."""
-    return df.drop(*cols)
-
-
 def passthrough(df: DataFrame) -> DataFrame:
     """``SELECT *``."""
     return df.select("*")

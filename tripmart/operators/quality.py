@@ -92,8 +92,12 @@ def run_model_tests(df: DataFrame, spec: ModelTests) -> DataFrame:
 
 def run_suite(models: dict[str, DataFrame], specs: Sequence[ModelTests]) -> DataFrame:
     """Q13: every declared test over every model, as one DataFrame of
-    (model, column_name, test, failures)."""
-    parts = [run_model_tests(models[s.model], s) for s in specs if s.model in models]
+    (model, column_name, test, failures). A tested model that is not given is
+    an error: pass the specs to run."""
+    missing = [s.model for s in specs if s.model not in models]
+    if missing:
+        raise ValueError(f"no model {', '.join(missing)} to test")
+    parts = [run_model_tests(models[s.model], s) for s in specs]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -4,10 +4,13 @@ The test tables hold no trips, so the pipeline runs on trips derived from
 them (every row of the source tables is used):
 
 * ``lineitem ⋈ orders`` -> taxi / HVFHV trips: pickup = order date, dropoff =
-  ship date, pickup location = supplier, dropoff location = part, fare =
-  extended price, distance = quantity. The three unioned services split it
-  by ``l_returnflag`` (A -> yellow, N -> green, R -> HVFHV), so their union
-  covers the whole table.
+  ship date, pickup location = supplier (NULL for every 25th), dropoff location
+  = part, fare = extended price, distance = quantity plus thousandths. Lines
+  with number 4 arrive twice in one run, the second time corrected (a higher
+  discount, hence tip), and lines with number 5 arrive twice alike: the fact
+  has ties to break and copies to drop. The three unioned services split the
+  table by ``l_returnflag`` (A -> yellow, N -> green, R -> HVFHV), so their
+  union covers all of it.
 * ``events`` -> FHV trips: pickup = ts, dropoff = ts + floor(value*10) s
   (sub-minute and zero-length trips), locations with injected NULLs.
 * ``supplier ⋈ nation ⋈ region`` -> the zone lookup (LocationID = supplier).
@@ -20,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.expressions import ntz
 from tripmart.schemas import FHV_RAW, GREEN_RAW, HVFHV_RAW, YELLOW_RAW
 
 # Fixed run stamps so repeated runs (and the SQL oracle) agree.
@@ -51,6 +53,8 @@ def line_orders(spark: SparkSession, sf_dir: str, flag: str | None = None) -> Da
     li = _read(spark, sf_dir, "lineitem")
     if flag is not None:
         li = li.where(F.col("l_returnflag") == flag)
+    li = li.select("*", F.explode(F.expr("CASE WHEN l_linenumber IN (4, 5) THEN array(0, 1) ELSE array(0) END")).alias("sent"))
+    li = li.withColumn("l_discount", F.expr("CASE WHEN sent = 1 AND l_linenumber = 4 THEN l_discount + CAST(0.01 AS DOUBLE) ELSE l_discount END")).drop("sent")
     o = _read(spark, sf_dir, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
@@ -58,16 +62,18 @@ def line_orders(spark: SparkSession, sf_dir: str, flag: str | None = None) -> Da
 # Column expressions of each shaped file, written once in SQL both engines
 # parse (Spark via ``selectExpr``, DuckDB in the oracle): the two sides are
 # the same text, and Spark builds each projection in a single call.
+_DISTANCE = "l_quantity + l_linenumber * 2 / CAST(1000 AS DOUBLE)"
+_PICKUP_ZONE = "CASE WHEN l_suppkey % 25 <> 0 THEN CAST(l_suppkey AS INTEGER) END"
 _AIRPORT = "CASE WHEN l_linenumber % 2 = 1 THEN CAST(1.75 AS DOUBLE) END"
 _TOTAL = "(l_extendedprice + l_tax + l_discount + l_discount * 10 + l_tax + CAST(1.0 AS DOUBLE))"
 
 TAXI_EXPRS = {
     "VendorID": "CAST(l_linenumber % 3 + 1 AS INTEGER)",
     "passenger_count": "CAST(l_linenumber % 7 AS BIGINT)",
-    "trip_distance": "l_quantity",
+    "trip_distance": _DISTANCE,
     "RatecodeID": "CAST(o_custkey % 6 + 1 AS BIGINT)",
     "store_and_fwd_flag": "l_linestatus",
-    "PULocationID": "CAST(l_suppkey AS INTEGER)",
+    "PULocationID": _PICKUP_ZONE,
     "DOLocationID": "CAST(l_partkey AS INTEGER)",
     "payment_type": "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
     "fare_amount": "l_extendedprice",
@@ -92,9 +98,9 @@ HVFHV_EXPRS = {
     "on_scene_datetime": "o_orderdate",
     "pickup_datetime": "o_orderdate",
     "dropoff_datetime": "l_shipdate",
-    "PULocationID": "CAST(l_suppkey AS INTEGER)",
+    "PULocationID": _PICKUP_ZONE,
     "DOLocationID": "CAST(l_partkey AS INTEGER)",
-    "trip_miles": "l_quantity",
+    "trip_miles": _DISTANCE,
     "trip_time": "CAST(l_linenumber * 60 AS BIGINT)",
     "base_passenger_fare": "l_extendedprice",
     "tolls": "l_tax",
@@ -172,15 +178,13 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.col("r_name"), F.lit(" Zone")).alias("service_zone")))
 
 
-def run_stamp(which: str = RUN_1):
-    return ntz(which)
-
-
 # --- SQL twins (DuckDB) -------------------------------------------------------
 
 def line_orders_sql(flag: str | None = None) -> str:
     where = f"WHERE l_returnflag = '{flag}'" if flag else ""
-    return f"(SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey {where})"
+    sent = ("(SELECT * FROM lineitem UNION ALL SELECT * REPLACE (l_discount + CAST(0.01 AS DOUBLE) AS l_discount) FROM lineitem "
+            "WHERE l_linenumber = 4 UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 5)")
+    return f"(SELECT * FROM {sent} JOIN orders ON l_orderkey = o_orderkey {where})"
 
 
 def _select_sql(exprs: dict, schema, source: str) -> str:

@@ -6,6 +6,7 @@ Nothing is materialized unless a caller writes; Spark's plan is the DAG.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +20,11 @@ from tripmart.sources.load import to_table
 
 
 def ingested(spark: SparkSession, sf_dir: str, service: str, stamp: str = RUN_1,
-             split: bool = True, month: str | None = None) -> DataFrame:
+             split: bool = True, month: str | None = None, start: dt.datetime | None = None,
+             end: dt.datetime | None = None) -> DataFrame:
     s = SERVICES[service]
     return ingest(service_raw(spark, sf_dir, service, split), s, month=month,
-                  source_file=source_file_name(service), ingested_at=stamp)
+                  source_file=source_file_name(service), ingested_at=stamp, start=start, end=end)
 
 
 def raw_table(spark: SparkSession, sf_dir: str, service: str, stamp: str = RUN_1,

@@ -29,7 +29,8 @@ DIM_SEEDS = {"dim_taxi_zones": "taxi_zone_lookup", "dim_rate_codes": "rate_codes
 
 
 def build_catalog(spark: SparkSession, lakes: dict[str, str], seeds: dict[str, str | DataFrame] | None = None,
-                  skip_bad_files: bool = True, raw_tables: dict[str, str] | None = None) -> Catalog:
+                  skip_bad_files: bool = True, raw_tables: dict[str, str] | None = None,
+                  services: tuple[str, ...] = UNIONED) -> Catalog:
     """Sources: one typed raw table per service (a written table when
     ``raw_tables`` names one, else loaded from the lake on the fly), seeds by
     name. Models: staging views, the union view."""
@@ -52,15 +53,24 @@ def build_catalog(spark: SparkSession, lakes: dict[str, str], seeds: dict[str, s
         cat.add_model(f"stg_{service}_trips",
                       lambda c, s=service: stage(c.source(f"raw_{s}"), SERVICES[s]))
     cat.add_model("int_all_trips_unioned", lambda c: union_trips(
-        {s: c.ref(f"stg_{s}_trips") for s in UNIONED if s in lakes}))
+        {s: c.ref(f"stg_{s}_trips") for s in services if s in lakes}, services))
     return cat
 
 
 def run_project(spark: SparkSession, lakes: dict[str, str], warehouse: str,
                 seeds: dict[str, str | DataFrame] | None = None, scope: str = "global",
-                materialize_raw: bool = False) -> dict[str, str]:
+                materialize_raw: bool = False, services: tuple[str, ...] = UNIONED,
+                without: tuple[str, ...] = ()) -> dict[str, str]:
     """Materialize dims, the fact and the marts below ``warehouse`` (and, with
-    ``materialize_raw``, the typed raw tables first); returns model name -> path."""
+    ``materialize_raw``, the typed raw tables first); returns model name -> path.
+    Everything is built or an error says what is missing: ``services`` names the
+    services to union, ``without`` the models to leave out."""
+    missing = [s for s in services if s not in lakes]
+    if missing:
+        raise ValueError(f"no lake for {', '.join(missing)}")
+    needs_zones = {"dim_taxi_zones", "mart_zone_performance"}
+    if "taxi_zone_lookup" not in (seeds or {}) and not needs_zones <= {*without}:
+        raise ValueError("the seed taxi_zone_lookup is missing: give it, or leave out dim_taxi_zones and mart_zone_performance")
     paths = {}
     raw_tables = None
     if materialize_raw:
@@ -68,11 +78,11 @@ def run_project(spark: SparkSession, lakes: dict[str, str], warehouse: str,
         for s, lake in lakes.items():
             run_load(spark, lake, s, raw_tables[s])
             paths[f"raw_{s}"] = raw_tables[s]
-    cat = build_catalog(spark, lakes, seeds, raw_tables=raw_tables)
+    cat = build_catalog(spark, lakes, seeds, raw_tables=raw_tables, services=services)
     for name in [f"stg_{s}_trips" for s in lakes] + ["int_all_trips_unioned"]:
         materialize_view(cat.ref(name), name)
     for dim, seed in DIM_SEEDS.items():
-        if seed in cat._sources:
+        if dim not in without:
             paths[dim] = os.path.join(warehouse, dim)
             write_table(cat.source(seed), paths[dim])
     paths["fct_trips"] = os.path.join(warehouse, "fct_trips")
@@ -80,17 +90,21 @@ def run_project(spark: SparkSession, lakes: dict[str, str], warehouse: str,
     fact = fact_columns(spark.read.parquet(paths["fct_trips"]))
     built = {"mart_daily_summary": marts.daily_summary(fact),
              "mart_revenue_breakdown": marts.revenue_breakdown(fact)}
-    if "dim_taxi_zones" in paths:
+    if "mart_zone_performance" not in without:
         built["mart_zone_performance"] = marts.zone_performance(fact, spark.read.parquet(paths["dim_taxi_zones"]))
     for name, df in built.items():
+        if name in without:
+            continue
         paths[name] = os.path.join(warehouse, name)
         write_table(df, paths[name])
     return paths
 
 
-def test_project(spark: SparkSession, lakes: dict[str, str], paths: dict[str, str]) -> DataFrame:
-    """The declared tests over the materialized models (views rebuilt)."""
-    cat = build_catalog(spark, lakes)
+def test_project(spark: SparkSession, lakes: dict[str, str], paths: dict[str, str],
+                 services: tuple[str, ...] = UNIONED) -> DataFrame:
+    """The declared tests over the built models (views rebuilt); models that
+    ``run_project`` was told to leave out have no tests to run."""
+    cat = build_catalog(spark, lakes, services=services)
     models = {name: spark.read.parquet(p) for name, p in paths.items()}
     models["fct_trips"] = fact_columns(models["fct_trips"])
     for name in [f"stg_{s}_trips" for s in lakes] + ["int_all_trips_unioned"]:

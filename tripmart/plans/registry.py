@@ -7,6 +7,7 @@ oracle entry are checked by row count only.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,24 +32,24 @@ def register(name: str, sql: str | None = None):
 
 # --- Q1-Q4 ingest --------------------------------------------------------------
 
-@register("ingest_taxi", f"SELECT * FROM {Q.ingest_sql('yellow', split=False)}")
-def ingest_taxi(spark, sf):
-    return M.ingested(spark, sf, "yellow", split=False)
+# The window cuts the first and last months of the given tables and keeps most rows.
+START, END = dt.datetime(1995, 3, 1), dt.datetime(2001, 6, 1)
+EVENTS_START, EVENTS_END = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 28)
 
 
-@register("ingest_green", f"SELECT * FROM {Q.ingest_sql('green', split=False)}")
-def ingest_green(spark, sf):
-    return M.ingested(spark, sf, "green", split=False)
+def _ingest(name: str, service: str, start: dt.datetime, end: dt.datetime) -> None:
+    def run(spark, sf):
+        return M.ingested(spark, sf, service, split=False, start=start, end=end)
 
+    run.__name__ = name
+    run.__doc__ = f"Q1-Q4: the {service} job with its pickup-time window (F2/F3)."
+    register(name, f"SELECT * FROM {Q.ingest_sql(service, start=start.isoformat(sep=' '), end=end.isoformat(sep=' '), split=False)}")(run)
 
-@register("ingest_fhv", f"SELECT * FROM {Q.ingest_sql('fhv')}")
-def ingest_fhv(spark, sf):
-    return M.ingested(spark, sf, "fhv")
 
-
-@register("ingest_hvfhv", f"SELECT * FROM {Q.ingest_sql('hvfhv', split=False)}")
-def ingest_hvfhv(spark, sf):
-    return M.ingested(spark, sf, "hvfhv", split=False)
+_ingest("ingest_taxi", "yellow", START, END)
+_ingest("ingest_green", "green", START, END)
+_ingest("ingest_fhv", "fhv", EVENTS_START, EVENTS_END)
+_ingest("ingest_hvfhv", "hvfhv", START, END)
 
 
 # --- Q9 fact, Q10-Q12 marts -------------------------------------------------------
@@ -81,10 +82,12 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tripmart.operators import filters as flt  # noqa: E402
 from tripmart.operators import layout, quality  # noqa: E402
-from tripmart.operators.dedup import dedup_latest, dedup_latest_window  # noqa: E402
+from tripmart.operators.dedup import dedup_latest  # noqa: E402
+from tripmart.operators.upsert import high_water_mark  # noqa: E402
 from tripmart.plans import adapters as A  # noqa: E402
 from tripmart.plans import fact as fact_plan  # noqa: E402
 from tripmart.plans.ingest import run_ingest  # noqa: E402
+from tripmart.plans.load import run_load  # noqa: E402
 from tripmart.functions import expressions as X  # noqa: E402
 from tripmart.schemas import SERVICES, TRIP_KEY  # noqa: E402
 from tripmart.session import scratch_dir  # noqa: E402
@@ -126,11 +129,23 @@ def scan_partitioned_roundtrip(spark, sf):
     return back.select(*cols)
 
 
-@register("load_by_name_cast", f"SELECT * FROM {Q.table_sql('yellow', _YELLOW_INGEST)}")
-def load_by_name_cast(spark, sf):
-    """Q5: S6/S7/S8/P10/K6 load of the written dataset into the typed raw
-    table, with the bad-file probe on."""
-    return L.load_raw(spark, _written_yellow(spark, sf), SERVICES["yellow"], skip_bad_files=True)
+def _load(name: str, service: str) -> None:
+    def run(spark, sf):
+        lake, table = scratch_dir(spark, f"lake-{service}"), scratch_dir(spark, f"raw-{service}")
+        sinks.write_partitioned(M.ingested(spark, sf, service, split=False), lake, "pickup_date")
+        run_load(spark, lake, service, table)
+        return spark.read.parquet(table).select(*[f.name for f in SERVICES[service].table.fields])
+
+    run.__name__ = name
+    run.__doc__ = f"""Q5/K2: the {service} lake loaded by column name into its typed raw table (S6-S8, P10, K6),
+    created or replaced, with the bad-file probe on."""
+    register(name, f"SELECT * FROM {Q.table_sql(service, Q.ingest_sql(service, split=False))}")(run)
+
+
+_load("load_by_name_cast", "yellow")
+_load("load_green", "green")
+_load("load_fhv", "fhv")
+_load("load_hvfhv", "hvfhv")
 
 
 @register("backfill_date", f"SELECT * FROM {Q.table_sql('yellow', _YELLOW_INGEST)}")
@@ -140,13 +155,37 @@ def backfill_date(spark, sf):
     return L.load_raw(spark, _written_yellow(spark, sf, partitioned=False), SERVICES["yellow"])
 
 
-@register("file_health", None)
+def _plant_bad_files(spark, root: str) -> None:
+    """A nested file with a fare that overflows the table's decimal, a nested file without rows,
+    and one that is no Parquet at all."""
+    one = spark.createDataFrame([(1, 1e12)], "VendorID int, fare_amount double")
+    one.coalesce(1).write.mode("append").parquet(f"{root}/late files/100%")
+    one.where("VendorID > 1").coalesce(1).write.mode("append").parquet(f"{root}/late files/empty")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/late files/junk.parquet")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(b"no parquet file" * 20))
+    out.close()
+
+
+@register("file_health",
+          f"SELECT 'ok' AS status, COUNT(*) AS rows, TRUE AS loaded FROM {_YELLOW_INGEST} UNION ALL "
+          "SELECT 'cast overflow', 1, FALSE UNION ALL SELECT 'no rows', 0, FALSE")
 def file_health(spark, sf):
-    """S8 probe over a written dataset, with the load's file schema and the
-    table types it casts to: one row per file, all 'ok'."""
-    from tripmart.schemas import lake_schema
-    y = SERVICES["yellow"]
-    return L.file_health(spark, _written_yellow(spark, sf), lake_schema(y), target=y.table)
+    """The load's report by status, over the written lake with planted bad files in a
+    sub-folder: rows the files hold, and whether they were loaded."""
+    lake = _written_yellow(spark, sf)
+    _plant_bad_files(spark, lake)
+    report = run_load(spark, lake, "yellow", scratch_dir(spark, "raw-yellow"))
+    return report.groupBy("status").agg(F.coalesce(F.sum("footer_rows"), F.lit(0)).cast("bigint").alias("rows"),
+                                        F.bool_and("loaded").alias("loaded"))
+
+
+@register("load_skips_bad_files", f"SELECT * FROM {Q.table_sql('yellow', _YELLOW_INGEST)}")
+def load_skips_bad_files(spark, sf):
+    """The same lake loaded; no row of a good file is lost, none of a bad file gets in."""
+    lake = _written_yellow(spark, sf)
+    _plant_bad_files(spark, lake)
+    return L.load_raw(spark, lake, SERVICES["yellow"], skip_bad_files=True)
 
 
 @register("seed_csv_roundtrip", f"SELECT * FROM {A.ZONES_SQL}")
@@ -158,10 +197,34 @@ def seed_csv_roundtrip(spark, sf):
     return seeds.read_seed(spark, path, "taxi_zone_lookup")
 
 
-@register("schema_report", None)
+# What the yellow job writes, against the declared table.
+_YELLOW_REPORT = [
+    ("VendorID", "int", "int", "ok"), ("tpep_pickup_datetime", "timestamp_ntz", "timestamp_ntz", "ok"),
+    ("tpep_dropoff_datetime", "timestamp_ntz", "timestamp_ntz", "ok"), ("passenger_count", "bigint", "bigint", "ok"),
+    ("trip_distance", "double", "decimal(10,2)", "type differs"), ("RatecodeID", "bigint", "bigint", "ok"),
+    ("store_and_fwd_flag", "string", "string", "ok"), ("PULocationID", "int", "int", "ok"), ("DOLocationID", "int", "int", "ok"),
+    ("payment_type", "bigint", "bigint", "ok"), ("fare_amount", "double", "decimal(10,2)", "type differs"),
+    ("extra", "double", "decimal(10,2)", "type differs"), ("mta_tax", "double", "decimal(10,2)", "type differs"),
+    ("tip_amount", "double, string", "decimal(10,2)", "type differs"), ("tolls_amount", "double", "decimal(10,2)", "type differs"),
+    ("improvement_surcharge", "double", "decimal(10,2)", "type differs"),
+    ("total_amount", "double", "decimal(10,2)", "type differs"),
+    ("congestion_surcharge", "double", "decimal(10,2)", "type differs"),
+    ("airport_fee", "double", "decimal(10,2)", "type differs"), ("cbd_congestion_fee", "double", "decimal(10,2)", "type differs"),
+    ("trip_duration_minutes", "bigint", "int", "type differs"), ("avg_speed_mph", "double", "decimal(10,2)", "type differs"),
+    ("source_file", "string", "string", "ok"), ("ingested_at_timestamp", "timestamp_ntz", "timestamp_ntz", "ok"),
+    ("pickup_date", None, "date", "missing in files"), ("surge", "double", None, "not declared")]
+
+
+@register("schema_report", "SELECT * FROM (VALUES " + ", ".join(
+    "(" + ", ".join("CAST(NULL AS VARCHAR)" if v is None else f"'{v}'" for v in r) + ")" for r in _YELLOW_REPORT)
+    + ") AS t(column_name, type, declared_type, status)")
 def schema_report(spark, sf):
-    """Columns and types in the written files against the raw-table DDL."""
-    return scan.schema_report(spark, _written_yellow(spark, sf), SERVICES["yellow"].table)
+    """Columns and types in all written files against the raw-table DDL; one more file has a
+    tip that is text and a column of its own."""
+    root = _written_yellow(spark, sf)
+    odd = spark.createDataFrame([("none", 1.5)], "tip_amount string, surge double")
+    odd.coalesce(1).write.mode("append").parquet(f"{root}/odd")
+    return scan.schema_report(spark, root, SERVICES["yellow"].table)
 
 
 @register("preview_rows",
@@ -173,33 +236,35 @@ def preview_rows(spark, sf):
                           ["tpep_pickup_datetime", "PULocationID", "DOLocationID", "fare_amount"])
 
 
-@register("partition_skew", None)
+@register("partition_skew", f"SELECT COUNT(*) AS rows, TRUE AS max_covers_mean, TRUE AS has_partitions FROM {A.taxi_raw_sql('yellow')}")
 def partition_skew(spark, sf):
-    """L2: rows per partition of the trip scan (skew report)."""
-    return layout.partition_skew(A.taxi_raw(spark, sf, "yellow", None))
+    """L2: the skew report of the trip scan, in figures that don't depend on the partitioning."""
+    skew = layout.partition_skew(A.taxi_raw(spark, sf, "yellow", None))
+    return skew.select("rows", (F.col("max_rows") >= F.col("mean_rows")).alias("max_covers_mean"),
+                       (F.col("partitions") > 0).alias("has_partitions"))
 
 
 # --- projections, union, dims (P1-P11, U1, Q6-Q8) ----------------------------------------
 
-@register("stage_rename_tag", f"SELECT * FROM {Q.service_staged_sql('green')}")
+@register("stage_rename_tag", f"SELECT * FROM {Q.service_staged_sql('green', split=False)}")
 def stage_rename_tag(spark, sf):
     """Green staging (renames, trip_type tag, trip_type->green_trip_type)."""
-    return M.staged(spark, sf, "green")
+    return M.staged(spark, sf, "green", split=False)
 
 
-@register("stage_fhv", f"SELECT * FROM {Q.service_staged_sql('fhv')}")
+@register("stage_fhv", f"SELECT * FROM {Q.service_staged_sql('fhv', split=False)}")
 def stage_fhv(spark, sf):
-    return M.staged(spark, sf, "fhv")
+    return M.staged(spark, sf, "fhv", split=False)
 
 
-@register("stage_hvfhv", f"SELECT * FROM {Q.service_staged_sql('hvfhv')}")
+@register("stage_hvfhv", f"SELECT * FROM {Q.service_staged_sql('hvfhv', split=False)}")
 def stage_hvfhv(spark, sf):
-    return M.staged(spark, sf, "hvfhv")
+    return M.staged(spark, sf, "hvfhv", split=False)
 
 
-@register("stage_yellow", f"SELECT * FROM {Q.service_staged_sql('yellow')}")
+@register("stage_yellow", f"SELECT * FROM {Q.service_staged_sql('yellow', split=False)}")
 def stage_yellow(spark, sf):
-    return M.staged(spark, sf, "yellow")
+    return M.staged(spark, sf, "yellow", split=False)
 
 
 @register("union_padded", f"SELECT * FROM {Q.union_sql()}")
@@ -218,7 +283,7 @@ def dim_passthrough(spark, sf):
 @register("except_column", f"SELECT * EXCLUDE (row_num) FROM {Q.ranked_sql(Q.union_sql())} WHERE row_num = 1")
 def except_column(spark, sf):
     """W1/F10/P9 in the literal ROW_NUMBER form: rank, keep 1, drop row_num."""
-    ranked = dedup_latest_window(M.unioned(spark, sf), TRIP_KEY, "ingestion_timestamp",
+    ranked = dedup_latest(M.unioned(spark, sf), TRIP_KEY, "ingestion_timestamp",
                                  fact_plan.TIE_BREAKERS, keep_rank=True)
     return ranked.drop("row_num")
 
@@ -365,9 +430,11 @@ _MARK = f"(SELECT MAX(pickup_date) FROM {_U1} WHERE pickup_date < DATE '{CUTOFF}
 @register("incremental_filter", f"SELECT * FROM {Q.union_sql(A.RUN_2)} WHERE pickup_date >= {_MARK}")
 def incremental_filter(spark, sf):
     """Rows at or after the existing fact's MAX(pickup_date)."""
-    target = M.fact(spark, sf).where(F.col("pickup_date") < F.lit(CUTOFF).cast("date"))
-    return flt.at_or_after(M.unioned(spark, sf, (A.RUN_2,)), "pickup_date",
-                           target.select(F.max("pickup_date")).scalar())
+    path = scratch_dir(spark, "fct_trips")
+    first = M.unioned(spark, sf, (A.RUN_1,)).where(F.col("pickup_date") < F.lit(CUTOFF).cast("date"))
+    fact_plan.refresh_fact(spark, first, path)
+    mark = high_water_mark(spark.read.parquet(path))  # of the partition column: no data is read
+    return flt.at_or_after(M.unioned(spark, sf, (A.RUN_2,)), "pickup_date", mark)
 
 
 @register("incremental_upsert",
@@ -437,11 +504,11 @@ from tripmart.plans import suite as S  # noqa: E402
 from tripmart.schemas import SEEDS  # noqa: E402
 
 
-def _suite_sql() -> str:
-    fact = Q.fact_sql(Q.union_sql())
-    srcs = {f"stg_{s}_trips": Q.service_staged_sql(s) for s in ("yellow", "green", "fhv", "hvfhv")}
+def _suite_sql(union: str, fact: str) -> str:
+    srcs = {f"stg_{s}_trips": f"(SELECT * FROM {union} WHERE source_file = '{s}_tripdata.parquet')" for s in ("yellow", "green", "hvfhv")}
     srcs.update({
-        "int_all_trips_unioned": Q.union_sql(),
+        "stg_fhv_trips": Q.service_staged_sql("fhv"),
+        "int_all_trips_unioned": union,
         "dim_taxi_zones": A.ZONES_SQL,
         "dim_rate_codes": Q.values_sql(seeds.RATE_CODES, SEEDS["rate_codes"]),
         "dim_vendors": Q.values_sql(seeds.VENDORS, SEEDS["vendors"]),
@@ -456,32 +523,59 @@ def _suite_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-@register("test_suite", _suite_sql())
+@register("test_suite", _suite_sql(Q.union_sql(), Q.fact_sql(Q.union_sql())))
 def test_suite(spark, sf):
     """Q13: all 48 declared tests (not_null, unique, accepted_values)."""
     return S.test_suite(spark, sf)
 
 
-_RAW_Y = A.taxi_raw_sql("yellow")
+_PLANTED = (f"(SELECT * REPLACE (CASE WHEN do_location_id % 40 = 0 THEN 'unknown' ELSE trip_type END AS trip_type, "
+            f"CASE WHEN do_location_id % 30 = 0 THEN NULL ELSE dropoff_datetime END AS dropoff_datetime) FROM {Q.union_sql()})")
+_PLANTED_FACT = f"(SELECT {Q.key_sql()} AS trip_id, * FROM {_PLANTED})"
 
 
-@register("run_metrics",
-          f"SELECT 'yellow' AS service, (SELECT COUNT(*) FROM {_RAW_Y}) AS raw, "
-          f"(SELECT COUNT(*) FROM {Q.ingest_sql('yellow', split=False)}) AS validated, "
-          f"(SELECT COUNT(*) FROM {Q.ingest_sql('yellow', split=False)}) AS written, "
-          f"(SELECT COUNT_IF(trip_distance < 0) FROM {Q.ingest_sql('yellow', split=False)}) AS negative_distance, "
-          f"(SELECT COUNT_IF(tpep_pickup_datetime > tpep_dropoff_datetime) "
-          f"FROM {Q.ingest_sql('yellow', split=False)}) AS pickup_after_dropoff")
-def run_metrics(spark, sf):
-    """The yellow job run from a written monthly file: raw / validated /
-    written counts and probe counts gathered by observe during the write."""
-    raw_path = scratch_dir(spark, "landing-yellow")
-    A.taxi_raw(spark, sf, "yellow").write.parquet(raw_path)
-    m = run_ingest(spark, raw_path, scratch_dir(spark, "yellow"), SERVICES["yellow"],
-                   source_file=A.source_file_name("yellow"), ingested_at=A.RUN_1)
-    cols = ["raw", "validated", "written", "negative_distance", "pickup_after_dropoff"]
-    return spark.createDataFrame([("yellow", *[int(m[c]) for c in cols])],
-                                 "service string, " + ", ".join(f"{c} bigint" for c in cols))
+@register("test_suite_planted", _suite_sql(_PLANTED, _PLANTED_FACT))
+def test_suite_planted(spark, sf):
+    """Q13 on models that must fail: unknown trip types, missing times, and a fact that was never
+    deduplicated; tests of each kind count failures."""
+    return S.test_suite(spark, sf, planted=True)
+
+
+def _metrics(name: str, service: str) -> None:
+    raw = A.service_raw_sql(service, split=False)
+    taxi = service in ("yellow", "green")
+    kept = Q.ingest_sql(service, split=False)
+    p, d = Q.PICKUP[service], Q.DROPOFF[service]
+    if taxi:
+        sql = (f"SELECT '{service}' AS service, (SELECT COUNT(*) FROM {raw}) AS raw, COUNT(*) AS validated, COUNT(*) AS written, "
+               f"COUNT_IF(trip_distance < 0) AS negative_distance, COUNT_IF({p} > {d}) AS pickup_after_dropoff FROM {kept}")
+    else:
+        located = f"(SELECT * FROM {raw} WHERE NOT ({'PUlocationID' if service == 'fhv' else 'PULocationID'} IS NULL AND {'DOlocationID' if service == 'fhv' else 'DOLocationID'} IS NULL))"
+        sql = (f"SELECT '{service}' AS service, (SELECT COUNT(*) FROM {raw}) AS raw, "
+               f"CASE WHEN COUNT_IF({p} >= {d}) > 0 THEN COUNT_IF({p} <> {d}) ELSE COUNT(*) END AS validated, "
+               f"(SELECT COUNT(*) FROM {kept}) AS written, COUNT_IF({p} >= {d}) AS pickup_not_before_dropoff, "
+               f"COUNT_IF({p} <> {d}) AS pickup_differs_dropoff FROM {located}")
+
+    def run(spark, sf):
+        raw_path = scratch_dir(spark, f"landing-{service}")
+        A.service_raw(spark, sf, service, split=False).write.parquet(raw_path)
+        m = run_ingest(spark, raw_path, scratch_dir(spark, service), SERVICES[service],
+                       source_file=A.source_file_name(service), ingested_at=A.RUN_1)
+        cols = ["raw", "validated", "written"] + (["negative_distance", "pickup_after_dropoff"] if taxi else
+                                                  ["pickup_not_before_dropoff", "pickup_differs_dropoff"])
+        return spark.createDataFrame([(service, *[int(m[c]) for c in cols])],
+                                     "service string, " + ", ".join(f"{c} bigint" for c in cols))
+
+    run.__name__ = name
+    run.__doc__ = f"""T6: the {service} job run from a written monthly file: raw / validated / written counts and
+    probe counts gathered by observe during the write."""
+    register(name, sql)(run)
+
+
+_metrics("run_metrics", "yellow")
+_metrics("run_metrics_green", "green")
+_metrics("run_metrics_fhv", "fhv")
+_metrics("run_metrics_hvfhv", "hvfhv")
 
 
 # --- whole project: lakes -> load -> views -> dims/fact/marts tables ---------------------------
@@ -505,7 +599,8 @@ def warehouse_build(spark, sf):
     return spark.read.parquet(paths["mart_daily_summary"])
 
 
-@register("post_load_check", None)
+@register("post_load_check", f"SELECT COUNT(*) AS rows, 24 AS columns_in_files, 1 AS columns_missing, 13 AS columns_type_differs, "
+          f"0 AS columns_not_declared FROM {_YELLOW_INGEST}")
 def post_load_check(spark, sf):
     """Row count and column comparison after loading the written yellow
     dataset (one row; the counts of columns are file metadata)."""

@@ -1,92 +1,150 @@
-"""DuckDB SQL twins of the pipeline models, for the correctness oracle.
+"""DuckDB SQL of the pipeline models, for the correctness oracle.
 
-Each builder returns a parenthesized subquery with the same columns, types
-and semantics as the Spark model of the same name. Only used to check
-results; nothing here runs on Spark.
+Written out by hand, apart from the driver-table adapters (which shape the
+inputs): column mappings, types, keys and orders are stated here and are not
+taken from the Spark side, so a swapped mapping there shows as a difference.
+Each builder returns a parenthesized subquery with the same columns, types and
+semantics as the Spark model of the same name. Nothing here runs on Spark.
 """
 
 from __future__ import annotations
 
-from pyspark.sql.types import DataType, DecimalType
-
-from tripmart.functions.expressions import SURROGATE_NULL, month_bounds
-from tripmart.plans.adapters import RUN_1, service_raw_sql, source_file_name
-from tripmart.plans.fact import TIE_BREAKERS
-from tripmart.plans.staging import UNIFIED_FROM
-from tripmart.schemas import SERVICES, TRIP_KEY, UNIFIED, UNIONED
-
-
-def duck_type(t: DataType) -> str:
-    s = t.simpleString()
-    if isinstance(t, DecimalType):
-        return f"DECIMAL({t.precision},{t.scale})"
-    return {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-            "timestamp_ntz": "TIMESTAMP", "date": "DATE"}[s]
-
-
-def minutes_sql(p: str, d: str) -> str:
-    return f"date_sub('minute', {p}, {d})"
-
-
-def validate_sql(service: str, raw: str, month: str | None = None) -> tuple[str, list[str]]:
-    s = SERVICES[service]
-    where = []
-    if month:
-        a, b = month_bounds(month)
-        where += [f"{s.pickup} >= TIMESTAMP '{a}'", f"{s.pickup} < TIMESTAMP '{b}'"]
-    if s.kind == "taxi":
-        where += ["NOT (payment_type = 2 AND CAST(tip_amount AS DECIMAL(10,0)) > 0)",
-                  "passenger_count <> 0", "fare_amount > 0"]
-    else:
-        where += [f"NOT ({s.pu} IS NULL AND {s.do} IS NULL)"]
-    return raw, where
-
-
-def ingest_sql(service: str, raw: str | None = None, month: str | None = None,
+from tripmart.plans.adapters import RUN_1, service_raw_sql
+
+# The models' columns, as the declared schemas state them.
+
+PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime", "fhv": "pickup_datetime", "hvfhv": "pickup_datetime"}
+DROPOFF = {"yellow": "tpep_dropoff_datetime", "green": "lpep_dropoff_datetime", "fhv": "dropOff_datetime", "hvfhv": "dropoff_datetime"}
+STAMP = {"yellow": "ingested_at_timestamp", "green": "ingested_at_timestamp", "fhv": "ingestion_timestamp", "hvfhv": "ingestion_timestamp"}
+
+TABLE = {
+    "yellow": """CAST(VendorID AS INTEGER) AS VendorID, CAST(tpep_pickup_datetime AS TIMESTAMP) AS tpep_pickup_datetime,
+        CAST(tpep_dropoff_datetime AS TIMESTAMP) AS tpep_dropoff_datetime, CAST(passenger_count AS BIGINT) AS passenger_count,
+        CAST(trip_distance AS DECIMAL(10,2)) AS trip_distance, CAST(RatecodeID AS BIGINT) AS RatecodeID, store_and_fwd_flag,
+        CAST(PULocationID AS INTEGER) AS PULocationID, CAST(DOLocationID AS INTEGER) AS DOLocationID,
+        CAST(payment_type AS BIGINT) AS payment_type, CAST(fare_amount AS DECIMAL(10,2)) AS fare_amount,
+        CAST(extra AS DECIMAL(10,2)) AS extra, CAST(mta_tax AS DECIMAL(10,2)) AS mta_tax, CAST(tip_amount AS DECIMAL(10,2)) AS tip_amount,
+        CAST(tolls_amount AS DECIMAL(10,2)) AS tolls_amount, CAST(improvement_surcharge AS DECIMAL(10,2)) AS improvement_surcharge,
+        CAST(total_amount AS DECIMAL(10,2)) AS total_amount, CAST(congestion_surcharge AS DECIMAL(10,2)) AS congestion_surcharge,
+        CAST(airport_fee AS DECIMAL(10,2)) AS airport_fee, CAST(cbd_congestion_fee AS DECIMAL(10,2)) AS cbd_congestion_fee,
+        CAST(trip_duration_minutes AS INTEGER) AS trip_duration_minutes, CAST(avg_speed_mph AS DECIMAL(10,2)) AS avg_speed_mph,
+        source_file, ingested_at_timestamp, COALESCE(pickup_date, CAST(tpep_pickup_datetime AS DATE)) AS pickup_date""",
+    "green": """CAST(VendorID AS INTEGER) AS VendorID, lpep_pickup_datetime, lpep_dropoff_datetime, store_and_fwd_flag,
+        CAST(RatecodeID AS BIGINT) AS RatecodeID, CAST(PULocationID AS INTEGER) AS PULocationID,
+        CAST(DOLocationID AS INTEGER) AS DOLocationID, CAST(passenger_count AS BIGINT) AS passenger_count, trip_distance, fare_amount,
+        extra, mta_tax, tip_amount, tolls_amount, ehail_fee, improvement_surcharge, total_amount,
+        CAST(payment_type AS BIGINT) AS payment_type, CAST(trip_type AS BIGINT) AS trip_type, congestion_surcharge, cbd_congestion_fee,
+        CAST(trip_duration_minutes AS INTEGER) AS trip_duration_minutes, CAST(avg_speed_mph AS DECIMAL(10,2)) AS avg_speed_mph,
+        source_file, ingested_at_timestamp, COALESCE(pickup_date, CAST(lpep_pickup_datetime AS DATE)) AS pickup_date""",
+    "fhv": """dispatching_base_num, pickup_datetime, dropOff_datetime, CAST(PUlocationID AS BIGINT) AS PUlocationID,
+        CAST(DOlocationID AS BIGINT) AS DOlocationID, CAST(SR_Flag AS BIGINT) AS SR_Flag, Affiliated_base_number,
+        CAST(trip_duration_minutes AS INTEGER) AS trip_duration_minutes, source_file, ingestion_timestamp,
+        COALESCE(pickup_date, CAST(pickup_datetime AS DATE)) AS pickup_date""",
+    "hvfhv": """hvfhs_license_num, dispatching_base_num, originating_base_num, request_datetime, on_scene_datetime, pickup_datetime,
+        dropoff_datetime, CAST(PULocationID AS INTEGER) AS PULocationID, CAST(DOLocationID AS INTEGER) AS DOLocationID, trip_miles,
+        CAST(trip_time AS BIGINT) AS trip_time, base_passenger_fare, tolls, bcf, sales_tax, congestion_surcharge, airport_fee, tips,
+        driver_pay, shared_request_flag, shared_match_flag, access_a_ride_flag, wav_request_flag, wav_match_flag, cbd_congestion_fee,
+        CAST(trip_duration_minutes AS INTEGER) AS trip_duration_minutes, source_file, ingestion_timestamp,
+        COALESCE(pickup_date, CAST(pickup_datetime AS DATE)) AS pickup_date""",
+}
+
+STAGED = {
+    "yellow": """VendorID AS vendor_id, tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff_datetime,
+        passenger_count, trip_distance, RatecodeID AS rate_code_id, store_and_fwd_flag, PULocationID AS pu_location_id,
+        DOLocationID AS do_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
+        total_amount, congestion_surcharge, airport_fee, cbd_congestion_fee, trip_duration_minutes, avg_speed_mph, source_file,
+        ingested_at_timestamp AS ingestion_timestamp, pickup_date, 'yellow' AS trip_type""",
+    "green": """VendorID AS vendor_id, lpep_pickup_datetime AS pickup_datetime, lpep_dropoff_datetime AS dropoff_datetime,
+        store_and_fwd_flag, RatecodeID AS rate_code_id, PULocationID AS pu_location_id, DOLocationID AS do_location_id,
+        passenger_count, trip_distance, fare_amount, extra, mta_tax, tip_amount, tolls_amount, ehail_fee, improvement_surcharge,
+        total_amount, payment_type, trip_type AS green_trip_type, congestion_surcharge, cbd_congestion_fee, trip_duration_minutes,
+        avg_speed_mph, source_file, ingested_at_timestamp AS ingestion_timestamp, pickup_date, 'green' AS trip_type""",
+    "fhv": """dispatching_base_num, pickup_datetime, dropOff_datetime AS dropoff_datetime, PUlocationID AS pu_location_id,
+        DOlocationID AS do_location_id, SR_Flag AS sr_flag, Affiliated_base_number AS affiliated_base_number, trip_duration_minutes,
+        source_file, ingestion_timestamp, pickup_date, 'fhv' AS trip_type""",
+    "hvfhv": """hvfhs_license_num, dispatching_base_num, originating_base_num, request_datetime, on_scene_datetime, pickup_datetime,
+        dropoff_datetime, PULocationID AS pu_location_id, DOLocationID AS do_location_id, trip_miles, trip_time,
+        base_passenger_fare AS fare_amount, tolls AS tolls_amount, bcf, sales_tax, congestion_surcharge, airport_fee,
+        tips AS tip_amount, driver_pay, shared_request_flag, shared_match_flag, access_a_ride_flag, wav_request_flag, wav_match_flag,
+        cbd_congestion_fee, trip_duration_minutes, source_file, ingestion_timestamp, pickup_date, 'hvfhv' AS trip_type""",
+}
+
+UNIFIED = {
+    "yellow": """vendor_id, pickup_datetime, dropoff_datetime, passenger_count, CAST(trip_distance AS DOUBLE) AS trip_distance,
+        rate_code_id, store_and_fwd_flag, pu_location_id, do_location_id, payment_type, CAST(fare_amount AS DOUBLE) AS fare_amount,
+        CAST(extra AS DOUBLE) AS extra, CAST(mta_tax AS DOUBLE) AS mta_tax, CAST(tip_amount AS DOUBLE) AS tip_amount,
+        CAST(tolls_amount AS DOUBLE) AS tolls_amount, CAST(improvement_surcharge AS DOUBLE) AS improvement_surcharge,
+        CAST(total_amount AS DOUBLE) AS total_amount, CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge,
+        CAST(airport_fee AS DOUBLE) AS airport_fee, CAST(cbd_congestion_fee AS DOUBLE) AS cbd_congestion_fee, trip_duration_minutes,
+        avg_speed_mph, source_file, ingestion_timestamp, pickup_date, trip_type, CAST(NULL AS DOUBLE) AS ehail_fee,
+        CAST(NULL AS BIGINT) AS green_trip_type, CAST(NULL AS VARCHAR) AS hvfhs_license_num, CAST(NULL AS DOUBLE) AS driver_pay,
+        CAST(NULL AS VARCHAR) AS shared_request_flag, CAST(NULL AS VARCHAR) AS shared_match_flag""",
+    "green": """vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, rate_code_id, store_and_fwd_flag,
+        pu_location_id, do_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
+        total_amount, congestion_surcharge, CAST(NULL AS DOUBLE) AS airport_fee, cbd_congestion_fee, trip_duration_minutes,
+        avg_speed_mph, source_file, ingestion_timestamp, pickup_date, trip_type, ehail_fee, green_trip_type,
+        CAST(NULL AS VARCHAR) AS hvfhs_license_num, CAST(NULL AS DOUBLE) AS driver_pay, CAST(NULL AS VARCHAR) AS shared_request_flag,
+        CAST(NULL AS VARCHAR) AS shared_match_flag""",
+    "hvfhv": """CAST(NULL AS INTEGER) AS vendor_id, pickup_datetime, dropoff_datetime, CAST(NULL AS BIGINT) AS passenger_count,
+        trip_miles AS trip_distance, CAST(NULL AS BIGINT) AS rate_code_id, CAST(NULL AS VARCHAR) AS store_and_fwd_flag,
+        pu_location_id, do_location_id, CAST(NULL AS BIGINT) AS payment_type, fare_amount, CAST(NULL AS DOUBLE) AS extra,
+        CAST(NULL AS DOUBLE) AS mta_tax, tip_amount, tolls_amount, CAST(NULL AS DOUBLE) AS improvement_surcharge,
+        CAST(NULL AS DOUBLE) AS total_amount, congestion_surcharge, airport_fee, cbd_congestion_fee, trip_duration_minutes,
+        CAST(NULL AS DECIMAL(10,2)) AS avg_speed_mph, source_file, ingestion_timestamp, pickup_date, trip_type,
+        CAST(NULL AS DOUBLE) AS ehail_fee, CAST(NULL AS BIGINT) AS green_trip_type, hvfhs_license_num, driver_pay,
+        shared_request_flag, shared_match_flag""",
+}
+
+TRIP_ID = """md5(concat_ws('-', COALESCE(CAST(pickup_datetime AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+    COALESCE(CAST(dropoff_datetime AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+    COALESCE(CAST(pu_location_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+    COALESCE(CAST(do_location_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+    COALESCE(CAST(trip_type AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+    COALESCE(CAST(source_file AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+    COALESCE(CAST(fare_amount AS VARCHAR), '_dbt_utils_surrogate_key_null_')))"""
+
+RANK = """ROW_NUMBER() OVER (
+    PARTITION BY pickup_datetime, dropoff_datetime, pu_location_id, do_location_id, trip_type, source_file, fare_amount
+    ORDER BY ingestion_timestamp DESC NULLS FIRST, trip_duration_minutes DESC NULLS LAST, tip_amount DESC NULLS LAST,
+        total_amount DESC NULLS LAST, trip_distance DESC NULLS LAST, passenger_count DESC NULLS LAST,
+        payment_type DESC NULLS LAST, vendor_id DESC NULLS LAST, mta_tax DESC NULLS LAST, cbd_congestion_fee DESC NULLS LAST)"""
+
+
+# --- Q1-Q4 ---------------------------------------------------------------------
+
+_TAXI_RULES = "NOT (payment_type = 2 AND CAST(tip_amount AS DECIMAL(10,0)) > 0) AND passenger_count <> 0 AND fare_amount > 0"
+
+
+def ingest_sql(service: str, raw: str | None = None, start: str | None = None, end: str | None = None,
                stamp: str = RUN_1, split: bool = True) -> str:
-    s = SERVICES[service]
-    raw = raw or service_raw_sql(service, split)
-    _, where = validate_sql(service, raw, month)
-    m = minutes_sql(s.pickup, s.dropoff)
-    derived = [f"{m} AS trip_duration_minutes"]
-    if s.kind == "taxi":
-        # Spark rounds through BigDecimal, which has no negative zero: + 0.0
-        derived.append(f"ROUND(CASE WHEN {m} = 0 THEN 0 ELSE trip_distance / ({m} / 60) END, 2) + 0.0 "
-                       "AS avg_speed_mph")
-    else:
-        where.append(f"NOT ({m} = 0)")
-    derived += [f"'{source_file_name(service)}' AS source_file", f"TIMESTAMP '{stamp}' AS {s.ts_col}",
-                f"CAST({s.pickup} AS DATE) AS pickup_date"]
-    cond = " AND ".join(where) if where else "TRUE"
-    return f"(SELECT *, {', '.join(derived)} FROM {raw} WHERE {cond})"
-
+    """One ingest job; ``start``/``end`` bound the pickup time (end exclusive)."""
+    p, d = PICKUP[service], DROPOFF[service]
+    minutes = f"date_sub('minute', {p}, {d})"
+    taxi = service in ("yellow", "green")
+    where = _TAXI_RULES if taxi else {
+        "fhv": "NOT (PUlocationID IS NULL AND DOlocationID IS NULL)",
+        "hvfhv": "NOT (PULocationID IS NULL AND DOLocationID IS NULL)"}[service] + f" AND NOT ({minutes} = 0)"
+    if start:
+        where += f" AND {p} >= TIMESTAMP '{start}'"
+    if end:
+        where += f" AND {p} < TIMESTAMP '{end}'"
+    # Spark rounds through BigDecimal, which has no negative zero: + 0.0
+    speed = (f"ROUND(CASE WHEN {minutes} = 0 THEN 0 ELSE trip_distance / ({minutes} / 60) END, 2) + 0.0 AS avg_speed_mph, "
+             if taxi else "")
+    return f"""(SELECT *, {minutes} AS trip_duration_minutes, {speed}'{service}_tripdata.parquet' AS source_file,
+        TIMESTAMP '{stamp}' AS {STAMP[service]}, CAST({p} AS DATE) AS pickup_date
+        FROM {raw or service_raw_sql(service, split)} WHERE {where})"""
+
+
+# --- Q5-Q9 ---------------------------------------------------------------------
 
 def table_sql(service: str, ingested: str) -> str:
     """Typed raw table (load by name + cast + back-fill)."""
-    s = SERVICES[service]
-    cols = []
-    for f in s.table.fields:
-        expr = f"CAST({f.name} AS {duck_type(f.dataType)})"
-        if f.name == "pickup_date":
-            expr = f"COALESCE({expr}, CAST({s.pickup} AS DATE))"
-        cols.append(f"{expr} AS {f.name}")
-    return f"(SELECT {', '.join(cols)} FROM {ingested})"
+    return f"(SELECT {TABLE[service]} FROM {ingested})"
 
 
 def staged_sql(service: str, table: str) -> str:
-    s = SERVICES[service]
-    cols = [f"{src} AS {dst}" for src, dst in s.staging] + [f"'{s.name}' AS trip_type"]
-    return f"(SELECT {', '.join(cols)} FROM {table})"
-
-
-def unify_sql(service: str, staged: str) -> str:
-    renames = UNIFIED_FROM[service]
-    cols = []
-    for f in UNIFIED.fields:
-        src = renames.get(f.name, f.name)
-        expr = "NULL" if src is None else src
-        cols.append(f"CAST({expr} AS {duck_type(f.dataType)}) AS {f.name}")
-    return f"(SELECT {', '.join(cols)} FROM {staged})"
+    return f"(SELECT {STAGED[service]} FROM {table})"
 
 
 def service_staged_sql(service: str, stamp: str = RUN_1, split: bool = True) -> str:
@@ -94,19 +152,16 @@ def service_staged_sql(service: str, stamp: str = RUN_1, split: bool = True) ->
 
 
 def union_sql(stamp: str = RUN_1) -> str:
-    parts = [f"SELECT * FROM {unify_sql(s, service_staged_sql(s, stamp))}" for s in UNIONED]
-    return "(" + " UNION ALL ".join(parts) + ")"
+    return "(" + " UNION ALL ".join(f"SELECT {UNIFIED[s]} FROM {service_staged_sql(s, stamp)}"
+                                    for s in ("yellow", "green", "hvfhv")) + ")"
 
 
-def key_sql(cols=TRIP_KEY) -> str:
-    parts = [f"COALESCE(CAST({c} AS VARCHAR), '{SURROGATE_NULL}')" for c in cols]
-    return f"md5(concat_ws('-', {', '.join(parts)}))"
+def key_sql() -> str:
+    return TRIP_ID
 
 
 def ranked_sql(src: str) -> str:
-    order = ["ingestion_timestamp DESC NULLS FIRST"] + [f"{c} DESC NULLS LAST" for c in TIE_BREAKERS]
-    return (f"(SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(TRIP_KEY)} "
-            f"ORDER BY {', '.join(order)}) AS row_num FROM {src})")
+    return f"(SELECT *, {RANK} AS row_num FROM {src})"
 
 
 def dedup_sql(src: str) -> str:
@@ -114,41 +169,36 @@ def dedup_sql(src: str) -> str:
 
 
 def fact_sql(src: str) -> str:
-    return f"(SELECT {key_sql()} AS trip_id, * FROM {dedup_sql(src)})"
-
-
-def money_sum(c: str) -> str:
-    return f"SUM(CAST({c} AS DECIMAL(18,2)))"
-
+    return f"(SELECT {TRIP_ID} AS trip_id, * FROM {dedup_sql(src)})"
 
-def money_avg(c: str) -> str:
-    return f"CAST({money_sum(c)} AS DOUBLE) / NULLIF(COUNT({c}), 0)"
 
+# --- Q10-Q12 (sums of doubles in nine decimals: exact, and the same in any order) ---
 
 def daily_summary_sql(fact: str) -> str:
     return f"""SELECT pickup_date, trip_type, COUNT(*) AS trip_count,
-        {money_avg('fare_amount')} AS avg_fare_amount,
-        {money_avg('trip_distance')} AS avg_trip_distance,
+        CAST(SUM(CAST(fare_amount AS DECIMAL(28,9))) AS DOUBLE) / NULLIF(COUNT(fare_amount), 0) AS avg_fare_amount,
+        CAST(SUM(CAST(trip_distance AS DECIMAL(28,9))) AS DOUBLE) / NULLIF(COUNT(trip_distance), 0) AS avg_trip_distance,
         AVG(trip_duration_minutes) AS avg_trip_duration_minutes,
-        CAST({money_sum('total_amount')} AS DOUBLE) AS total_revenue
+        CAST(SUM(CAST(total_amount AS DECIMAL(28,9))) AS DOUBLE) AS total_revenue
         FROM {fact} GROUP BY pickup_date, trip_type"""
 
 
 def revenue_breakdown_sql(fact: str) -> str:
-    def z(c):
-        return f"CAST(SUM(COALESCE(CAST({c} AS DECIMAL(18,2)), 0)) AS DOUBLE)"
     return f"""SELECT trip_type, pickup_date,
-        CAST({money_sum('fare_amount')} AS DOUBLE) AS fare_amount_total,
-        {z('tip_amount')} AS tip_amount_total, {z('tolls_amount')} AS tolls_amount_total,
-        {z('congestion_surcharge')} AS surcharge_total, {z('airport_fee')} AS airport_fee_total,
-        CAST({money_sum('total_amount')} AS DOUBLE) AS grand_total
+        CAST(SUM(CAST(fare_amount AS DECIMAL(28,9))) AS DOUBLE) AS fare_amount_total,
+        CAST(SUM(COALESCE(CAST(tip_amount AS DECIMAL(28,9)), 0)) AS DOUBLE) AS tip_amount_total,
+        CAST(SUM(COALESCE(CAST(tolls_amount AS DECIMAL(28,9)), 0)) AS DOUBLE) AS tolls_amount_total,
+        CAST(SUM(COALESCE(CAST(congestion_surcharge AS DECIMAL(28,9)), 0)) AS DOUBLE) AS surcharge_total,
+        CAST(SUM(COALESCE(CAST(airport_fee AS DECIMAL(28,9)), 0)) AS DOUBLE) AS airport_fee_total,
+        CAST(SUM(CAST(total_amount AS DECIMAL(28,9))) AS DOUBLE) AS grand_total
         FROM {fact} GROUP BY trip_type, pickup_date"""
 
 
 def zone_performance_sql(fact: str, zones: str) -> str:
     return f"""SELECT pu_location_id, b.Zone AS zone, b.Borough AS borough, COUNT(*) AS trip_count,
-        CAST({money_sum('total_amount')} AS DOUBLE) AS total_revenue,
-        {money_avg('fare_amount')} AS avg_fare, {money_avg('trip_distance')} AS avg_distance
+        CAST(SUM(CAST(total_amount AS DECIMAL(28,9))) AS DOUBLE) AS total_revenue,
+        CAST(SUM(CAST(fare_amount AS DECIMAL(28,9))) AS DOUBLE) / NULLIF(COUNT(fare_amount), 0) AS avg_fare,
+        CAST(SUM(CAST(trip_distance AS DECIMAL(28,9))) AS DOUBLE) / NULLIF(COUNT(trip_distance), 0) AS avg_distance
         FROM {fact} a JOIN {zones} b ON a.pu_location_id = b.LocationID
         GROUP BY pu_location_id, b.Zone, b.Borough"""
 
@@ -169,8 +219,8 @@ def model_tests_sql(model: str, src: str, spec) -> list[str]:
                    f"COUNT_IF({c} IS NULL) AS failures FROM {src}")
     for c, vals in spec.accepted_values:
         lits = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in vals)
-        out.append(f"SELECT '{model}', '{c}', 'accepted_values', COUNT_IF(NOT {c} IN ({lits})) FROM {src}")
+        out.append(f"SELECT '{model}' AS model, '{c}' AS column_name, 'accepted_values' AS test, COUNT_IF(NOT {c} IN ({lits})) AS failures FROM {src}")
     for c in spec.unique:
-        out.append(f"SELECT '{model}', '{c}', 'unique', COUNT(*) FROM (SELECT {c} FROM {src} "
+        out.append(f"SELECT '{model}' AS model, '{c}' AS column_name, 'unique' AS test, COUNT(*) AS failures FROM (SELECT {c} FROM {src} "
                    f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)")
     return out

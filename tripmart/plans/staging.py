@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmart.operators.projections import align, rename, union_aligned
 from tripmart.schemas import SERVICES, UNIFIED, UNIONED, Service
 
-# Per-service source of each unified column when it is not the same name;
+# Per-service source of each unified column when it is not the same name;
 # None = not provided by that service (typed NULL).
 UNIFIED_FROM = {
     "yellow": {"ehail_fee": None, "green_trip_type": None, "hvfhs_license_num": None,
@@ -32,11 +32,11 @@ def unify(staged: DataFrame, service: str) -> DataFrame:
     return align(staged, UNIFIED, UNIFIED_FROM[service])
 
 
-def union_trips(staged: dict[str, DataFrame]) -> DataFrame:
+def union_trips(staged: dict[str, DataFrame], services: tuple[str, ...] = UNIONED) -> DataFrame:
     """Q7: UNION ALL of the unioned services (yellow, green, HVFHV); FHV is
-    staged but deliberately not part of the union."""
-    return union_aligned([unify(staged[s], s) for s in UNIONED if s in staged])
-
-
-def stage_all(raw_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: stage(df, SERVICES[name]) for name, df in raw_tables.items()}
+    staged but deliberately not part of the union. ``services`` names what to
+    union; a service without a staged frame is an error, never left out."""
+    missing = [s for s in services if s not in staged]
+    if missing:
+        raise ValueError(f"no staged trips for {', '.join(missing)}")
+    return union_aligned([unify(staged[s], s) for s in services])

@@ -4,10 +4,15 @@ distributed aggregates and returned as one DataFrame."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripmart.functions.expressions import surrogate_key
 from tripmart.operators.quality import ModelTests, run_suite
 from tripmart.plans import marts
 from tripmart.plans import models as M
+from tripmart.plans.adapters import source_file_name
+from tripmart.plans.fact import build_fact
+from tripmart.schemas import TRIP_KEY, UNIONED
 from tripmart.session import scratch_dir
 from tripmart.sources.seeds import builtin_seed
 from tripmart.sources.sinks import write_table
@@ -15,6 +20,7 @@ from tripmart.sources.sinks import write_table
 _TRIP_NN = ("pickup_datetime", "dropoff_datetime", "pu_location_id", "trip_type")
 _TYPES = ("yellow", "green", "hvfhv")
 
+# The declared tests of each model.
 SUITE: list[ModelTests] = [
     ModelTests("stg_yellow_trips", not_null=_TRIP_NN, accepted_values=(("trip_type", ("yellow",)),)),
     ModelTests("stg_green_trips", not_null=_TRIP_NN, accepted_values=(("trip_type", ("green",)),)),
@@ -38,16 +44,26 @@ SUITE: list[ModelTests] = [
 ]
 
 
-def build_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Staging and union stay views; the fact is a table (written once to the
-    shared checkpoint folder) that the marts and its own tests read."""
+def build_models(spark: SparkSession, sf_dir: str, planted: bool = False) -> dict[str, DataFrame]:
+    """The union and the fact are written once (to the shared checkpoint folder). The unioned
+    services' staging models are their rows of the written union, told apart by source file.
+    ``planted``: unknown trip types, missing times, and a fact that is not deduplicated."""
+    unioned = M.unioned(spark, sf_dir)
+    if planted:
+        unioned = unioned.withColumns({
+            "trip_type": F.expr("CASE WHEN do_location_id % 40 = 0 THEN 'unknown' ELSE trip_type END"),
+            "dropoff_datetime": F.expr("CASE WHEN do_location_id % 30 = 0 THEN NULL ELSE dropoff_datetime END")})
+    path = scratch_dir(spark, "unioned")
+    write_table(unioned, path)
+    unioned = spark.read.parquet(path)
     path = scratch_dir(spark, "fct_trips")
-    write_table(M.fact(spark, sf_dir), path)
+    write_table(unioned.select(surrogate_key(*TRIP_KEY).alias("trip_id"), "*") if planted else build_fact(unioned), path)
     fact = spark.read.parquet(path)
     zones = M.zone_dim(spark, sf_dir)
-    out = {f"stg_{s}_trips": M.staged(spark, sf_dir, s) for s in ("yellow", "green", "fhv", "hvfhv")}
+    out = {f"stg_{s}_trips": unioned.where(F.col("source_file") == source_file_name(s)) for s in UNIONED}
     out.update({
-        "int_all_trips_unioned": M.unioned(spark, sf_dir),
+        "stg_fhv_trips": M.staged(spark, sf_dir, "fhv"),
+        "int_all_trips_unioned": unioned,
         "dim_taxi_zones": zones,
         "dim_rate_codes": builtin_seed(spark, "rate_codes"),
         "dim_vendors": builtin_seed(spark, "vendors"),
@@ -61,5 +77,5 @@ def build_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-def test_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_suite(build_models(spark, sf_dir), SUITE)
+def test_suite(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFrame:
+    return run_suite(build_models(spark, sf_dir, planted), SUITE)

@@ -22,6 +22,8 @@ def struct(cols: list[tuple[str, DataType]]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in cols])
 
 
+# Fixed values from here on: public column names and types, and the staged column order.
+
 # --- raw service files (what the ingest jobs scan) -------------------------
 
 YELLOW_RAW = struct([
