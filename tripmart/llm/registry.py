@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (cotraining, decontaminate, html_text, line_dedup, minhash_dedup, pieces, pii, quality_rules,
-                          substring_dedup, token_counts)
+                          sql, substring_dedup, token_counts)
 from tripmart.llm.common import table
 
 
@@ -79,4 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op7_quality_classifier, op8_token_counts, op9_suffix_array_dedup, op10_html_extraction)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_minhash_dedup": sql.MINHASH_DEDUP,
+    "op3_decontaminate": sql.DECONTAMINATE,
+    "op4_quality_rules": sql.QUALITY_RULES,
+    "op9_suffix_array_dedup": sql.SUBSTRING_DEDUP,
+}
