@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators.projections import align, rename, union_aligned
-from tripmart.schemas import SERVICES, UNIFIED, UNIONED, Service
+from tripmart.schemas import UNIFIED, UNIONED, Service
 
 # Per-service source of each unified column when it is not the same name;
 # None = not provided by that service (typed NULL).
