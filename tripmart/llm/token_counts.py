@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmart.llm.common import BASE2, U64, Rolling, mapped
+from tripmart.llm.common import BASE2, Rolling, mapped
 from tripmart.llm.pieces import CHUNK, LITERAL, LONG, MODEL, SPACE, Pairs, PieceTable, best_long, cp_values, step, units
 
 
