@@ -15,7 +15,8 @@ def library():
 
 @pytest.fixture(scope="module")
 def rows(corpus, odd_rows):
-    return corpus[:60] + [(1000 + i, t) for i, t in enumerate(TEXTS)] + odd_rows
+    return corpus[:60] + [(1000 + i, t) for i, t in enumerate(TEXTS)] + [
+        (i if i is None else 5000 + i, t) for i, t in odd_rows]
 
 
 def test_ids_are_the_library_s(documents, rows, library):

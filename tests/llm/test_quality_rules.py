@@ -23,10 +23,13 @@ def test_binomial_is_exact():
 
 def holdout(n, bad_share):
     """n good texts per language; in "de" a share of them is all capitals."""
+    def spelt(number):  # no digits: a text in capitals is all capitals
+        return "".join(chr(97 + int(c)) for c in str(number))
+
     rows, labels = [], []
     for i in range(n):
         for j, lang in enumerate(("en", "de")):
-            words = " ".join(f"{'Wort' if lang == 'de' else 'word'}{(i * 7 + k * 13) % 997} und" for k in range(12))
+            words = " ".join(f"{'Wort' if lang == 'de' else 'word'}{spelt((i * 7 + k * 13) % 997)} und" for k in range(12))
             rows.append((2 * i + j, words.upper() if lang == "de" and i < bad_share * n else words, lang))
             labels.append((2 * i + j, 1, 0))
     return rows, labels
