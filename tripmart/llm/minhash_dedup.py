@@ -12,9 +12,9 @@ A band value shared by many documents does not emit their pairs: every member is
 with one leader (``STAR_ROUNDS`` times, another leader each time). Members of a band value that are
 still in different components are then compared with each other, directly where the value has up to
 ``SMALL`` documents. In larger groups a pair must also share a shingle among the first few of both
-sets, in an order that puts shingles the leader lacks first: two sets with the wanted overlap always
-do (prefix filtering), and sets that differ from the leader by changes of their own don't, so the
-group's size is not squared. No pair of a shared band value is left out: a link is missed only where
+sets, in an order that puts the shingles first which the group's leader (the least document of the
+components in it) lacks: two sets with the wanted overlap always do (prefix filtering), and sets that
+differ from the leader by changes of their own don't, so the group's size is not squared. No pair of a shared band value is left out: a link is missed only where
 no band agrees, (1 - J**4)**25 or 1e-8 at a similarity of 0.85.
 
 Defined results: null, empty or blank text has no shingles and is linked with nothing; fewer words
@@ -40,7 +40,6 @@ SCALE_A = 20.0  # rate of the exponential minima
 REJECT = 16.0
 STAR_ROUNDS = 2
 SMALL = 64  # documents with one band value whose pairs are all compared
-SIZE_STEP = 1.02  # ratio of the size classes in larger groups
 
 
 @dataclass(frozen=True)
@@ -206,14 +205,11 @@ def confirm(pairs: DataFrame, how: NearDup) -> DataFrame:
 def prefixes(members: DataFrame, how: NearDup) -> DataFrame:
     """The first shingles of each member, in its leader's order, of rows (leader, id, component, tm, tl).
 
-    As the smaller set of a pair, a member gives one row per shingle that any partner's overlap
-    must reach, under its size class; as the larger one, a row per shingle and size class of the
-    partners for which the shingle is early enough (``most``: their largest size)."""
+    As the smaller set of a pair a member gives the shingles that the overlap with a set of its own
+    size must reach (``most`` is -1); as the larger one, all that the overlap with some smaller set
+    must reach, with the largest size for which that is so."""
     k, p = how.words, how.percent
 
-    def classes(n: np.ndarray) -> np.ndarray:
-        return np.floor(np.log(np.maximum(n, 1)) / np.log(SIZE_STEP)).astype(np.int64)
-
     def run(batches):
         for batch in batches:
             out: list[tuple] = []
@@ -224,26 +220,18 @@ def prefixes(members: DataFrame, how: NearDup) -> DataFrame:
                 mine = mine[np.lexsort((mine, np.isin(mine, other)))]
                 n = len(mine)
                 need = -(-2 * n * p // (100 + p))  # overlap with a set of equal size
-                first = mine[:n - need + 1]
-                at = np.arange(n)
-                most = np.minimum((n - at) * (100 + p) // p - n, n)
-                least = -(-p * n // 100)
-                at = at[most >= least]
-                low, high = classes(np.array([least]))[0], classes(most[at])
-                size = high - low + 1
-                token = np.concatenate([first, np.repeat(mine[at], size)])
-                out.append((np.full(len(token), leader), signed(token),
-                            np.concatenate([np.full(len(first), classes(np.array([n]))[0]),
-                                            low + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)]),
-                            np.full(len(token), id_), np.full(len(token), component), np.full(len(token), n),
-                            np.concatenate([np.full(len(first), -1), np.repeat(most[at], size)])))
+                most = np.minimum((n - np.arange(n)) * (100 + p) // p - n, n)
+                most = most[most >= -(-p * n // 100)]
+                token = np.concatenate([mine[:n - need + 1], mine[:len(most)]])
+                out.append((np.full(len(token), leader), signed(token), np.full(len(token), id_), np.full(len(token), component),
+                            np.full(len(token), n), np.concatenate([np.full(n - need + 1, -1), most])))
                 if len(out) == 200 or r == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(7)],
-                                                     names=["leader", "token", "class", "id", "component", "n", "most"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(6)],
+                                                     names=["leader", "token", "id", "component", "n", "most"])
                     out = []
 
     return in_arrow(members.select("leader", "id", "component", "tm", "tl"), run,
-                    "leader long, token long, class long, id long, component long, n long, most long")
+                    "leader long, token long, id long, component long, n long, most long")
 
 
 def prefix_pairs(members: DataFrame, texts: DataFrame, how: NearDup) -> DataFrame:
@@ -251,16 +239,18 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, how: NearDup) -> DataFram
     rows = written(prefixes(
         members.join(texts.select(F.col("id"), F.col("text").alias("tm")), "id")
         .join(texts.select(F.col("id").alias("leader"), F.col("text").alias("tl")), "leader"), how), "prefixes")
-    place = ["leader", "token", "class"]
+    place = ["leader", "token"]
     # Only where a smaller and a larger set of different components meet.
     mixed = rows.groupBy(*place).agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                      F.min("most").alias("data"), F.max("most").alias("probe")).where(
-        "low < high AND data < 0 AND probe >= 0").select(*place)
-    rows = written(rows.join(mixed, place), "mixed")
-    x, y = rows.where("most < 0").alias("x"), rows.where("most >= 0").alias("y")
-    return x.join(y, F.expr(" AND ".join(f"x.{c} = y.{c}" for c in place)
-                            + f" AND x.component <> y.component AND x.n <= y.most AND 100 * x.n >= {how.percent} * y.n")
-                  ).select(F.expr("greatest(x.id, y.id)").alias("a"), F.expr("least(x.id, y.id)").alias("b"))
+        "low < high AND data < 0 AND probe >= 0").select(*place, "low")
+    rows = written(rows.join(mixed, place).withColumn("main", F.expr("component = low")), "mixed")
+    # Members of the lowest component, mostly the many that are linked already, don't meet each other.
+    x = rows.where("most < 0").withColumn("other", F.explode(F.expr("IF(main, array(false), array(false, true))"))).alias("x")
+    y = rows.where("most >= 0").alias("y")
+    return x.join(y, F.expr(f"""x.leader = y.leader AND x.token = y.token AND x.other = y.main AND x.component <> y.component
+        AND x.n <= y.most AND 100 * x.n >= {how.percent} * y.n""")).select(
+        F.expr("greatest(x.id, y.id)").alias("a"), F.expr("least(x.id, y.id)").alias("b"))
 
 
 def links_of(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, how: NearDup) -> DataFrame:
@@ -300,7 +290,7 @@ def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
         order = F.xxhash64("id", F.lit(turn)) if turn and not last else F.col("id")
         keys = now.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
-            F.min(F.struct(order.alias("r"), "id", "component", "n")).alias("leader")).where("low < high").drop("low", "high")
+            F.min(F.struct(order.alias("r"), "id", "component", "n")).alias("leader")).where("low < high").drop("high")
         open_ = written(now.join(keys, "key"), "open")
         if open_.isEmpty():
             break
@@ -313,7 +303,7 @@ def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
             pairs = few.alias("x").join(few.alias("y"), F.expr(
                 f"x.key = y.key AND x.id > y.id AND x.component <> y.component AND {fits}")).select(
                 F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-            many = written(open_.where(f"size > {SMALL}").select(F.col("leader.id").alias("leader"), "id", "component")
+            many = written(open_.where(f"size > {SMALL}").select(F.col("low").alias("leader"), "id", "component")
                            .distinct(), "many")
             if not many.isEmpty():
                 pairs = pairs.union(prefix_pairs(many, texts, how))
