@@ -11,7 +11,8 @@ strings whose first document is smaller.
 What keeps it linear: texts that are wholly equal to a smaller document's are removed as such and
 take no further part; minimizers that occur once are dropped by counting them; of equal segments one
 goes on, with its least doc_id; a minimizer with one distinct segment needs no suffix array, as all
-its strings have the same documents; a minimizer with more than ``HOT`` distinct segments is split
+its strings have the same documents, and neither does a segment that shares no longer string around
+the minimizer; a minimizer with more than ``HOT`` distinct segments is split
 into its single strings, whose least doc_id is a grouped minimum. Bitmaps of fixed size thin what is
 moved; joins decide. Segments are told apart by 64-bit hashes, strings by their bytes.
 
@@ -31,13 +32,14 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import (U64, Rolling, bitmap, byte_values, chunks, in_arrow, in_bitmap, only, ship, signed,
                                  sliding_min, written)
-from tripmart.llm.suffix_array import suffix_arrays
+from tripmart.llm.suffix_array import suffix_array, suffix_arrays
 
 LENGTH = 50
-GRAM = 20
-HOT = 1_000  # distinct segments of one minimizer that still share a suffix array
+GRAM = 24
+HOT = 5_000  # distinct segments of one minimizer that still share a suffix array
 PART_BYTES = 1_500_000  # of segments in one task's group
 BATCH_BYTES = 600_000  # of strings whose suffix arrays advance together
+TOGETHER = 60  # ... if they are this many times the longest one
 CHUNK = 1 << 18
 MARK = 0xFF  # between segments; no byte of UTF-8
 
@@ -90,32 +92,62 @@ def occurrences(docs: DataFrame, shared) -> DataFrame:
     return in_arrow(docs.select("doc_id", "text"), run, "h long, m long, doc_id long, start int, len int")
 
 
-def fetch(docs: DataFrame, wanted) -> DataFrame:
-    """(h, bytes) of the segments whose content hash may be wanted, once a task for most."""
+def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (m, h, d, e, segments, start, len) with the bytes of each segment, cut from its document d."""
+    lists_ = written(wanted.groupBy("d").agg(F.collect_list(F.struct("m", "h", "e", "segments", "start", "len")).alias("cuts")), "cuts")
+
     def run(batches):
-        seen = np.zeros(0, dtype=U64)
         for batch in batches:
-            for _, _, data, at in chunks(batch.column(0), CHUNK):
-                s = segments(data, at)
-                h, first = np.unique(s["h"], return_index=True)
-                fresh = in_bitmap(wanted.value, h)
-                if len(seen):
-                    place = np.minimum(np.searchsorted(seen, h), len(seen) - 1)
-                    fresh &= seen[place] != h
-                first, h = first[fresh], h[fresh]
-                if len(h):
-                    seen = np.union1d(seen, h) if len(seen) < 1 << 19 else h
-                    text = [data[a:b].tobytes() for a, b in zip(s["start"][first].tolist(), s["end"][first].tolist())]
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(text, pa.binary())], names=["h", "segment"])
-
-    return in_arrow(docs.select("text"), run, "h long, segment binary")
+            for i in range(0, batch.num_rows, 100):
+                part = batch.slice(i, 100)
+                text = part.column(1).cast(pa.large_binary()).to_pylist()
+                cuts = part.column(2)
+                count = np.asarray(pa.compute.list_value_length(cuts))
+                each = np.repeat(np.arange(len(text)), count).tolist()
+                x = cuts.flatten()
+                start, size = x.field("start").to_pylist(), x.field("len").to_pylist()
+                raw = [text[k][a:a + n] for k, a, n in zip(each, start, size)]
+                yield pa.RecordBatch.from_arrays(
+                    [x.field("m"), x.field("h"), part.column(0).take(pa.array(each, pa.int64())), x.field("e"), x.field("segments"),
+                     pa.array(raw, pa.binary())], names=["m", "h", "d", "e", "segments", "segment"])
+
+    joined = only(docs, "doc_id", bitmap(lists_, "d")).join(lists_, F.col("doc_id") == F.col("d")).select("doc_id", "text", "cuts")
+    return in_arrow(joined, run, "m long, h long, d long, e long, segments long, segment binary")
+
+
+def alike(text: np.ndarray, at: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether a segment text[at[i]:at[i + 1] - 1] may share a string with another of its minimizer:
+    around a shared minimizer, a shared string has half of its other bytes at least on one side."""
+    side = (LENGTH - GRAM + 1) // 2
+    roll = Rolling(byte_values(3)[text])
+    segment = np.repeat(np.arange(len(m)), np.diff(at))[:max(0, len(text) - GRAM + 1)]
+    place = np.flatnonzero(roll.windows(GRAM) == m.view(U64)[segment])
+    segment = segment[place]
+    keys, owners = [], []
+    for a, b, key in ((place - side, place + GRAM, 1), (place, place + GRAM + side, 2)):
+        inside = (a >= at[segment]) & (b < at[segment + 1])
+        keys.append(roll.spans(a[inside], b[inside]) ^ m.view(U64)[segment[inside]] * U64(2 * key + 1))
+        owners.append(segment[inside])
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    order = np.lexsort((owner, key))
+    key, owner = key[order], owner[order]
+    twin = (key[1:] == key[:-1]) & (owner[1:] != owner[:-1])
+    out = np.zeros(len(m), dtype=bool)
+    out[owner[1:][twin]] = out[owner[:-1][twin]] = True
+    # Owners between two others of a key are covered from either side; repeats within one owner are not twins.
+    return out
 
 
 def first_documents(text: np.ndarray, at: np.ndarray, group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of segments text[at[i]:at[i + 1] - 1] (each ends in a mark), ordered by group: (segment, from, to,
     least doc) of the strings that start at from, ..., to - 1, by the suffix array of each group."""
     cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    order = suffix_arrays(text, np.append(at[cut], len(text)))
+    strings = np.append(at[cut], len(text))
+    if len(text) >= TOGETHER * int(np.diff(strings).max()):
+        order = suffix_arrays(text, strings)
+    else:  # few long strings: a step for all of them would hold little work
+        order = np.concatenate([np.array(suffix_array(text[a:b].tobytes()), dtype=np.int64) + a
+                                for a, b in zip(strings[:-1].tolist(), strings[1:].tolist())])
     segment = np.repeat(np.arange(len(group)), np.diff(at))
     order = order[order + LENGTH < at[segment[order] + 1]]
     words = np.ascontiguousarray(np.concatenate([text, np.zeros(8, dtype=np.uint8)]))
@@ -139,33 +171,39 @@ def first_documents(text: np.ndarray, at: np.ndarray, group: np.ndarray, doc: np
 
 
 def suffix_runs(parts: DataFrame, total_bytes: int) -> DataFrame:
-    """(h, from, to, doc) for rows (m, h, d, segment): minimizer, hash, least document and bytes."""
+    """(h, from, to, doc) for rows (m, h, d, e, segment): minimizer, hash, first and last document and bytes;
+    only strings whose first document is before e."""
     n_parts = 1 + int(total_bytes) // PART_BYTES
-    names = ["h", "from", "to", "doc"]
 
     def run(table: pa.Table) -> pa.Table:
-        h, unique = np.unique(table.column("h").to_numpy(), return_index=True)
-        table = table.take(pa.array(unique))
-        m, d = table.column("m").to_numpy(), table.column("d").to_numpy()
-        size = np.asarray(pa.compute.binary_length(table.column("segment").combine_chunks())).astype(np.int64)
-        _, group, = np.unique(m, return_inverse=True)
-        weight = np.bincount(group, weights=size)  # parts of similar length advance together
+        m, h, d, e = (table.column(c).to_numpy() for c in ("m", "h", "d", "e"))
+        size = np.asarray(pa.compute.binary_length(table.column("segment").combine_chunks())).astype(np.int64) + 1
+        _, group = np.unique(m, return_inverse=True)
+        weight = np.bincount(group, weights=size)  # strings of similar length advance together
         order = np.lexsort((group, weight[group]))
         raw = table.column("segment").take(pa.array(order)).to_pylist()
-        h, d, group, size = h[order], d[order], group[order], size[order] + 1
-        ends = np.flatnonzero(np.concatenate([group[1:] != group[:-1], [True]])) + 1
-        out, a = [], 0
-        while a < len(h):
-            limit = np.cumsum(size[a:])
-            b = a + int(np.searchsorted(limit, BATCH_BYTES))
-            b = int(ends[np.searchsorted(ends, max(b, a + 1))]) if b < len(h) else len(h)
-            text = np.frombuffer(bytes([MARK]).join(raw[a:b]) + bytes([MARK]), dtype=np.uint8)
-            got = first_documents(text, np.concatenate([[0], np.cumsum(size[a:b])]), group[a:b], d[a:b])
-            out.append((h[a:b][got[0]], *got[1:]))
+        m, h, d, e, group, size = m[order], h[order], d[order], e[order], group[order], size[order]
+        at = np.concatenate([[0], np.cumsum(size)])
+        text = np.frombuffer(bytes([MARK]).join(raw) + bytes([MARK]), dtype=np.uint8)
+        near = alike(text, at, m)
+        lone = np.flatnonzero(~near)
+        out = [(lone, np.zeros(len(lone), dtype=np.int64), size[lone] - LENGTH, d[lone])]
+        near = np.flatnonzero(near)
+        ends = np.flatnonzero(np.concatenate([group[near][1:] != group[near][:-1], [True]])) + 1
+        sums = np.concatenate([[0], np.cumsum(size[near])])
+        a = 0
+        while a < len(near):
+            b = int(np.searchsorted(sums, sums[a] + BATCH_BYTES))
+            b = int(ends[min(np.searchsorted(ends, max(b, a + 1)), len(ends) - 1)])
+            chosen = near[a:b]
+            part = np.frombuffer(bytes([MARK]).join([raw[i] for i in chosen.tolist()]) + bytes([MARK]), dtype=np.uint8)
+            got = first_documents(part, np.concatenate([[0], np.cumsum(size[chosen])]), group[chosen], d[chosen])
+            out.append((chosen[got[0]], *got[1:]))
             a = b
-        columns = [np.concatenate([o[i] for o in out]) if out else np.zeros(0, dtype=np.int64) for i in range(4)]
-        return pa.table([pa.array(columns[0]), pa.array(columns[1].astype(np.int32)), pa.array(columns[2].astype(np.int32)),
-                         pa.array(columns[3])], names=names)
+        which, start, stop, doc = (np.concatenate([o[i] for o in out]) for i in range(4))
+        useful = doc < e[which]
+        return pa.table([pa.array(h[which[useful]]), pa.array(start[useful].astype(np.int32)),
+                         pa.array(stop[useful].astype(np.int32)), pa.array(doc[useful])], names=["h", "from", "to", "doc"])
 
     ship(parts)
     return parts.withColumn("part", F.pmod(F.xxhash64("m"), F.lit(n_parts))).groupBy("part").applyInArrow(
@@ -178,16 +216,16 @@ def single_strings(parts: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 rows = batch.slice(i, 500).to_pylist()
-                out = [(r["h"], p, r["d"], r["segment"][p:p + LENGTH]) for r in rows for p in range(len(r["segment"]) - LENGTH + 1)]
+                out = [(r["h"], p, r["d"], r["e"], r["segment"][p:p + LENGTH]) for r in rows for p in range(len(r["segment"]) - LENGTH + 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()),
-                     pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.binary())],
-                    names=["h", "from", "d", "string"])
+                     pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.int64()),
+                     pa.array([x[4] for x in out], pa.binary())], names=["h", "from", "d", "e", "string"])
 
-    strings = written(in_arrow(parts.dropDuplicates(["h"]).select("h", "d", "segment"), run,
-                               "h long, from int, d long, string binary"), "strings")
+    strings = written(in_arrow(parts.select("h", "d", "e", "segment"), run,
+                               "h long, from int, d long, e long, string binary"), "strings")
     least = strings.groupBy("string").agg(F.min("d").alias("doc"))
-    return strings.join(least, "string").select("h", "from", (F.col("from") + 1).alias("to"), "doc")
+    return strings.join(least, "string").where("doc < e").select("h", "from", (F.col("from") + 1).alias("to"), "doc")
 
 
 def cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -228,18 +266,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     shared = written(minimizers(texts).groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "shared")
     found = written(occurrences(texts, bitmap(shared, "m")), "occurrences")
-    distinct = written(found.groupBy("m", "h").agg(F.min("doc_id").alias("d"), F.max("doc_id").alias("e"), F.max("len").alias("len")), "distinct")
-    sizes = distinct.groupBy("m").agg(F.count("*").alias("segments"), F.min("d").alias("low"), F.max("e").alias("high")).where("low < high")
-    distinct = written(distinct.join(sizes.select("m", "segments"), "m"), "segments")
+    distinct = written(found.groupBy("m", "h").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("e"),
+                                                   F.max("len").alias("len"))
+                       .select("m", "h", F.col("first.doc_id").alias("d"), "first.start", "e", "len"), "distinct")
+    sizes = written(distinct.groupBy("m").agg(F.count("*").alias("segments"), F.min("d").alias("low"), F.max("e").alias("high"))
+                    .where("low < high").select("m", "segments"), "sizes")
+    distinct = written(only(distinct, "m", bitmap(sizes, "m")).join(sizes, "m"), "segments")
     several = distinct.where("segments > 1")
-    got = fetch(texts, bitmap(several, "h")).join(several.select("h", "m", "d", "segments"), "h")
-    got = written(got, "fetched")
+    got = written(fetch(texts, several), "fetched")
     total = several.agg(F.sum("len")).first()[0] or 0
-    runs = suffix_runs(got.where(f"segments <= {HOT}").select("m", "h", "d", "segment"), total)
+    runs = suffix_runs(got.where(f"segments <= {HOT}"), total)
     runs = runs.union(single_strings(got.where(f"segments > {HOT}")))
     runs = runs.union(distinct.where("segments = 1").select("h", F.lit(0).alias("from"), (F.col("len") - LENGTH + 1).alias("to"),
                                                             F.col("d").alias("doc")))
-    gone = found.select("h", "doc_id", "start").join(written(runs, "runs"), "h").where("doc < doc_id").select(
+    runs = written(runs, "runs")
+    gone = only(found.select("h", "doc_id", "start"), "h", bitmap(runs, "h")).join(runs, "h").where("doc < doc_id").select(
         "doc_id", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to") + (LENGTH - 1)).alias("to"))
     rest = written(cut(texts, gone), "cut")
     return base.join(rest, "doc_id", "left").select(
