@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tripmart.session import scratch_dir
 
-CHUNK = 2 << 20
+CHUNK = 1 << 19
+BATCH_ROWS = 1_000  # rows per Arrow batch: a few MB of documents, on both sides of the pipe
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd multipliers of the polynomial hashes
 BASE2 = 0xD6E8FEB86659FD93
@@ -51,7 +52,7 @@ _SHIPPED: set[str] = set()
 
 
 def ship(df: DataFrame) -> None:
-    """Send this package to the executors, once per application."""
+    """Send this package to the executors and set the Arrow batch size, once per application."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
@@ -60,6 +61,7 @@ def ship(df: DataFrame) -> None:
             for f in sorted(package.rglob("*.py")):
                 z.write(f, f.relative_to(package.parent))
         context.addPyFile(str(path))
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         _SHIPPED.add(context.applicationId)
 
 

@@ -28,10 +28,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import (BASE2, NOT_SPACE, U64, Rolling, Words, bitmap, in_arrow, in_bitmap, mapped, mix, only,
+from tripmart.llm.common import (BASE2, CHUNK, NOT_SPACE, U64, Rolling, Words, bitmap, in_arrow, in_bitmap, mapped, mix, only,
                                  row_windows, signed, written)
 from tripmart.llm.components import components
 
@@ -179,10 +180,13 @@ def confirm(pairs: DataFrame, how: NearDup) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            step = 256
-            for i in range(0, batch.num_rows, step):
-                x = batch.slice(i, step)
-                n = x.num_rows
+            size = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy().astype(np.int64) for c in ("ta", "tb"))
+            ends = np.concatenate([[0], np.cumsum(size)])
+            i = 0
+            while i < batch.num_rows:  # pairs of about CHUNK bytes of text at a time
+                n = max(1, int(np.searchsorted(ends, ends[i] + CHUNK, "right")) - 1 - i)
+                x = batch.slice(i, n)
+                i += n
                 sides = []
                 for c in ("ta", "tb"):
                     column = x.column(c).fill_null("").cast(pa.large_binary()).to_pylist()

@@ -41,7 +41,7 @@ UNKNOWN = 10.0
 LONG = 64
 KNOWN = 1 << 20  # units that a task remembers
 PAIRS = 1 << 20  # slots of the table of pairs
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 def apart(text: str, border: int, scores: dict[str, float]) -> bool:
