@@ -7,6 +7,11 @@ over all documents (partial counts before the shuffle). Chunks whose hash occurs
 fetched through a fixed-size bitmap, compared byte by byte with the first occurrence (least doc_id,
 then least position), and removed unless they are that first one; the other lines stay as they are.
 
+Such chunks miss the ends of a repeated block and most short blocks. With ``line_pairs`` in their
+place every two neighbouring lines are counted, so of each run of two or more lines that occurred
+before, all lines go, wherever the cuts would lie. Two blank lines alone are no repeat; blank lines
+left between removed lines (or a text's border) go with them.
+
 Defined results: null or empty text has one empty line and no chunk (null stays null); rows with a
 null doc_id pass unchanged and are no first occurrence; rows that share a doc_id count as one
 document at equal positions, so a repeated row loses no more than the row it repeats. A text that
@@ -20,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import (BASE2, U64, Rolling, bitmap, byte_values, in_arrow, in_bitmap, chunks, lines, lists,
+from tripmart.llm.common import (BASE2, NOT_SPACE, U64, Rolling, bitmap, byte_values, in_arrow, in_bitmap, chunks, lines, lists,
                                  mapped, mix, pack, signed, unpack, written)
 
 CHUNK_TYPE = "array<struct<idx:int,h1:long,h2:long>>"
@@ -50,10 +55,23 @@ def line_chunks(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
             "h1": seq.spans(head, tail + 1), "h2": other.spans(head, tail + 1)}
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
+def line_pairs(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+    """Every two neighbouring lines that are not both blank, as ``line_chunks`` gives its chunks."""
+    row, start, end = lines(data, at)
+    line = Rolling(byte_values(0)[data]).spans(start, end)
+    count = np.bincount(row, minlength=len(at) - 1)
+    inner = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+    text = np.concatenate([[0], np.cumsum(NOT_SPACE[data])])
+    head = np.flatnonzero((row[1:] == row[:-1]) & (text[end[1:]] > text[start[:-1]]))
+    seq, other = Rolling(line, BASE2), Rolling(mix(line ^ U64(0x510E527FADE682D1)))
+    return {"row": row[head], "idx": inner[head], "start": start[head], "end": end[head + 1], "n": np.full(len(head), 2),
+            "h1": seq.spans(head, head + 2), "h2": other.spans(head, head + 2)}
+
+
+def repeated_chunks(docs: DataFrame, cut=line_chunks) -> DataFrame:
     """(doc_id, idx) of the chunks to remove."""
     def hashes(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray) -> dict:
-        c = line_chunks(data, at)
+        c = cut(data, at)
         struct = pa.StructArray.from_arrays([pa.array(c["idx"].astype(np.int32)), pa.array(signed(c["h1"])),
                                              pa.array(signed(c["h2"]))], names=["idx", "h1", "h2"])
         return {"doc_id": rows.column(0), "chunks": lists(np.bincount(c["row"], minlength=len(at) - 1), struct)}
@@ -68,7 +86,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     def fetch(batches):
         for batch in batches:
             for row, end, data, at in chunks(batch.column(1)):
-                c = line_chunks(data, at)
+                c = cut(data, at)
                 hit = np.flatnonzero(in_bitmap(seen.value, c["h1"]))
                 if not len(hit):
                     continue
@@ -85,10 +103,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return copies.where(~is_first).join(firsts, ["h1", "h2"]).where("chunk = kept").select("doc_id", "idx").distinct()
 
 
-def dedup_lines(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, keep_columns: bool = False, cut=line_chunks) -> DataFrame:
     """Every row of ``docs``: doc_id (or all columns, as row_), text (null if all lines went),
-    n_lines and n_removed."""
-    gone = repeated_chunks(docs).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("idx").alias("gone"))
+    n_lines and n_removed. ``cut`` gives what is compared: ``line_chunks`` or ``line_pairs``."""
+    gone = repeated_chunks(docs, cut).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("idx").alias("gone"))
     what = pack(docs, "doc_id", "text") if keep_columns else docs.select("doc_id", "text")
     if keep_columns:
         what = what.select(F.col("row_").dropFields("text").alias("row_"), "doc_id", "text")
@@ -106,13 +124,12 @@ def dedup_lines(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
                 total = np.bincount(row, minlength=b - a)
                 removed = np.zeros(b - a, dtype=np.int64)
                 if any(gone_at):
-                    c = line_chunks(data, at)
+                    c = cut(data, at)
                     new = text.to_pylist()
                     spans: dict[int, list[tuple[int, int]]] = {}
-                    for r, i, s, e, n in zip(*(c[k].tolist() for k in ("row", "idx", "start", "end", "n"))):
+                    for r, i, s, e in zip(*(c[k].tolist() for k in ("row", "idx", "start", "end"))):
                         if i in gone_at[r]:
                             spans.setdefault(r, []).append((s, e))
-                            removed[r] += n
                     for r, cuts in spans.items():
                         kept, upto = [], int(at[r])
                         for s, e in cuts:
@@ -121,7 +138,10 @@ def dedup_lines(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
                             upto = e + 1
                         if upto <= at[r + 1]:
                             kept.append(data[upto:at[r + 1]].tobytes())
-                        new[r] = b"\n".join(kept).decode() if removed[r] < total[r] else None
+                        if cut is line_pairs:
+                            kept = [x for x in kept if x.strip()]
+                        removed[r] = total[r] - sum(x.count(b"\n") + 1 for x in kept)
+                        new[r] = b"\n".join(kept).decode() if kept else None
                     text = pa.array(new, pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(part.num_columns - 2)), text.cast(pa.string()), pa.array(total), pa.array(removed)],
