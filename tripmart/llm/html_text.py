@@ -5,9 +5,10 @@ forms, menus, page headers and footers, sidebars and elements whose class, id or
 notice, advert or comment area leave empty lines. Each line's length is its text outside links;
 the block length at a line is the sum over the ``WINDOW`` lines around it. The text surges where the
 block length rises from zero and dives where it falls back; the span between them with most text is
-kept, and any other span whose peak reaches ``PEER`` of its peak. Where a page marks its article
-(article, main or the role main), lines outside it count as empty. Lines in a span are all kept,
-whatever their length.
+kept, and any other span whose peak reaches ``PEER`` of its peak. Lines in a span are all kept,
+whatever their length. Where a page marks its article (article, main or the role main), all its lines
+are the text, links too, and the distribution decides nothing. A link that is left open ends at the
+next link or the end of a block.
 
 Character references are decoded, white space in a line becomes one space, lines are trimmed and
 joined by two line feeds. Truncated markup is read to the end of the page. Pages are independent:
@@ -105,6 +106,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             continue
         if tag in BLOCKS:
             end_line()
+            if closing:
+                link = 0  # a link that was left open
         elif tag == "br":
             text(" ")
         if tag in VOID or not closing and m[3].endswith("/") and tag not in BLOCKS:
@@ -140,7 +143,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str | None) -> str:
     lines = page_lines(page or "")
     if any(inside and line for line, _, inside in lines):
-        lines = [(line, n, inside) if inside else ("", 0, inside) for line, n, inside in lines]
+        return "\n\n".join(line for line, _, inside in lines if inside and line)
     length = [n for _, n, _ in lines]
     half = WINDOW // 2
     block = [sum(length[max(0, i - half):i + half + 1]) for i in range(len(length))]
@@ -155,9 +158,7 @@ def main_text(page: str | None) -> str:
         return ""
     main = max(spans, key=lambda s: sum(length[s[0]:s[1]]))
     peak = max(block[main[0]:main[1]])
-    marked = any(inside for _, _, inside in lines)
-    kept = [line for a, b in spans if marked or (a, b) == main or max(block[a:b]) >= PEER * peak
-            for line, _, _ in lines[a:b] if line]
+    kept = [line for a, b in spans if (a, b) == main or max(block[a:b]) >= PEER * peak for line, _, _ in lines[a:b] if line]
     return "\n\n".join(kept)
 
 
