@@ -29,3 +29,23 @@ def test_links_stay_in_the_article(part, lines):
 def test_open_link_ends(page):
     body = f"<p>{LONG} <a href=x>never closed</p>" + paragraphs(story())
     assert H.main_text(page.format(body)) == text([LONG + " never closed", *story()])
+
+
+MENU = "".join(f"<div><a href=/{i}>Item {i}</a></div>" for i in range(8))
+
+
+@pytest.mark.parametrize("wrapped", ["<div><p>{}</p></div>", "<div><div><div><p>{}</p></div></div></div>",
+                                     "<p>{}</p><div class=ad><div><p>Buy now.</p><p>Cheap.</p></div></div>"])
+def test_unmarked_page_keeps_short_paragraphs(wrapped):
+    lines = [LONG, LONG, "A short one of ninety characters that ends the story.", LONG, "End."]
+    page = f"<body>{MENU}{''.join(wrapped.format(x) for x in lines)}{MENU}<div>About us</div></body>"
+    got = H.main_text(page).split("\n\n")
+    assert [x for x in got if not x.startswith("Item")] == [" ".join(x.split()) for x in lines]
+    assert len(got) <= len(lines) + 2  # a surge may take the line next to it
+
+
+def test_lines_between_kept_spans_stay():
+    links = [f"Source {i}" for i in range(6)]
+    items = "".join(f"<li><a href=/{i}>{x}</a></li>" for i, x in enumerate(links))
+    page = f"<div><p>{LONG}</p></div><ul>{items}</ul><p>Short.</p><ul>{items}</ul>{paragraphs(story(2))}"
+    assert H.main_text(page) == text([LONG, *links, "Short.", *links, *story(2)])

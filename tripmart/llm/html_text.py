@@ -2,11 +2,12 @@
 
 Markup is stripped to lines, one per block element, in page order. Scripts, styles, comments,
 forms, menus, page headers and footers, sidebars and elements whose class, id or role names a
-notice, advert or comment area leave empty lines. Each line's length is its text outside links;
-the block length at a line is the sum over the ``WINDOW`` lines around it. The text surges where the
-block length rises from zero and dives where it falls back; the span between them with most text is
-kept, and any other span whose peak reaches ``PEER`` of its peak. Lines in a span are all kept,
-whatever their length. Where a page marks its article (article, main or the role main), all its lines
+notice, advert or comment area give no lines, nor does markup without text, so distances count lines
+of text only. Each line's length is its text outside links; the block length at a line is the sum over
+the ``WINDOW`` lines around it. The text surges where the block length rises from zero and dives
+where it falls back (at runs of lines that are links). The span between them with most text is the
+main one, and any other whose longest line reaches ``PEER`` of its longest goes with it; all lines from
+the first of these spans to the last are kept, whatever their length. Where a page marks its article (article, main or the role main), all its lines
 are the text, links too, and the distribution decides nothing. A link that is left open ends at the
 next link or the end of a block.
 
@@ -141,9 +142,9 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 
 
 def main_text(page: str | None) -> str:
-    lines = page_lines(page or "")
-    if any(inside and line for line, _, inside in lines):
-        return "\n\n".join(line for line, _, inside in lines if inside and line)
+    lines = [x for x in page_lines(page or "") if x[0]]  # distance counts lines of text, not markup
+    if any(inside for _, _, inside in lines):
+        return "\n\n".join(line for line, _, inside in lines if inside)
     length = [n for _, n, _ in lines]
     half = WINDOW // 2
     block = [sum(length[max(0, i - half):i + half + 1]) for i in range(len(length))]
@@ -157,9 +158,9 @@ def main_text(page: str | None) -> str:
     if not spans:
         return ""
     main = max(spans, key=lambda s: sum(length[s[0]:s[1]]))
-    peak = max(block[main[0]:main[1]])
-    kept = [line for a, b in spans if (a, b) == main or max(block[a:b]) >= PEER * peak for line, _, _ in lines[a:b] if line]
-    return "\n\n".join(kept)
+    longest = max(length[main[0]:main[1]])
+    kept = [(a, b) for a, b in spans if (a, b) == main or max(length[a:b]) >= PEER * longest]
+    return "\n\n".join(line for line, _, _ in lines[kept[0][0]:kept[-1][1]])
 
 
 def extract(pages: DataFrame) -> DataFrame:
