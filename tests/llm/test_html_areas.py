@@ -49,3 +49,31 @@ def test_lines_between_kept_spans_stay():
     items = "".join(f"<li><a href=/{i}>{x}</a></li>" for i, x in enumerate(links))
     page = f"<div><p>{LONG}</p></div><ul>{items}</ul><p>Short.</p><ul>{items}</ul>{paragraphs(story(2))}"
     assert H.main_text(page) == text([LONG, *links, "Short.", *links, *story(2)])
+
+
+@pytest.mark.parametrize("html,lines", [
+    ("<article><p class=notice>N<p>Main one</p><p>Main two</p></article>", ["Main one", "Main two"]),
+    ("<article><ul><li class=ad>Ad<li>One<li>Two</ul><p>End</article>", ["One", "Two", "End"]),
+    ("<article><table><tr><td class=ad>Ad<td>One<tr><td>Two</table>End</article>", ["One", "Two", "End"]),
+    ("<article><dl><dt>T<dd class=ad>Ad<dt>U<dd>V</dl></article>", ["T", "U", "V"]),
+    ("<article><div><nav><p>Menu</div><p>Main</article>", ["Main"]),
+    ("<article><div class=ad><p>Ad<p>More</div><p>Main<p class=notice>N<h2>Head</h2><p>Text</article>", ["Main", "Head", "Text"]),
+    ("<article><p class=notice>N<div>Main<ul><li>A<ul><li class=ad>B</ul><li>C</ul></div></article>", ["Main", "A", "C"]),
+    ("<article><p>One <span class=ad>Ad</span>two</p></article>", ["One two"]),
+    ("<article><table><tr><td><p>One</div></p><td>Two</table></article>", ["One", "Two"]),
+    ("<head><meta charset=x><title>T</title><p>Main", ["Main"])])
+def test_skipped_elements_end_with_implied_tags(html, lines):
+    assert H.main_text(html) == text(lines)
+
+
+def test_link_that_holds_blocks_is_a_link():
+    card = "<a href=x><h3>Teaser</h3><p>" + LONG * 3 + "</p></a>"
+    page = f"<body>{card * 4}{paragraphs(story())}{card * 4}</body>"
+    got = H.main_text(page).split("\n\n")
+    assert [x for x in got if x[-1].isdigit()] == text(story()).split("\n\n") and len(got) <= 6
+
+
+def test_deep_and_unbalanced_markup_takes_linear_time():
+    for html in ("<div>" * 30_000 + "x", "<b><a>" * 30_000 + "x", "<p><b>" * 30_000 + "x", "</div></p>" * 30_000 + "x",
+                 "<b>" * 3_000 + "<li>x" * 3_000, "<table><tr><td>" * 10_000 + "x"):
+        assert H.main_text("<article>" + html)[-1] == "x"

@@ -8,8 +8,9 @@ the ``WINDOW`` lines around it. The text surges where the block length rises fro
 where it falls back (at runs of lines that are links). The span between them with most text is the
 main one, and any other whose longest line reaches ``PEER`` of its longest goes with it; all lines from
 the first of these spans to the last are kept, whatever their length. Where a page marks its article (article, main or the role main), all its lines
-are the text, links too, and the distribution decides nothing. A link that is left open ends at the
-next link or the end of a block.
+are the text, links too, and the distribution decides nothing. Implied end tags are HTML's: a new paragraph, item
+or cell ends an open one, and an element ends with its parent, and so does what is left out with it.
+A link that is left open ends at the next link or the end of its line.
 
 Character references are decoded, white space in a line becomes one space, lines are trimmed and
 joined by two line feeds. Truncated markup is read to the end of the page. Pages are independent:
@@ -22,7 +23,9 @@ each get their own text; null urls stay null. Extra columns are ignored.
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +49,12 @@ AREAS = re.compile(
     r"menus?|nav(?:bar|igation)?|breadcrumbs?|footer|masthead|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|"
     r"newsletter|subscribe|subscription|signup|login|comments?|respond|disqus|replies|related|recommended|share|sharing|"
     r"social|widgets?|toolbar|pagination|pager|search|skip-?link)(?:$|[\s_-])", re.I)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Implied end tags: what a table's part ends, and the elements that no implied end goes beyond.
+PARTS = {"td": ("td", "th", "caption"), "th": ("td", "th", "caption"), "tr": ("tr", "caption"),
+         **dict.fromkeys(("tbody", "thead", "tfoot"), ("tbody", "thead", "tfoot", "caption"))}
+CELLS = {"table", "td", "th", "caption"}
+ITEM_STOPS = BLOCKS - {"address", "div", "p", "li", "dd", "dt"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu",
          "menubar", "toolbar", "note"}
 
@@ -68,30 +77,85 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+class Element:
+    """An element of the page; ``ended``: by its own end tag."""
+
+    __slots__ = ("tag", "parent", "own", "article", "line", "ended", "skipped")
+
+    def __init__(self, tag: str, parent: Element | None, own: bool, article: Element | None, line: int):
+        self.tag, self.parent, self.own, self.article, self.line = tag, parent, own, article, line
+        self.ended = self.skipped = False
+
+
+class Open:
+    """The open elements, outermost first, with HTML's implied end tags."""
+
+    def __init__(self):
+        self.stack = [Element("", None, False, None, 0)]
+        self.count: Counter[str] = Counter()  # open elements by tag
+        self.links: list[Element] = []
+
+    def push(self, element: Element) -> None:
+        self.stack.append(element)
+        self.count[element.tag] += 1
+        if element.tag == "a":
+            self.links.append(element)
+
+    def remove(self, first: int, end: int | None = None) -> None:
+        for element in self.stack[first:end]:
+            self.count[element.tag] -= 1
+            if element.tag == "a":
+                self.links.remove(element)
+        del self.stack[first:end]
+
+    def close(self, tags: tuple[str, ...], stops: set[str], by_tag: bool = False) -> None:
+        """End the innermost open element of ``tags`` inside the nearest of ``stops``, with all in it; an
+        inline element that blocks lie in ends alone."""
+        if not any(self.count[t] for t in tags):
+            return
+        block = False
+        for k in range(len(self.stack) - 1, 0, -1):
+            element = self.stack[k]
+            if element.tag in tags:
+                element.ended = by_tag
+                self.remove(k, k + 1 if block and element.tag not in BLOCKS else None)
+                return
+            if element.tag in stops:
+                return
+            block = block or element.tag in BLOCKS
+
+    def before(self, tag: str) -> None:
+        """What the start of ``tag`` ends."""
+        if tag not in ("html", "head"):
+            self.close(("head",), set())
+        if tag == "li":
+            self.close(("li",), ITEM_STOPS)
+        elif tag in ("dd", "dt"):
+            self.close(("dd", "dt"), ITEM_STOPS)
+        elif tag in PARTS:
+            self.close(PARTS[tag], {"table"} if tag not in ("td", "th") else {"table", "tr"})
+        elif tag == "a":
+            self.close(("a",), CELLS)
+        if tag in BLOCKS and tag not in PARTS:
+            self.close(("p",), CELLS)
+        if tag in HEADINGS and self.stack[-1].tag in HEADINGS:
+            self.remove(len(self.stack) - 1)
+
+    def end(self, tag: str) -> None:
+        stops = {"table"} if tag in PARTS else set() if tag in ("table", "html", "body") else CELLS
+        self.close((tag,), stops | {"ul", "ol", "menu"} if tag == "li" else stops, True)
+
+
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
     """(text, characters outside links, inside the marked article) of every line; boilerplate is empty."""
-    lines: list[tuple[str, int, bool]] = []
-    parts: list[str] = []
-    plain = 0
-    skipped: list[str] = []  # open elements from the outermost boilerplate element on
-    article: list[str] = []  # open article elements
-    link = 0
-    at = 0
+    opened = Open()
+    elements: list[Element] = []  # parents first
+    texts: list[tuple[int, str, Element, Element | None]] = []  # line, text, element, link
+    line = at = 0
 
     def text(raw: str) -> None:
-        nonlocal plain
-        if skipped or not raw:
-            return
-        raw = entities.unescape(raw)
-        parts.append(raw)
-        if not link:
-            plain += sum(map(len, raw.split()))
-
-    def end_line() -> None:
-        nonlocal plain
-        lines.append((" ".join("".join(parts).split()), plain, bool(article)))
-        parts.clear()
-        plain = 0
+        if raw:
+            texts.append((line, entities.unescape(raw), opened.stack[-1], opened.links[-1] if opened.links else None))
 
     while m := TOKEN.search(page, at):
         text(page[at:m.start()])
@@ -106,38 +170,37 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 at = end.end() if end else len(page)
             continue
         if tag in BLOCKS:
-            end_line()
-            if closing:
-                link = 0  # a link that was left open
+            line += 1
         elif tag == "br":
             text(" ")
-        if tag in VOID or not closing and m[3].endswith("/") and tag not in BLOCKS:
+        if closing:
+            opened.end(tag)
             continue
-        if skipped:
-            if closing:
-                if tag in skipped:
-                    while skipped.pop() != tag:
-                        pass
-            elif tag in ("article", "main"):  # an element before it was left open
-                skipped.clear()
-                article.append(tag)
-            elif tag == skipped[0] or tag in ("div", "section", "ul", "ol", "table", "span"):
-                skipped.append(tag)
+        if tag in VOID:
+            if tag == "hr":
+                opened.before(tag)
             continue
-        if closing:
-            if tag in article:
-                article.remove(tag)
-            if tag == "a":
-                link = 0
-        elif _boilerplate(tag, m[3], bool(article)):
-            skipped.append(tag)
-        else:
-            if tag in ("article", "main") or tag in ("div", "section") and re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I):
-                article.append(tag)
-            if tag == "a":
-                link = 1
+        if m[3].endswith("/") and tag not in BLOCKS:
+            continue
+        opened.before(tag)
+        parent = opened.stack[-1]
+        element = Element(tag, parent, _boilerplate(tag, m[3], parent.article is not None), parent.article, line)
+        if tag in ("article", "main") or tag in ("div", "section") and re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I):
+            element.article = element.article or element
+        elements.append(element)
+        opened.push(element)
     text(page[at:])
-    end_line()
+
+    for element in elements:
+        element.skipped = element.own or element.parent.skipped and element.tag not in ("article", "main")
+    lines: list[tuple[str, int, bool]] = []
+    for _, group in itertools.groupby(texts, key=lambda x: x[0]):
+        parts = [x for x in group if not x[2].skipped]
+        # a link without an end tag ends with the line it starts on
+        plain = sum(sum(map(len, raw.split())) for n, raw, _, link in parts
+                    if link is None or not link.ended and n > link.line)
+        lines.append((" ".join("".join(raw for _, raw, _, _ in parts).split()), plain,
+                      any(element.article is not None for _, _, element, _ in parts)))
     return lines
 
 
