@@ -77,3 +77,21 @@ def test_deep_and_unbalanced_markup_takes_linear_time():
     for html in ("<div>" * 30_000 + "x", "<b><a>" * 30_000 + "x", "<p><b>" * 30_000 + "x", "</div></p>" * 30_000 + "x",
                  "<b>" * 3_000 + "<li>x" * 3_000, "<table><tr><td>" * 10_000 + "x"):
         assert H.main_text("<article>" + html)[-1] == "x"
+
+
+@pytest.mark.parametrize("after", [
+    "<div id=comments><article class=comment><p>Reader one.</p></article><article><p>Reader two.</p></article></div>",
+    "<article class='comment'><p>Reader one.</p></article><article class=teaser><h3>Next</h3><p>Teaser.</p></article>",
+    "<aside><article><h3>Next</h3><p>Teaser.</p></article></aside>",
+    "<article><h3>Next</h3><p>Teaser.</p></article><article><p>Other.</p></article>",
+    "<article id=related role=complementary><p>Teaser.</p></article>"])
+def test_main_text_outside_of_article_elements(after):
+    assert H.main_text(f"<body><div class=post>{paragraphs(story())}</div>{after}</body>") == text(story())
+    assert H.main_text(f"<body><article class=post>{paragraphs(story())}</article>{after.replace('<article>', '<div>').replace('</article>', '</div>')}</body>") == text(story())
+
+
+def test_article_in_boilerplate():
+    body = paragraphs(story())
+    assert H.main_text(f"<body><section><div class=ad>Ad<div>More</div><article>{body}</article></section>") == text(story())
+    assert H.main_text(f"<body><div class=ad>Ad<article><p>Buy</p></article></div><div>{body}</div>") == text(story())
+    assert H.main_text(f"<body><article>{body}</article><article><p>Part two.</p></article>") == text([*story(), "Part two."])

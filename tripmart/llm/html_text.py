@@ -8,7 +8,9 @@ the ``WINDOW`` lines around it. The text surges where the block length rises fro
 where it falls back (at runs of lines that are links). The span between them with most text is the
 main one, and any other whose longest line reaches ``PEER`` of its longest goes with it; all lines from
 the first of these spans to the last are kept, whatever their length. Where a page marks its article (article, main or the role main), all its lines
-are the text, links too, and the distribution decides nothing. Implied end tags are HTML's: a new paragraph, item
+are the text, links too, and the distribution decides nothing, unless a span outside has more text
+than all marked areas: then these are spans like others. Article elements of comments and teasers
+(by class, id or role) mark nothing. One inside boilerplate counts only if that was left open. Implied end tags are HTML's: a new paragraph, item
 or cell ends an open one, and an element ends with its parent, and so does what is left out with it.
 A link that is left open ends at the next link or the end of its line.
 
@@ -49,6 +51,11 @@ AREAS = re.compile(
     r"menus?|nav(?:bar|igation)?|breadcrumbs?|footer|masthead|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|"
     r"newsletter|subscribe|subscription|signup|login|comments?|respond|disqus|replies|related|recommended|share|sharing|"
     r"social|widgets?|toolbar|pagination|pager|search|skip-?link)(?:$|[\s_-])", re.I)
+#: Classes and ids of article elements that are not the page's article.
+ARTICLES = {"comment", "comments", "reply", "replies", "teaser", "teasers", "related", "recommended", "ad", "ads", "advert",
+            "advertisement", "sponsored", "promo", "widget", "related-post", "related-posts", "related-article", "related-articles"}
+#: Elements whose end tag may be left out: they end in the right place without it.
+OPTIONAL = {"p", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "head"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Implied end tags: what a table's part ends, and the elements that no implied end goes beyond.
 PARTS = {"td": ("td", "th", "caption"), "th": ("td", "th", "caption"), "tr": ("tr", "caption"),
@@ -66,13 +73,16 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([
 def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in BOILERPLATE or tag == "header" and not in_article:
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body"):
         return False
     for name, *value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(value)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and AREAS.search(value):
+        if name == "role" and value.lower() in ROLES:
+            return True
+        if name in ("class", "id") and (
+                any(x in ARTICLES for x in value.lower().split()) if tag in ("article", "main") else AREAS.search(value)):
             return True
     return False
 
@@ -80,11 +90,12 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
 class Element:
     """An element of the page; ``ended``: by its own end tag."""
 
-    __slots__ = ("tag", "parent", "own", "article", "line", "ended", "skipped")
+    __slots__ = ("tag", "parent", "own", "article", "line", "ended", "skipped", "left_open")
 
     def __init__(self, tag: str, parent: Element | None, own: bool, article: Element | None, line: int):
         self.tag, self.parent, self.own, self.article, self.line = tag, parent, own, article, line
         self.ended = self.skipped = False
+        self.left_open = True  # all boilerplate elements around it, and itself if it is one
 
 
 class Open:
@@ -146,8 +157,8 @@ class Open:
         self.close((tag,), stops | {"ul", "ol", "menu"} if tag == "li" else stops, True)
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters outside links, inside the marked article) of every line; boilerplate is empty."""
+def page_lines(page: str) -> list[tuple[str, int, Element | None]]:
+    """(text, characters outside links, the marked article it is in) of every line; boilerplate is empty."""
     opened = Open()
     elements: list[Element] = []  # parents first
     texts: list[tuple[int, str, Element, Element | None]] = []  # line, text, element, link
@@ -185,42 +196,57 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         opened.before(tag)
         parent = opened.stack[-1]
         element = Element(tag, parent, _boilerplate(tag, m[3], parent.article is not None), parent.article, line)
-        if tag in ("article", "main") or tag in ("div", "section") and re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I):
+        if element.own:
+            pass
+        elif tag in ("article", "main") or tag in ("div", "section") and re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I):
             element.article = element.article or element
         elements.append(element)
         opened.push(element)
     text(page[at:])
 
     for element in elements:
-        element.skipped = element.own or element.parent.skipped and element.tag not in ("article", "main")
-    lines: list[tuple[str, int, bool]] = []
+        up = element.parent
+        # an article in boilerplate that was left open is none of it
+        element.skipped = element.own or up.skipped and not (element.tag in ("article", "main") and up.left_open)
+        element.left_open = up.left_open and not (element.own and (element.ended or element.tag in OPTIONAL))
+    lines: list[tuple[str, int, Element | None]] = []
     for _, group in itertools.groupby(texts, key=lambda x: x[0]):
         parts = [x for x in group if not x[2].skipped]
         # a link without an end tag ends with the line it starts on
         plain = sum(sum(map(len, raw.split())) for n, raw, _, link in parts
                     if link is None or not link.ended and n > link.line)
         lines.append((" ".join("".join(raw for _, raw, _, _ in parts).split()), plain,
-                      any(element.article is not None for _, _, element, _ in parts)))
+                      next((element.article for _, _, element, _ in parts if element.article), None)))
     return lines
 
 
+def _spans(length: list[int], area: list) -> list[tuple[int, int]]:
+    """(first line, end line) from each surge to the next dive; none goes beyond an area."""
+    spans, a = [], 0
+    for _, group in itertools.groupby(range(len(length)), key=lambda i: id(area[i])):
+        b = a + sum(1 for _ in group)
+        start = None
+        for i in range(a, b + 1):
+            block = i < b and sum(length[max(a, i - WINDOW // 2):min(b, i + WINDOW // 2 + 1)])
+            if block and start is None:
+                start = i
+            elif not block and start is not None:
+                spans.append((start, i))
+                start = None
+        a = b
+    return spans
+
+
 def main_text(page: str | None) -> str:
     lines = [x for x in page_lines(page or "") if x[0]]  # distance counts lines of text, not markup
-    if any(inside for _, _, inside in lines):
-        return "\n\n".join(line for line, _, inside in lines if inside)
-    length = [n for _, n, _ in lines]
-    half = WINDOW // 2
-    block = [sum(length[max(0, i - half):i + half + 1]) for i in range(len(length))]
-    spans, start = [], None  # from a surge to the next dive
-    for i, b in enumerate([*block, 0]):
-        if b and start is None:
-            start = i
-        elif not b and start is not None:
-            spans.append((start, i))
-            start = None
-    if not spans:
+    length, area = [n for _, n, _ in lines], [x for _, _, x in lines]
+    spans = _spans(length, area)
+    main = max(spans, key=lambda s: sum(length[s[0]:s[1]]), default=None)
+    marked = sum(n for n, x in zip(length, area) if x)
+    if any(area) and (main is None or area[main[0]] or sum(length[main[0]:main[1]]) <= marked):
+        return "\n\n".join(line for line, _, x in lines if x)
+    if main is None:
         return ""
-    main = max(spans, key=lambda s: sum(length[s[0]:s[1]]))
     longest = max(length[main[0]:main[1]])
     kept = [(a, b) for a, b in spans if (a, b) == main or max(length[a:b]) >= PEER * longest]
     return "\n\n".join(line for line, _, _ in lines[kept[0][0]:kept[-1][1]])
