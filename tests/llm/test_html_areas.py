@@ -94,4 +94,31 @@ def test_article_in_boilerplate():
     body = paragraphs(story())
     assert H.main_text(f"<body><section><div class=ad>Ad<div>More</div><article>{body}</article></section>") == text(story())
     assert H.main_text(f"<body><div class=ad>Ad<article><p>Buy</p></article></div><div>{body}</div>") == text(story())
+    assert H.main_text(f"<section><article class=ad>Ad<article>{body}</article></section><p>About") == text(story())
     assert H.main_text(f"<body><article>{body}</article><article><p>Part two.</p></article>") == text([*story(), "Part two."])
+
+
+@pytest.mark.parametrize("page", ["<article>{}</article>", "<body>{}</body>"])
+@pytest.mark.parametrize("part,lines", [
+    ("<section id='related-work'><h2>Related work</h2><p>They did it.</p></section>", ["Related work", "They did it."]),
+    ("<h2 id='search-algorithms'>Search</h2><h2 id='comments-on-the-treaty'>Comments</h2>", ["Search", "Comments"]),
+    ("<h2 id=search>Search</h2>", ["Search"]), ("<div id='ad-hoc-methods'>Methods</div>", ["Methods"]),
+    ("<p data-id=ads data-class='x share'>Kept</p>", ["Kept"]), ("<div class='elementor-widget'><p>Inside</p></div>", ["Inside"]),
+    ("<div class='related-posts'>R</div><div class='site_footer'>F</div><div class='x ad-container-728x90'>A</div>", []),
+    ("<ul class='comment-list'><li>C</ul><div id=cookie-banner>B</div><div class='share-buttons'>S</div>", []),
+    ("<div class=related>R</div><div id=social>S</div><div role=note>N</div><p class=widget>W</p>", [])])
+def test_names_of_areas(page, part, lines):
+    body = paragraphs(story(2))
+    assert H.main_text(page.format(body + part + body)) == text([*story(2), *lines, *story(2)])
+
+
+@pytest.mark.parametrize("name", ["class='elementor-widget'", "class='left-sidebar-layout'", "class=widget", "class='x left-sidebar'", "id=main-menu",
+                                  "role=note", "id=comments", "class='tag-ads category-promo'"])
+def test_area_with_most_of_the_text_stays(name):
+    assert H.main_text(f"<body><div {name}>{paragraphs(story())}</div></body>") == text(story())
+    assert H.main_text(f"<body><article {name}>{paragraphs(story())}</article></body>") == text(story())
+
+
+def test_long_comments_go():
+    page = f"<body><div>{paragraphs(story(2))}</div><div id=comments>{paragraphs(['Reader: ' + LONG] * 9)}</div></body>"
+    assert H.main_text(page) == text(story(2))

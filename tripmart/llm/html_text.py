@@ -2,7 +2,7 @@
 
 Markup is stripped to lines, one per block element, in page order. Scripts, styles, comments,
 forms, menus, page headers and footers, sidebars and elements whose class, id or role names a
-notice, advert or comment area give no lines, nor does markup without text, so distances count lines
+notice, advert or comment area (and hold no more than half of the text) give no lines, nor does markup without text, so distances count lines
 of text only. Each line's length is its text outside links; the block length at a line is the sum over
 the ``WINDOW`` lines around it. The text surges where the block length rises from zero and dives
 where it falls back (at runs of lines that are links). The span between them with most text is the
@@ -46,11 +46,20 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "cente
           "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary",
           "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+#: Words of classes and ids that name boilerplate. A name counts if all its parts are such words or
+#: ``SIDE`` words (numbers too): related-posts does, related-work and ad-hoc-methods do not.
 AREAS = re.compile(
-    r"(?:^|[\s_-])(?<!with-)(?<!has-)(?<!no-)(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banners?|side-?bar|"
-    r"menus?|nav(?:bar|igation)?|breadcrumbs?|footer|masthead|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|comments?|respond|disqus|replies|related|recommended|share|sharing|"
-    r"social|widgets?|toolbar|pagination|pager|search|skip-?link)(?:$|[\s_-])", re.I)
+    r"ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banners?|side-?bars?|menus?|nav(?:bar|igation)?|"
+    r"breadcrumbs?|footer|masthead|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|subscription|"
+    r"signup|login|comments?|respond|disqus|replies|related|recommended|share|sharing|social|widgets?|toolbar|pagination|pager|search|skip")
+SIDE = re.compile(
+    r"[0-9]+(?:x[0-9]+)?|site|page|main|global|primary|secondary|tertiary|top|bottom|left|right|header|head|body|inner|outer|mobile|desktop|"
+    r"sticky|fixed|floating|area|bar|box|block|blocks|container|content|wrap|wrapper|section|sections|panel|pane|zone|unit|units|slot|slots|"
+    r"placeholder|label|link|links|list|lists|item|items|button|buttons|btn|icon|icons|form|field|input|toggle|title|thread|posts?|articles?|"
+    r"stories|story|news|media|google|gpt|dfp|taboola|outbrain|facebook|twitter|policy|law|eu|message|text|info|warning|success|danger|error|"
+    r"close|sub|js|the|to|and|ui|col|columns?|row|group|tools|trail|dropdown|results?|reply|count|meta|dialog|window|lightbox|email|mail|user|web")
+#: Areas that may be longer than the text they go with.
+REMARKS = re.compile(r"ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|comments?|respond|disqus|replies|cookies?|consent|gdpr")
 #: Classes and ids of article elements that are not the page's article.
 ARTICLES = {"comment", "comments", "reply", "replies", "teaser", "teasers", "related", "recommended", "ad", "ads", "advert",
             "advertisement", "sponsored", "promo", "widget", "related-post", "related-posts", "related-article", "related-articles"}
@@ -67,34 +76,50 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?=[/a-zA-Z])[^<]*\Z", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in BOILERPLATE or tag == "header" and not in_article:
+def _area(name: str, words: re.Pattern = AREAS) -> bool:
+    """Whether one class or id names such an area."""
+    if words.fullmatch(name):
         return True
+    parts = [x for x in re.split(r"[-_]+", name) if x]
+    return any(words.fullmatch(x) for x in parts) and all(AREAS.fullmatch(x) or SIDE.fullmatch(x) for x in parts)
+
+
+#: How surely an element is boilerplate; from ``LIKELY`` down, one that holds most of the text is not,
+#: at ``REMARK`` one that holds all of it.
+NO, LIKELY, REMARK, SURE = range(4)
+
+
+def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
+    if tag in BOILERPLATE or tag == "header" and not in_article:
+        return SURE
     if not attributes or tag in ("html", "body"):
-        return False
+        return NO
+    found = NO
     for name, *value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(value)
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and (
-                any(x in ARTICLES for x in value.lower().split()) if tag in ("article", "main") else AREAS.search(value)):
-            return True
-    return False
+        name, value = name.lower(), "".join(value).lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return SURE
+        if name == "role" and value in ROLES:
+            found = max(found, LIKELY)
+        if name == "class" or name == "id" and tag not in HEADINGS:
+            for x in value.split():
+                if x in ARTICLES if tag in ("article", "main") else _area(x):
+                    found = max(found, REMARK if _area(x, REMARKS) else LIKELY)
+    return found
 
 
 class Element:
     """An element of the page; ``ended``: by its own end tag."""
 
-    __slots__ = ("tag", "parent", "own", "article", "line", "ended", "skipped", "left_open")
+    __slots__ = ("tag", "parent", "own", "article", "line", "ended", "skipped", "left_open", "mass")
 
-    def __init__(self, tag: str, parent: Element | None, own: bool, article: Element | None, line: int):
+    def __init__(self, tag: str, parent: Element | None, own: int, article: Element | None, line: int):
         self.tag, self.parent, self.own, self.article, self.line = tag, parent, own, article, line
         self.ended = self.skipped = False
+        self.mass = 0  # characters outside links
         self.left_open = True  # all boilerplate elements around it, and itself if it is one
 
 
@@ -102,7 +127,7 @@ class Open:
     """The open elements, outermost first, with HTML's implied end tags."""
 
     def __init__(self):
-        self.stack = [Element("", None, False, None, 0)]
+        self.stack = [Element("", None, NO, None, 0)]
         self.count: Counter[str] = Counter()  # open elements by tag
         self.links: list[Element] = []
 
@@ -160,6 +185,7 @@ class Open:
 def page_lines(page: str) -> list[tuple[str, int, Element | None]]:
     """(text, characters outside links, the marked article it is in) of every line; boilerplate is empty."""
     opened = Open()
+    root = opened.stack[0]
     elements: list[Element] = []  # parents first
     texts: list[tuple[int, str, Element, Element | None]] = []  # line, text, element, link
     line = at = 0
@@ -196,26 +222,37 @@ def page_lines(page: str) -> list[tuple[str, int, Element | None]]:
         opened.before(tag)
         parent = opened.stack[-1]
         element = Element(tag, parent, _boilerplate(tag, m[3], parent.article is not None), parent.article, line)
-        if element.own:
-            pass
-        elif tag in ("article", "main") or tag in ("div", "section") and re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I):
+        if tag in ("article", "main") or tag in ("div", "section") and re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I):
             element.article = element.article or element
         elements.append(element)
         opened.push(element)
     text(page[at:])
 
+    def plain(n: int, raw: str, link: Element | None) -> int:
+        # a link without an end tag ends with the line it starts on
+        return sum(map(len, raw.split())) if link is None or not link.ended and n > link.line else 0
+
+    if any(LIKELY <= x.own < SURE for x in elements):
+        for n, raw, element, link in texts:
+            element.mass += plain(n, raw, link)
+        for element in reversed(elements):
+            if element.own != SURE:
+                element.parent.mass += element.mass
+        whole = root.mass
+        for element in elements:
+            if element.own == LIKELY and 2 * element.mass > whole or element.own == REMARK and 0 < element.mass == whole:
+                element.own = NO
     for element in elements:
         up = element.parent
         # an article in boilerplate that was left open is none of it
-        element.skipped = element.own or up.skipped and not (element.tag in ("article", "main") and up.left_open)
+        element.skipped = element.own != NO or up.skipped and not (element.tag in ("article", "main") and up.left_open)
         element.left_open = up.left_open and not (element.own and (element.ended or element.tag in OPTIONAL))
+        if element.article and element.article.own:
+            element.article = up.article or (element if element.tag in ("article", "main") and not element.own else None)
     lines: list[tuple[str, int, Element | None]] = []
     for _, group in itertools.groupby(texts, key=lambda x: x[0]):
         parts = [x for x in group if not x[2].skipped]
-        # a link without an end tag ends with the line it starts on
-        plain = sum(sum(map(len, raw.split())) for n, raw, _, link in parts
-                    if link is None or not link.ended and n > link.line)
-        lines.append((" ".join("".join(raw for _, raw, _, _ in parts).split()), plain,
+        lines.append((" ".join("".join(raw for _, raw, _, _ in parts).split()), sum(plain(n, raw, link) for n, raw, _, link in parts),
                       next((element.article for _, _, element, _ in parts if element.article), None)))
     return lines
 
