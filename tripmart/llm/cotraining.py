@@ -2,15 +2,16 @@
 
 Two views of a document get a logistic classifier each: its text (hashed words present, and ratios
 of symbols, capitals, repeated lines and the like) and its metadata (source, language, length). For
-``ROUNDS`` rounds each view is fitted on its labelled rows, scores a pool of unlabelled documents,
-and hands its most confident ones (calibrated probability beyond ``CONFIDENT``, as many per class as
-the class's share of ``HANDED`` rows) as pseudo-labels to the other view. At the end each view is
+``ROUNDS`` rounds each view is fitted on its labelled rows, scores all unlabelled documents, and hands
+confident ones (calibrated probability beyond ``CONFIDENT``) as pseudo-labels to the other view: by
+hash, evenly from the strata of source and language, about as many per class as its share of
+``HANDED`` rows, but ``LEAST_DOCS`` of each stratum that has them. At the end each view is
 calibrated on labelled rows that no round trained on, and the calibrated log-odds are added, less the
 prior's, to score every document. ``quality`` and ``toxic`` labels are learned alike.
 
-Fitting uses a bounded sample, the ``LABELLED`` labelled and ``POOL`` unlabelled rows with the least
-hash of doc_id, so it does not grow with the corpus; scoring is one narrow pass over all documents
-with a broadcast model of fixed size (``SLOTS`` weights a label).
+Each round is one narrow pass with a broadcast model of fixed size (``SLOTS`` weights a label). Fitting
+uses the ``LABELLED`` labelled rows with the least hash of doc_id and the rows handed over, whose
+number grows with the strata (at most ``META_SLOTS``) and not with the corpus.
 
 Defined results: null or empty text has no words (its metadata and the prior decide); null metadata
 are values of their own; a doc_id whose labels disagree is not used; without labels of both classes
@@ -20,6 +21,7 @@ document is kept if its quality is 0.5 or more and its toxicity is below 0.5. Ex
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +34,6 @@ from tripmart.llm.common import ALNUM, U64, Rolling, Words, byte_values, lists,
 from tripmart.llm.quality_rules import text_stats
 
 LABELLED = 8_000
-POOL = 4_000
 ROUNDS = 3
 HANDED = 400
 CONFIDENT = 0.95
@@ -141,45 +142,8 @@ def calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(a, 0.0), b
 
 
-def cotrain(views: list[Sparse], labelled: np.ndarray, y: np.ndarray, pool: np.ndarray) -> dict | None:
-    """The two classifiers, their calibrations and the prior's log-odds; None without both classes."""
-    held = labelled[: int(len(labelled) * HELD)]
-    train = labelled[len(held):]
-    if min(len(set(y[train].tolist())), len(set(y[held].tolist()))) < 2:
-        return None
-    rows, targets = [train, train], [y[train], y[train]]
-    share = float(y[train].mean())
-    models: list = [None, None]
-    for turn in range(ROUNDS + 1):
-        for i, view in enumerate(views):
-            models[i] = fit(view.take(rows[i]), targets[i])
-        if turn == ROUNDS or not len(pool):
-            break
-        for i, view in enumerate(views):
-            a, b = calibrate(view.take(held).score(*models[i]), y[held])
-            p = sigmoid(a * view.take(pool).score(*models[i]) + b)
-            other = 1 - i
-            fresh = ~np.isin(pool, rows[other])
-            for label, sure in ((1, p), (0, 1 - p)):
-                n = int(round(HANDED * (share if label else 1 - share)))
-                best = np.argsort(-sure, kind="stable")
-                best = best[(sure[best] >= CONFIDENT) & fresh[best]][:n]
-                rows[other] = np.concatenate([rows[other], pool[best]])
-                targets[other] = np.concatenate([targets[other], np.full(len(best), label)])
-    return {"models": models, "calibration": [calibrate(v.take(held).score(*m), y[held]) for v, m in zip(views, models)],
-            "prior": float(np.log(y[train].mean() / (1 - y[train].mean())))}
-
-
-def sample_features(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
-    """Features and labels of the sample, in the order of the hash of doc_id (unlabelled: null)."""
-    once = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
-        *[F.when(F.min(t) == F.max(t), F.min(t)).alias(t) for t in TASKS])
-    order = F.xxhash64("doc_id", F.lit(7))
-    labelled = once.orderBy(order, "doc_id").limit(LABELLED)
-    pool = docs.where("doc_id IS NOT NULL").select("doc_id").join(once.select("doc_id"), "doc_id", "left_anti").distinct() \
-        .orderBy(order, "doc_id").limit(POOL).select("doc_id", *[F.lit(None).cast("int").alias(t) for t in TASKS])
-    sample = written(labelled.union(pool), "sample")  # LABELLED + POOL rows at most
-
+def features(docs: DataFrame, chosen: DataFrame) -> pd.DataFrame:
+    """Features and labels of the chosen documents (doc_id, TASKS), in the order of the hash of doc_id."""
     def work(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray) -> dict:
         n = len(at) - 1
         row, slot, stats = text_features(data, at)
@@ -189,15 +153,16 @@ def sample_features(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
                 "stats": lists(np.full(n, N_STATS), pa.array(stats.ravel())),
                 "meta": lists(np.full(n, 4), pa.array(meta.ravel().astype(np.int32)))}
 
-    chosen = docs.join(F.broadcast(sample), "doc_id").select("doc_id", *TASKS, "source", "lang", "n_chars", "text")
-    got = mapped(chosen, "text", "doc_id long, quality int, toxic int, slots array<int>, stats array<double>, meta array<int>",
+    picked = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", *TASKS, "source", "lang", "n_chars", "text")
+    got = mapped(picked, "text", "doc_id long, quality int, toxic int, slots array<int>, stats array<double>, meta array<int>",
                  work).toArrow().to_pandas()
-    got = got.drop_duplicates("doc_id")
-    return got.assign(key=mix(got["doc_id"].to_numpy().astype(np.int64).view(np.uint64))).sort_values(["key", "doc_id"]).reset_index(drop=True)
+    got = got.assign(key=mix(got["doc_id"].to_numpy().astype(np.int64).view(np.uint64)))
+    return got.sort_values(["key", "doc_id"]).drop_duplicates("doc_id").reset_index(drop=True)
 
 
-def train(sample: pd.DataFrame) -> dict[str, dict]:
-    """Per task: word weights by slot, ratio weights, metadata weights, biases and calibration."""
+def train(sample: pd.DataFrame, handed: dict[tuple[str, int], dict[int, int]]) -> dict[str, dict]:
+    """Per task: word weights by slot, ratio weights, metadata weights, biases and calibration, from the labelled
+    rows and the pseudo-labels handed to each view."""
     n = len(sample)
     size = sample["slots"].map(len).to_numpy() if n else np.zeros(0, dtype=int)
     row = np.repeat(np.arange(n), size)
@@ -210,27 +175,115 @@ def train(sample: pd.DataFrame) -> dict[str, dict]:
     text = Sparse(row[keep], compact[slot[keep]], n, len(used), stats)
     meta_col = np.concatenate([np.zeros(0, dtype=np.int64), *sample["meta"]]).astype(np.int64)
     meta = Sparse(np.repeat(np.arange(n), 4), meta_col, n, META_SLOTS, np.zeros((n, 0)))
+    where = {x: i for i, x in enumerate(sample["doc_id"].tolist())}
     out = {}
     for task in TASKS:
-        known = sample[task].notna().to_numpy() if n else np.zeros(0, dtype=bool)
+        labelled = np.flatnonzero(sample[task].notna().to_numpy()) if n else np.zeros(0, dtype=int)
         y = sample[task].fillna(0).to_numpy().astype(np.float64) if n else np.zeros(0)
-        pool = np.flatnonzero(sample[list(TASKS)].isna().all(axis=1).to_numpy()) if n else np.zeros(0, dtype=int)
-        got = cotrain([text, meta], np.flatnonzero(known), y, pool)
-        if got is None:
-            out[task] = {"share": float(y[known].mean()) if known.any() else 0.5}
+        held = labelled[: int(len(labelled) * HELD)]
+        rest = labelled[len(held):]
+        if min(len(set(y[rest].tolist())), len(set(y[held].tolist()))) < 2:
+            out[task] = {"share": float(y[labelled].mean()) if len(labelled) else 0.5}
             continue
+        models, calibration = [], []
+        for i, view in enumerate((text, meta)):
+            more = handed[task, i]
+            rows = np.concatenate([rest, np.array([where[x] for x in more], dtype=rest.dtype)])
+            models.append(fit(view.take(rows), np.concatenate([y[rest], np.array(list(more.values()), dtype=np.float64)])))
+            calibration.append(calibrate(view.take(held).score(*models[i]), y[held]))
         w = np.zeros(SLOTS, dtype=np.float32)
-        w[used] = got["models"][0][0]
-        out[task] = {"words": w, "stats": got["models"][0][1], "bias": got["models"][0][2], "meta": got["models"][1][0],
-                     "meta_bias": got["models"][1][2], "calibration": got["calibration"], "prior": got["prior"]}
+        w[used] = models[0][0]
+        out[task] = {"words": w, "stats": models[0][1], "bias": models[0][2], "meta": models[1][0], "meta_bias": models[1][2],
+                     "calibration": calibration, "prior": float(np.log(y[rest].mean() / (1 - y[rest].mean())))}
     return out
 
 
+def view_scores(m: dict, row: np.ndarray, slot: np.ndarray, stats: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Calibrated log-odds of the text and of the metadata."""
+    by_text = np.bincount(row, weights=m["words"][slot], minlength=len(stats)) + stats @ m["stats"] + m["bias"]
+    by_meta = m["meta"][meta].sum(1) + m["meta_bias"]
+    (a, b), (c, d) = m["calibration"]
+    return a * by_text + b, c * by_meta + d
+
+
+def quotas(counts: dict[int, int], wanted: int) -> dict[int, int]:
+    """Rows to take of each stratum: evenly, up to ``wanted`` in all, but ``LEAST_DOCS`` of each that has them."""
+    out, left = {}, wanted
+    for i, (stratum, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[stratum] = min(n, max(left // (len(counts) - i), LEAST_DOCS))
+        left = max(left - out[stratum], 0)
+    return out
+
+
+def hand_over(docs: DataFrame, known: DataFrame, models: dict[str, dict], turn: int) -> dict[tuple[str, int], dict[int, int]]:
+    """Pseudo-labels for each (task, view) from the other view's confident documents, of all that are unlabelled."""
+    model = docs.sparkSession.sparkContext.broadcast(models)
+    pairs = [(t, v) for t in TASKS for v in (0, 1) if "share" not in models[t]]
+
+    def work(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray) -> dict:
+        row, slot, stats = text_features(data, at)
+        meta = meta_features(*(rows.column(i).to_pylist() for i in (1, 2, 3)))
+        marks = np.full((len(at) - 1, 2 * len(TASKS)), -1, dtype=np.int32)
+        for k, (task, view) in enumerate(pairs):
+            p = sigmoid(view_scores(model.value[task], row, slot, stats, meta)[1 - view])
+            marks[p >= CONFIDENT, k] = 1
+            marks[1 - p >= CONFIDENT, k] = 0
+        return {"doc_id": rows.column(0), "stratum": meta[:, 2].astype(np.int32),
+                **{f"m{k}": np.ascontiguousarray(marks[:, k]) for k in range(2 * len(TASKS))}}
+
+    names = [f"m{k}" for k in range(2 * len(TASKS))]
+    schema = "doc_id long, stratum int, " + ", ".join(f"{x} int" for x in names)
+    sure = mapped(docs.where("doc_id IS NOT NULL"), "text", schema, work).where(" OR ".join(f"{x} >= 0" for x in names))
+    sure = written(sure.join(known.select("doc_id"), "doc_id", "left_anti")
+                   .withColumn("key", F.xxhash64("doc_id", F.lit(turn)).bitwiseAND((1 << 62) - 1)), "confident")
+    found = sure.groupBy("stratum", *names).count().toArrow().to_pylist()
+    take: dict[tuple[int, int], dict[int, int]] = {}
+    below = []  # (mark, label, stratum, key): twice the quota lies below the key, so that enough do
+    for k, (task, _) in enumerate(pairs):
+        share = float(sigmoid(np.array(models[task]["prior"])))
+        for label in (0, 1):
+            counts: Counter[int] = Counter()
+            for x in found:
+                if x[names[k]] == label:
+                    counts[x["stratum"]] += x["count"]
+            take[k, label] = quotas(counts, int(round(HANDED * (share if label else 1 - share))))
+            below += [(k, label, s, min(1 << 62, (1 << 62) * (2 * n + 50) // counts[s])) for s, n in take[k, label].items()]
+    out: dict[tuple[str, int], dict[int, int]] = {x: {} for x in pairs}
+    if not below:
+        return out
+    limits = docs.sparkSession.createDataFrame(below, "k int, label int, s int, below long")
+    marks = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(x).alias("label")) for k, x in enumerate(names)])).alias("x")
+    near = sure.select("doc_id", "key", F.col("stratum").alias("s"), marks).select("doc_id", "key", "s", "x.*").where("label >= 0") \
+        .join(F.broadcast(limits), ["k", "label", "s"]).where("key < below").drop("below").distinct().toArrow().to_pandas()
+    for (k, label, s), group in near.sort_values(["key", "doc_id"]).groupby(["k", "label", "s"]):
+        for x in group["doc_id"].tolist()[:take[k, label][s]]:
+            out[pairs[k]][x] = label
+    return out
+
+
+def cotrain(docs: DataFrame, labels: DataFrame) -> dict[str, dict]:
+    known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        *[F.when(F.min(t) == F.max(t), F.min(t)).alias(t) for t in TASKS])
+    sample = features(docs, written(known.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(LABELLED), "sample"))
+    handed: dict[tuple[str, int], dict[int, int]] = {(t, v): {} for t in TASKS for v in (0, 1)}
+    for turn in range(ROUNDS):
+        models = train(sample, handed)
+        if all("share" in m for m in models.values()):
+            return models
+        for x, fresh in hand_over(docs, known, models, turn).items():
+            handed[x] = {**fresh, **handed[x]}
+        new = sorted({i for x in handed.values() for i in x} - set(sample["doc_id"].tolist()))
+        if new:
+            chosen = docs.sparkSession.createDataFrame([(i, None, None) for i in new], "doc_id long, quality int, toxic int")
+            sample = pd.concat([sample, features(docs, chosen)], ignore_index=True)
+    return train(sample, handed)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, quality_score, toxic_score and kept of every row of ``docs`` (doc_id, text, source, lang, n_chars)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang",
                        F.col("n_chars").cast("long").alias("n_chars"), "text")
-    model = docs.sparkSession.sparkContext.broadcast(train(sample_features(docs, labels)))
+    model = docs.sparkSession.sparkContext.broadcast(cotrain(docs, labels))
 
     def work(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray) -> dict:
         n = len(at) - 1
@@ -242,10 +295,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if "share" in m:
                 scores[task] = np.full(n, m["share"])
                 continue
-            by_text = np.bincount(row, weights=m["words"][slot], minlength=n) + stats @ m["stats"] + m["bias"]
-            by_meta = m["meta"][meta].sum(1) + m["meta_bias"]
-            (a, b), (c, d) = m["calibration"]
-            scores[task] = sigmoid(a * by_text + b + c * by_meta + d - m["prior"])
+            scores[task] = sigmoid(sum(view_scores(m, row, slot, stats, meta)) - m["prior"])
         return {"doc_id": rows.column(0), "quality_score": scores["quality"], "toxic_score": scores["toxic"],
                 "kept": (scores["quality"] >= 0.5) & (scores["toxic"] < 0.5) if "share" not in model.value["toxic"]
                 else scores["quality"] >= 0.5}
