@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 import tempfile
 from pathlib import Path
@@ -25,7 +24,3 @@ def spark():
 @pytest.fixture
 def tmp(tmp_path):
     return str(tmp_path)
-
-
-def ts(s: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(s)

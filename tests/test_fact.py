@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import ts
+from trip_values import ts
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

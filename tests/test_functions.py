@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import ts
+from trip_values import ts
 
 from tripmart.functions import expressions as X
 

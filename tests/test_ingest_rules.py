@@ -1,7 +1,7 @@
 """Edge rows of the ingest rules (FIXTURES §5): filters F1-F8 and derived
 columns X3/X7, with exact NULL semantics."""
 
-from conftest import ts
+from trip_values import ts
 
 from tripmart.plans.ingest import ingest, validate
 from tripmart.schemas import FHV, FHV_RAW, YELLOW, YELLOW_RAW

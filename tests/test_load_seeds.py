@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from conftest import ts
+from trip_values import ts
 
 from tripmart.schemas import YELLOW
 from tripmart.sources import load as L

@@ -1,7 +1,7 @@
 """Marts (Q10-Q12, J1) and data checks (T1-T3) on hand-made rows."""
 
 import pytest
-from conftest import ts
+from trip_values import ts
 
 from tripmart.operators import quality
 from tripmart.plans import marts

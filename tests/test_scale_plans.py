@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import ts
+from trip_values import ts
 from pyspark.sql import functions as F
 
 from tripmart.operators.dedup import dedup_latest

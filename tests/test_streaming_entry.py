@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import ts
+from trip_values import ts
 
 import __spark_entry__ as E
 from tripmart.plans.fact import fact_columns
