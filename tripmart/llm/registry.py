@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (cotraining, decontaminate, html_text, line_dedup, minhash_dedup, pieces, pii, quality_rules,
-                          sql, substring_dedup, token_counts)
+                          resample, sql, substring_dedup, token_counts)
 from tripmart.llm.common import table
 
 
@@ -74,9 +74,16 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the benchmark's distribution of words."""
+    got = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_minhash_dedup, op3_decontaminate, op4_quality_rules, op5_sentencepiece, op6_line_dedup,
-                            op7_quality_classifier, op8_token_counts, op9_suffix_array_dedup, op10_html_extraction)
+                            op7_quality_classifier, op8_token_counts, op9_suffix_array_dedup, op10_html_extraction,
+                            op13_importance_resampling)
 }
 
 ORACLE: dict[str, str] = {
@@ -84,4 +91,5 @@ ORACLE: dict[str, str] = {
     "op3_decontaminate": sql.DECONTAMINATE,
     "op4_quality_rules": sql.QUALITY_RULES,
     "op9_suffix_array_dedup": sql.SUBSTRING_DEDUP,
+    "op13_importance_resampling": sql.IMPORTANCE_RESAMPLING,
 }

@@ -107,3 +107,37 @@ kept AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
 SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
     coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
 FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
+
+# CRC-32 of a list of bytes: its table by the polynomial's rule, then one fold over the bytes.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS crc_table"""
+
+
+def _crc(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    numbers = f"list_transform(range(length({digits}) // 2), lambda k: CAST('0x' || substr({digits}, 2 * k + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce({numbers}, lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+IMPORTANCE_RESAMPLING = f"""
+WITH crc AS ({_CRC_TABLE}),
+bags AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+doc_words AS (SELECT doc_id, unnest(w) AS x FROM bags),
+item_words AS (SELECT unnest(regexp_extract_all({_LOWER}, '{_ALNUM}')) AS x FROM benchmark),
+hashed AS (SELECT x, {_crc('x')} % 10000 AS b FROM (SELECT x FROM doc_words UNION SELECT x FROM item_words), crc),
+raw AS (SELECT b, count(*) AS s FROM doc_words JOIN hashed USING (x) GROUP BY b),
+target AS (SELECT b, count(*) AS t FROM item_words JOIN hashed USING (x) GROUP BY b),
+sizes AS (SELECT (SELECT count(*) FROM doc_words) AS n_s, (SELECT count(*) FROM item_words) AS n_t),
+gains AS (
+    SELECT b, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (n_s + 10000) / (CAST(s + 1 AS DOUBLE) * (n_t + 10000)))) AS BIGINT) AS gain
+    FROM raw LEFT JOIN target USING (b), sizes),
+sums AS (SELECT doc_id, sum(gain) AS total FROM doc_words JOIN hashed USING (x) JOIN gains USING (b) GROUP BY doc_id),
+weights AS (
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n,
+        CASE WHEN len(w) = 0 THEN 0 ELSE CAST(total // len(w) - CAST(total % len(w) < 0 AS INTEGER) AS BIGINT) END AS weight,
+        CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h
+    FROM bags d LEFT JOIN sums USING (doc_id)),
+scored AS (SELECT doc_id, n, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM weights),
+ordered AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 10 * count(*) OVER () // 100 AS drawn FROM scored WHERE n >= 20)
+SELECT s.doc_id, n AS n_features, weight, score, CASE WHEN r <= drawn THEN r END AS rank
+FROM scored s LEFT JOIN ordered o ON o.doc_id = s.doc_id"""
