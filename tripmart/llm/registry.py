@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (cotraining, decontaminate, html_text, line_dedup, minhash_dedup, pieces, pii, quality_rules,
-                          resample, sql, substring_dedup, token_counts)
+                          resample, sql, substring_dedup, token_counts, warc)
 from tripmart.llm.common import table
 
 
@@ -74,6 +74,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives, read back and assembled into captures."""
+    got = warc.captures(table(spark, sf_dir, "pages"))
+    return got.select("page_id", "response.payload_bytes", "response.payload_digest", "record_type", "refers_to")
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn towards the benchmark's distribution of words."""
     got = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -83,7 +89,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_minhash_dedup, op3_decontaminate, op4_quality_rules, op5_sentencepiece, op6_line_dedup,
                             op7_quality_classifier, op8_token_counts, op9_suffix_array_dedup, op10_html_extraction,
-                            op13_importance_resampling)
+                            op12_warc, op13_importance_resampling)
 }
 
 ORACLE: dict[str, str] = {
@@ -91,5 +97,6 @@ ORACLE: dict[str, str] = {
     "op3_decontaminate": sql.DECONTAMINATE,
     "op4_quality_rules": sql.QUALITY_RULES,
     "op9_suffix_array_dedup": sql.SUBSTRING_DEDUP,
+    "op12_warc": sql.WARC,
     "op13_importance_resampling": sql.IMPORTANCE_RESAMPLING,
 }

@@ -141,3 +141,10 @@ scored AS (SELECT doc_id, n, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5
 ordered AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 10 * count(*) OVER () // 100 AS drawn FROM scored WHERE n >= 20)
 SELECT s.doc_id, n AS n_features, weight, score, CASE WHEN r <= drawn THEN r END AS rank
 FROM scored s LEFT JOIN ordered o ON o.doc_id = s.doc_id"""
+
+WARC = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS p, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+answers AS (SELECT p, max(page_id) AS answer FROM payloads WHERE n >= 1000 GROUP BY p),
+told AS (SELECT page_id, n, payloads.p, CASE WHEN page_id < answer THEN answer END AS refers_to FROM payloads LEFT JOIN answers USING (p))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p) AS payload_digest,
+    CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM told"""
