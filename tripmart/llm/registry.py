@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import (cotraining, decontaminate, html_text, line_dedup, minhash_dedup, pieces, pii, quality_rules,
-                          resample, sql, substring_dedup, token_counts, warc)
+from tripmart.llm import (cotraining, decontaminate, html_text, line_dedup, minhash_dedup, periodic_runs, pieces, pii,
+                          quality_rules, resample, sql, substring_dedup, token_counts, warc)
 from tripmart.llm.common import table
 
 
@@ -74,6 +74,16 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text, after runs were planted in a tenth of them."""
+    got = periodic_runs.periodic_runs(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")))
+    return got.withColumn("top", F.expr("array_min(transform(runs, r -> struct(-r.length AS l, r.start AS s, r.period AS p)))")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.s").alias("start"), (-F.col("top.l")).alias("length"),
+        F.col("top.p").alias("period"), F.expr("1000 * -top.l DIV top.p").alias("exponent_milli"),
+        F.sha2(F.expr("array_join(transform(runs, r -> concat(concat_ws(',', r.start, r.length, r.period), '\\n')), '')"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives, read back and assembled into captures."""
     got = warc.captures(table(spark, sf_dir, "pages"))
@@ -89,7 +99,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_minhash_dedup, op3_decontaminate, op4_quality_rules, op5_sentencepiece, op6_line_dedup,
                             op7_quality_classifier, op8_token_counts, op9_suffix_array_dedup, op10_html_extraction,
-                            op12_warc, op13_importance_resampling)
+                            op11_periodic_runs, op12_warc, op13_importance_resampling)
 }
 
 ORACLE: dict[str, str] = {
@@ -97,6 +107,7 @@ ORACLE: dict[str, str] = {
     "op3_decontaminate": sql.DECONTAMINATE,
     "op4_quality_rules": sql.QUALITY_RULES,
     "op9_suffix_array_dedup": sql.SUBSTRING_DEDUP,
+    "op11_periodic_runs": sql.PERIODIC_RUNS,
     "op12_warc": sql.WARC,
     "op13_importance_resampling": sql.IMPORTANCE_RESAMPLING,
 }

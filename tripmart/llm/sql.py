@@ -148,3 +148,41 @@ answers AS (SELECT p, max(page_id) AS answer FROM payloads WHERE n >= 1000 GROUP
 told AS (SELECT page_id, n, payloads.p, CASE WHEN page_id < answer THEN answer END AS refers_to FROM payloads LEFT JOIN answers USING (p))
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p) AS payload_digest,
     CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM told"""
+
+# Runs by islands of equal words, for periods at which some window of 5, 15, 45... words comes again: a run of
+# period q, with four periods or more, holds each window of q to 3q words again after q, and not before.
+_WIDTHS = [5 * 3 ** k for k in range(9)]
+_LEVELS = ",\n".join(
+    f"""l{w} AS (SELECT doc_id, i, CASE WHEN lead(h, {2 * w // 3}) OVER o IS NOT NULL THEN
+        hash(h, lead(h, {w // 3}) OVER o, lead(h, {2 * w // 3}) OVER o) END AS h FROM l{w // 3} WINDOW o AS (PARTITION BY doc_id ORDER BY i))"""
+    for w in _WIDTHS[1:])
+_PERIODS = " UNION ".join(
+    f"SELECT doc_id, q FROM (SELECT doc_id, lead(i) OVER (PARTITION BY doc_id, h ORDER BY i) - i AS q FROM l{w} WHERE h IS NOT NULL) WHERE q <= {w}"
+    for w in _WIDTHS)
+
+PERIODIC_RUNS = f"""
+WITH crc AS ({_CRC_TABLE}),
+bags AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w, {_crc('CAST(doc_id AS VARCHAR)')} AS h FROM documents, crc),
+planted AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM bags),
+periodic AS (SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM planted),
+texts AS (SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE
+    list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM periodic),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM texts),
+l5 AS (SELECT doc_id, i, CASE WHEN lead(x, 4) OVER o IS NOT NULL THEN
+        hash(x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) END AS h
+    FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+{_LEVELS},
+periods AS ({_PERIODS}),
+equal AS (
+    SELECT doc_id, q, a.i, a.i - row_number() OVER (PARTITION BY doc_id, q ORDER BY a.i) AS island
+    FROM periods JOIN words a USING (doc_id) JOIN words b USING (doc_id) WHERE b.i = a.i + q AND a.x = b.x),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY doc_id, q, island
+              HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+top AS (SELECT doc_id, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t,
+        min(ROW(-length, start, period)) AS best FROM runs GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_runs, best[2] AS start, -best[1] AS length, best[3] AS period,
+    1000 * -best[1] // best[3] AS exponent_milli, sha256(coalesce(top.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM texts d LEFT JOIN top ON top.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
