@@ -23,10 +23,14 @@ def tag(df: DataFrame, column: str, value) -> DataFrame:
     return df.withColumn(column, F.lit(value))
 
 
-def align(df: DataFrame, schema: StructType, renames: dict[str, str] | None = None) -> DataFrame:
+def align(df: DataFrame, schema: StructType, renames: dict[str, str] | None = None, also: tuple[str, ...] = (),
+          lenient: bool = False) -> DataFrame:
     """Project onto ``schema``: take columns present (after optional
-    renames), pad absent ones with a typed NULL, cast to the target type."""
+    renames), pad absent ones with a typed NULL, cast to the target type
+    (``lenient``: a value that does not fit gives NULL instead of an error).
+    Columns named in ``also`` follow as they are."""
     renames = renames or {}
+    cast = "TRY_CAST" if lenient else "CAST"
     present = {c.lower(): (c, t) for c, t in df.dtypes}
     out = []
     for f in schema.fields:
@@ -37,8 +41,8 @@ def align(df: DataFrame, schema: StructType, renames: dict[str, str] | None = No
         elif present[src.lower()][1] == t:
             out.append(f"{_q(present[src.lower()][0])} AS {_q(f.name)}")
         else:
-            out.append(f"CAST({_q(present[src.lower()][0])} AS {t}) AS {_q(f.name)}")
-    return df.selectExpr(*out)
+            out.append(f"{cast}({_q(present[src.lower()][0])} AS {t}) AS {_q(f.name)}")
+    return df.selectExpr(*out, *map(_q, also))
 
 
 def union_aligned(frames: list[DataFrame]) -> DataFrame:

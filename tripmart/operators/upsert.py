@@ -29,9 +29,18 @@ from tripmart.sources.sinks import write_partitioned
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The dataset at ``path``; None where there is no such folder or no file in it. Files that can't be read are an error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(where):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException:
+        files = store.listFiles(where, True)
+        while files.hasNext():
+            if files.next().getPath().getName().endswith(".parquet"):
+                raise
         return None
 
 
@@ -41,6 +50,40 @@ def high_water_mark(target: DataFrame, column: str = "pickup_date") -> Column:
     return target.select(F.max(column)).scalar()
 
 
+def replace_groups(spark: SparkSession, path: str, batch: DataFrame, group: str, changed: DataFrame,
+                   partition_col: str = "pickup_date") -> None:
+    """Put the rows of ``batch`` into the dataset and take out what it holds of the same values of ``group`` (in the dates of
+    the batch) and of those that ``changed`` lists (in all dates). Only touched dates are rewritten; a date that is left
+    without rows is emptied."""
+    target = read_if_exists(spark, path)
+    if target is None:
+        write_partitioned(batch, path, partition_col)
+        return
+    p = F.col(partition_col)
+    dates, gone, emptied = batch.select(p.alias("_touched")).distinct(), None, []
+    if not changed.isEmpty():
+        gone = scratch_dir(spark, "gone")  # dates that hold rows of changed groups: two columns of the target are read
+        target.join(changed, group, "left_semi").select(p.alias("_touched")).distinct().write.parquet(gone)
+        dates = dates.unionByName(spark.read.schema(dates.schema).parquet(gone)).distinct()
+    kept = target.join(dates, p.eqNullSafe(F.col("_touched")), "left_semi").join(
+        batch.select(group).unionByName(changed.select(group)).distinct(), group, "left_anti")
+    if gone is not None:
+        left = kept.select(p.alias("_left")).unionByName(batch.select(p.alias("_left"))).distinct()
+        old = spark.read.schema(dates.schema).parquet(gone)
+        emptied = [r[0] for r in old.join(left, old["_touched"].eqNullSafe(left["_left"]), "left_anti").collect()]  # dates
+    write_partitioned(kept.select(*batch.columns).unionByName(batch), path, partition_col, overwrite_scope="dynamic")
+    for value in emptied:
+        drop_partition(spark, path, partition_col, value)
+    if gone is not None:
+        drop_scratch(spark, gone)
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
+    """Remove the folder of one partition value (a date, or None)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id",
            partition_col: str = "pickup_date") -> None:
     """K5 + J2."""

@@ -86,6 +86,7 @@ from tripmart.operators.dedup import dedup_latest  # noqa: E402
 from tripmart.operators.upsert import high_water_mark  # noqa: E402
 from tripmart.plans import adapters as A  # noqa: E402
 from tripmart.plans import fact as fact_plan  # noqa: E402
+from tripmart.plans import load as load_plan  # noqa: E402
 from tripmart.plans.ingest import run_ingest  # noqa: E402
 from tripmart.plans.load import run_load  # noqa: E402
 from tripmart.functions import expressions as X  # noqa: E402
@@ -188,6 +189,61 @@ def load_skips_bad_files(spark, sf):
     return L.load_raw(spark, lake, SERVICES["yellow"], skip_bad_files=True)
 
 
+def _put(spark, rows, lake: str, names: list[str]) -> None:
+    """Write ``rows`` (with a column ``year``) as one file per year, under a name of its own, over what is there."""
+    made = scratch_dir(spark, "delivery")
+    rows.repartition("year").write.partitionBy("year").parquet(made)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(lake))
+    for name in names:
+        for f in store.globStatus(path(f"{made}/year={name}/*.parquet")) or []:
+            store.delete(path(f"{lake}/{name}.parquet"), False)
+            store.rename(f.getPath(), path(f"{lake}/{name}.parquet"))
+
+
+_LOADED_YEARS = "EXTRACT(year FROM tpep_pickup_datetime)"
+
+
+def _ledger_loads(spark, sf) -> tuple[str, str]:
+    """A lake of one file per year, loaded in three runs: the years up to 1995; then the later years, with 1994 corrected
+    (every fare a dollar higher) and 1993 delivered again as it was; then nothing new."""
+    lake, table, ledger = (scratch_dir(spark, n) for n in ("lake-ledger", "raw-ledger", "ledger"))
+    rows = M.ingested(spark, sf, "yellow", split=False).drop("pickup_date").withColumn("year", F.year("tpep_pickup_datetime"))
+    years = sorted(r[0] for r in rows.select("year").distinct().collect())
+    _put(spark, rows.where("year <= 1995"), lake, [y for y in years if y <= 1995])
+    load_plan.copy_files(spark, lake, "yellow", table, ledger)
+    _put(spark, rows.where("year > 1995"), lake, [y for y in years if y > 1995])
+    _put(spark, rows.where("year = 1994").withColumn("fare_amount", F.col("fare_amount") + 1), lake, [1994])
+    _touch(spark, f"{lake}/1993.parquet")
+    load_plan.copy_files(spark, lake, "yellow", table, ledger)
+    load_plan.copy_files(spark, lake, "yellow", table, ledger)
+    return table, ledger
+
+
+def _touch(spark, file: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(path):
+        store.setTimes(path, store.getFileStatus(path).getModificationTime() + 5000, -1)
+
+
+@register("load_ledger_table", f"""SELECT * REPLACE (CASE WHEN {_LOADED_YEARS} = 1994 THEN CAST(fare_amount + 1 AS DECIMAL(10,2))
+    ELSE fare_amount END AS fare_amount) FROM {Q.table_sql('yellow', _YELLOW_INGEST)}""")
+def load_ledger_table(spark, sf):
+    """Each file loaded once over three runs; the corrected file replaced its own rows."""
+    return load_plan.read_table(spark, _ledger_loads(spark, sf)[0], "yellow")
+
+
+@register("load_ledger", f"""SELECT CAST({_LOADED_YEARS} AS VARCHAR) || '.parquet' AS file, COUNT(*) AS rows,
+    CASE WHEN {_LOADED_YEARS} <= 1992 OR {_LOADED_YEARS} = 1995 THEN 1 ELSE 2 END AS load_id,
+    CASE WHEN {_LOADED_YEARS} = 1993 THEN 'unchanged' ELSE 'ok' END AS status FROM {_YELLOW_INGEST} GROUP BY {_LOADED_YEARS}""")
+def load_ledger(spark, sf):
+    """What the ledger says of every file after the three runs (the third wrote no entry)."""
+    return load_plan.read_ledger(spark, _ledger_loads(spark, sf)[1]).select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), F.col("read_rows").alias("rows"), F.col("load_id").cast("int"), "status")
+
+
 @register("seed_csv_roundtrip", f"SELECT * FROM {A.ZONES_SQL}")
 def seed_csv_roundtrip(spark, sf):
     """The zone lookup written as a header CSV seed and read back

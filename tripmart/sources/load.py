@@ -10,16 +10,23 @@
   pass exists;
 * optionally skip unreadable files and report them (S8).
 
-The bad-file probe is distributed: two aggregates grouped by
-``_metadata.file_path`` (a footer-only row count, and one full read whose
-count must match), joined to a ``binaryFile`` listing by the same metadata
-path (path and length only; file contents are not read). Its result is written
-once; the load leaves out the bad files of that table (an anti join, and no
-join at all where every file is good), and the report is the same table.
+``stage_files`` is the load's one read of the files: every row is cast and
+written to a staging area, marked where a value does not fit, with its file and
+a hash of its raw values. Counts per file come from those three columns of the
+staged copy, and with the footers' row counts they give each file's verdict. Only
+rows of bad files are then set aside (an anti join, none where all are good).
+
+``load_raw`` is the view of a lake without a table: it reads the files when it
+is read, and where bad files are to be skipped it probes them first
+(``file_health``: a count of rows per file from the footers, and one full read
+whose count must match).
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,6 +34,7 @@ from pyspark.sql.types import StructType
 from tripmart.operators.projections import align
 from tripmart.schemas import Service, lake_schema
 from tripmart.session import scratch_dir
+from tripmart.sources.footers import compare_columns, file_footers
 
 
 def backfill_date(df: DataFrame, ts_col: str, date_col: str = "pickup_date") -> DataFrame:
@@ -105,6 +113,48 @@ def load_raw(spark: SparkSession, root: str, service: Service, skip_bad_files: b
     return to_table(df.withColumnRenamed("_folder_date", "pickup_date"), service)
 
 
+FILE, HASH, MISFIT = "_file", "_hash", "_misfit"  # columns of staged rows beside the table's
+
+
+def stage_files(spark: SparkSession, root: str, service: Service, footers: DataFrame, glob: str = "*.parquet",
+                modified_after: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of the files below ``root`` that ``footers`` lists (of ``file_footers``), read once, cast and written to a
+    staging area; and a written row per file: path, length, modified, footer_rows, read_rows, cast_failures, content_hash
+    and status ('ok', 'no rows', 'unreadable', 'partly unreadable', 'cast overflow'). ``modified_after`` keeps the scan
+    from files that have not changed since."""
+    src = (spark.read.schema(lake_schema(service)).option("ignoreCorruptFiles", "true").option("pathGlobFilter", glob)
+                .option("recursiveFileLookup", "true"))
+    if modified_after is not None:
+        src = src.option("modifiedAfter", modified_after)
+    raw = src.parquet(root)
+    path = F.col("_metadata.file_path")
+    folder = F.url_decode(F.regexp_extract(path, "/pickup_date=([^/]+)/", 1)).try_cast("date")
+    misfit = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(t.dataType).isNull()
+              for f in raw.schema.fields for t in service.table.fields
+              if t.name.lower() == f.name.lower() and t.dataType != f.dataType]
+    rows = raw.withColumns({FILE: path, "pickup_date": folder, HASH: F.xxhash64(F.col("_metadata.row_index"), *raw.columns),
+                            MISFIT: F.coalesce(functools.reduce(operator.or_, misfit, F.lit(False)), F.lit(False))})
+    if modified_after is not None:
+        rows = rows.join(footers.select(F.col("path").alias(FILE)), FILE, "left_semi")
+    table = backfill_date(align(rows, service.table, also=(FILE, HASH, MISFIT), lenient=True), service.pickup)
+    staged, verdict = scratch_dir(spark, "staged"), scratch_dir(spark, "verdicts")
+    table.write.parquet(staged)
+    table = spark.read.schema(table.schema).parquet(staged)
+    read = table.groupBy(F.col(FILE).alias("path")).agg(
+        F.count(F.lit(1)).alias("read_rows"), F.bit_xor(HASH).alias("content_hash"), F.count_if(MISFIT).alias("cast_failures"))
+    files = footers.select("path", "length", "modified", F.col("rows").alias("footer_rows")).join(read, "path", "left")
+    files.withColumn("status", F.expr("""CASE WHEN read_rows IS NULL AND coalesce(footer_rows, 0) = 0 THEN 'no rows'
+        WHEN read_rows IS NULL THEN 'unreadable' WHEN read_rows < footer_rows THEN 'partly unreadable'
+        WHEN cast_failures > 0 THEN 'cast overflow' ELSE 'ok' END""")).write.parquet(verdict)
+    return table, spark.read.parquet(verdict)
+
+
+def good_rows(staged: DataFrame, files: DataFrame, status: str = "ok") -> DataFrame:
+    """The staged rows of the files with that status."""
+    bad = files.where((F.col("status") != status) & F.col("read_rows").isNotNull()).select(F.col("path").alias(FILE))
+    return staged if bad.isEmpty() else staged.join(bad, FILE, "left_anti").select(*staged.columns)
+
+
 def to_table(df: DataFrame, service: Service) -> DataFrame:
     """By-name, case-insensitive projection onto the typed raw table, then
     the ``pickup_date`` back-fill (S6, P10, K6)."""
@@ -112,17 +162,19 @@ def to_table(df: DataFrame, service: Service) -> DataFrame:
 
 
 def post_load_check(spark: SparkSession, root: str, declared: StructType) -> DataFrame:
-    """The checks run after a load, as one row: the row count (footer
-    counts, no data columns read) and how the files' columns compare with the
+    """The checks run after a load, as one row: the row count (of the footers,
+    no data columns read) and how the files' columns compare with the
     declared table (S9 summarized)."""
-    from tripmart.sources.scan import schema_rows
-    rep = schema_rows(spark, root, declared)          # column metadata, not data
-
-    def n(status: str | None = None) -> int:
-        return sum(1 for r in rep if (r[1] is not None if status is None else r[3] == status))
-
-    return spark.read.option("recursiveFileLookup", "true").parquet(root).agg(F.count(F.lit(1)).alias("rows")).select(
-        "rows", F.lit(n()).alias("columns_in_files"),
-        F.lit(n("missing in files")).alias("columns_missing"),
-        F.lit(n("type differs")).alias("columns_type_differs"),
-        F.lit(n("not declared")).alias("columns_not_declared"))
+    path = scratch_dir(spark, "footers")
+    file_footers(spark, root).write.parquet(path)
+    footers = spark.read.parquet(path)
+
+    def n(condition: str):
+        return F.count_if(F.expr(condition))
+
+    return compare_columns(footers, declared).agg(
+        footers.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).scalar().alias("rows"),
+        n("type IS NOT NULL").cast("int").alias("columns_in_files"),
+        n("status = 'missing in files'").cast("int").alias("columns_missing"),
+        n("status = 'type differs'").cast("int").alias("columns_type_differs"),
+        n("status = 'not declared'").cast("int").alias("columns_not_declared"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tripmart.sources.footers import compare_columns, file_footers
+
 
 def read_trips(spark: SparkSession, path: str | list[str], schema: StructType | str) -> DataFrame:
     """Parquet scan with a declared schema (``StructType`` or DDL
@@ -23,54 +25,8 @@ def read_partitioned(spark: SparkSession, root: str, glob: str | None = "*.parqu
     return r.parquet(root)
 
 
-def file_paths(spark: SparkSession, root: str, glob: str = "*.parquet") -> list[str]:
-    """Paths of the data files below ``root`` (names only, as any listing keeps them on the driver)."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                    .option("recursiveFileLookup", "true").load(root))
-    return sorted(r[0] for r in listing.select("path").collect())
-
-
-def file_schemas(spark: SparkSession, paths: list[str]) -> list[tuple[int, StructType]]:
-    """(number of files, merged schema) of groups of files that agree. The footers are read by a
-    distributed schema merge; where it meets conflicting types, the files are split and each half
-    is merged again, so all files are covered with few jobs."""
-    if not paths:
-        return []
-    try:
-        return [(len(paths), spark.read.option("mergeSchema", "true").parquet(*paths).schema)]
-    except Exception as e:
-        if len(paths) == 1:
-            if "CANNOT_READ_FILE_FOOTER" in str(e) or "not a Parquet file" in str(e):
-                return [(1, StructType([]))]
-            raise
-        half = len(paths) // 2
-        return file_schemas(spark, paths[:half]) + file_schemas(spark, paths[half:])
-
-
 def schema_report(spark: SparkSession, path: str, declared: StructType | None = None) -> DataFrame:
     """(column_name, type) as found in all files, against a declared schema: status is 'ok',
     'type differs' (in any file; ``type`` then lists all), 'missing in files' or 'not declared'.
-    Reads only footers."""
-    return spark.createDataFrame(
-        schema_rows(spark, path, declared),
-        "column_name string, type string, declared_type string, status string")
-
-
-def schema_rows(spark: SparkSession, path: str, declared: StructType | None = None) -> list[tuple]:
-    """The schema report as plain rows (column metadata, bounded by the number of columns)."""
-    found: dict[str, tuple[str, set[str]]] = {}
-    for _, schema in file_schemas(spark, file_paths(spark, path)):
-        for f in schema.fields:
-            found.setdefault(f.name.lower(), (f.name, set()))[1].add(f.dataType.simpleString())
-    names = {f.name.lower(): f for f in (declared.fields if declared is not None else [])}
-    rows = []
-    for k, f in names.items():
-        want = f.dataType.simpleString()
-        if k in found:
-            n, types = found[k]
-            rows.append((n, ", ".join(sorted(types)), want, "ok" if types == {want} else "type differs"))
-        else:
-            rows.append((f.name, None, want, "missing in files"))
-    rows += [(n, ", ".join(sorted(types)), None, "ok" if declared is None else "not declared")
-             for k, (n, types) in found.items() if k not in names]
-    return rows
+    Reads only footers, in the tasks."""
+    return compare_columns(file_footers(spark, path), declared)
