@@ -33,6 +33,7 @@ BASE2 = 0xD6E8FEB86659FD93
 SPACES = np.array([b in (0x20, *range(0x09, 0x0E)) for b in range(256)])
 NOT_SPACE = ~SPACES
 ALNUM = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
+INSIDE = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U64)  # of a block, the first n bytes
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 
 
@@ -102,8 +103,35 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[base]
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the spans data[start:end] of bytes, of any lengths. The eight-byte blocks of all spans are mixed at once,
+    then neighbours are joined, level by level; no step is linear, so unlike sums of powers no texts collide by their build."""
+    size = (end - start).astype(np.int64)
+    count = np.maximum((size + 7) >> 3, 1)
+    first = np.cumsum(count) - count
+    at = (np.arange(count.sum()) - np.repeat(first, count)) * 8 + np.repeat(start, count)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    block = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))[at]
+    left = np.clip(np.repeat(end, count) - at, 0, 8)
+    h = mix(block & INSIDE[left])
+    out, which = np.empty(len(size), dtype=U64), np.arange(len(size))
+    while len(which):
+        done = count == 1
+        out[which[done]] = h[first[done]]
+        which, count, first = which[~done], count[~done], first[~done]
+        more = (count + 1) >> 1
+        begin = np.cumsum(more) - more
+        nth = np.arange(more.sum()) - np.repeat(begin, more)
+        one = np.repeat(first, more) + 2 * nth
+        other = np.where(2 * nth + 1 < np.repeat(count, more), h[np.minimum(one + 1, len(h) - 1)], U64(0))
+        h = mix(h[one] * U64(0x9E3779B97F4A7C15) + mix(other ^ U64(0xC2B2AE3D27D4EB4F)))
+        count, first = more, begin
+    return mix(out + size.astype(U64) * U64(0xE7037ED1A0B428DB))
+
+
 class Rolling:
-    """Hashes of any spans of ``values`` (uint64) from prefix sums."""
+    """Hashes of any spans of ``values`` (uint64) from prefix sums. Powers modulo 2**64 cancel in some texts of 2,048 values
+    or more made of two values; so long spans of bytes take ``span_hashes``, and spans here are windows of few values."""
 
     def __init__(self, values: np.ndarray, base: int = BASE):
         n = len(values)
@@ -159,6 +187,11 @@ class Words:
     def hashes(self) -> np.ndarray:
         return Rolling(byte_values(0)[self.data]).spans(self.start, self.end)
 
+    @functools.cached_property
+    def keys(self) -> np.ndarray:
+        """Hashes that tell words of any length apart (``hashes`` are those of a polynomial)."""
+        return span_hashes(self.data, self.start, self.end)
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 

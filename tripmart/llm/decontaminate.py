@@ -30,7 +30,7 @@ WINDOW_TYPE = "array<struct<fp:long,h1:long,h2:long,start:int,len:int>>"
 
 def _windows(words: Words, counts: np.ndarray, length: int, span: int) -> dict[str, np.ndarray]:
     """All windows of ``length`` words: row, start within the row, fingerprint and digest."""
-    a, b = Rolling(words.hashes, BASE2), Rolling(mix(words.hashes ^ U64(0x5851F42D4C957F2D)))
+    a, b = Rolling(words.keys, BASE2), Rolling(mix(words.keys ^ U64(0x5851F42D4C957F2D)))
     row, first = row_windows(counts, words.first, length)
     digest = a.spans(first, first + length)
     if length < span:

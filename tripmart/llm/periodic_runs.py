@@ -177,7 +177,7 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
     def work(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray) -> dict:
         words = Words(data, at, NOT_SPACE, lower=False)
         row = np.repeat(np.arange(len(at) - 1), words.counts())
-        got = runs(dense(words.hashes), row)
+        got = runs(dense(words.keys), row)
         change = np.zeros(len(row) + 1, dtype=np.int64)
         np.add.at(change, got[:, 0] + got[:, 2], 1)
         np.add.at(change, got[:, 0] + got[:, 1], -1)

@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmart.llm.common import BASE2, U64, Rolling, lists, mapped, mix, powers
+from tripmart.llm.common import BASE2, U64, Rolling, lists, mapped, mix, powers, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581  # stands for a space in pieces
@@ -71,6 +71,11 @@ def cp_values(cps: np.ndarray) -> np.ndarray:
     return mix(cps.astype(U64) + U64(0x632BE59BD9B4E019))
 
 
+def unit_hashes(cps: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Hashes of the units cps[start[i]:start[i + 1]], which may be of any length."""
+    return span_hashes(cps.astype("<u4").view(np.uint8), 4 * start[:-1], 4 * start[1:])
+
+
 @dataclass
 class PieceTable:
     """Pieces by the hash of their characters."""
@@ -308,7 +313,7 @@ class Encoder:
         cps, start, first = units(data, at, self.table.split_lines)
         if len(start) < 2:
             return np.zeros(0, dtype=np.int32), np.zeros(len(at) - 1, dtype=np.int64)
-        hashes = Rolling(cp_values(cps), BASE2).spans(start[:-1], start[1:])
+        hashes = unit_hashes(cps, start)
         code, unique = pd.factorize(hashes)
         where = np.searchsorted(self.known, unique)
         where[where == len(self.known)] = 0

@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tripmart.llm.common import (BASE2, NOT_SPACE, Rolling, Words, byte_values, in_arrow, lines, mapped,
-                                 pack, row_windows, unpack, written)
+from tripmart.llm.common import (BASE2, NOT_SPACE, Rolling, Words, in_arrow, lines, mapped, pack, row_windows,
+                                 span_hashes, unpack, written)
 
 RISK = 0.05
 LEVEL = 0.05
@@ -73,7 +73,7 @@ def text_stats(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     words = Words(data, at, NOT_SPACE, lower=False)
     counts = words.counts()
     row, first = row_windows(counts, words.first, REPEAT_WORDS)
-    seq = Rolling(words.hashes, BASE2)
+    seq = Rolling(words.keys, BASE2)
     _, twice = _later_copies(row, seq.spans(first, first + REPEAT_WORDS))
     covered = np.zeros(len(words.start) + 1, dtype=np.int64)
     np.add.at(covered, first[twice], 1)
@@ -90,7 +90,7 @@ def _line_stats(data: np.ndarray, at: np.ndarray, words: Words) -> dict[str, np.
     row, start, end = lines(data, at)
     wordy = np.searchsorted(words.start, end) > np.searchsorted(words.start, start)
     row, start, end = row[wordy], start[wordy], end[wordy]
-    later, _ = _later_copies(row, Rolling(byte_values(0)[data]).spans(start, end))
+    later, _ = _later_copies(row, span_hashes(data, start, end))
     return {"n_lines": np.bincount(row, minlength=n), "n_dup_lines": np.bincount(row[later], minlength=n)}
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tripmart.llm.common import BASE2, Rolling, mapped
-from tripmart.llm.pieces import CHUNK, LITERAL, LONG, MODEL, SPACE, Pairs, PieceTable, best_long, cp_values, step, units
+from tripmart.llm.pieces import CHUNK, LITERAL, LONG, MODEL, SPACE, Pairs, PieceTable, best_long, cp_values, step, units, unit_hashes
 
 
 def byte_length(cps: np.ndarray) -> np.ndarray:
@@ -75,7 +75,7 @@ def token_counts(docs: DataFrame, path: str = MODEL) -> DataFrame:
         if len(start) < 2:
             zero = np.zeros(len(at) - 1, dtype=np.int64)
             return {"doc_id": rows.column(0), "n_pretokens": zero, "n_tokens": zero}
-        code, unique = pd.factorize(Rolling(cp_values(cps), BASE2).spans(start[:-1], start[1:]))
+        code, unique = pd.factorize(unit_hashes(cps, start))
         example = np.zeros(len(unique), dtype=np.int64)
         example[code[::-1]] = np.arange(len(code))[::-1]
         s, e = start[:-1][example], start[1:][example]
