@@ -247,6 +247,6 @@ def captures(pages: DataFrame) -> DataFrame:
     path = scratch_dir(pages.sparkSession, "warc")
     write_archives(pages, path)
     records = read_records(pages.sparkSession, path)
-    return assemble(records.select(
+    return assemble(written(records.select(
         *[c for c in records.columns if c != "payload"], F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest")))
+        F.sha1("payload").alias("payload_digest")), "records"))
