@@ -84,6 +84,17 @@ def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def merged_partitions(target: DataFrame, batch: DataFrame, key: str = "trip_id", partition_col: str = "pickup_date") -> DataFrame:
+    """What the partitions that ``batch`` (a written table) touches hold after it: its rows, and theirs of other keys."""
+    p = F.col(partition_col)
+    touched = batch.select(p.alias("_touched")).distinct()
+    low, high = (batch.select(f(p)).scalar() for f in (F.min, F.max))
+    near = target.where(p.between(low, high) | (p.isNull() & batch.where(p.isNull()).exists()))
+    scope = near.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
+    kept = scope.join(batch.select(key), key, "left_anti")
+    return kept.select(*batch.columns).unionByName(batch)
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id",
            partition_col: str = "pickup_date") -> None:
     """K5 + J2."""
@@ -94,12 +105,6 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id
     staged = scratch_dir(spark, "upsert-batch")
     batch.write.mode("overwrite").parquet(staged)
     batch = spark.read.parquet(staged)
-    p = F.col(partition_col)
-    touched = batch.select(p.alias("_touched")).distinct()
-    low, high = (batch.select(f(p)).scalar() for f in (F.min, F.max))
-    near = target.where(p.between(low, high) | (p.isNull() & batch.where(p.isNull()).exists()))
-    scope = near.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
-    kept = scope.join(batch.select(key), key, "left_anti")
-    out = kept.select(*batch.columns).unionByName(batch)
+    out = merged_partitions(target, batch, key, partition_col)
     write_partitioned(out, path, partition_col, overwrite_scope="dynamic")
     drop_scratch(spark, staged)

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.expressions import surrogate_key
 from tripmart.operators.dedup import dedup_latest
+from tripmart.operators.quality import ModelTests
 from tripmart.operators.upsert import high_water_mark, read_if_exists, upsert
+from tripmart.plans.publish import publish_upsert
 from tripmart.schemas import FACT, TRIP_KEY
 
 # Deterministic order among rows that tie on the ingestion timestamp.
@@ -40,21 +42,28 @@ def incremental_batch(spark: SparkSession, unioned: DataFrame, target_path: str,
                       scope: str = "global") -> DataFrame | None:
     """the rows to (re)load. ``scope='global'`` is the reference's one
     high-water mark over all trip types; 'per_type' keeps one per type.
-    None means full refresh (no or empty target)."""
+    None means full refresh (no target); a target without rows takes every row."""
     target = read_if_exists(spark, target_path)
-    if target is None or target.limit(1).count() == 0:
+    if target is None:
         return None
     if scope == "per_type":
         marks = target.groupBy("trip_type").agg(F.max("pickup_date").alias("_mark"))
         return (unioned.join(marks, "trip_type", "left")
                        .where(F.col("_mark").isNull() | (F.col("pickup_date") >= F.col("_mark")))
                        .drop("_mark").select(*unioned.columns))
-    return unioned.where(F.col("pickup_date") >= high_water_mark(target))
+    mark = high_water_mark(target)  # NULL for a target without rows: everything is to be loaded
+    return unioned.where(F.coalesce(F.col("pickup_date") >= mark, mark.isNull()))
 
 
 def refresh_fact(spark: SparkSession, unioned: DataFrame, target_path: str,
-                 scope: str = "global") -> None:
-    """Materialize the fact at ``target_path``: incremental when it exists."""
+                 scope: str = "global", tests: ModelTests | None = None) -> None:
+    """Materialize the fact at ``target_path``: incremental when it exists. With ``tests``, nothing
+    changes unless the partitions that the run touches pass them; else an error names the failures."""
     batch = incremental_batch(spark, unioned, target_path, scope)
     fact = fact_columns(build_fact(unioned if batch is None else batch))
+    if tests is not None:
+        failed = publish_upsert(spark, target_path, fact, tests, key="trip_id", partition_col="pickup_date")
+        if failed:
+            raise ValueError("fct_trips not published: " + ", ".join(f"{t} of {c} ({n})" for c, t, n in failed))
+        return
     upsert(spark, target_path, fact, key="trip_id", partition_col="pickup_date")

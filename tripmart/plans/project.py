@@ -16,6 +16,7 @@ from tripmart.operators.quality import run_suite
 from tripmart.plans import marts
 from tripmart.plans.fact import fact_columns, refresh_fact
 from tripmart.plans.load import run_load
+from tripmart.plans.publish import current_path, publish
 from tripmart.plans.staging import stage, union_trips
 from tripmart.plans.suite import SUITE
 from tripmart.schemas import SERVICES, UNIONED
@@ -60,11 +61,13 @@ def build_catalog(spark: SparkSession, lakes: dict[str, str], seeds: dict[str, s
 def run_project(spark: SparkSession, lakes: dict[str, str], warehouse: str,
                 seeds: dict[str, str | DataFrame] | None = None, scope: str = "global",
                 materialize_raw: bool = False, services: tuple[str, ...] = UNIONED,
-                without: tuple[str, ...] = ()) -> dict[str, str]:
+                without: tuple[str, ...] = (), audit: bool = False) -> dict[str, str]:
     """Materialize dims, the fact and the marts below ``warehouse`` (and, with
     ``materialize_raw``, the typed raw tables first); returns model name -> path.
     Everything is built or an error says what is missing: ``services`` names the
-    services to union, ``without`` the models to leave out."""
+    services to union, ``without`` the models to leave out. With ``audit``, the marts
+    are versions that are published only if their declared tests pass (``plans.publish``:
+    the paths are then those of the latest published versions), and so is the fact's batch."""
     missing = [s for s in services if s not in lakes]
     if missing:
         raise ValueError(f"no lake for {', '.join(missing)}")
@@ -86,7 +89,8 @@ def run_project(spark: SparkSession, lakes: dict[str, str], warehouse: str,
             paths[dim] = os.path.join(warehouse, dim)
             write_table(cat.source(seed), paths[dim])
     paths["fct_trips"] = os.path.join(warehouse, "fct_trips")
-    refresh_fact(spark, cat.ref("int_all_trips_unioned"), paths["fct_trips"], scope)
+    specs = {t.model: t for t in SUITE} if audit else {}
+    refresh_fact(spark, cat.ref("int_all_trips_unioned"), paths["fct_trips"], scope, tests=specs.get("fct_trips"))
     fact = fact_columns(spark.read.parquet(paths["fct_trips"]))
     built = {"mart_daily_summary": marts.daily_summary(fact),
              "mart_revenue_breakdown": marts.revenue_breakdown(fact)}
@@ -95,8 +99,12 @@ def run_project(spark: SparkSession, lakes: dict[str, str], warehouse: str,
     for name, df in built.items():
         if name in without:
             continue
-        paths[name] = os.path.join(warehouse, name)
-        write_table(df, paths[name])
+        if audit:
+            publish(spark, warehouse, name, df, specs.get(name))
+            paths[name] = current_path(spark, warehouse, name)
+        else:
+            paths[name] = os.path.join(warehouse, name)
+            write_table(df, paths[name])
     return paths
 
 

@@ -87,6 +87,7 @@ from tripmart.operators.upsert import high_water_mark  # noqa: E402
 from tripmart.plans import adapters as A  # noqa: E402
 from tripmart.plans import fact as fact_plan  # noqa: E402
 from tripmart.plans import load as load_plan  # noqa: E402
+from tripmart.plans import publish as publish_plan  # noqa: E402
 from tripmart.plans.ingest import run_ingest  # noqa: E402
 from tripmart.plans.load import run_load  # noqa: E402
 from tripmart.functions import expressions as X  # noqa: E402
@@ -300,6 +301,20 @@ def partition_skew(spark, sf):
                        (F.col("partitions") > 0).alias("has_partitions"))
 
 
+_LAYOUTS = {"even": "o_orderkey % 4", "skewed": "CASE WHEN o_orderkey % 10 < 7 THEN 0 ELSE o_orderkey % 10 - 6 END"}
+
+
+@register("partition_skew_planted", " UNION ALL ".join(
+    f"SELECT '{name}' AS layout, COUNT(*) AS partitions, CAST(SUM(n) AS BIGINT) AS rows, MAX(n) AS max_rows, AVG(n) AS mean_rows "
+    f"FROM (SELECT COUNT(*) AS n FROM orders GROUP BY {part})" for name, part in _LAYOUTS.items()))
+def partition_skew_planted(spark, sf):
+    """L2 on two layouts of known partitions: the skewed one has 70 % of the orders in one partition."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
+    out = [layout.partition_skew(orders.repartitionById(4, F.expr(f"cast({part} AS INT)"))).select(F.lit(name).alias("layout"), "*")
+           for name, part in _LAYOUTS.items()]
+    return out[0].union(out[1])
+
+
 # --- projections, union, dims (P1-P11, U1, Q6-Q8) ----------------------------------------
 
 @register("stage_rename_tag", f"SELECT * FROM {Q.service_staged_sql('green', split=False)}")
@@ -597,6 +612,41 @@ def test_suite_planted(spark, sf):
     return S.test_suite(spark, sf, planted=True)
 
 
+_BEFORE = f"(SELECT * FROM {Q.union_sql()} WHERE pickup_date < DATE '{CUTOFF}')"
+
+
+def _publications(spark, sf) -> str:
+    """Two builds of the fact's trips before the cutoff: one that passes its tests, and one that was never deduplicated
+    and has unknown types."""
+
+    root, spec = scratch_dir(spark, "published"), next(t for t in S.SUITE if t.model == "fct_trips")
+    path = scratch_dir(spark, "unioned")
+    sinks.write_table(M.unioned(spark, sf), path)
+    unioned = spark.read.parquet(path)
+    before = unioned.where(F.col("pickup_date") < F.lit(CUTOFF).cast("date"))
+    bad = before.withColumn("trip_type", F.expr("CASE WHEN do_location_id % 40 = 0 THEN 'unknown' ELSE trip_type END"))
+    publish_plan.publish(spark, root, "fct_trips", fact_plan.build_fact(before), spec)
+    publish_plan.publish(spark, root, "fct_trips", bad.select(X.surrogate_key(*TRIP_KEY).alias("trip_id"), "*"), spec)
+    return root
+
+
+@register("publish_audited", f"SELECT * FROM {Q.fact_sql(_BEFORE)}")
+def publish_audited(spark, sf):
+    """Q9/Q13: what readers see after a build that failed its tests: the version before it, whole."""
+    return fact_plan.fact_columns(publish_plan.current(spark, _publications(spark, sf), "fct_trips"))
+
+
+@register("publish_log", f"""WITH bad AS (SELECT {Q.key_sql()} AS trip_id, CASE WHEN do_location_id % 40 = 0 THEN 'unknown' ELSE trip_type END AS t FROM {_BEFORE})
+    SELECT 1 AS version, TRUE AS published, NULL::VARCHAR AS column_name, NULL::VARCHAR AS test, NULL::BIGINT AS failures
+    UNION ALL SELECT 2, FALSE, 'trip_id', 'unique', (SELECT COUNT(*) FROM (SELECT trip_id FROM bad GROUP BY trip_id HAVING COUNT(*) > 1))
+    UNION ALL SELECT 2, FALSE, 'trip_type', 'accepted_values', (SELECT COUNT(*) FROM bad WHERE t = 'unknown')""")
+def publish_log(spark, sf):
+    """Q9/Q13: the log of both builds, a row per failed test."""
+    log = publish_plan.versions(spark, _publications(spark, sf))
+    return log.select(F.col("version").cast("int"), "published", F.explode_outer("failures").alias("f")).select(
+        "version", "published", "f.column_name", "f.test", "f.failures")
+
+
 def _metrics(name: str, service: str) -> None:
     raw = A.service_raw_sql(service, split=False)
     taxi = service in ("yellow", "green")
