@@ -86,6 +86,7 @@ from tripmart.operators.dedup import dedup_latest  # noqa: E402
 from tripmart.operators.upsert import high_water_mark  # noqa: E402
 from tripmart.plans import adapters as A  # noqa: E402
 from tripmart.plans import fact as fact_plan  # noqa: E402
+from tripmart.plans import incremental_marts as kept_marts  # noqa: E402
 from tripmart.plans import load as load_plan  # noqa: E402
 from tripmart.plans import publish as publish_plan  # noqa: E402
 from tripmart.plans.ingest import run_ingest  # noqa: E402
@@ -521,6 +522,30 @@ def incremental_upsert(spark, sf):
     return fact_plan.fact_columns(spark.read.parquet(path))
 
 
+_TWO_LOADS = Q.fact_sql(f"(SELECT * FROM {_U1} WHERE pickup_date < {_MARK} UNION ALL SELECT * FROM {Q.union_sql(A.RUN_2)} WHERE pickup_date >= {_MARK})")
+
+
+def _kept_states(spark, sf):
+    """Partial states after a first load of the trips before the cutoff and an incremental one of a later delivery."""
+    fact, states = scratch_dir(spark, "fct_trips"), scratch_dir(spark, "mart-states")
+    first = M.unioned(spark, sf, (A.RUN_1,)).where(F.col("pickup_date") < F.lit(CUTOFF).cast("date"))
+    kept_marts.incremental_run(spark, first, fact, states)
+    kept_marts.incremental_run(spark, M.unioned(spark, sf, (A.RUN_2,)), fact, states)
+    return spark.read.parquet(states)
+
+
+@register("mart_daily_incremental", Q.daily_summary_sql(_TWO_LOADS))
+def mart_daily_incremental(spark, sf):
+    """The daily summary merged from states whose touched dates were replaced."""
+    return kept_marts.daily_summary(_kept_states(spark, sf))
+
+
+@register("mart_zone_incremental", Q.zone_performance_sql(_TWO_LOADS, ZONES_SQL))
+def mart_zone_incremental(spark, sf):
+    """Zone performance over all dates, merged from the same states."""
+    return kept_marts.zone_performance(_kept_states(spark, sf), M.zone_dim(spark, sf))
+
+
 # --- checks and metrics (T1-T7) ------------------------------------------------------------
 
 _FACT = Q.fact_sql(Q.union_sql())
