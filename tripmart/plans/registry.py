@@ -736,3 +736,41 @@ def post_load_check(spark, sf):
     """Row count and column comparison after loading the written yellow
     dataset (one row; the counts of columns are file metadata)."""
     return L.post_load_check(spark, _written_yellow(spark, sf), SERVICES["yellow"].table)
+
+
+# --- sums of doubles without a fixed scale ------------------------------------------------------
+
+from tripmart.operators.exact_sums import exact_sums  # noqa: E402
+from tripmart.plans import exact_marts  # noqa: E402
+
+
+@register("exact_sums_lineitem", f"""SELECT l_returnflag, l_linestatus, COUNT(*) AS n_rows,
+    {Q.exact_sum_sql("l_extendedprice")} AS price_sum, COUNT(l_extendedprice) AS price_n,
+    {Q.exact_sum_sql("l_extendedprice * (1 - l_discount) * (1 + l_tax)")} AS charge_sum, COUNT(l_extendedprice) AS charge_n,
+    {Q.exact_sum_sql("l_extendedprice / l_quantity / 65536")} AS part_sum, COUNT(l_extendedprice) AS part_n
+    FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def exact_sums_lineitem(spark, sf):
+    """A2/A3: sums of doubles with all their bits, rounded once."""
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        "l_returnflag", "l_linestatus", F.col("l_extendedprice").alias("price"),
+        F.expr("l_extendedprice * (1 - l_discount) * (1 + l_tax)").alias("charge"),
+        F.expr("l_extendedprice / l_quantity / 65536").alias("part"))
+    return exact_sums(rows, ["l_returnflag", "l_linestatus"], ["price", "charge", "part"])
+
+
+@register("mart_daily_exact", Q.daily_exact_sql(Q.fact_sql(Q.union_sql())))
+def mart_daily_exact(spark, sf):
+    """Q10 with sums of the doubles as they are."""
+    return exact_marts.daily_summary(M.fact(spark, sf))
+
+
+@register("mart_revenue_exact", Q.revenue_exact_sql(Q.fact_sql(Q.union_sql())))
+def mart_revenue_exact(spark, sf):
+    """Q12 with sums of the doubles as they are."""
+    return exact_marts.revenue_breakdown(M.fact(spark, sf))
+
+
+@register("mart_zone_exact", Q.zone_exact_sql(Q.fact_sql(Q.union_sql()), ZONES_SQL))
+def mart_zone_exact(spark, sf):
+    """Q11 with sums of the doubles as they are."""
+    return exact_marts.zone_performance(M.fact(spark, sf), M.zone_dim(spark, sf))

@@ -203,6 +203,37 @@ def zone_performance_sql(fact: str, zones: str) -> str:
         GROUP BY pu_location_id, b.Zone, b.Borough"""
 
 
+def exact_sum_sql(c: str) -> str:
+    """The double nearest to the true sum, for values that are multiples of 2**-70 with sums below 2**57."""
+    return f"CAST(CAST(SUM(CAST({c} * pow(2, 70) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, 70)"
+
+
+def daily_exact_sql(fact: str) -> str:
+    return f"""SELECT pickup_date, trip_type, COUNT(*) AS trip_count,
+        {exact_sum_sql("fare_amount")} / NULLIF(COUNT(fare_amount), 0) AS avg_fare_amount,
+        {exact_sum_sql("trip_distance")} / NULLIF(COUNT(trip_distance), 0) AS avg_trip_distance,
+        AVG(trip_duration_minutes) AS avg_trip_duration_minutes, {exact_sum_sql("total_amount")} AS total_revenue
+        FROM {fact} GROUP BY pickup_date, trip_type"""
+
+
+def revenue_exact_sql(fact: str) -> str:
+    return f"""SELECT trip_type, pickup_date, {exact_sum_sql("fare_amount")} AS fare_amount_total,
+        COALESCE({exact_sum_sql("tip_amount")}, 0) AS tip_amount_total,
+        COALESCE({exact_sum_sql("tolls_amount")}, 0) AS tolls_amount_total,
+        COALESCE({exact_sum_sql("congestion_surcharge")}, 0) AS surcharge_total,
+        COALESCE({exact_sum_sql("airport_fee")}, 0) AS airport_fee_total, {exact_sum_sql("total_amount")} AS grand_total
+        FROM {fact} GROUP BY trip_type, pickup_date"""
+
+
+def zone_exact_sql(fact: str, zones: str) -> str:
+    return f"""SELECT pu_location_id, b.Zone AS zone, b.Borough AS borough, COUNT(*) AS trip_count,
+        {exact_sum_sql("total_amount")} AS total_revenue,
+        {exact_sum_sql("fare_amount")} / NULLIF(COUNT(fare_amount), 0) AS avg_fare,
+        {exact_sum_sql("trip_distance")} / NULLIF(COUNT(trip_distance), 0) AS avg_distance
+        FROM {fact} a JOIN {zones} b ON a.pu_location_id = b.LocationID
+        GROUP BY pu_location_id, b.Zone, b.Borough"""
+
+
 def values_sql(rows, schema) -> str:
     """A small fixed table as a VALUES subquery."""
     def lit(v):
