@@ -14,7 +14,7 @@ goes on, with its least doc_id; a minimizer with one distinct segment needs no s
 its strings have the same documents, and neither does a segment that shares no longer string around
 the minimizer; a minimizer with more than ``HOT`` distinct segments is split
 into its single strings, whose least doc_id is a grouped minimum. Bitmaps of fixed size thin what is
-moved; joins decide. Segments are told apart by 64-bit hashes, strings by their bytes.
+moved; joins decide. Segments are told apart by minimizer and content hash, 64 bits each, strings by their bytes.
 
 Defined results: null or empty text has no bytes; texts under ``LENGTH`` bytes stay; rows with a null
 doc_id have no order, lose nothing and are no source; a doc_id names one text, repeated rows of it get
@@ -171,7 +171,7 @@ def first_documents(text: np.ndarray, at: np.ndarray, group: np.ndarray, doc: np
 
 
 def suffix_runs(parts: DataFrame, total_bytes: int) -> DataFrame:
-    """(h, from, to, doc) for rows (m, h, d, e, segment): minimizer, hash, first and last document and bytes;
+    """(m, h, from, to, doc) for rows (m, h, d, e, segment): minimizer, hash, first and last document and bytes;
     only strings whose first document is before e."""
     n_parts = 1 + int(total_bytes) // PART_BYTES
 
@@ -202,12 +202,12 @@ def suffix_runs(parts: DataFrame, total_bytes: int) -> DataFrame:
             a = b
         which, start, stop, doc = (np.concatenate([o[i] for o in out]) for i in range(4))
         useful = doc < e[which]
-        return pa.table([pa.array(h[which[useful]]), pa.array(start[useful].astype(np.int32)),
-                         pa.array(stop[useful].astype(np.int32)), pa.array(doc[useful])], names=["h", "from", "to", "doc"])
+        return pa.table([pa.array(m[which[useful]]), pa.array(h[which[useful]]), pa.array(start[useful].astype(np.int32)),
+                         pa.array(stop[useful].astype(np.int32)), pa.array(doc[useful])], names=["m", "h", "from", "to", "doc"])
 
     ship(parts)
     return parts.withColumn("part", F.pmod(F.xxhash64("m"), F.lit(n_parts))).groupBy("part").applyInArrow(
-        run, "h long, from int, to int, doc long")
+        run, "m long, h long, from int, to int, doc long")
 
 
 def single_strings(parts: DataFrame) -> DataFrame:
@@ -216,16 +216,17 @@ def single_strings(parts: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 rows = batch.slice(i, 500).to_pylist()
-                out = [(r["h"], p, r["d"], r["e"], r["segment"][p:p + LENGTH]) for r in rows for p in range(len(r["segment"]) - LENGTH + 1)]
+                out = [(r["m"], r["h"], p, r["d"], r["e"], r["segment"][p:p + LENGTH]) for r in rows for p in range(len(r["segment"]) - LENGTH + 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()),
-                     pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.int64()),
-                     pa.array([x[4] for x in out], pa.binary())], names=["h", "from", "d", "e", "string"])
+                    [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
+                     pa.array([x[2] for x in out], pa.int32()), pa.array([x[3] for x in out], pa.int64()),
+                     pa.array([x[4] for x in out], pa.int64()), pa.array([x[5] for x in out], pa.binary())],
+                    names=["m", "h", "from", "d", "e", "string"])
 
-    strings = written(in_arrow(parts.select("h", "d", "e", "segment"), run,
-                               "h long, from int, d long, e long, string binary"), "strings")
+    strings = written(in_arrow(parts.select("m", "h", "d", "e", "segment"), run,
+                               "m long, h long, from int, d long, e long, string binary"), "strings")
     least = strings.groupBy("string").agg(F.min("d").alias("doc"))
-    return strings.join(least, "string").where("doc < e").select("h", "from", (F.col("from") + 1).alias("to"), "doc")
+    return strings.join(least, "string").where("doc < e").select("m", "h", "from", (F.col("from") + 1).alias("to"), "doc")
 
 
 def cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -277,10 +278,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total = several.agg(F.sum("len")).first()[0] or 0
     runs = suffix_runs(got.where(f"segments <= {HOT}"), total)
     runs = runs.union(single_strings(got.where(f"segments > {HOT}")))
-    runs = runs.union(distinct.where("segments = 1").select("h", F.lit(0).alias("from"), (F.col("len") - LENGTH + 1).alias("to"),
+    runs = runs.union(distinct.where("segments = 1").select("m", "h", F.lit(0).alias("from"), (F.col("len") - LENGTH + 1).alias("to"),
                                                             F.col("d").alias("doc")))
     runs = written(runs, "runs")
-    gone = only(found.select("h", "doc_id", "start"), "h", bitmap(runs, "h")).join(runs, "h").where("doc < doc_id").select(
+    gone = only(found.select("m", "h", "doc_id", "start"), "h", bitmap(runs, "h")).join(runs, ["m", "h"]).where("doc < doc_id").select(
         "doc_id", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to") + (LENGTH - 1)).alias("to"))
     rest = written(cut(texts, gone), "cut")
     return base.join(rest, "doc_id", "left").select(
