@@ -68,3 +68,38 @@ def test_pairs_are_all_neighbouring_lines_but_blank_ones():
     at = np.cumsum([0, *map(len, raw)])
     c = L.line_pairs(np.frombuffer(b"".join(raw), dtype=np.uint8), at)
     assert list(zip(c["row"].tolist(), c["idx"].tolist())) == [(0, 0), (0, 1), (0, 3), (3, 0)]
+
+
+def test_few_kinds_of_lines(documents, tmp_path, spark):
+    """Texts of a few kinds of lines, blank ones too, so that copied chunks, their edges and short runs meet everywhere."""
+    rng = random.Random(5)
+    block = ["a", "", "b", "c", "", "", "a", "b", "d", "c", "", "e", "f", "a", "g"]
+    rows = []
+    for i in range(200):
+        own = [rng.choice(["", " ", "a", "b", "c", f"own {i}", f"own {rng.randint(0, 99)}"]) for _ in range(rng.randint(0, 12))]
+        at = rng.randint(0, len(block) - 2)
+        rows.append((i, "\n".join(own[:len(own) // 2] + block[at:at + rng.randint(0, 15)] + own[len(own) // 2:])))
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute(rows)
+    for r in registry.op6_line_dedup(spark, str(tmp_path)).collect():
+        assert (r.text, r.n_removed) == want[r.doc_id], r.doc_id
+
+
+def test_pairs_in_copied_chunks_are_left_out():
+    import numpy as np
+    import pyarrow as pa
+    raw = "\n".join(f"line {i * 7919 % 1000}" for i in range(60)).encode()
+    data, at = np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)])
+    c = L.line_chunks(data, at)
+    assert len(c["idx"]) > 4
+    wanted = [{"idx": int(c["idx"][k]), "h1": int(L.signed(c["h1"])[k])} for k in (1, 3)] + [{"idx": 0, "h1": 1}, {"idx": 999, "h1": 2}]
+    copied = pa.array([wanted], pa.list_(pa.struct([("idx", pa.int32()), ("h1", pa.int64())])))
+    inside = {i + j for k in (1, 3) for i, n in [(int(c["idx"][k]), int(c["n"][k]))] for j in range(n - 1)}
+    assert set(L.open_pairs(data, at, copied)["idx"].tolist()) == set(range(59)) - inside
+
+
+def test_rows_that_share_a_doc_id_lose_their_own_repeats_only(documents, tmp_path, spark):
+    rows = [(1, "a\nb\nc"), (2, "a\nb\nx"), (2, "p\nq\nr")]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.op6_line_dedup(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, "a\nb\nc"), (2, "p\nq\nr"), (2, "x")]

@@ -7,14 +7,20 @@ over all documents (partial counts before the shuffle). Chunks whose hash occurs
 fetched through a fixed-size bitmap, compared byte by byte with the first occurrence (least doc_id,
 then least position), and removed unless they are that first one; the other lines stay as they are.
 
-Such chunks miss the ends of a repeated block and most short blocks. With ``line_pairs`` in their
-place every two neighbouring lines are counted, so of each run of two or more lines that occurred
-before, all lines go, wherever the cuts would lie. Two blank lines alone are no repeat; blank lines
-left between removed lines (or a text's border) go with them.
+Such chunks miss the ends of a repeated block and most short blocks. With ``whole_runs`` a second
+level follows on the lines that no copied chunk holds, with chunks of two lines, one beginning at
+every line: those over the edge of a copied chunk extend it line by line for as long as an earlier
+text has the lines too, and the others find short runs. They are counted, fetched and compared in
+the same way. So of each run of two or more lines that occurred before, all lines go, wherever the
+cuts lie. Nothing is missed by leaving out the pairs inside copied chunks: each has an earlier
+occurrence in the chunk's first one, and the earliest of all is never left out. Two blank lines
+alone are no repeat, in a copied chunk neither; blank lines left between removed lines (or a text's
+border) go with them.
 
 Defined results: null or empty text has one empty line and no chunk (null stays null); rows with a
 null doc_id pass unchanged and are no first occurrence; rows that share a doc_id count as one
-document at equal positions, so a repeated row loses no more than the row it repeats. A text that
+document at equal positions, so a repeated row loses no more than the row it repeats, and one with
+another text only loses what its own lines repeat. A text that
 loses all its lines becomes null. Extra columns are kept where ``keep_columns`` asks for it.
 """
 
@@ -22,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,15 +75,49 @@ def line_pairs(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
             "h1": seq.spans(head, head + 2), "h2": other.spans(head, head + 2)}
 
 
-def repeated_chunks(docs: DataFrame, cut=line_chunks) -> DataFrame:
-    """(doc_id, idx) of the chunks to remove."""
+def _among(found: dict[str, np.ndarray], rows: int, wanted: pa.Array | None) -> np.ndarray:
+    """Which of the chunks found in ``rows`` rows are in ``wanted``, a list of (idx, h1) for each row."""
+    out = np.zeros(len(found["row"]), dtype=bool)
+    if wanted is None or not len(out) or wanted.null_count == rows:
+        return out
+    row = np.repeat(np.arange(rows), pc.fill_null(pc.list_value_length(wanted), 0).to_numpy(zero_copy_only=False))
+    idx, h1 = (x.to_numpy(zero_copy_only=False) for x in wanted.flatten().flatten())
+    place = found["row"].astype(np.int64) << 32 | found["idx"]
+    want = row.astype(np.int64) << 32 | idx
+    k = np.minimum(np.searchsorted(place, want), len(place) - 1)
+    out[k[(place[k] == want) & (signed(found["h1"])[k] == h1)]] = True
+    return out
+
+
+def _inside(pairs: dict[str, np.ndarray], data: np.ndarray, at: np.ndarray, copied: pa.Array) -> np.ndarray:
+    """Which pairs of lines lie in one of the ``copied`` chunks of their row."""
+    c = line_chunks(data, at)
+    hit = _among(c, len(at) - 1, copied)
+    if not hit.any():
+        return np.zeros(len(pairs["row"]), dtype=bool)
+    c = {name: values[hit] for name, values in c.items()}
+    head = c["row"].astype(np.int64) << 32 | c["idx"]
+    place = pairs["row"].astype(np.int64) << 32 | pairs["idx"]
+    k = np.searchsorted(head, place, "right") - 1
+    return (k >= 0) & (place < (head + c["n"] - 1)[k])
+
+
+def open_pairs(data: np.ndarray, at: np.ndarray, copied: pa.Array) -> dict[str, np.ndarray]:
+    """The pairs of neighbouring lines that no copied chunk holds."""
+    pairs = line_pairs(data, at)
+    free = ~_inside(pairs, data, at, copied)
+    return {name: values[free] for name, values in pairs.items()}
+
+
+def repeated_chunks(docs: DataFrame, cut=line_chunks, *more: str) -> DataFrame:
+    """(doc_id, idx, h1) of the chunks to remove. ``cut`` gets the columns ``more`` beside the texts."""
     def hashes(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray) -> dict:
-        c = cut(data, at)
+        c = cut(data, at, *(rows.column(i) for i in range(2, rows.num_columns)))
         struct = pa.StructArray.from_arrays([pa.array(c["idx"].astype(np.int32)), pa.array(signed(c["h1"])),
                                              pa.array(signed(c["h2"]))], names=["idx", "h1", "h2"])
         return {"doc_id": rows.column(0), "chunks": lists(np.bincount(c["row"], minlength=len(at) - 1), struct)}
 
-    named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
     found = mapped(named, "text", f"doc_id long, chunks {CHUNK_TYPE}", hashes).select(
         "doc_id", F.explode("chunks").alias("x")).groupBy("x.h1", "x.h2").agg(
         F.min(F.struct("doc_id", "x.idx")).alias("first"), F.max(F.struct("doc_id", "x.idx")).alias("last"))
@@ -86,7 +127,7 @@ def repeated_chunks(docs: DataFrame, cut=line_chunks) -> DataFrame:
     def fetch(batches):
         for batch in batches:
             for row, end, data, at in chunks(batch.column(1)):
-                c = cut(data, at)
+                c = cut(data, at, *(batch.column(i).slice(row, end - row) for i in range(2, batch.num_columns)))
                 hit = np.flatnonzero(in_bitmap(seen.value, c["h1"]))
                 if not len(hit):
                     continue
@@ -100,36 +141,48 @@ def repeated_chunks(docs: DataFrame, cut=line_chunks) -> DataFrame:
     copies = written(fetched.join(repeated.withColumnRenamed("first", "f"), ["h1", "h2"]), "copies")
     is_first = F.struct("doc_id", "idx") == F.col("f")
     firsts = copies.where(is_first).groupBy("h1", "h2").agg(F.min("chunk").alias("kept"))
-    return copies.where(~is_first).join(firsts, ["h1", "h2"]).where("chunk = kept").select("doc_id", "idx").distinct()
+    return copies.where(~is_first).join(firsts, ["h1", "h2"]).where("chunk = kept").select("doc_id", "idx", "h1").distinct()
 
 
-def dedup_lines(docs: DataFrame, keep_columns: bool = False, cut=line_chunks) -> DataFrame:
+def _with_lists(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the chunks of ``gone`` as the list ``name``; the text comes last."""
+    listed = gone.groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_list(F.struct("idx", "h1")).alias(name))
+    joined = docs.join(listed, F.col("doc_id").cast("long") == F.col("gone_id"), "left").drop("gone_id")
+    return joined.select(*[c for c in joined.columns if c != "text"], "text")
+
+
+def dedup_lines(docs: DataFrame, keep_columns: bool = False, whole_runs: bool = False) -> DataFrame:
     """Every row of ``docs``: doc_id (or all columns, as row_), text (null if all lines went),
-    n_lines and n_removed. ``cut`` gives what is compared: ``line_chunks`` or ``line_pairs``."""
-    gone = repeated_chunks(docs, cut).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("idx").alias("gone"))
+    n_lines and n_removed. ``whole_runs`` adds the level of two lines to that of the chunks."""
     what = pack(docs, "doc_id", "text") if keep_columns else docs.select("doc_id", "text")
     if keep_columns:
         what = what.select(F.col("row_").dropFields("text").alias("row_"), "doc_id", "text")
-    joined = what.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left").drop("gone_id")
-    joined = joined.select(*[c for c in joined.columns if c not in ("text", "gone")], "gone", "text")
-    out = joined.drop("gone", "text").schema
+    out = what.drop("text").schema
+    joined = _with_lists(what, repeated_chunks(docs), "copied")
+    if whole_runs:
+        joined = written(joined, "chunked")
+        joined = _with_lists(joined, repeated_chunks(joined, open_pairs, "copied"), "pairs")
+    width = len(out)
 
     def run(batches):
         for batch in batches:
             for a, b, data, at in chunks(batch.column(batch.num_columns - 1)):
                 part = batch.slice(a, b - a)
-                gone_at = [set(x or ()) for x in part.column(part.num_columns - 2).to_pylist()]
                 text = part.column(part.num_columns - 1)
                 row, _, _ = lines(data, at)
                 total = np.bincount(row, minlength=b - a)
                 removed = np.zeros(b - a, dtype=np.int64)
-                if any(gone_at):
-                    c = cut(data, at)
+                if any(part.column(i).null_count < b - a for i in range(width, part.num_columns - 1)):
+                    if whole_runs:
+                        c = line_pairs(data, at)
+                        gone = _inside(c, data, at, part.column(width)) | _among(c, b - a, part.column(width + 1))
+                    else:
+                        c = line_chunks(data, at)
+                        gone = _among(c, b - a, part.column(width))
                     new = text.to_pylist()
                     spans: dict[int, list[tuple[int, int]]] = {}
-                    for r, i, s, e in zip(*(c[k].tolist() for k in ("row", "idx", "start", "end"))):
-                        if i in gone_at[r]:
-                            spans.setdefault(r, []).append((s, e))
+                    for r, s, e in zip(*(c[k][gone].tolist() for k in ("row", "start", "end"))):
+                        spans.setdefault(r, []).append((s, e))
                     for r, cuts in spans.items():
                         kept, upto = [], int(at[r])
                         for s, e in cuts:
@@ -138,13 +191,13 @@ def dedup_lines(docs: DataFrame, keep_columns: bool = False, cut=line_chunks) ->
                             upto = e + 1
                         if upto <= at[r + 1]:
                             kept.append(data[upto:at[r + 1]].tobytes())
-                        if cut is line_pairs:
+                        if whole_runs:
                             kept = [x for x in kept if x.strip()]
                         removed[r] = total[r] - sum(x.count(b"\n") + 1 for x in kept)
                         new[r] = b"\n".join(kept).decode() if kept else None
                     text = pa.array(new, pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(part.num_columns - 2)), text.cast(pa.string()), pa.array(total), pa.array(removed)],
+                    [*(part.column(i) for i in range(width)), text.cast(pa.string()), pa.array(total), pa.array(removed)],
                     names=[*(f.name for f in out), "text", "n_lines", "n_removed"])
 
     schema = type(out)([*out.fields]).add("text", "string").add("n_lines", "long").add("n_removed", "long")

@@ -51,7 +51,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without runs of two or more lines that occur earlier in the corpus."""
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), cut=line_dedup.line_pairs)
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), whole_runs=True)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
