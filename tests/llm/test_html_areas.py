@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from tripmart.llm import html_text as H
 
@@ -122,3 +124,29 @@ def test_area_with_most_of_the_text_stays(name):
 def test_long_comments_go():
     page = f"<body><div>{paragraphs(story(2))}</div><div id=comments>{paragraphs(['Reader: ' + LONG] * 9)}</div></body>"
     assert H.main_text(page) == text(story(2))
+
+
+@pytest.mark.parametrize("html,lines", [
+    ('<p class="a"">Hello world</p>', ["Hello world"]),
+    ("<p title=it's>Second para</p><p>Third isn't</p>", ["Second para", "Third isn't"]),
+    ("<p title=\"a > b\" lang='x>y'>One</p>", ["One"]), ("<p a = 'x' b= \"y>\" c>One</p>", ["One"]),
+    ('<p title="never closed>One</p><p>Two</p>', ["One", "Two"]), ("<p 'x\">One</p>", ["One"]),
+    ('<p title="class=ad role=note hidden">One</p>', ["One"]), ("<p data-class=ad>One</p><p class = \"ad\">No</p>", ["One"]),
+    ("<p>Let <math>x</math> be <math><mi>y</mi><annotation>\\y</annotation></math>.</p>", ["Let x be y."]),
+    ("<p>One</p><noscript><p>Two</p></noscript>", ["One", "Two"])])
+@pytest.mark.parametrize("page", ["<article>{}</article>", "<body>{}</body>"])
+def test_attributes_and_inline_elements(page, html, lines):
+    assert H.main_text(page.format(html)) == text(lines)
+
+
+def test_quotes_in_long_tags_take_linear_time():
+    begin = time.monotonic()
+    for part in ("'", '"', "=", "='", '="', "a=' "):
+        assert H.main_text("<article><p " + part * 60_000 + ">One</p><p>Two</p></article>").endswith("Two")
+    assert time.monotonic() - begin < 30
+
+
+def test_outer_text_longer_than_the_marked_area_wins():
+    body = paragraphs(story())
+    assert H.main_text(f"<body><article><p>Short teaser.</p></article>{MENU}{body}</body>").endswith(text(story()))
+    assert H.main_text(f"<body>{paragraphs(story(1))}{MENU}<article>{body}</article></body>") == text(story())

@@ -7,9 +7,9 @@ of text only. Each line's length is its text outside links; the block length at
 the ``WINDOW`` lines around it. The text surges where the block length rises from zero and dives
 where it falls back (at runs of lines that are links). The span between them with most text is the
 main one, and any other whose longest line reaches ``PEER`` of its longest goes with it; all lines from
-the first of these spans to the last are kept, whatever their length. Where a page marks its article (article, main or the role main), all its lines
-are the text, links too, and the distribution decides nothing, unless a span outside has more text
-than all marked areas: then these are spans like others. Article elements of comments and teasers
+the first of these spans to the last are kept, whatever their length. Where a page marks an article (article, main or the role main), its lines
+of links have weight too, the block length falls back only at the area's end, and its areas are weighed against
+the other spans as one: with at least as much text as the longest of them they are the text, else they are spans like others. Article elements of comments and teasers
 (by class, id or role) mark nothing. One inside boilerplate counts only if that was left open. Implied end tags are HTML's: a new paragraph, item
 or cell ends an open one, and an element ends with its parent, and so does what is left out with it.
 A link that is left open ends at the next link or the end of its line.
@@ -38,8 +38,8 @@ WINDOW = 3
 PEER = 0.5
 
 #: Elements of HTML by their part in a page.
-RAW = {"script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "textarea", "title",
-       "select", "audio", "video"}
+RAW = {"script", "style", "template", "iframe", "object", "svg", "canvas", "textarea", "title", "select", "audio", "video",
+       "annotation", "annotation-xml"}
 BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "head"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl",
           "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
@@ -74,9 +74,10 @@ ITEM_STOPS = BLOCKS - {"address", "div", "p", "li", "dd", "dt"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu",
          "menubar", "toolbar", "note"}
 
+#: Quotes open a value only after an equals sign; without its end quote, a value ends with the tag.
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?=[/a-zA-Z])[^<]*\Z", re.S)
-ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)>|<(?=[/a-zA-Z])[^<]*\Z", re.S)
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 
 
 def _area(name: str, words: re.Pattern = AREAS) -> bool:
@@ -111,6 +112,11 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
     return found
 
 
+def _is_main(attributes: str) -> bool:
+    return "role" in attributes.lower() and any(
+        name.lower() == "role" and "main" in "".join(value).lower().split() for name, *value in ATTRIBUTE.findall(attributes))
+
+
 class Element:
     """An element of the page; ``ended``: by its own end tag."""
 
@@ -222,7 +228,7 @@ def page_lines(page: str) -> list[tuple[str, int, Element | None]]:
         opened.before(tag)
         parent = opened.stack[-1]
         element = Element(tag, parent, _boilerplate(tag, m[3], parent.article is not None), parent.article, line)
-        if tag in ("article", "main") or tag in ("div", "section") and re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I):
+        if tag in ("article", "main") or tag in ("div", "section") and _is_main(m[3]):
             element.article = element.article or element
         elements.append(element)
         opened.push(element)
@@ -277,15 +283,17 @@ def _spans(length: list[int], area: list) -> list[tuple[int, int]]:
 def main_text(page: str | None) -> str:
     lines = [x for x in page_lines(page or "") if x[0]]  # distance counts lines of text, not markup
     length, area = [n for _, n, _ in lines], [x for _, _, x in lines]
-    spans = _spans(length, area)
-    main = max(spans, key=lambda s: sum(length[s[0]:s[1]]), default=None)
-    marked = sum(n for n, x in zip(length, area) if x)
-    if any(area) and (main is None or area[main[0]] or sum(length[main[0]:main[1]]) <= marked):
-        return "\n\n".join(line for line, _, x in lines if x)
-    if main is None:
+    # a mark gives weight to lines that are links, so that the text falls back only where the area ends
+    spans = _spans([max(n, 1) if x else n for n, x in zip(length, area)], area)
+    if not spans:
         return ""
-    longest = max(length[main[0]:main[1]])
-    kept = [(a, b) for a, b in spans if (a, b) == main or max(length[a:b]) >= PEER * longest]
+    marked = sum(n for n, x in zip(length, area) if x)
+    size = [marked if area[a] else sum(length[a:b]) for a, b in spans]  # marked spans go together
+    main = max(range(len(spans)), key=lambda k: (size[k], area[spans[k][0]] is not None))
+    if area[spans[main][0]]:
+        return "\n\n".join(line for a, b in spans if area[a] for line, _, _ in lines[a:b])
+    longest = max(length[slice(*spans[main])])
+    kept = [(a, b) for k, (a, b) in enumerate(spans) if k == main or max(length[a:b]) >= PEER * longest]
     return "\n\n".join(line for line, _, _ in lines[kept[0][0]:kept[-1][1]])
 
 
