@@ -83,6 +83,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tripmart.operators import filters as flt  # noqa: E402
 from tripmart.operators import bucketed, layout, quality  # noqa: E402
 from tripmart.operators.dedup import dedup_latest  # noqa: E402
+from tripmart.operators.unique_digests import duplicated_keys  # noqa: E402
 from tripmart.operators.upsert import high_water_mark  # noqa: E402
 from tripmart.plans import adapters as A  # noqa: E402
 from tripmart.plans import fact as fact_plan  # noqa: E402
@@ -585,6 +586,28 @@ def check_unique(spark, sf):
     return quality.unique_violations(u, "trip_id")
 
 
+@register("check_unique_incremental",
+          f"WITH f AS MATERIALIZED (SELECT trip_id, pickup_date, pu_location_id AS pu, do_location_id AS d FROM {Q.fact_sql(_U1)}) "
+          "SELECT trip_id, COUNT(*) AS n_records FROM (SELECT trip_id FROM f "
+          f"UNION ALL SELECT trip_id FROM f WHERE pickup_date >= DATE '{CUTOFF}' AND d % 50 = 0 "
+          f"UNION ALL SELECT trip_id FROM f WHERE pickup_date < DATE '{CUTOFF}' AND pu % 40 = 0) "
+          "GROUP BY trip_id HAVING COUNT(*) > 1")
+def check_unique_incremental(spark, sf):
+    """T2 from digests kept between two runs: the second load repeats keys within its dates and of earlier dates."""
+    path, state = scratch_dir(spark, "fct_trips"), scratch_dir(spark, "key-digests")
+    mark = F.lit(CUTOFF).cast("date")
+    whole = scratch_dir(spark, "fct_trips")
+    sinks.write_table(fact_plan.fact_columns(fact_plan.build_fact(M.unioned(spark, sf, (A.RUN_1,)))), whole)
+    fact = spark.read.parquet(whole)
+    first, later = fact.where(F.col("pickup_date") < mark), fact.where(F.col("pickup_date") >= mark)
+    sinks.write_partitioned(first, path, "pickup_date")
+    duplicated_keys(spark, path, state)
+    moved = first.where("pu_location_id % 40 = 0").withColumn("pickup_date", mark)
+    batch = later.unionByName(later.where("do_location_id % 50 = 0")).unionByName(moved)
+    sinks.write_partitioned(batch, path, "pickup_date")
+    return duplicated_keys(spark, path, state, batch.select("pickup_date"))
+
+
 @register("check_accepted_values",
           f"SELECT '' AS model, 'vendor_id' AS column_name, 'accepted_values' AS test, "
           f"COUNT_IF(NOT vendor_id IN (1, 2, 7)) AS failures FROM {Q.union_sql()} UNION ALL "
