@@ -106,6 +106,7 @@ ORACLE: dict[str, str] = {
     "op2_minhash_dedup": sql.MINHASH_DEDUP,
     "op3_decontaminate": sql.DECONTAMINATE,
     "op4_quality_rules": sql.QUALITY_RULES,
+    "op6_line_dedup": sql.LINE_DEDUP,
     "op9_suffix_array_dedup": sql.SUBSTRING_DEDUP,
     "op11_periodic_runs": sql.PERIODIC_RUNS,
     "op12_warc": sql.WARC,

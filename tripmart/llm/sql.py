@@ -186,3 +186,23 @@ top AS (SELECT doc_id, count(*) AS n, string_agg(start || ',' || length || ',' |
 SELECT d.doc_id, coalesce(n, 0) AS n_runs, best[2] AS start, -best[1] AS length, best[3] AS period,
     1000 * -best[1] // best[3] AS exponent_milli, sha256(coalesce(top.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
 FROM texts d LEFT JOIN top ON top.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+#: Lines of each pair of neighbouring lines that occurs earlier go, and blank lines left between such lines or a border.
+LINE_DEDUP = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+l AS MATERIALIZED (
+  SELECT r, doc_id, i, line, regexp_full_match(line, '[ \t\r\x0b\x0c]*') AS blank FROM (
+    SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM d)),
+p AS (SELECT r, doc_id, i, line, blank, lead(line) OVER w AS other, lead(blank) OVER w AS other_blank
+      FROM l WHERE doc_id IS NOT NULL WINDOW w AS (PARTITION BY r ORDER BY i)),
+f AS (SELECT r, i, doc_id, min({'d': doc_id, 'i': i}) OVER (PARTITION BY line, other) AS least
+      FROM p WHERE other IS NOT NULL AND NOT (blank AND other_blank)),
+g AS (SELECT DISTINCT r, i + k AS i FROM f, (VALUES (0), (1)) AS v(k) WHERE {'d': doc_id, 'i': f.i} > least),
+s AS (SELECT l.*, CASE WHEN g.i IS NOT NULL THEN 1 WHEN blank THEN NULL ELSE 0 END AS state FROM l LEFT JOIN g ON l.r = g.r AND l.i = g.i),
+e AS (SELECT *, coalesce(last_value(state IGNORE NULLS) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1) = 1
+             AND coalesce(first_value(state IGNORE NULLS) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1) = 1
+             AND max(coalesce(state, 0)) OVER (PARTITION BY r) = 1 AS gone FROM s),
+a AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY r)
+SELECT doc_id, CASE WHEN n_removed = 0 THEN text ELSE kept END AS text, n_lines, n_removed FROM d JOIN a USING (r)
+"""
