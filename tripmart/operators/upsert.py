@@ -59,23 +59,30 @@ def replace_groups(spark: SparkSession, path: str, batch: DataFrame, group: str,
     if target is None:
         write_partitioned(batch, path, partition_col)
         return
+    # Touched dates and groups are short lists; written aside, their sizes are known to the planner, which then need not
+    # shuffle the target for them.
     p = F.col(partition_col)
-    dates, gone, emptied = batch.select(p.alias("_touched")).distinct(), None, []
-    if not changed.isEmpty():
-        gone = scratch_dir(spark, "gone")  # dates that hold rows of changed groups: two columns of the target are read
-        target.join(changed, group, "left_semi").select(p.alias("_touched")).distinct().write.parquet(gone)
-        dates = dates.unionByName(spark.read.schema(dates.schema).parquet(gone)).distinct()
-    kept = target.join(dates, p.eqNullSafe(F.col("_touched")), "left_semi").join(
-        batch.select(group).unionByName(changed.select(group)).distinct(), group, "left_anti")
+    lists = [scratch_dir(spark, n) for n in ("gone", "touched", "groups")]
+
+    def listed(df: DataFrame, where: str) -> DataFrame:
+        df.distinct().write.parquet(where)
+        return spark.read.schema(df.schema).parquet(where)
+
+    dates, gone, emptied = batch.select(p.alias("_touched")), None, []
+    if not changed.isEmpty():  # dates that hold rows of changed groups: two columns of the target are read
+        gone = listed(target.join(changed, group, "left_semi").select(p.alias("_touched")), lists[0])
+        dates = dates.unionByName(gone)
+    dates = listed(dates, lists[1])
+    groups = listed(batch.select(group).unionByName(changed.select(group)), lists[2])
+    kept = target.join(dates, p.eqNullSafe(F.col("_touched")), "left_semi").join(groups, group, "left_anti")
     if gone is not None:
         left = kept.select(p.alias("_left")).unionByName(batch.select(p.alias("_left"))).distinct()
-        old = spark.read.schema(dates.schema).parquet(gone)
-        emptied = [r[0] for r in old.join(left, old["_touched"].eqNullSafe(left["_left"]), "left_anti").collect()]  # dates
+        emptied = [r[0] for r in gone.join(left, gone["_touched"].eqNullSafe(left["_left"]), "left_anti").collect()]  # dates
     write_partitioned(kept.select(*batch.columns).unionByName(batch), path, partition_col, overwrite_scope="dynamic")
     for value in emptied:
         drop_partition(spark, path, partition_col, value)
-    if gone is not None:
-        drop_scratch(spark, gone)
+    for made in lists if gone is not None else lists[1:]:
+        drop_scratch(spark, made)
 
 
 def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
@@ -84,27 +91,50 @@ def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def merged_partitions(target: DataFrame, batch: DataFrame, key: str = "trip_id", partition_col: str = "pickup_date") -> DataFrame:
-    """What the partitions that ``batch`` (a written table) touches hold after it: its rows, and theirs of other keys."""
+def merged_partitions(target: DataFrame, batch: DataFrame, key: str = "trip_id", partition_col: str = "pickup_date",
+                      also: dict[str, Column] | None = None) -> DataFrame:
+    """What the partitions that ``batch`` (a written table) touches hold after it: its rows, and theirs of other keys. Columns
+    of ``also`` follow from the batch's others; of its rows they are left NULL, and ``_new`` says which rows those are. Only
+    the batch's keys in the target's range of dates are compared: a key lives in one partition."""
     p = F.col(partition_col)
     touched = batch.select(p.alias("_touched")).distinct()
-    low, high = (batch.select(f(p)).scalar() for f in (F.min, F.max))
-    near = target.where(p.between(low, high) | (p.isNull() & batch.where(p.isNull()).exists()))
+    near = _in_range_of(target, batch, partition_col)
     scope = near.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
-    kept = scope.join(batch.select(key), key, "left_anti")
-    return kept.select(*batch.columns).unionByName(batch)
+    keys = _in_range_of(batch, target, partition_col).select((also or {}).get(key, F.col(key)).alias(key))
+    kept = scope.join(keys, key, "left_anti")
+    if not also:
+        return kept.select(*batch.columns).unionByName(batch)
+    missing = [F.lit(None).cast(target.schema[c].dataType).alias(c) for c in also]
+    return kept.select(*batch.columns, *also, F.lit(False).alias("_new")).unionByName(
+        batch.select("*", *missing, F.lit(True).alias("_new")))
+
+
+def _in_range_of(df: DataFrame, other: DataFrame, partition_col: str) -> DataFrame:
+    """The rows of ``df`` from the first to the last date that ``other`` has, or without a date if ``other`` has such rows."""
+    p = F.col(partition_col)
+    low, high = (other.select(f(p)).scalar() for f in (F.min, F.max))
+    return df.where(p.between(low, high) | (p.isNull() & other.where(p.isNull()).exists()))
 
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "trip_id",
-           partition_col: str = "pickup_date") -> None:
-    """K5 + J2."""
+           partition_col: str = "pickup_date", computed: dict[str, Column] | None = None, staged: bool = False) -> None:
+    """K5 + J2. ``computed`` are columns that follow from the batch's, which comes without them: neither its copy nor
+    a shuffle carries them. ``staged`` says that the batch is a written table already."""
     target = read_if_exists(spark, path)
     if target is None:  # first load: the batch is the table, written in one pass
-        write_partitioned(batch, path, partition_col)
+        write_partitioned(batch, path, partition_col, computed=computed)
         return
-    staged = scratch_dir(spark, "upsert-batch")
-    batch.write.mode("overwrite").parquet(staged)
-    batch = spark.read.parquet(staged)
-    out = merged_partitions(target, batch, key, partition_col)
-    write_partitioned(out, path, partition_col, overwrite_scope="dynamic")
-    drop_scratch(spark, staged)
+    aside = None
+    if not staged:
+        aside = scratch_dir(spark, "upsert-batch")
+        batch.write.mode("overwrite").parquet(aside)
+        batch = spark.read.schema(batch.schema).parquet(aside)
+    out = merged_partitions(target, batch, key, partition_col, computed)
+    if not computed:
+        write_partitioned(out, path, partition_col, overwrite_scope="dynamic")
+    else:
+        out = out.hint("rebalance", partition_col).withColumns(
+            {name: F.when(F.col("_new"), c).otherwise(F.col(name)) for name, c in computed.items()})
+        write_partitioned(out.select(*computed, *batch.columns), path, partition_col, overwrite_scope="dynamic", rebalance=False)
+    if aside is not None:
+        drop_scratch(spark, aside)

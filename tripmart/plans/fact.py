@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.expressions import surrogate_key
@@ -27,9 +27,18 @@ TIE_BREAKERS = ("trip_duration_minutes", "tip_amount", "total_amount", "trip_dis
                 "passenger_count", "payment_type", "vendor_id")
 
 
+def trip_id() -> dict[str, Column]:
+    """What follows from a trip's other columns: writers add it behind their shuffles (an md5 does not compress)."""
+    return {"trip_id": surrogate_key(*TRIP_KEY)}
+
+
+def latest_trips(unioned: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
+    """The fact's rows without their trip_id."""
+    return dedup_latest(unioned, TRIP_KEY, "ingestion_timestamp", tie_breakers)
+
+
 def build_fact(unioned: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
-    latest = dedup_latest(unioned, TRIP_KEY, "ingestion_timestamp", tie_breakers)
-    return latest.select(surrogate_key(*TRIP_KEY).alias("trip_id"), *unioned.columns)
+    return latest_trips(unioned, tie_breakers).select(surrogate_key(*TRIP_KEY).alias("trip_id"), *unioned.columns)
 
 
 def fact_columns(df: DataFrame) -> DataFrame:
@@ -60,10 +69,10 @@ def refresh_fact(spark: SparkSession, unioned: DataFrame, target_path: str,
     """Materialize the fact at ``target_path``: incremental when it exists. With ``tests``, nothing
     changes unless the partitions that the run touches pass them; else an error names the failures."""
     batch = incremental_batch(spark, unioned, target_path, scope)
-    fact = fact_columns(build_fact(unioned if batch is None else batch))
+    rows = unioned if batch is None else batch
     if tests is not None:
-        failed = publish_upsert(spark, target_path, fact, tests, key="trip_id", partition_col="pickup_date")
+        failed = publish_upsert(spark, target_path, fact_columns(build_fact(rows)), tests, key="trip_id", partition_col="pickup_date")
         if failed:
             raise ValueError("fct_trips not published: " + ", ".join(f"{t} of {c} ({n})" for c, t, n in failed))
         return
-    upsert(spark, target_path, fact, key="trip_id", partition_col="pickup_date")
+    upsert(spark, target_path, latest_trips(rows), key="trip_id", partition_col="pickup_date", computed=trip_id())

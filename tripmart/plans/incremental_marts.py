@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.aggregate import count_rows, exact_sum
 from tripmart.operators.upsert import drop_partition, upsert
-from tripmart.plans.fact import build_fact, fact_columns, incremental_batch
+from tripmart.plans.fact import fact_columns, incremental_batch, latest_trips, trip_id
 from tripmart.session import drop_scratch, scratch_dir
 from tripmart.sources.sinks import write_partitioned
 
@@ -48,11 +48,16 @@ def refresh_states(spark: SparkSession, fact_path: str, states_path: str, touche
 def incremental_run(spark: SparkSession, unioned: DataFrame, fact_path: str, states_path: str) -> None:
     """One run: the batch into the fact, then the states of the batch's dates."""
     batch = incremental_batch(spark, unioned, fact_path)
+    if batch is None:  # all rows are new: they are written once, into the fact
+        upsert(spark, fact_path, latest_trips(unioned), key="trip_id", partition_col="pickup_date", computed=trip_id())
+        refresh_states(spark, fact_path, states_path)
+        return
     path = scratch_dir(spark, "batch")
-    fact_columns(build_fact(unioned if batch is None else batch)).write.parquet(path)
-    rows = spark.read.parquet(path)
-    upsert(spark, fact_path, rows, key="trip_id", partition_col="pickup_date")
-    refresh_states(spark, fact_path, states_path, None if batch is None else rows)
+    rows = latest_trips(batch)
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    upsert(spark, fact_path, rows, key="trip_id", partition_col="pickup_date", computed=trip_id(), staged=True)
+    refresh_states(spark, fact_path, states_path, rows)
     drop_scratch(spark, path)
 
 

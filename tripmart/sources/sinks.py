@@ -8,17 +8,22 @@ without a sampling pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "pickup_date",
                       mode: str = "overwrite", overwrite_scope: str = "dynamic",
-                      max_records_per_file: int | None = None, rebalance: bool = True) -> None:
+                      max_records_per_file: int | None = None, rebalance: bool = True,
+                      computed: dict[str, Column] | None = None) -> None:
     """K1: Parquet partitioned by ``partition_col``. ``overwrite_scope`` is
     'dynamic' (replace only the partitions present in ``df``) or 'static'
     (the reference's behaviour: replace the whole dataset). ``rebalance=False``
-    when the caller already rebalanced on ``partition_col``."""
-    w = ((df.hint("rebalance", partition_col) if rebalance else df).write.mode(mode)
+    when the caller already rebalanced on ``partition_col``. ``computed`` columns follow from
+    the others: they are made behind the rebalance, so it does not carry them, and come first."""
+    df = df.hint("rebalance", partition_col) if rebalance else df
+    if computed:
+        df = df.select(*[c.alias(name) for name, c in computed.items()], *[x for x in df.columns if x not in computed])
+    w = (df.write.mode(mode)
            .option("partitionOverwriteMode", overwrite_scope).partitionBy(partition_col))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
