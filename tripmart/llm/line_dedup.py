@@ -38,10 +38,21 @@ from tripmart.llm.common import (BASE2, NOT_SPACE, U64, Rolling, bitmap, byte_va
 CHUNK_TYPE = "array<struct<idx:int,h1:long,h2:long>>"
 
 
-def line_chunks(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
-    """The chunks of two lines or more: row, idx (first line), start and end bytes, hashes."""
+def hashed_lines(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, start, end, hash) of every line: the costly part of chunks and pairs, made once for both."""
     row, start, end = lines(data, at)
-    line = Rolling(byte_values(0)[data]).spans(start, end)
+    return row, start, end, Rolling(byte_values(0)[data]).spans(start, end)
+
+
+def line_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The number of lines of each row."""
+    return np.diff(np.searchsorted(np.flatnonzero(data == 10), at)) + 1
+
+
+def line_chunks(data: np.ndarray, at: np.ndarray, hashed: tuple | None = None) -> dict[str, np.ndarray]:
+    """The chunks of two lines or more: row, idx (first line), start and end bytes, hashes. ``hashed`` is the result of
+    ``hashed_lines`` where the caller has it."""
+    row, start, end, line = hashed or hashed_lines(data, at)
     rolling = mix(line ^ U64(0x3C6EF372FE94F82B))
     same = row[1:] == row[:-1]
     rolling[1:][same] = mix(line[1:][same] + line[:-1][same] * U64(BASE2))
@@ -62,10 +73,9 @@ def line_chunks(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
             "h1": seq.spans(head, tail + 1), "h2": other.spans(head, tail + 1)}
 
 
-def line_pairs(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+def line_pairs(data: np.ndarray, at: np.ndarray, hashed: tuple | None = None) -> dict[str, np.ndarray]:
     """Every two neighbouring lines that are not both blank, as ``line_chunks`` gives its chunks."""
-    row, start, end = lines(data, at)
-    line = Rolling(byte_values(0)[data]).spans(start, end)
+    row, start, end, line = hashed or hashed_lines(data, at)
     count = np.bincount(row, minlength=len(at) - 1)
     inner = np.arange(len(row)) - (np.cumsum(count) - count)[row]
     text = np.concatenate([[0], np.cumsum(NOT_SPACE[data])])
@@ -89,9 +99,11 @@ def _among(found: dict[str, np.ndarray], rows: int, wanted: pa.Array | None) ->
     return out
 
 
-def _inside(pairs: dict[str, np.ndarray], data: np.ndarray, at: np.ndarray, copied: pa.Array) -> np.ndarray:
+def _inside(pairs: dict[str, np.ndarray], data: np.ndarray, at: np.ndarray, copied: pa.Array, hashed: tuple) -> np.ndarray:
     """Which pairs of lines lie in one of the ``copied`` chunks of their row."""
-    c = line_chunks(data, at)
+    if copied.null_count == len(copied):
+        return np.zeros(len(pairs["row"]), dtype=bool)
+    c = line_chunks(data, at, hashed)
     hit = _among(c, len(at) - 1, copied)
     if not hit.any():
         return np.zeros(len(pairs["row"]), dtype=bool)
@@ -104,8 +116,9 @@ def _inside(pairs: dict[str, np.ndarray], data: np.ndarray, at: np.ndarray, copi
 
 def open_pairs(data: np.ndarray, at: np.ndarray, copied: pa.Array) -> dict[str, np.ndarray]:
     """The pairs of neighbouring lines that no copied chunk holds."""
-    pairs = line_pairs(data, at)
-    free = ~_inside(pairs, data, at, copied)
+    hashed = hashed_lines(data, at)
+    pairs = line_pairs(data, at, hashed)
+    free = ~_inside(pairs, data, at, copied, hashed)
     return {name: values[free] for name, values in pairs.items()}
 
 
@@ -169,13 +182,13 @@ def dedup_lines(docs: DataFrame, keep_columns: bool = False, whole_runs: bool =
             for a, b, data, at in chunks(batch.column(batch.num_columns - 1)):
                 part = batch.slice(a, b - a)
                 text = part.column(part.num_columns - 1)
-                row, _, _ = lines(data, at)
-                total = np.bincount(row, minlength=b - a)
+                total = line_counts(data, at)
                 removed = np.zeros(b - a, dtype=np.int64)
                 if any(part.column(i).null_count < b - a for i in range(width, part.num_columns - 1)):
                     if whole_runs:
-                        c = line_pairs(data, at)
-                        gone = _inside(c, data, at, part.column(width)) | _among(c, b - a, part.column(width + 1))
+                        hashed = hashed_lines(data, at)
+                        c = line_pairs(data, at, hashed)
+                        gone = _inside(c, data, at, part.column(width), hashed) | _among(c, b - a, part.column(width + 1))
                     else:
                         c = line_chunks(data, at)
                         gone = _among(c, b - a, part.column(width))
