@@ -117,11 +117,11 @@ FILE, HASH, MISFIT = "_file", "_hash", "_misfit"  # columns of staged rows besid
 
 
 def stage_files(spark: SparkSession, root: str, service: Service, footers: DataFrame, glob: str = "*.parquet",
-                modified_after: str | None = None) -> tuple[DataFrame, DataFrame]:
+                modified_after: str | None = None, hashed: bool = True) -> tuple[DataFrame, DataFrame]:
     """The rows of the files below ``root`` that ``footers`` lists (of ``file_footers``), read once, cast and written to a
     staging area; and a written row per file: path, length, modified, footer_rows, read_rows, cast_failures, content_hash
     and status ('ok', 'no rows', 'unreadable', 'partly unreadable', 'cast overflow'). ``modified_after`` keeps the scan
-    from files that have not changed since."""
+    from files that have not changed since. Without ``hashed`` no content hash is made (it is NULL), nor carried by the copy."""
     src = (spark.read.schema(lake_schema(service)).option("ignoreCorruptFiles", "true").option("pathGlobFilter", glob)
                 .option("recursiveFileLookup", "true"))
     if modified_after is not None:
@@ -132,7 +132,8 @@ def stage_files(spark: SparkSession, root: str, service: Service, footers: DataF
     misfit = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(t.dataType).isNull()
               for f in raw.schema.fields for t in service.table.fields
               if t.name.lower() == f.name.lower() and t.dataType != f.dataType]
-    rows = raw.withColumns({FILE: path, "pickup_date": folder, HASH: F.xxhash64(F.col("_metadata.row_index"), *raw.columns),
+    row_hash = F.xxhash64(F.col("_metadata.row_index"), *raw.columns) if hashed else F.lit(None).cast("long")
+    rows = raw.withColumns({FILE: path, "pickup_date": folder, HASH: row_hash,
                             MISFIT: F.coalesce(functools.reduce(operator.or_, misfit, F.lit(False)), F.lit(False))})
     if modified_after is not None:
         rows = rows.join(footers.select(F.col("path").alias(FILE)), FILE, "left_semi")
