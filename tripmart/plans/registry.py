@@ -601,14 +601,14 @@ def check_unique_incremental(spark, sf):
     path, state = scratch_dir(spark, "fct_trips"), scratch_dir(spark, "key-digests")
     mark = F.lit(CUTOFF).cast("date")
     whole = scratch_dir(spark, "fct_trips")
-    sinks.write_table(fact_plan.fact_columns(fact_plan.build_fact(M.unioned(spark, sf, (A.RUN_1,)))), whole)
-    fact = spark.read.parquet(whole)
+    sinks.write_table(fact_plan.latest_trips(M.unioned(spark, sf, (A.RUN_1,))), whole)
+    fact = spark.read.parquet(whole)  # without trip_id, which the writes below add behind their shuffles
     first, later = fact.where(F.col("pickup_date") < mark), fact.where(F.col("pickup_date") >= mark)
-    sinks.write_partitioned(first, path, "pickup_date")
+    sinks.write_partitioned(first, path, "pickup_date", computed=fact_plan.trip_id())
     duplicated_keys(spark, path, state)
     moved = first.where("pu_location_id % 40 = 0").withColumn("pickup_date", mark)
     batch = later.unionByName(later.where("do_location_id % 50 = 0")).unionByName(moved)
-    sinks.write_partitioned(batch, path, "pickup_date")
+    sinks.write_partitioned(batch, path, "pickup_date", computed=fact_plan.trip_id())
     return duplicated_keys(spark, path, state, batch.select("pickup_date"))
 
 
