@@ -17,12 +17,12 @@ from tripmart.plans import models as M
 from tripmart.plans import registry as R
 from tripmart.plans.fact import build_fact, fact_columns, refresh_fact
 from tripmart.schemas import SERVICES
+from tripmart.session import drop_scratch
 from tripmart.sources import sinks
 from tripmart.sources.footers import file_footers
 from tripmart.sources.load import HASH, stage_files
 
 SF = "/root/testdata/sf0.001"
-COLUMNS = "v int, pickup_date date"
 
 
 def _rows(spark, rows):
@@ -82,10 +82,10 @@ def test_a_computed_key_gives_the_same_table_and_is_not_copied(spark, tmp, monke
     for path, computed in ((f"{tmp}/a", None), (f"{tmp}/b", _key())):
         for batch in (first, later):
             df = _rows(spark, batch)
-            made = _scratch(monkeypatch, U)
-            monkeypatch.setattr(U, "drop_scratch", lambda *_: None)
+            copied = []
+            monkeypatch.setattr(U, "drop_scratch", lambda s, made: copied.append(s.read.parquet(made).columns) or drop_scratch(s, made))
             U.upsert(spark, path, df if computed else df.withColumns(_key()), computed=computed)
-    assert made and "trip_id" not in spark.read.parquet(made[0]).columns
+    assert copied == [["v", "pickup_date"]]
     table = spark.read.parquet(f"{tmp}/b")
     assert _content(table) == _content(spark.read.parquet(f"{tmp}/a")) and table.columns == ["trip_id", "v", "pickup_date"]
     assert len({r.trip_id for r in table.collect()}) == table.count() == 76  # 60, fifteen new, one of a later date
@@ -109,15 +109,15 @@ def test_a_written_batch_is_not_copied_again_and_a_first_load_not_at_all(spark,
 
 
 def test_bucketed_upsert_with_a_computed_key(spark, tmp, monkeypatch):
-    made = _scratch(monkeypatch, B)
-    monkeypatch.setattr(B, "drop_scratch", lambda *_: None)
+    made, copied = _scratch(monkeypatch, B), []
+    monkeypatch.setattr(B, "drop_scratch", lambda s, path: copied.append(s.read.parquet(path).columns) or drop_scratch(s, path))
     schema = spark.createDataFrame([], "trip_id string, v int, pickup_date date").schema
     B.declare(spark, "bucketed_lean", os.path.join(tmp, "t"), schema, 3)
     days = ["2026-04-01", "2026-04-02", None]
     B.upsert_bucketed(spark, "bucketed_lean", _rows(spark, [(i, days[i % 3]) for i in range(60)]), 3, computed=_key())
     assert made == []  # the first batch is the table
     B.upsert_bucketed(spark, "bucketed_lean", _rows(spark, [(i, days[i % 3]) for i in range(30, 90)]), 3, computed=_key())
-    assert spark.read.parquet(made[0]).columns == ["v", "pickup_date"]
+    assert copied == [["v", "pickup_date"]]
     want = _rows(spark, [(i, days[i % 3]) for i in range(90)]).withColumns(_key())
     assert _content(spark.table("bucketed_lean")) == _content(want)
     assert spark.table("bucketed_lean").where(F.col("trip_id") == F.md5(F.lit("7"))).count() == 1  # found in its bucket

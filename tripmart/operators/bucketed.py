@@ -16,7 +16,7 @@ the session it does nothing but look for new folders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.session import drop_scratch, scratch_dir
@@ -42,22 +42,39 @@ def _touched(target: DataFrame, batch: DataFrame, partition_col: str) -> DataFra
     return target.where((p.isin(known) if known else F.lit(False)) | (p.isNull() if None in dates else F.lit(False)))
 
 
-def kept_rows(spark: SparkSession, table: str, batch: DataFrame, key: str = "trip_id", partition_col: str = "pickup_date") -> DataFrame:
-    """What the touched dates keep: their rows whose key is not in ``batch`` (a written table)."""
+def kept_rows(spark: SparkSession, table: str, batch: DataFrame, key: str = "trip_id", partition_col: str = "pickup_date",
+              computed: dict[str, Column] | None = None) -> DataFrame:
+    """What the touched dates keep: their rows whose key is not in ``batch`` (a written table; ``computed`` columns follow
+    from its others)."""
     target = spark.table(table)
-    return _touched(target, batch, partition_col).join(batch.select(key), key, "left_anti").select(*target.columns)
+    keys = batch.select((computed or {}).get(key, F.col(key)).alias(key), partition_col)
+    p = F.col(partition_col)
+    low, high = (target.select(f(p)).scalar() for f in (F.min, F.max))
+    keys = keys.where(p.between(low, high) | p.isNull()).select(key)  # a key lives in one date: others have no equals
+    return _touched(target, batch, partition_col).join(keys, key, "left_anti").select(*target.columns)
 
 
 def upsert_bucketed(spark: SparkSession, table: str, batch: DataFrame, buckets: int, key: str = "trip_id",
-                    partition_col: str = "pickup_date") -> None:
-    """Batch rows replace those of equal keys, others are added. ``buckets`` is the table's number."""
-    staged = scratch_dir(spark, "bucketed-batch")
+                    partition_col: str = "pickup_date", computed: dict[str, Column] | None = None) -> None:
+    """Batch rows replace those of equal keys, others are added. ``buckets`` is the table's number. ``computed`` are columns
+    that follow from the batch's, which comes without them: neither its copy nor its shuffle carries them."""
+    computed = computed or {}
     columns = spark.table(table).columns  # the partition column last
-    batch.select(*columns).write.parquet(staged)
-    new = spark.read.schema(batch.select(*columns).schema).parquet(staged)
-    # A task per date and bucket writes the batch's files: the expression is that of the buckets.
-    placed = new.repartition(F.col(partition_col), F.pmod(F.hash(key), F.lit(int(buckets))))
-    kept = kept_rows(spark, table, new, key, partition_col)
-    kept.unionByName(placed).write.insertInto(table, overwrite=True)
+    given = [c for c in columns if c not in computed]
+    slot = F.pmod(F.hash(computed.get(key, F.col(key))), F.lit(int(buckets)))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        # A task per date and bucket writes the batch's files: the expression is that of the buckets.
+        return rows.select(*given).repartition(F.col(partition_col), slot).withColumns(computed).select(*columns)
+
+    if spark.table(table).isEmpty():  # the batch is the table: one pass
+        placed(batch).write.insertInto(table, overwrite=True)
+        spark.catalog.refreshTable(table)
+        return
+    staged = scratch_dir(spark, "bucketed-batch")
+    batch.select(*given).write.parquet(staged)
+    new = spark.read.schema(batch.select(*given).schema).parquet(staged)
+    kept = kept_rows(spark, table, new, key, partition_col, computed)
+    kept.unionByName(placed(new)).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
     drop_scratch(spark, staged)

@@ -535,9 +535,9 @@ def incremental_upsert_bucketed(spark, sf):
     table = os.path.basename(path).replace("-", "_")
     first = M.unioned(spark, sf, (A.RUN_1,)).where(F.col("pickup_date") < F.lit(CUTOFF).cast("date"))
     bucketed.declare(spark, table, path, FACT, BUCKETS)
-    bucketed.upsert_bucketed(spark, table, fact_plan.fact_columns(fact_plan.build_fact(first)), BUCKETS)
+    bucketed.upsert_bucketed(spark, table, fact_plan.latest_trips(first), BUCKETS, computed=fact_plan.trip_id())
     later = flt.at_or_after(M.unioned(spark, sf, (A.RUN_2,)), "pickup_date", high_water_mark(spark.table(table)))
-    bucketed.upsert_bucketed(spark, table, fact_plan.fact_columns(fact_plan.build_fact(later)), BUCKETS)
+    bucketed.upsert_bucketed(spark, table, fact_plan.latest_trips(later), BUCKETS, computed=fact_plan.trip_id())
     return fact_plan.fact_columns(spark.table(table))
 
 
