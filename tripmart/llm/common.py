@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.session import scratch_dir
+from tripmart.session import drop_scratch, scratch_dir
 
 CHUNK = 1 << 19
 BATCH_ROWS = 1_000  # rows per Arrow batch: a few MB of documents, on both sides of the pipe
@@ -49,6 +49,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one job, by name: ``written`` as above, ``drop`` removes those that nothing reads any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths[name] = scratch_dir(self.spark, name)
+        df.write.parquet(self.paths[name])
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            drop_scratch(self.spark, self.paths.pop(name))
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -278,6 +294,29 @@ def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) != 0
 
 
+MOST_BITS = 29  # of a filter sized by its keys: 64 MB
+
+
+def key_filter(df: DataFrame, column: str, n: int):
+    """A broadcast filter of a column of n hashes, with eight bits a key at least (up to ``MOST_BITS`` in all) and two of them
+    set, in one word: up to 67 million keys it lets some 2 to 6 % of other keys through, however many there are."""
+    size = min(max(BITS, (8 * n).bit_length()), MOST_BITS) - 6
+    bit = "shiftleft(1L, cast(shiftright(`{0}`, {1}) & 63 AS INT))"
+    words = df.select(F.col(column).bitwiseAND((1 << size) - 1).cast("int").alias("w"),
+                      F.expr(f"{bit.format(column, 23)} | {bit.format(column, 29)}").alias("b")
+                      ).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    bits = np.zeros(1 << size, dtype=np.int64)
+    for batch in words.to_batches():
+        bits[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return df.sparkSession.sparkContext.broadcast(bits.view(U64))
+
+
+def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Not the high bits: those of minimizers are mostly zeros."""
+    want = (U64(1) << (values >> U64(23) & U64(63))) | (U64(1) << (values >> U64(29) & U64(63)))
+    return bits[(values & U64(len(bits) - 1)).astype(np.int64)] & want == want
+
+
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     """Least of every w consecutive values, by doubling."""
     span = 1
@@ -287,14 +326,14 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return x if span == w else np.minimum(x[:len(x) - (w - span)], x[w - span:])
 
 
-def only(df: DataFrame, column: str, bits) -> DataFrame:
-    """The rows of ``df`` whose long column may be in a bitmap (never too few)."""
+def only(df: DataFrame, column: str, bits, inside: Callable = in_bitmap) -> DataFrame:
+    """The rows of ``df`` whose long column may be in a bitmap (or, with ``in_filter``, in a filter); never too few."""
     where = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = pc.is_valid(batch.column(where))
             values = pc.fill_null(batch.column(where), 0).to_numpy().view(U64)
-            yield batch.filter(pc.and_(known, pa.array(in_bitmap(bits.value, values))))
+            yield batch.filter(pc.and_(known, pa.array(inside(bits.value, values))))
 
     return in_arrow(df, run, df.schema)

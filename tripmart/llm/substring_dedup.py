@@ -13,8 +13,9 @@ take no further part; minimizers that occur once are dropped by counting them; o
 goes on, with its least doc_id; a minimizer with one distinct segment needs no suffix array, as all
 its strings have the same documents, and neither does a segment that shares no longer string around
 the minimizer; a minimizer with more than ``HOT`` distinct segments is split
-into its single strings, whose least doc_id is a grouped minimum. Bitmaps of fixed size thin what is
-moved; joins decide. Segments are told apart by minimizer and content hash, 64 bits each, strings by their bytes.
+into its single strings, whose least doc_id is a grouped minimum. Filters sized by their keys thin what
+is moved; joins decide. Segments are told apart by minimizer and content hash, 64 bits each, strings by their bytes.
+Texts are compressed one by one where they are shuffled to their cuts; shuffles and written tables go with their last reader.
 
 Defined results: null or empty text has no bytes; texts under ``LENGTH`` bytes stay; rows with a null
 doc_id have no order, lose nothing and are no source; a doc_id names one text, repeated rows of it get
@@ -30,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import (U64, Rolling, bitmap, byte_values, chunks, in_arrow, in_bitmap, only, ship, signed,
-                                 sliding_min, written)
+from tripmart.llm.common import (U64, Rolling, Scratch, bitmap, byte_values, chunks, in_arrow, in_bitmap, in_filter, key_filter,
+                                 only, ship, signed, sliding_min)
 from tripmart.llm.suffix_array import suffix_array, suffix_arrays
+from tripmart.session import shuffles_freed
 
 LENGTH = 50
 GRAM = 24
@@ -81,7 +83,7 @@ def occurrences(docs: DataFrame, shared) -> DataFrame:
         for batch in batches:
             for first, end, data, at in chunks(batch.column(1), CHUNK):
                 s = segments(data, at)
-                keep = in_bitmap(shared.value, s["m"])
+                keep = in_filter(shared.value, s["m"])
                 row, start = s["row"][keep], s["start"][keep]
                 ids = batch.column(0).slice(first, end - first).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
@@ -92,16 +94,35 @@ def occurrences(docs: DataFrame, shared) -> DataFrame:
     return in_arrow(docs.select("doc_id", "text"), run, "h long, m long, doc_id long, start int, len int")
 
 
-def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, chosen) -> DataFrame:
+    """(doc_id, size, packed) of the texts whose doc_id may be in a bitmap, each compressed by itself."""
+    def run(batches):
+        pack = pa.Codec("zstd", 1)
+        for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(chosen.value, batch.column(0).to_numpy().view(U64))))
+            text = [t.as_buffer() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([t.size for t in text], pa.int64()),
+                 pa.array([pack.compress(t, asbytes=True) for t in text], pa.binary())], names=["doc_id", "size", "packed"])
+
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, size long, packed binary")
+
+
+def unpacked(size: pa.Array, text: pa.Array) -> list[bytes]:
+    pack = pa.Codec("zstd")
+    return [pack.decompress(t.as_buffer(), n, asbytes=True) for n, t in zip(size.to_pylist(), text)]
+
+
+def fetch(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     """``wanted`` (m, h, d, e, segments, start, len) with the bytes of each segment, cut from its document d."""
-    lists_ = written(wanted.groupBy("d").agg(F.collect_list(F.struct("m", "h", "e", "segments", "start", "len")).alias("cuts")), "cuts")
+    lists_ = scratch.written(wanted.groupBy("d").agg(F.collect_list(F.struct("m", "h", "e", "segments", "start", "len")).alias("cuts")), "cuts")
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 100):
                 part = batch.slice(i, 100)
-                text = part.column(1).cast(pa.large_binary()).to_pylist()
-                cuts = part.column(2)
+                text = unpacked(part.column(1), part.column(2))
+                cuts = part.column(3)
                 count = np.asarray(pa.compute.list_value_length(cuts))
                 each = np.repeat(np.arange(len(text)), count).tolist()
                 x = cuts.flatten()
@@ -111,7 +132,7 @@ def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [x.field("m"), x.field("h"), part.column(0).take(pa.array(each, pa.int64())), x.field("e"), x.field("segments"),
                      pa.array(raw, pa.binary())], names=["m", "h", "d", "e", "segments", "segment"])
 
-    joined = only(docs, "doc_id", bitmap(lists_, "d")).join(lists_, F.col("doc_id") == F.col("d")).select("doc_id", "text", "cuts")
+    joined = packed(docs, bitmap(lists_, "d")).join(lists_, F.col("doc_id") == F.col("d")).select("doc_id", "size", "packed", "cuts")
     return in_arrow(joined, run, "m long, h long, d long, e long, segments long, segment binary")
 
 
@@ -210,7 +231,7 @@ def suffix_runs(parts: DataFrame, total_bytes: int) -> DataFrame:
         run, "m long, h long, from int, to int, doc long")
 
 
-def single_strings(parts: DataFrame) -> DataFrame:
+def single_strings(parts: DataFrame, scratch: Scratch) -> DataFrame:
     """The same, string by string, for minimizers with very many distinct segments."""
     def run(batches):
         for batch in batches:
@@ -223,22 +244,20 @@ def single_strings(parts: DataFrame) -> DataFrame:
                      pa.array([x[4] for x in out], pa.int64()), pa.array([x[5] for x in out], pa.binary())],
                     names=["m", "h", "from", "d", "e", "string"])
 
-    strings = written(in_arrow(parts.select("m", "h", "d", "e", "segment"), run,
-                               "m long, h long, from int, d long, e long, string binary"), "strings")
+    strings = scratch.written(in_arrow(parts.select("m", "h", "d", "e", "segment"), run,
+                                       "m long, h long, from int, d long, e long, string binary"), "strings")
     least = strings.groupBy("string").agg(F.min("d").alias("doc"))
     return strings.join(least, "string").where("doc < e").select("m", "h", "from", (F.col("from") + 1).alias("to"), "doc")
 
 
-def cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """doc_id, n_removed, n_spans and kept_sha256 of the documents with strings (doc_id, from, to) to remove."""
-    spans = gone.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("from", "to")).alias("gone"))
-
+def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """doc_id, n_removed, n_spans and kept_sha256 of the documents (id) with lists of strings (gone: from, to) to remove."""
     def run(batches):
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
-                text = np.frombuffer((batch.column(1)[i].as_py() or "").encode(), dtype=np.uint8)
-                column = batch.column(2).slice(i, 1).flatten()
+                text = np.frombuffer(unpacked(batch.column(1).slice(i, 1), batch.column(2).slice(i, 1))[0], dtype=np.uint8)
+                column = batch.column(3).slice(i, 1).flatten()
                 change = np.zeros(len(text) + 1, dtype=np.int64)
                 np.add.at(change, column.field("from").to_numpy(), 1)
                 np.add.at(change, column.field("to").to_numpy(), -1)
@@ -250,41 +269,63 @@ def cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
                  pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.string())],
                 names=["doc_id", "n_removed", "n_spans", "kept_sha256"])
 
-    spans = written(spans, "spans")
-    joined = only(docs, "doc_id", bitmap(spans, "id")).join(spans, F.col("doc_id") == F.col("id")).select("doc_id", "text", "gone")
+    joined = packed(docs, bitmap(spans, "id")).join(spans, F.col("doc_id") == F.col("id")).select("doc_id", "size", "packed", "gone")
     return in_arrow(joined, run, "doc_id long, n_removed long, n_spans long, kept_sha256 string").dropDuplicates(["doc_id"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    scratch = Scratch(docs.sparkSession)
+    with shuffles_freed(docs.sparkSession):
+        base, rest = parts_kept(docs, scratch)
+    return base.join(rest, "doc_id", "left").select(
+        "doc_id", "n_bytes", F.expr("CASE WHEN copy THEN n_bytes ELSE coalesce(n_removed, 0) END").alias("n_removed"),
+        F.expr("CASE WHEN copy THEN 1L ELSE coalesce(n_spans, 0) END").alias("n_spans"),
+        F.expr("CASE WHEN copy THEN sha2('', 256) ELSE coalesce(kept_sha256, sha) END").alias("kept_sha256"))
+
+
+def parts_kept(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Written: doc_id, n_bytes, sha and copy of every row, and what ``cut`` gives for the documents that lose strings."""
+    written = scratch.written
     base = written(docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     first = base.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first"))
     base = written(base.join(first, "sha", "left").withColumn(
         "copy", F.expr(f"coalesce(first < doc_id, false) AND n_bytes >= {LENGTH}")), "base")
+    scratch.drop("texts")
     texts = only(docs.where(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}"), "doc_id",
                  bitmap(base.where(f"NOT copy AND doc_id IS NOT NULL AND n_bytes >= {LENGTH}"), "doc_id"))
 
     shared = written(minimizers(texts).groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "shared")
-    found = written(occurrences(texts, bitmap(shared, "m")), "occurrences")
+    keys = key_filter(shared, "m", shared.count())
+    scratch.drop("shared")
+    found = written(occurrences(texts, keys), "occurrences")
+    keys.destroy()
     distinct = written(found.groupBy("m", "h").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("e"),
                                                    F.max("len").alias("len"))
                        .select("m", "h", F.col("first.doc_id").alias("d"), "first.start", "e", "len"), "distinct")
     sizes = written(distinct.groupBy("m").agg(F.count("*").alias("segments"), F.min("d").alias("low"), F.max("e").alias("high"))
                     .where("low < high").select("m", "segments"), "sizes")
-    distinct = written(only(distinct, "m", bitmap(sizes, "m")).join(sizes, "m"), "segments")
+    keys = key_filter(sizes, "m", sizes.count())
+    distinct = written(only(distinct, "m", keys, in_filter).join(sizes, "m"), "segments")
+    keys.destroy()
+    scratch.drop("distinct", "sizes")
     several = distinct.where("segments > 1")
-    got = written(fetch(texts, several), "fetched")
+    got = written(fetch(texts, several, scratch), "fetched")
+    scratch.drop("cuts")
     total = several.agg(F.sum("len")).first()[0] or 0
     runs = suffix_runs(got.where(f"segments <= {HOT}"), total)
-    runs = runs.union(single_strings(got.where(f"segments > {HOT}")))
+    runs = runs.union(single_strings(got.where(f"segments > {HOT}"), scratch))
     runs = runs.union(distinct.where("segments = 1").select("m", "h", F.lit(0).alias("from"), (F.col("len") - LENGTH + 1).alias("to"),
                                                             F.col("d").alias("doc")))
     runs = written(runs, "runs")
-    gone = only(found.select("m", "h", "doc_id", "start"), "h", bitmap(runs, "h")).join(runs, ["m", "h"]).where("doc < doc_id").select(
+    scratch.drop("segments", "fetched", "strings")
+    keys = key_filter(runs, "h", runs.count())
+    gone = only(found.select("m", "h", "doc_id", "start"), "h", keys, in_filter).join(runs, ["m", "h"]).where("doc < doc_id").select(
         "doc_id", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to") + (LENGTH - 1)).alias("to"))
-    rest = written(cut(texts, gone), "cut")
-    return base.join(rest, "doc_id", "left").select(
-        "doc_id", "n_bytes", F.expr("CASE WHEN copy THEN n_bytes ELSE coalesce(n_removed, 0) END").alias("n_removed"),
-        F.expr("CASE WHEN copy THEN 1L ELSE coalesce(n_spans, 0) END").alias("n_spans"),
-        F.expr("CASE WHEN copy THEN sha2('', 256) ELSE coalesce(kept_sha256, sha) END").alias("kept_sha256"))
+    spans = written(gone.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("from", "to")).alias("gone")), "spans")
+    keys.destroy()
+    scratch.drop("occurrences", "runs")
+    rest = written(cut(texts, spans), "cut")
+    scratch.drop("spans")
+    return base, rest
