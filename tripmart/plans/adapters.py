@@ -49,13 +49,19 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
-def line_orders(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFrame:
+def _by_date(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn("day_", F.to_date(ts)).hint("rebalance", "day_")
+
+
+def line_orders(spark: SparkSession, sf_dir: str, flag: str | None = None, by_date: bool = False) -> DataFrame:
+    """``by_date``: rows are dealt to the writers of a dataset partitioned by date here, before they grow by other columns."""
     li = _read(spark, sf_dir, "lineitem")
     if flag is not None:
         li = li.where(F.col("l_returnflag") == flag)
     o = _read(spark, sf_dir, "orders")
     # Lines are sent again behind the join, which thus shuffles each of them once.
-    both = li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+    both = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    both = (_by_date(both, "o_orderdate") if by_date else both).select(
         "*", F.explode(F.expr("CASE WHEN l_linenumber IN (4, 5) THEN array(0, 1) ELSE array(0) END")).alias("sent"))
     return both.withColumn("l_discount", F.expr("CASE WHEN sent = 1 AND l_linenumber = 4 THEN l_discount + CAST(0.01 AS DOUBLE) ELSE l_discount END")).drop("sent")
 
@@ -146,29 +152,30 @@ def _shape(df: DataFrame, exprs: dict, schema) -> DataFrame:
                            for f in schema.fields])
 
 
-def taxi_raw(spark: SparkSession, sf_dir: str, service: str = "yellow", flag: str | None = None) -> DataFrame:
+def taxi_raw(spark: SparkSession, sf_dir: str, service: str = "yellow", flag: str | None = None, by_date: bool = False) -> DataFrame:
     """Yellow- or green-shaped raw file (``flag=None``: the whole table)."""
     cols, schema = taxi_exprs(service)
-    return _shape(line_orders(spark, sf_dir, flag), cols, schema)
+    return _shape(line_orders(spark, sf_dir, flag, by_date), cols, schema)
 
 
-def hvfhv_raw(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFrame:
-    return _shape(line_orders(spark, sf_dir, flag), HVFHV_EXPRS, HVFHV_RAW)
+def hvfhv_raw(spark: SparkSession, sf_dir: str, flag: str | None = None, by_date: bool = False) -> DataFrame:
+    return _shape(line_orders(spark, sf_dir, flag, by_date), HVFHV_EXPRS, HVFHV_RAW)
 
 
-def fhv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shape(_read(spark, sf_dir, "events"), dict(FHV_EXPRS, dropOff_datetime=FHV_DROPOFF_SPARK), FHV_RAW)
+def fhv_raw(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
+    events = _read(spark, sf_dir, "events")
+    return _shape(_by_date(events, "ts") if by_date else events, dict(FHV_EXPRS, dropOff_datetime=FHV_DROPOFF_SPARK), FHV_RAW)
 
 
-def service_raw(spark: SparkSession, sf_dir: str, service: str, split: bool = True) -> DataFrame:
+def service_raw(spark: SparkSession, sf_dir: str, service: str, split: bool = True, by_date: bool = False) -> DataFrame:
     """Raw file of one service; ``split`` restricts taxi/HVFHV to that
     service's share of lineitem (for the three-service union)."""
     flag = FLAGS.get(service) if split else None
     if service in ("yellow", "green"):
-        return taxi_raw(spark, sf_dir, service, flag)
+        return taxi_raw(spark, sf_dir, service, flag, by_date)
     if service == "hvfhv":
-        return hvfhv_raw(spark, sf_dir, flag)
-    return fhv_raw(spark, sf_dir)
+        return hvfhv_raw(spark, sf_dir, flag, by_date)
+    return fhv_raw(spark, sf_dir, by_date)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Q5: a service's typed raw table from its lake.
 
-``run_load`` creates or replaces the table from all files. ``copy_files`` loads each file once: a ledger
+``run_load`` creates or replaces the table from all files; where these hold few dates each, as ingest writes them, it shuffles
+no rows. ``copy_files`` loads each file once: a ledger
 beside the table records every file it has seen (path, length, time of its last change, hash of its
 content, load, verdict), and only files that the ledger does not know in that state are read. A changed
 file replaces its own rows; one that was delivered again with the same content replaces nothing. The table
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.upsert import read_if_exists, replace_groups
 from tripmart.schemas import SERVICES
-from tripmart.session import drop_scratch, scratch_dir
+from tripmart.session import drop_scratch, scratch_dir, shuffles_freed
 from tripmart.sources.footers import file_footers
 from tripmart.sources.load import FILE, HASH, MISFIT, good_rows, load_raw, stage_files
-from tripmart.sources.sinks import write_partitioned
+from tripmart.sources.sinks import laid_out, write_as_laid_out, write_partitioned
 
 LEDGER = """path string, length long, modified timestamp, content_hash long, footer_rows long, read_rows long, status string,
             load_id long"""
@@ -46,8 +47,13 @@ def run_load(spark: SparkSession, lake: str, service: str, table_path: str,
         write_partitioned(load_raw(spark, lake, s), table_path, "pickup_date", overwrite_scope="static")
         return _footers(spark, lake).select("path", "length", F.col("rows").alias("footer_rows"), F.col("rows").alias("read_rows"),
                                             F.lit("ok").alias("status"), F.lit(True).alias("loaded"))
-    staged, files = stage_files(spark, lake, s, _footers(spark, lake), hashed=False)
-    write_partitioned(good_rows(staged, files).drop(FILE, HASH, MISFIT), table_path, "pickup_date", overwrite_scope="static")
+    copy = scratch_dir(spark, "staged")
+    with shuffles_freed(spark):
+        staged, files = stage_files(spark, lake, s, _footers(spark, lake), hashed=False, staged=copy)
+        good = good_rows(staged, files)
+        write = write_as_laid_out if good is staged and laid_out(staged) else write_partitioned
+        write(good.drop(FILE, HASH, MISFIT), table_path, "pickup_date", overwrite_scope="static")
+    drop_scratch(spark, copy)
     return files.select(*REPORT).withColumn("loaded", F.col("status") == "ok")
 
 

@@ -21,9 +21,9 @@ from tripmart.sources.load import to_table
 
 def ingested(spark: SparkSession, sf_dir: str, service: str, stamp: str = RUN_1,
              split: bool = True, month: str | None = None, start: dt.datetime | None = None,
-             end: dt.datetime | None = None) -> DataFrame:
+             end: dt.datetime | None = None, by_date: bool = False) -> DataFrame:
     s = SERVICES[service]
-    return ingest(service_raw(spark, sf_dir, service, split), s, month=month,
+    return ingest(service_raw(spark, sf_dir, service, split, by_date), s, month=month,
                   source_file=source_file_name(service), ingested_at=stamp, start=start, end=end)
 
 

@@ -94,7 +94,7 @@ from tripmart.plans.ingest import run_ingest  # noqa: E402
 from tripmart.plans.load import run_load  # noqa: E402
 from tripmart.functions import expressions as X  # noqa: E402
 from tripmart.schemas import FACT, SERVICES, TRIP_KEY  # noqa: E402
-from tripmart.session import scratch_dir  # noqa: E402
+from tripmart.session import scratch_dir, shuffles_freed, smaller_pieces  # noqa: E402
 from tripmart.sources import load as L  # noqa: E402
 from tripmart.sources import scan, seeds, sinks  # noqa: E402
 
@@ -136,7 +136,9 @@ def scan_partitioned_roundtrip(spark, sf):
 def _load(name: str, service: str) -> None:
     def run(spark, sf):
         lake, table = scratch_dir(spark, f"lake-{service}"), scratch_dir(spark, f"raw-{service}")
-        sinks.write_partitioned(M.ingested(spark, sf, service, split=False), lake, "pickup_date")
+        trips = M.ingested(spark, sf, service, split=False, by_date=True)
+        with shuffles_freed(spark), smaller_pieces(spark, 3):  # a row grows to three times its bytes behind the shuffle
+            sinks.write_partitioned(trips, lake, "pickup_date", rebalance=False)
         run_load(spark, lake, service, table)
         return spark.read.parquet(table).select(*[f.name for f in SERVICES[service].table.fields])
 

@@ -89,15 +89,28 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
 
 
 @contextlib.contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Within it, a query's shuffle files go when the query ends, not when the driver happens to collect its garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Runtime settings that hold within it."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def shuffles_freed(spark: SparkSession) -> contextlib.AbstractContextManager:
+    """Within it, a query's shuffle files go when the query ends, not when the driver happens to collect its garbage."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
+def smaller_pieces(spark: SparkSession, times: int) -> contextlib.AbstractContextManager:
+    """Within it, adaptive execution cuts shuffled data to pieces so many times smaller."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    return settings(spark, {key: f"{max(1, size // times)}b"})

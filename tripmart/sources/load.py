@@ -113,15 +113,17 @@ def load_raw(spark: SparkSession, root: str, service: Service, skip_bad_files: b
     return to_table(df.withColumnRenamed("_folder_date", "pickup_date"), service)
 
 
+STAGED_ROWS = 1_000_000  # of one staged file at most: what a task sorts where the copy is written on as it lies
 FILE, HASH, MISFIT = "_file", "_hash", "_misfit"  # columns of staged rows beside the table's
 
 
 def stage_files(spark: SparkSession, root: str, service: Service, footers: DataFrame, glob: str = "*.parquet",
-                modified_after: str | None = None, hashed: bool = True) -> tuple[DataFrame, DataFrame]:
+                modified_after: str | None = None, hashed: bool = True, staged: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows of the files below ``root`` that ``footers`` lists (of ``file_footers``), read once, cast and written to a
     staging area; and a written row per file: path, length, modified, footer_rows, read_rows, cast_failures, content_hash
     and status ('ok', 'no rows', 'unreadable', 'partly unreadable', 'cast overflow'). ``modified_after`` keeps the scan
-    from files that have not changed since. Without ``hashed`` no content hash is made (it is NULL), nor carried by the copy."""
+    from files that have not changed since. Without ``hashed`` no content hash is made (it is NULL), nor carried by the copy.
+    ``staged`` is the staging area's folder, where the caller removes it."""
     src = (spark.read.schema(lake_schema(service)).option("ignoreCorruptFiles", "true").option("pathGlobFilter", glob)
                 .option("recursiveFileLookup", "true"))
     if modified_after is not None:
@@ -138,8 +140,8 @@ def stage_files(spark: SparkSession, root: str, service: Service, footers: DataF
     if modified_after is not None:
         rows = rows.join(footers.select(F.col("path").alias(FILE)), FILE, "left_semi")
     table = backfill_date(align(rows, service.table, also=(FILE, HASH, MISFIT), lenient=True), service.pickup)
-    staged, verdict = scratch_dir(spark, "staged"), scratch_dir(spark, "verdicts")
-    table.write.parquet(staged)
+    staged, verdict = staged or scratch_dir(spark, "staged"), scratch_dir(spark, "verdicts")
+    table.write.option("maxRecordsPerFile", STAGED_ROWS).parquet(staged)
     table = spark.read.schema(table.schema).parquet(staged)
     read = table.groupBy(F.col(FILE).alias("path")).agg(
         F.count(F.lit(1)).alias("read_rows"), F.bit_xor(HASH).alias("content_hash"), F.count_if(MISFIT).alias("cast_failures"))

@@ -3,12 +3,18 @@
 Partitioned writes go through a ``rebalance`` hint on the partition column:
 AQE splits a skewed day (a single date holding a large share of rows) into
 advisory-size pieces written by several tasks instead of one straggler,
-without a sampling pass.
+without a sampling pass. Files that are laid out by the column already need no shuffle (``laid_out``,
+``write_as_laid_out``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tripmart.session import settings
+
+SMALL = 1 << 18  # bytes of a file, on average, that is still worth no shuffle
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "pickup_date",
@@ -30,6 +36,23 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "pickup_dat
     w.parquet(path)
 
 
+def laid_out(files: DataFrame, partition_col: str = "pickup_date") -> bool:
+    """Whether written rows, partitioned file by file, make at most twice as many files as there are partitions, beside one
+    for each file, or files of ``SMALL`` bytes at least: then a shuffle before a partitioned write of them gains little."""
+    pairs = files.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+                         F.col(partition_col).alias("part")).distinct()
+    n = pairs.groupBy("file").agg(F.count("*").alias("pairs"), F.max("size").alias("size")).agg(
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
+    return n.pairs <= max(2 * files.select(partition_col).distinct().count() + n.files, n.size // SMALL)
+
+
+def write_as_laid_out(files: DataFrame, path: str, partition_col: str = "pickup_date", **how) -> None:
+    """``write_partitioned`` of such files, without a shuffle and a file (or a piece of one) to a task, which sorts its rows."""
+    spark = files.sparkSession
+    with settings(spark, {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")}):
+        write_partitioned(files, path, partition_col, rebalance=False, **how)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K2/K4: table materialization as an overwritten Parquet dataset."""
     df.write.mode(mode).parquet(path)
