@@ -67,20 +67,26 @@ def segments(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     return {"row": row, "start": start, "end": end, "m": least[start], "h": roll.spans(start, end)}
 
 
-def minimizers(docs: DataFrame) -> DataFrame:
-    """(m) of every segment of every text."""
+def chosen(batch: pa.RecordBatch, known) -> pa.RecordBatch:
+    """The rows whose doc_id, the first column, may be in a bitmap."""
+    return batch.filter(pa.array(in_bitmap(known.value, batch.column(0).to_numpy().view(U64))))
+
+
+def minimizers(docs: DataFrame, known) -> DataFrame:
+    """(m) of every segment of every text whose doc_id may be in a bitmap."""
     def run(batches):
         for batch in batches:
-            for _, _, data, at in chunks(batch.column(0), CHUNK):
+            for _, _, data, at in chunks(chosen(batch, known).column(1), CHUNK):
                 yield pa.RecordBatch.from_arrays([pa.array(signed(segments(data, at)["m"]))], names=["m"])
 
-    return in_arrow(docs.select("text"), run, "m long")
+    return in_arrow(docs.select("doc_id", "text"), run, "m long")
 
 
-def occurrences(docs: DataFrame, shared) -> DataFrame:
-    """(h, m, doc_id, start, len) of the segments whose minimizer may be shared."""
+def occurrences(docs: DataFrame, known, shared) -> DataFrame:
+    """(h, m, doc_id, start, len) of their segments whose minimizer may be shared."""
     def run(batches):
         for batch in batches:
+            batch = chosen(batch, known)
             for first, end, data, at in chunks(batch.column(1), CHUNK):
                 s = segments(data, at)
                 keep = in_filter(shared.value, s["m"])
@@ -94,12 +100,12 @@ def occurrences(docs: DataFrame, shared) -> DataFrame:
     return in_arrow(docs.select("doc_id", "text"), run, "h long, m long, doc_id long, start int, len int")
 
 
-def packed(docs: DataFrame, chosen) -> DataFrame:
+def packed(docs: DataFrame, known) -> DataFrame:
     """(doc_id, size, packed) of the texts whose doc_id may be in a bitmap, each compressed by itself."""
     def run(batches):
         pack = pa.Codec("zstd", 1)
         for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(chosen.value, batch.column(0).to_numpy().view(U64))))
+            batch = chosen(batch, known)
             text = [t.as_buffer() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([t.size for t in text], pa.int64()),
@@ -293,13 +299,13 @@ def parts_kept(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]
     base = written(base.join(first, "sha", "left").withColumn(
         "copy", F.expr(f"coalesce(first < doc_id, false) AND n_bytes >= {LENGTH}")), "base")
     scratch.drop("texts")
-    texts = only(docs.where(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}"), "doc_id",
-                 bitmap(base.where(f"NOT copy AND doc_id IS NOT NULL AND n_bytes >= {LENGTH}"), "doc_id"))
+    texts = docs.where(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}")
+    known = bitmap(base.where(f"NOT copy AND doc_id IS NOT NULL AND n_bytes >= {LENGTH}"), "doc_id")  # tested where texts are read
 
-    shared = written(minimizers(texts).groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "shared")
+    shared = written(minimizers(texts, known).groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "shared")
     keys = key_filter(shared, "m", shared.count())
     scratch.drop("shared")
-    found = written(occurrences(texts, keys), "occurrences")
+    found = written(occurrences(texts, known, keys), "occurrences")
     keys.destroy()
     distinct = written(found.groupBy("m", "h").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("e"),
                                                    F.max("len").alias("len"))
